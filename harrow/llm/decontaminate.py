@@ -18,7 +18,8 @@ from harrow.llm.store import Store
 
 #: Each keeps five words; 1 is compared, 0 is ignored.
 MASKS = ("11111", "1101011", "110010101")
-BROADCAST_SEEDS = 500_000
+#: Rows that are broadcast at most.
+BROADCAST_SEEDS, BROADCAST_LINES = 500_000, 50_000
 
 
 def tokens(text: Column) -> Column:
@@ -64,17 +65,20 @@ def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[s
     # the test set's seeds are broadcast only while there are few of them
     side = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
     lines = places.join(side, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    lines = store.save(lines, "lines")
-    # line-ups are checked against the words; long items overlap in a run of min_overlap places or more
-    checked = lines.join(test, "item_id").join(words.distinct(), "doc_id")
-    run = F.least(F.col("m"), F.lit(min_overlap))
+    lines = store.save(lines, "lines").join(test, "item_id")
+    # line-ups are checked against the words of their documents; few of them go to the texts, many meet them by id
+    few = F.broadcast(lines) if lines.count() <= BROADCAST_LINES else lines
+    # the part of the document beside the item; texts are split once and only these few words are kept
     first = F.greatest(-F.col("shift"), F.lit(0))
-    last = F.least(F.col("m"), F.size("words") - F.col("shift")) - 1
-    agree = F.transform(F.sequence(first, last), lambda i: (F.get("words", i + F.col("shift")) == F.get("item", i)).cast("int"))
+    beside = F.slice(tokens(F.col("text")), F.col("first") + F.col("shift") + 1, F.col("m") - F.col("first"))
+    checked = docs.select("doc_id", "text").join(few.withColumn("first", first), "doc_id")
+    checked = store.save(checked.select("doc_id", "item_id", "shift", "first", "m", "item", beside.alias("beside")), "beside")
+    # long items overlap in a run of min_overlap places or more
+    run = F.least(F.col("m"), F.lit(min_overlap))
+    agree = F.zip_with("beside", F.slice("item", F.col("first") + 1, F.size("beside")), lambda a, b: (a == b).cast("int"))
     found = (
         checked.withColumn("run", run)
-        .withColumn("first", first)
-        .where(last - first + 1 >= run)
+        .where(F.size("beside") >= run)
         .withColumn("agree", agree)
         .withColumn("best", _best_run(F.col("agree"), F.col("run")))
         .withColumn("similarity", F.col("best.same") / F.col("run"))
