@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from harrow.llm.encoding import WordEncoder
+from harrow.llm.encoding import word_encoder
 from harrow.llm.store import Store
 
 BATCH_SEQUENCES = 256
@@ -111,19 +111,18 @@ def write_token_files(docs: DataFrame, folder: str, index_store: Store, tokenize
         encoder, writer, local = None, None, 0
         for batch in batches:
             if writer is None:
-                encoder = WordEncoder(tokenizer)
+                encoder = word_encoder(tokenizer)
                 writer = ShardWriter(folder, shard, encoder.dtype, seq_len)
-            ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 256):
-                lengths, end = [], np.array([end_id], encoder.dtype)
-                for tokens in encoder.encode(texts.slice(at, 256).to_pylist()):
+            lengths, end = [], np.array([end_id], encoder.dtype)
+            for at in range(0, batch.num_rows, 64):
+                for tokens in encoder.encode(batch.column(1).slice(at, 64).to_pylist()):
                     writer.add(tokens)
                     writer.add(end)
                     lengths.append(len(tokens) + 1)
-                n = np.array(lengths, np.int64)
-                starts = local + np.cumsum(n) - n
-                local += int(n.sum())
-                yield pa.record_batch([ids.slice(at, 256), pa.array(np.full(len(n), shard, np.int32)), pa.array(starts), pa.array(n)], names=["doc_id", "shard", "local", "n_tokens"])
+            n = np.array(lengths, np.int64)
+            starts = local + np.cumsum(n) - n
+            local += int(n.sum())
+            yield pa.record_batch([batch.column(0), pa.array(np.full(len(n), shard, np.int32)), pa.array(starts), pa.array(n)], names=["doc_id", "shard", "local", "n_tokens"])
         if writer is not None:
             writer.close()
 
