@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrow.llm.encoding import WordEncoder
+from harrow.llm.encoding import word_encoder
 from harrow.llm.store import Store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -36,19 +36,19 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         end = np.array([end_id], "<u4")
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for at in range(0, batch.num_rows, 256):
-                rows = []
-                for doc, tokens in zip(ids[at : at + 256], encoder.encode(batch.column(1).slice(at, 256).to_pylist())):
+            ids, rows = batch.column(0).to_pylist(), []
+            for at in range(0, batch.num_rows, 64):
+                for doc, tokens in zip(ids[at : at + 64], encoder.encode(batch.column(1).slice(at, 64).to_pylist())):
                     tokens = np.concatenate([tokens.astype("<u4"), end])
                     for k, start in enumerate(range(0, len(tokens), capacity)):
                         piece = tokens[start : start + capacity]
                         rows.append((doc, k, start, len(piece), zlib.crc32(piece.tobytes())))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in PIECES.split(", ")])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in PIECES.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, PIECES)
 
