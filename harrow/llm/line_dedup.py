@@ -11,30 +11,34 @@ lines, of fixed size; any order gives the same pairs, a better one fewer candida
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.store import Store
 
 SKETCH_BITS = 16
-PARITY_MAPS = 4
+PARITY_MAPS = 2
+
+
+#: White space inside a line other than a single space between words.
+_UNEVEN = r"[\t\r\x0b\f]"
 
 
-def _split(text: Column) -> Column:
-    return F.split(F.translate(F.lower(text), "\t\r\x0b\x0c", "    "), " ")
+def _split(line: Column) -> Column:
+    """The lower-case words of a line between ASCII white space, with empty ones where it is repeated."""
+    plain = F.when(line.rlike(_UNEVEN), F.translate(line, "\t\r\x0b\x0c", "    ")).otherwise(line)
+    return F.split(F.lower(plain), " ")
 
 
 def line_words(line: Column) -> Column:
-    """The distinct lower-case words of a line, split at ASCII white space."""
+    """The distinct lower-case words of a line."""
     return F.array_remove(F.array_distinct(_split(line)), "")
 
 
 def rarity_classes(docs: DataFrame) -> Column:
-    """For each hash bucket of words, the binary logarithm of how often its words occur in all texts, as one
-    constant array of 65,536 integers."""
-    words = docs.select(F.explode(_split(F.translate("text", "\n", " "))).alias("w"))
+    """For each hash bucket of words, the binary logarithm of how often its words occur in all texts, as they
+    are written between spaces, as one constant array of 65,536 integers."""
+    words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
     counts = words.groupBy(bucket.cast("int").alias("b")).agg(F.count("*").alias("n")).collect()
     classes = [0] * (1 << SKETCH_BITS)
@@ -43,8 +47,8 @@ def rarity_classes(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
 
 
-def _keys(words: Column, classes: Column) -> Column:
-    """Words as bigints in order of rarity: count class, then longer first, then hash."""
+def _keys(line: Column, classes: Column) -> Column:
+    """A line's distinct words as bigints in order of rarity: count class, then longer first, then hash."""
 
     def key(w: Column) -> Column:
         h = F.xxhash64(w)
@@ -52,20 +56,19 @@ def _keys(words: Column, classes: Column) -> Column:
         short = (F.lit(63) - F.least(F.length(w), F.lit(63))).cast("long")
         return F.shiftleft(rare, 57).bitwiseOR(F.shiftleft(short, 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
 
-    return F.sort_array(F.transform(words, key))
+    return F.sort_array(F.array_remove(F.array_distinct(F.transform(_split(line), key)), key(F.lit(""))))
 
 
 def _parity(keys: Column, part: int) -> Column:
-    """64 of 256 bits, each telling whether an odd number of the words fall on it."""
+    """64 bits, each telling whether an odd number of the words fall on it; each ``part`` places the words anew."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
-    mine = lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(PARITY_MAPS - 1)) == part
-    return F.aggregate(keys, none, lambda a, k: F.when(mine(k), a.bitwiseXOR(bit(k))).otherwise(a))
+    bit = lambda k: F.call_function("shiftleft", one, F.shiftright(k, 6 * part).bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(bit(k)))
 
 
-def _differ(p: Column | str, q: Column | str) -> Column:
+def _differ(p: str, q: str) -> Column:
     """A lower bound of the words in which two sets differ."""
-    return reduce(Column.__add__, [F.bit_count(F.get(p, F.lit(k)).bitwiseXOR(F.get(q, F.lit(k)))) for k in range(PARITY_MAPS)])
+    return F.greatest(*[F.bit_count(F.col(f"{p}{k}").bitwiseXOR(F.col(f"{q}{k}"))) for k in range(PARITY_MAPS)])
 
 
 def _needed(nx: Column, ny: Column, threshold: float) -> Column:
@@ -78,13 +81,13 @@ def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
     its size ``n``, its ``parity`` maps and its rarest words, the ``prefix``."""
     classes = rarity_classes(docs)
     lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"[^ \t\r\x0b\f]"))
-    sets = lines.select("doc_id", "h", "pos", _keys(line_words(F.col("line")), classes).alias("keys"))
+    sets = lines.select("doc_id", "h", "pos", _keys(F.col("line"), classes).alias("keys"))
     n = F.size("keys")
     prefix = F.slice("keys", 1, (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
-    parity = F.array(*[_parity(F.col("keys"), k) for k in range(PARITY_MAPS)])
+    parity = [_parity(F.col("keys"), k).alias(f"parity{k}") for k in range(PARITY_MAPS)]
     rows = sets.select(
         F.xxhash64("keys").alias("id"), F.xxhash64(F.lit(1), F.col("keys")).alias("d2"),
-        F.struct("doc_id", "h", "pos", n.alias("n"), parity.alias("parity"), prefix.alias("prefix")).alias("line"),
+        F.struct("doc_id", "h", "pos", n.alias("n"), *parity, prefix.alias("prefix")).alias("line"),
     )
     return store.save(rows.groupBy("id", "d2").agg(F.min("line").alias("line")).select("id", "d2", "line.*"), "classes")
 
@@ -92,64 +95,79 @@ def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
 def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     """Pairs ``a < b`` of set ids that share a prefix word and pass the length, positional and parity filters."""
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long"))
-    folded = reduce(Column.bitwiseXOR, [F.get("parity", F.lit(k)) for k in range(PARITY_MAPS)])
-    entries = classes.select("id", "n", folded.alias("parity"), F.posexplode("prefix").alias("i", "key")).select("key", "id", packed.alias("ni"), "parity")
+    maps = [f"parity{k}" for k in range(PARITY_MAPS)]
+    entries = classes.select("id", "n", *maps, F.posexplode("prefix").alias("i", "key")).select("key", "id", packed.alias("ni"), *maps)
     x, y = entries.alias("x"), entries.alias("y")
     low = F.lit(0xFFFFFFFF)
     nx, ny, ix, iy = F.shiftright("x.ni", 32), F.shiftright("y.ni", 32), F.col("x.ni").bitwiseAND(low), F.col("y.ni").bitwiseAND(low)
     need = _needed(nx, ny, threshold)
     may = F.least(ix, iy) + F.least(nx - ix, ny - iy)
-    differ = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity")))
-    near = (differ <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need)
+    near = (_differ("x.parity", "y.parity") <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need)
     return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def verified_links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> DataFrame:
-    """Those pairs whose lines' Jaccard similarity is at least the threshold: the places ``a, b`` of the first lines, ``a`` earlier."""
+def _word_hashes(line: Column) -> Column:
+    """64-bit hashes of a line's distinct words: two words of one pair of lines share one with a chance of 1 in 10^13 at most."""
+    hashes = F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w)))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
+
+
+def ordered_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidate pairs as ``later, earlier`` by the place of their first lines, with ``differ``, how far apart they seem."""
     place = F.struct("doc_id", "h", "pos", "id", "d2")
-    left = classes.select(F.col("id").alias("a"), place.alias("p"), F.col("n").alias("np"), F.col("parity").alias("pp"))
-    right = classes.select(F.col("id").alias("b"), place.alias("q"), F.col("n").alias("nq"), F.col("parity").alias("pq"))
-    # the whole parity maps leave few pairs to be compared by their words
-    most = F.col("np") + F.col("nq") - 2 * _needed(F.col("np"), F.col("nq"), threshold)
-    placed = pairs.join(left, "a").join(right, "b").where(_differ("pp", "pq") <= most)
-    placed = store.save(placed.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")), "placed")
-    wanted = placed.select("a.*").unionByName(placed.select("b.*")).distinct()
-    wanted = wanted.groupBy("doc_id", "h").agg(F.collect_list(F.struct("pos", "id", "d2")).alias("wanted"))
+    side = lambda k, p: classes.select(F.col("id").alias(k), place.alias(p), *[F.col(f"parity{i}").alias(f"{p}{i}") for i in range(PARITY_MAPS)], F.col("n").alias(f"{p}n"))
+    both = pairs.join(side("a", "p"), "a").join(side("b", "q"), "b")
+    first, last = F.least("p", "q"), F.greatest("p", "q")
+    key = lambda x: F.struct(x["id"].alias("id"), x["d2"].alias("d2"))
+    return both.select(key(last).alias("later"), key(first).alias("earlier"), (_differ("p", "q") / (F.col("pn") + F.col("qn"))).alias("differ"))
+
+
+def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """The ``later`` sets of those ``later, earlier`` pairs whose Jaccard similarity is at least the threshold."""
+    for side in ("later", "earlier"):
+        pairs = pairs.join(words.select(F.struct("id", "d2").alias(side), F.col("words").alias(f"{side}_words")), side)
+    both = F.size(F.array_intersect("later_words", "earlier_words"))
+    return pairs.where(both >= _needed(F.size("later_words"), F.size("earlier_words"), threshold)).select("later").distinct()
+
+
+def later_matches(docs: DataFrame, pairs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> DataFrame:
+    """The sets ``later`` whose first line matches an earlier line.
+
+    Each set is first compared with its likeliest partner, and only the sets that aren't settled by
+    that with all of their others: near copies of one line settle each other without being compared all with all.
+    """
+    ordered = store.save(ordered_pairs(pairs, classes), "ordered")
+    ids = ordered.select("later.*").unionByName(ordered.select("earlier.*")).distinct()
+    wanted = classes.join(ids, ["id", "d2"], "left_semi").groupBy("doc_id", "h").agg(F.collect_list(F.struct("pos", "id", "d2")).alias("wanted"))
     read = docs.join(wanted, ["doc_id", "h"]).select("wanted", F.split("text", "\n").alias("lines"))
     found = F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), x["d2"].alias("d2"), F.get("lines", x["pos"]).alias("line"))))
-    words = store.save(read.select(found).dropDuplicates(["id", "d2"]).select("id", "d2", line_words(F.col("line")).alias("words")), "words")
-    for side in ("a", "b"):
-        own = words.select(F.col("id").alias(f"{side}_id"), F.col("d2").alias(f"{side}_d2"), F.col("words").alias(f"{side}_words"))
-        placed = placed.join(own, (F.col(f"{side}.id") == F.col(f"{side}_id")) & (F.col(f"{side}.d2") == F.col(f"{side}_d2")))
-    both = F.size(F.array_intersect("a_words", "b_words"))
-    return placed.where(both >= _needed(F.size("a_words"), F.size("b_words"), threshold)).select("a", "b").distinct()
+    words = store.save(read.select(found).select("id", "d2", _word_hashes(F.col("line")).alias("words")).dropDuplicates(["id", "d2"]), "words")
+    store.release()
+    likeliest = ordered.groupBy("later").agg(F.min_by("earlier", F.struct("differ", "earlier")).alias("earlier"))
+    settled = store.save(verify(likeliest, words, threshold), "settled")
+    rest = store.save(verify(ordered.select("later", "earlier").join(settled, "later", "left_anti"), words, threshold), "rest")
+    return settled.unionByName(rest)
 
 
 def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFrame:
     """Remove every line that matches an earlier one, by ``doc_id`` and then place in the text.
 
-    Returns the rows of ``docs(doc_id, text, ...)`` with ``text`` rewritten and ``n_lines, n_removed, n_links``
+    Returns the rows of ``docs(doc_id, text, ...)`` with ``text`` rewritten and ``n_lines, n_removed``
     added; columns of these names are replaced.  A line goes if an earlier line has the same words or a Jaccard
-    similarity of at least ``threshold`` with it, whether or not that line stays.  ``n_links`` counts
-    the links to lines of other word sets, over the lines that were first with their words.
+    similarity of at least ``threshold`` with it, whether or not that line stays.
     Lines without a word always stay.  Null texts stay null and match nothing, rows with a null id stay as
     they are.  Rows that repeat an id come in the order of their texts' hashes; rows that repeat both
     are one document, and each stays as that one does.  An empty table gives no rows.
     """
-    docs = docs.drop("n_lines", "n_removed", "n_links")
+    docs = docs.drop("n_lines", "n_removed")
     hashed = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"), "text")
     classes = line_classes(hashed, store, threshold)
+    store.release()
     pairs = store.save(candidate_pairs(classes, threshold), "pairs")
-    links = store.save(verified_links(hashed, pairs, classes, store, threshold), "links")
-    later = links.groupBy(F.col("b.id").alias("id"), F.col("b.d2").alias("d2")).agg(F.lit(True).alias("late"))
-    ends = links.select("a.id", "a.d2").unionByName(links.select("b.id", "b.d2")).groupBy("id", "d2").agg(F.count("*").alias("links"))
-    kept = (
-        classes.join(later, ["id", "d2"], "left")
-        .join(ends, ["id", "d2"], "left")
-        .groupBy("doc_id", "h")
-        .agg(F.collect_list(F.when(F.col("late").isNull(), F.col("pos"))).alias("kept"), F.sum("links").alias("n_links"))
-        .withColumnRenamed("doc_id", "of")
-    )
+    store.release()
+    later = later_matches(hashed, pairs, classes, store, threshold).select("later.*")
+    store.release()
+    kept = classes.join(later, ["id", "d2"], "left_anti").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept")).withColumnRenamed("doc_id", "of")
     joined = docs.withColumn("__h", F.xxhash64("text")).join(kept, (F.col("doc_id") == F.col("of")) & (F.col("__h") == F.col("h")), "left")
     lines = F.split("text", "\n")
     blank = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda i: ~F.rlike(F.get("__lines", i), F.lit(r"[^ \t\r\x0b\f]")))
@@ -161,6 +179,5 @@ def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFr
         .withColumn("text", F.array_join("__left", "\n"))
         .withColumn("n_lines", F.coalesce(F.size("__lines"), F.lit(0)))
         .withColumn("n_removed", F.coalesce(F.size("__lines") - F.size("__left"), F.lit(0)))
-        .withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
-        .select(*docs.columns, "n_lines", "n_removed", "n_links")
+        .select(*docs.columns, "n_lines", "n_removed")
     )

@@ -19,15 +19,12 @@ WITH lines AS (
   FROM words a JOIN words b ON a.w = b.w AND a.k < b.k AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4
   GROUP BY a.k, b.k, a.n, b.n
   HAVING count(*) * 5 >= 4 * (a.n + b.n - count(*))
-), ends AS (
-  SELECT k, count(*) AS n FROM (SELECT a AS k FROM pairs UNION ALL SELECT b FROM pairs) GROUP BY k
 ), marked AS (
   SELECT s.doc_id, s.pos, s.line,
-         len(s.ws) = 0 OR ((s.doc_id, s.pos) = f.place AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.b = f.k)) AS stays,
-         CASE WHEN (s.doc_id, s.pos) = f.place THEN coalesce(e.n, 0) ELSE 0 END AS links
-  FROM sets s LEFT JOIN firsts f ON s.ws = f.ws LEFT JOIN ends e ON e.k = f.k
+         len(s.ws) = 0 OR ((s.doc_id, s.pos) = f.place AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.b = f.k)) AS stays
+  FROM sets s LEFT JOIN firsts f ON s.ws = f.ws
 )
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_removed, CAST(sum(links) AS BIGINT) AS n_links,
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_removed,
        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE stays), '') AS text
 FROM marked GROUP BY doc_id
 """

@@ -52,7 +52,7 @@ def op5_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), Store(spark, "op6"))
-    return cleaned.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "n_links", "text")
+    return cleaned.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "text")
 
 
 def op7_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ checkpoint it survives the loss of any executor.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,3 +47,8 @@ class Store:
             if "/harrow/" in where:
                 path = jvm.org.apache.hadoop.fs.Path(where)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release(self) -> None:
+        """Let the driver's JVM collect plans of finished jobs, so that Spark deletes their shuffle files."""
+        gc.collect()
+        self.spark._jvm.System.gc()
