@@ -72,7 +72,8 @@ class _Batch:
         flat = np.fromiter((places.setdefault(w, len(places)) for t in texts for w in t), np.int64, sum(lengths))
         self.features = _features(list(places), settings.buckets)
         sizes = np.array(lengths) + pad
-        self.starts = np.cumsum(sizes) - sizes
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
         self.word = np.full(int(sizes.sum()) + pad, len(places), np.int64)
         at = 0
         for start, n in zip(self.starts, lengths):
@@ -91,11 +92,12 @@ def _pooled(model: Model, batch: _Batch, places: bool):
         for k in range(width):
             part = (words @ w[k * s.dim : (k + 1) * s.dim])[batch.word[k : k + batch.stop]]
             acts = part if acts is None else np.add(acts, part, out=acts)
+        for k in range(1, width):  # windows that would reach into the next text
+            acts[batch.ends - k] = -np.inf
         top = np.maximum.reduceat(acts, batch.starts, axis=0)
         best.append(top)
         if places:
-            ends = np.append(batch.starts[1:], batch.stop)
-            where.append(np.stack([a + acts[a:b].argmax(axis=0) for a, b in zip(batch.starts, ends)]))
+            where.append(np.stack([a + acts[a:b].argmax(axis=0) for a, b in zip(batch.starts, batch.ends)]))
     return np.concatenate(best, axis=1), where, words
 
 
