@@ -117,7 +117,7 @@ def remove_repeats(docs: DataFrame, least: int = 96) -> DataFrame:
     """``docs`` with the duplicate chunks of reported passages cut out of ``text``; all rows and columns stay."""
     gone = repeated_chunks(docs, least).where("duplicate").groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("__gone")).withColumnsRenamed({"doc_id": "__id", "h": "__hash"})
     joined = docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left").select(*docs.columns, "__gone")
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,6 +132,6 @@ def remove_repeats(docs: DataFrame, least: int = 96) -> DataFrame:
                 texts.append(text)
             columns = [*batch.columns[:-1]]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.record_batch(columns, names=docs.columns)
+            yield pa.record_batch(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema)
