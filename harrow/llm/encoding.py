@@ -24,7 +24,7 @@ class WordEncoder:
     A word is kept as it stands after a space; with a line end before it, it is a word at a line's start.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -67,7 +67,7 @@ class WordEncoder:
             start, core = ("\n", w[1:]) if w[:1] == "\n" else ("", w)
             # letters and a mark after them are always split; letters are mostly met before
             letters, end = (core, "") if core.isalpha() else (core[:-1], core[-1:])
-            if letters.isalpha() and end in self.marks:
+            if letters.isalpha() and end in self.marks and (letters.isascii() or not self.caseless or letters.lower().isalpha()):
                 if self.caseless and letters.isascii():
                     letters = letters.lower()
                 letters = start + letters
@@ -111,6 +111,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=4)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, limit: int) -> WordEncoder:
     """The encoder of this worker process, which later tasks find warm."""
-    return WordEncoder(path)
+    return WordEncoder(path, limit)

@@ -28,7 +28,7 @@ from harrow.llm.store import Store
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, known_words: int = 1_200_000) -> DataFrame:
     """Tokenize ``docs(doc_id, text)`` and cut those longer than ``capacity``.
 
     Null text is empty; each document ends with ``end_id``.  One row a piece:
@@ -36,7 +36,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, known_words)
         end = np.array([end_id], "<u4")
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []

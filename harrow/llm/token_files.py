@@ -94,12 +94,12 @@ class ShardReader:
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else self.flat[:0]
 
 
-def write_token_files(docs: DataFrame, folder: str, index_store: Store, tokenizer: str, seq_len: int = 2048, end_id: int = 0) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, index_store: Store, tokenizer: str, seq_len: int = 2048, end_id: int = 0, known_words: int = 1_200_000) -> DataFrame:
     """Encode ``docs(doc_id, text)`` in ascending ``doc_id`` into shards under ``folder``.
 
     A null text is empty; every document ends with ``end_id``, so an empty one
     has one token.  Null ids come first; equal ids are ordered by their text's hash.
-    Other columns are ignored.  Each range partition makes one shard, which streams
+    Other columns are ignored; a worker keeps the ids of ``known_words`` words.  Each range partition makes one shard, which streams
     through the task.  Returns the index: ``doc_id, shard, local`` (place of the
     first token in the shard) and ``n_tokens``.  An empty table gives an empty index.
     """
@@ -111,7 +111,7 @@ def write_token_files(docs: DataFrame, folder: str, index_store: Store, tokenize
         encoder, writer, local = None, None, 0
         for batch in batches:
             if writer is None:
-                encoder = word_encoder(tokenizer)
+                encoder = word_encoder(tokenizer, known_words)
                 writer = ShardWriter(folder, shard, encoder.dtype, seq_len)
             lengths, end = [], np.array([end_id], encoder.dtype)
             for at in range(0, batch.num_rows, 64):
