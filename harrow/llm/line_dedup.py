@@ -11,13 +11,15 @@ lines, of fixed size; any order gives the same pairs, a better one fewer candida
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.store import Store
 
 SKETCH_BITS = 16
-PARITY_MAPS = 2
+BROADCAST_MAPS = 400_000
 
 
 #: White space inside a line other than a single space between words.
@@ -59,94 +61,153 @@ def _keys(line: Column, classes: Column) -> Column:
     return F.sort_array(F.array_remove(F.array_distinct(F.transform(_split(line), key)), key(F.lit(""))))
 
 
-def _parity(keys: Column, part: int) -> Column:
-    """64 bits, each telling whether an odd number of the words fall on it; each ``part`` places the words anew."""
+def _parity(keys: Column) -> Column:
+    """64 bits, each telling whether an odd number of the words fall on it."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bit = lambda k: F.call_function("shiftleft", one, F.shiftright(k, 6 * part).bitwiseAND(F.lit(63)).cast("int"))
+    bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(bit(k)))
 
 
-def _differ(p: str, q: str) -> Column:
-    """A lower bound of the words in which two sets differ."""
-    return F.greatest(*[F.bit_count(F.col(f"{p}{k}").bitwiseXOR(F.col(f"{q}{k}"))) for k in range(PARITY_MAPS)])
-
-
 def _needed(nx: Column, ny: Column, threshold: float) -> Column:
     """Common words that sets of these sizes need."""
     return F.lit(threshold / (1 + threshold)) * (nx + ny) - F.lit(1e-9)
 
 
 def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
-    """One row for each set of words: its digest ``id, d2``, the first line's place ``doc_id, h, pos``,
-    its size ``n``, its ``parity`` maps and its rarest words, the ``prefix``."""
+    """One row for each set of words: its digest ``id, d2``, the first line's place ``doc_id, pos, h``,
+    its size ``n``, its ``parity`` map and its rarest words, the ``prefix``."""
     classes = rarity_classes(docs)
     lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"[^ \t\r\x0b\f]"))
-    sets = lines.select("doc_id", "h", "pos", _keys(F.col("line"), classes).alias("keys"))
+    sets = lines.select("doc_id", "pos", "h", _keys(F.col("line"), classes).alias("keys"))
     n = F.size("keys")
     prefix = F.slice("keys", 1, (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
-    parity = [_parity(F.col("keys"), k).alias(f"parity{k}") for k in range(PARITY_MAPS)]
     rows = sets.select(
         F.xxhash64("keys").alias("id"), F.xxhash64(F.lit(1), F.col("keys")).alias("d2"),
-        F.struct("doc_id", "h", "pos", n.alias("n"), *parity, prefix.alias("prefix")).alias("line"),
+        F.struct("doc_id", "pos", "h", n.alias("n"), _parity(F.col("keys")).alias("parity"), prefix.alias("prefix")).alias("line"),
     )
     return store.save(rows.groupBy("id", "d2").agg(F.min("line").alias("line")).select("id", "d2", "line.*"), "classes")
 
 
-def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a < b`` of set ids that share a prefix word and pass the length, positional and parity filters."""
-    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long"))
-    maps = [f"parity{k}" for k in range(PARITY_MAPS)]
-    entries = classes.select("id", "n", *maps, F.posexplode("prefix").alias("i", "key")).select("key", "id", packed.alias("ni"), *maps)
-    x, y = entries.alias("x"), entries.alias("y")
-    low = F.lit(0xFFFFFFFF)
-    nx, ny, ix, iy = F.shiftright("x.ni", 32), F.shiftright("y.ni", 32), F.col("x.ni").bitwiseAND(low), F.col("y.ni").bitwiseAND(low)
-    need = _needed(nx, ny, threshold)
-    may = F.least(ix, iy) + F.least(nx - ix, ny - iy)
-    near = (_differ("x.parity", "y.parity") <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need)
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+#: Bits for a line's place, its number of words and a word's place in the prefix; larger values are held at the top.
+_POS, _N, _I = 30, 20, 13
 
 
-def _word_hashes(line: Column) -> Column:
-    """64-bit hashes of a line's distinct words: two words of one pair of lines share one with a chance of 1 in 10^13 at most."""
-    hashes = F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w)))
-    return F.array_remove(hashes, F.xxhash64(F.lit("")))
+def prefix_entries(classes: DataFrame, open_sets: Column) -> DataFrame:
+    """One row for each prefix word: ``key, id, doc_id, packed, parity``; ``packed`` tells whether the set still looks for a partner."""
+    most = lambda c, bits: F.least(c.cast("long"), F.lit((1 << bits) - 1))
+    rows = classes.select("id", "doc_id", "pos", "n", "parity", open_sets.alias("open"), F.posexplode("prefix").alias("i", "key"))
+    packed = F.shiftleft(most(F.col("pos"), _POS), _N + _I).bitwiseOR(F.shiftleft(most(F.col("n"), _N), _I)).bitwiseOR(most(F.col("i"), _I))
+    packed = F.when(F.col("open"), packed).otherwise(packed.bitwiseOR(F.lit(-(1 << 63))))
+    return rows.select("key", "id", "doc_id", packed.alias("packed"), "parity")
 
 
-def ordered_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs as ``later, earlier`` by the place of their first lines, with ``differ``, how far apart they seem."""
-    place = F.struct("doc_id", "h", "pos", "id", "d2")
-    side = lambda k, p: classes.select(F.col("id").alias(k), place.alias(p), *[F.col(f"parity{i}").alias(f"{p}{i}") for i in range(PARITY_MAPS)], F.col("n").alias(f"{p}n"))
-    both = pairs.join(side("a", "p"), "a").join(side("b", "q"), "b")
-    first, last = F.least("p", "q"), F.greatest("p", "q")
-    key = lambda x: F.struct(x["id"].alias("id"), x["d2"].alias("d2"))
-    return both.select(key(last).alias("later"), key(first).alias("earlier"), (_differ("p", "q") / (F.col("pn") + F.col("qn"))).alias("differ"))
+def _part(packed: str, shift: int, bits: int) -> Column:
+    return F.shiftrightunsigned(packed, shift).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """The ``later`` sets of those ``later, earlier`` pairs whose Jaccard similarity is at least the threshold."""
-    for side in ("later", "earlier"):
-        pairs = pairs.join(words.select(F.struct("id", "d2").alias(side), F.col("words").alias(f"{side}_words")), side)
-    both = F.size(F.array_intersect("later_words", "earlier_words"))
-    return pairs.where(both >= _needed(F.size("later_words"), F.size("earlier_words"), threshold)).select("later").distinct()
+def _partners(x: str, y: str, threshold: float) -> Column:
+    """Whether the set of entry ``x`` looks for a partner and that of ``y``, whose first line is earlier, may be one."""
+    nx, ny, ix, iy = (_part(f"{e}.packed", s, b) for s, b in ((_I, _N), (0, _I)) for e in (x, y))
+    px, py = (_part(f"{e}.packed", _N + _I, _POS) for e in (x, y))
+    dx, dy, kx, ky = F.col(f"{x}.doc_id"), F.col(f"{y}.doc_id"), F.col(f"{x}.id"), F.col(f"{y}.id")
+    later = (dx > dy) | ((dx == dy) & ((px > py) | ((px == py) & (kx > ky))))
+    need = _needed(nx, ny, threshold)
+    # words before the common one meet only each other, and so do those behind it
+    may = F.least(ix, iy) + F.least(nx - ix, ny - iy)
+    differ = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    near = (differ <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need)
+    held = (F.greatest(nx, ny) == (1 << _N) - 1) | (F.greatest(ix, iy) == (1 << _I) - 1)
+    # written with y, so that the filter stays in the join and both sides are one exchange
+    looks = F.col(f"{x}.packed") >= F.col(f"{y}.packed").bitwiseAND(F.lit(0))
+    return looks & later & (near | held)
+
+
+def first_pairs(classes: DataFrame, threshold: float, words: int = 4) -> DataFrame:
+    """Each set with the earliest set that has one of its rarest words, where they may match: linear in the entries."""
+    rare = prefix_entries(classes, F.lit(True)).where(_part("packed", 0, _I) < words).repartition("key")
+    place = F.struct("doc_id", _part("packed", _N + _I, _POS).alias("pos"), "id", "packed", "parity")
+    earliest = rare.groupBy("key").agg(F.min(place).alias("y"), F.count("*").alias("k")).where("k > 1").select("key", "y")
+    x, y = rare.alias("x"), earliest.select(F.col("key").alias("y_key"), "y.doc_id", "y.id", "y.packed", "y.parity").alias("y")
+    joined = x.join(y, (F.col("x.key") == F.col("y.y_key")) & _partners("x", "y", threshold))
+    return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
+
+
+def open_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of a set that is still ``open`` and an earlier one that share a prefix word and may match."""
+    entries = prefix_entries(classes, F.col("open"))
+    x, y = entries.alias("x"), entries.alias("y")
+    joined = x.join(y, (F.col("x.key") == F.col("y.key")) & _partners("x", "y", threshold))
+    return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
 
 
-def later_matches(docs: DataFrame, pairs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> DataFrame:
-    """The sets ``later`` whose first line matches an earlier line.
+def _near(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose sets can't differ in too many words, by a parity map of 256 bits: few but true matches are left.
 
-    Each set is first compared with its likeliest partner, and only the sets that aren't settled by
-    that with all of their others: near copies of one line settle each other without being compared all with all.
+    The maps are 48 bytes a set; up to ``BROADCAST_MAPS`` of them go to the pairs, more meet them by id.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    bit = lambda w: F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63)).cast("int"))
+    mine = lambda w, k: F.shiftright(w, 6).bitwiseAND(F.lit(3)) == k
+    part = lambda k: F.aggregate("words", none, lambda a, w: F.when(mine(w, k), a.bitwiseXOR(bit(w))).otherwise(a))
+    maps = words.select("id", F.size("words").alias("n"), *[part(k).alias(f"p{k}") for k in range(4)])
+    few = words.count() <= BROADCAST_MAPS
+    both = pairs
+    for name in ("later", "earlier"):
+        own = maps.select(F.col("id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in maps.columns[1:]])
+        both = both.join(F.broadcast(own) if few else own, name)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"later_p{k}").bitwiseXOR(F.col(f"earlier_p{k}"))) for k in range(4)])
+    sizes = F.col("later_n"), F.col("earlier_n")
+    return both.where(differ <= sizes[0] + sizes[1] - 2 * _needed(*sizes, threshold)).select("later", "earlier")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> DataFrame:
+    """The sets ``id, d2`` that are ``later`` in a pair whose Jaccard similarity is at least the threshold.
+
+    The lines are read from their documents and compared by 64-bit hashes of their words; two words of one pair share
+    one with a chance of 1 in 10^13 at most.
     """
-    ordered = store.save(ordered_pairs(pairs, classes), "ordered")
-    ids = ordered.select("later.*").unionByName(ordered.select("earlier.*")).distinct()
-    wanted = classes.join(ids, ["id", "d2"], "left_semi").groupBy("doc_id", "h").agg(F.collect_list(F.struct("pos", "id", "d2")).alias("wanted"))
+    ids = pairs.select(F.col("later").alias("id")).unionByName(pairs.select(F.col("earlier").alias("id"))).distinct()
+    wanted = classes.join(ids, "id", "left_semi").groupBy("doc_id", "h").agg(F.collect_list(F.struct("pos", "id", "d2")).alias("wanted"))
     read = docs.join(wanted, ["doc_id", "h"]).select("wanted", F.split("text", "\n").alias("lines"))
     found = F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), x["d2"].alias("d2"), F.get("lines", x["pos"]).alias("line"))))
-    words = store.save(read.select(found).select("id", "d2", _word_hashes(F.col("line")).alias("words")).dropDuplicates(["id", "d2"]), "words")
+    hashes = F.array_distinct(F.transform(_split(F.col("line")), lambda w: F.xxhash64(w)))
+    words = store.save(read.select(found).select("id", "d2", F.array_remove(hashes, F.xxhash64(F.lit(""))).alias("words")).dropDuplicates(["id", "d2"]), "words")
     store.release()
-    likeliest = ordered.groupBy("later").agg(F.min_by("earlier", F.struct("differ", "earlier")).alias("earlier"))
-    settled = store.save(verify(likeliest, words, threshold), "settled")
-    rest = store.save(verify(ordered.select("later", "earlier").join(settled, "later", "left_anti"), words, threshold), "rest")
-    return settled.unionByName(rest)
+    near = store.save(_near(pairs, words, threshold), "near")
+    store.release()
+    side = lambda name: words.select(F.col("id").alias(name), F.col("d2").alias(f"{name}_d2"), F.col("words").alias(f"{name}_words"))
+    both = F.size(F.array_intersect("later_words", "earlier_words"))
+    enough = both >= _needed(F.size("later_words"), F.size("earlier_words"), threshold)
+    joined = near.join(side("later"), "later").join(side("earlier"), "earlier").where(enough)
+    found = store.save(joined.select(F.col("later").alias("id"), F.col("later_d2").alias("d2")).distinct(), "verified")
+    store.drop(words)
+    store.drop(near)
+    return found
+
+
+def later_matches(docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The places of all sets, ``id, d2, doc_id, h, pos``, and the sets ``id, d2`` whose first line matches an earlier line.
+
+    Each set is compared first with the earliest sets that share its rarest words, which settles near
+    copies of one line without comparing them all with all; only the sets that are still open are then joined with
+    all earlier ones.  Tables go as soon as the next one stands; ``classes`` is one of them.
+    """
+    places = store.save(classes.select("id", "d2", "doc_id", "h", "pos"), "places")
+    first = store.save(first_pairs(classes, threshold), "first")
+    store.release()
+    settled = verified(first, docs, places, store, threshold)
+    store.drop(first)
+    marked = classes.join(settled.withColumn("done", F.lit(True)), ["id", "d2"], "left").withColumn("open", F.col("done").isNull()).drop("d2", "h", "done")
+    marked = store.save(marked, "open")
+    store.drop(classes)
+    store.release()
+    pairs = store.save(open_pairs(marked, threshold), "pairs")
+    store.drop(marked)
+    store.release()
+    rest = verified(pairs, docs, places, store, threshold)
+    store.drop(pairs)
+    store.release()
+    return places, settled.unionByName(rest)
 
 
 def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFrame:
@@ -156,22 +217,19 @@ def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFr
     added; columns of these names are replaced.  A line goes if an earlier line has the same words or a Jaccard
     similarity of at least ``threshold`` with it, whether or not that line stays.
     Lines without a word always stay.  Null texts stay null and match nothing, rows with a null id stay as
-    they are.  Rows that repeat an id come in the order of their texts' hashes; rows that repeat both
-    are one document, and each stays as that one does.  An empty table gives no rows.
+    they are.  Rows that repeat an id are ordered by their lines' places, then by hashes; rows that repeat id and
+    text are one document, and each stays as that one does.  An empty table gives no rows.
     """
     docs = docs.drop("n_lines", "n_removed")
     hashed = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"), "text")
     classes = line_classes(hashed, store, threshold)
     store.release()
-    pairs = store.save(candidate_pairs(classes, threshold), "pairs")
-    store.release()
-    later = later_matches(hashed, pairs, classes, store, threshold).select("later.*")
-    store.release()
-    kept = classes.join(later, ["id", "d2"], "left_anti").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept")).withColumnRenamed("doc_id", "of")
-    joined = docs.withColumn("__h", F.xxhash64("text")).join(kept, (F.col("doc_id") == F.col("of")) & (F.col("__h") == F.col("h")), "left")
+    places, later = later_matches(hashed, classes, store, threshold)
+    kept = places.join(later, ["id", "d2"], "left_anti").groupBy(F.col("doc_id").alias("__of"), F.col("h").alias("__hash")).agg(F.collect_list("pos").alias("__kept"))
+    joined = docs.join(kept, (F.col("doc_id") == F.col("__of")) & (F.xxhash64("text") == F.col("__hash")), "left")
     lines = F.split("text", "\n")
     blank = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda i: ~F.rlike(F.get("__lines", i), F.lit(r"[^ \t\r\x0b\f]")))
-    stay = F.sort_array(F.concat(blank, F.coalesce("kept", F.array().cast("array<int>"))))
+    stay = F.sort_array(F.concat(blank, F.coalesce("__kept", F.array().cast("array<int>"))))
     left = F.when(F.col("doc_id").isNull() | F.col("text").isNull(), F.col("__lines")).otherwise(F.transform(stay, lambda i: F.get("__lines", i)))
     return (
         joined.withColumn("__lines", lines)

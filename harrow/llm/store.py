@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,5 +51,7 @@ class Store:
 
     def release(self) -> None:
         """Let the driver's JVM collect plans of finished jobs, so that Spark deletes their shuffle files."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # the first lets go of plans that Python held, the second finds what they held
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
