@@ -66,4 +66,4 @@ def test_file_tokens():
     assert text.commodity_of("a_b".split("_"), 6) is None
     assert text.yearbook_of("fao_x_1949_z".split("_")) == "fao_1949"
     assert text.yearbook_of(["1949"]) is None
-    assert text.file_stem("Whep Data") == "whep_data" and text.file_stem("%%") == "unknown"
+    assert text.file_stem("My Data") == "my_data" and text.file_stem("%%") == "unknown"
