@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from harrow.llm.store import Store
 
 SKETCH_BITS = 16
-BROADCAST_MAPS = 400_000
+MAPS = ("p0", "p1", "p2", "p3")
 
 
 #: White space inside a line other than a single space between words.
@@ -61,11 +61,12 @@ def _keys(line: Column, classes: Column) -> Column:
     return F.sort_array(F.array_remove(F.array_distinct(F.transform(_split(line), key)), key(F.lit(""))))
 
 
-def _parity(keys: Column) -> Column:
-    """64 bits, each telling whether an odd number of the words fall on it."""
+def _parity(keys: Column, part: int) -> Column:
+    """64 of 256 bits, each telling whether an odd number of the words fall on it."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(bit(k)))
+    mine = lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(3)) == part
+    return F.aggregate(keys, none, lambda a, k: F.when(mine(k), a.bitwiseXOR(bit(k))).otherwise(a))
 
 
 def _needed(nx: Column, ny: Column, threshold: float) -> Column:
@@ -75,15 +76,16 @@ def _needed(nx: Column, ny: Column, threshold: float) -> Column:
 
 def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
     """One row for each set of words: its digest ``id, d2``, the first line's place ``doc_id, pos, h``,
-    its size ``n``, its ``parity`` map and its rarest words, the ``prefix``."""
+    its size ``n``, its parity map ``p0`` to ``p3`` and its rarest words, the ``prefix``."""
     classes = rarity_classes(docs)
     lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"[^ \t\r\x0b\f]"))
     sets = lines.select("doc_id", "pos", "h", _keys(F.col("line"), classes).alias("keys"))
     n = F.size("keys")
+    parity = [_parity(F.col("keys"), k).alias(f"p{k}") for k in range(4)]
     prefix = F.slice("keys", 1, (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
     rows = sets.select(
         F.xxhash64("keys").alias("id"), F.xxhash64(F.lit(1), F.col("keys")).alias("d2"),
-        F.struct("doc_id", "pos", "h", n.alias("n"), _parity(F.col("keys")).alias("parity"), prefix.alias("prefix")).alias("line"),
+        F.struct("doc_id", "pos", "h", n.alias("n"), *parity, prefix.alias("prefix")).alias("line"),
     )
     return store.save(rows.groupBy("id", "d2").agg(F.min("line").alias("line")).select("id", "d2", "line.*"), "classes")
 
@@ -93,12 +95,12 @@ _POS, _N, _I = 30, 20, 13
 
 
 def prefix_entries(classes: DataFrame, open_sets: Column) -> DataFrame:
-    """One row for each prefix word: ``key, id, doc_id, packed, parity``; ``packed`` tells whether the set still looks for a partner."""
+    """One row for each prefix word: ``key, id, doc_id, packed`` and the parity map; ``packed`` tells whether the set still looks for a partner."""
     most = lambda c, bits: F.least(c.cast("long"), F.lit((1 << bits) - 1))
-    rows = classes.select("id", "doc_id", "pos", "n", "parity", open_sets.alias("open"), F.posexplode("prefix").alias("i", "key"))
+    rows = classes.select("id", "doc_id", "pos", "n", *MAPS, open_sets.alias("open"), F.posexplode("prefix").alias("i", "key"))
     packed = F.shiftleft(most(F.col("pos"), _POS), _N + _I).bitwiseOR(F.shiftleft(most(F.col("n"), _N), _I)).bitwiseOR(most(F.col("i"), _I))
     packed = F.when(F.col("open"), packed).otherwise(packed.bitwiseOR(F.lit(-(1 << 63))))
-    return rows.select("key", "id", "doc_id", packed.alias("packed"), "parity")
+    return rows.select("key", "id", "doc_id", packed.alias("packed"), *MAPS)
 
 
 def _part(packed: str, shift: int, bits: int) -> Column:
@@ -114,7 +116,8 @@ def _partners(x: str, y: str, threshold: float) -> Column:
     need = _needed(nx, ny, threshold)
     # words before the common one meet only each other, and so do those behind it
     may = F.least(ix, iy) + F.least(nx - ix, ny - iy)
-    differ = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    # words in which the sets differ, at least; few pairs but true matches are left
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in MAPS])
     near = (differ <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need)
     held = (F.greatest(nx, ny) == (1 << _N) - 1) | (F.greatest(ix, iy) == (1 << _I) - 1)
     # written with y, so that the filter stays in the join and both sides are one exchange
@@ -125,9 +128,9 @@ def _partners(x: str, y: str, threshold: float) -> Column:
 def first_pairs(classes: DataFrame, threshold: float, words: int = 4) -> DataFrame:
     """Each set with the earliest set that has one of its rarest words, where they may match: linear in the entries."""
     rare = prefix_entries(classes, F.lit(True)).where(_part("packed", 0, _I) < words).repartition("key")
-    place = F.struct("doc_id", _part("packed", _N + _I, _POS).alias("pos"), "id", "packed", "parity")
+    place = F.struct("doc_id", _part("packed", _N + _I, _POS).alias("pos"), "id", "packed", *MAPS)
     earliest = rare.groupBy("key").agg(F.min(place).alias("y"), F.count("*").alias("k")).where("k > 1").select("key", "y")
-    x, y = rare.alias("x"), earliest.select(F.col("key").alias("y_key"), "y.doc_id", "y.id", "y.packed", "y.parity").alias("y")
+    x, y = rare.alias("x"), earliest.select(F.col("key").alias("y_key"), "y.doc_id", "y.id", "y.packed", *[f"y.{m}" for m in MAPS]).alias("y")
     joined = x.join(y, (F.col("x.key") == F.col("y.y_key")) & _partners("x", "y", threshold))
     return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
 
@@ -140,26 +143,6 @@ def open_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
 
 
-def _near(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose sets can't differ in too many words, by a parity map of 256 bits: few but true matches are left.
-
-    The maps are 48 bytes a set; up to ``BROADCAST_MAPS`` of them go to the pairs, more meet them by id.
-    """
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bit = lambda w: F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63)).cast("int"))
-    mine = lambda w, k: F.shiftright(w, 6).bitwiseAND(F.lit(3)) == k
-    part = lambda k: F.aggregate("words", none, lambda a, w: F.when(mine(w, k), a.bitwiseXOR(bit(w))).otherwise(a))
-    maps = words.select("id", F.size("words").alias("n"), *[part(k).alias(f"p{k}") for k in range(4)])
-    few = words.count() <= BROADCAST_MAPS
-    both = pairs
-    for name in ("later", "earlier"):
-        own = maps.select(F.col("id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in maps.columns[1:]])
-        both = both.join(F.broadcast(own) if few else own, name)
-    differ = reduce(Column.__add__, [F.bit_count(F.col(f"later_p{k}").bitwiseXOR(F.col(f"earlier_p{k}"))) for k in range(4)])
-    sizes = F.col("later_n"), F.col("earlier_n")
-    return both.where(differ <= sizes[0] + sizes[1] - 2 * _needed(*sizes, threshold)).select("later", "earlier")
-
-
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> DataFrame:
     """The sets ``id, d2`` that are ``later`` in a pair whose Jaccard similarity is at least the threshold.
 
@@ -173,15 +156,12 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, store: Store
     hashes = F.array_distinct(F.transform(_split(F.col("line")), lambda w: F.xxhash64(w)))
     words = store.save(read.select(found).select("id", "d2", F.array_remove(hashes, F.xxhash64(F.lit(""))).alias("words")).dropDuplicates(["id", "d2"]), "words")
     store.release()
-    near = store.save(_near(pairs, words, threshold), "near")
-    store.release()
     side = lambda name: words.select(F.col("id").alias(name), F.col("d2").alias(f"{name}_d2"), F.col("words").alias(f"{name}_words"))
     both = F.size(F.array_intersect("later_words", "earlier_words"))
     enough = both >= _needed(F.size("later_words"), F.size("earlier_words"), threshold)
-    joined = near.join(side("later"), "later").join(side("earlier"), "earlier").where(enough)
+    joined = pairs.join(side("later"), "later").join(side("earlier"), "earlier").where(enough)
     found = store.save(joined.select(F.col("later").alias("id"), F.col("later_d2").alias("d2")).distinct(), "verified")
     store.drop(words)
-    store.drop(near)
     return found
 
 
