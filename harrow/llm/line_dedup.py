@@ -19,16 +19,13 @@ from pyspark.sql import functions as F
 from harrow.llm.store import Store
 
 SKETCH_BITS = 16
-MAPS = ("p0", "p1", "p2", "p3")
-
-
-#: White space inside a line other than a single space between words.
-_UNEVEN = r"[\t\r\x0b\f]"
+MAPS = ("p0", "p1")
 
 
 def _split(line: Column) -> Column:
     """The lower-case words of a line between ASCII white space, with empty ones where it is repeated."""
-    plain = F.when(line.rlike(_UNEVEN), F.translate(line, "\t\r\x0b\x0c", "    ")).otherwise(line)
+    uneven = reduce(Column.__or__, [F.contains(line, F.lit(c)) for c in "\t\r\x0b\x0c"])
+    plain = F.when(uneven, F.translate(line, "\t\r\x0b\x0c", "    ")).otherwise(line)
     return F.split(F.lower(plain), " ")
 
 
@@ -38,34 +35,31 @@ def line_words(line: Column) -> Column:
 
 
 def rarity_classes(docs: DataFrame) -> Column:
-    """For each hash bucket of words, the binary logarithm of how often its words occur in all texts, as they
-    are written between spaces, as one constant array of 65,536 integers."""
+    """For each hash bucket of words, how often its words occur in all texts, as they are written between
+    spaces, in steps of half a power of two, as one constant array of 65,536 bigints with the step in the top bits."""
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
     counts = words.groupBy(bucket.cast("int").alias("b")).agg(F.count("*").alias("n")).collect()
     classes = [0] * (1 << SKETCH_BITS)
     for r in counts:
-        classes[r["b"]] = r["n"].bit_length()
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
+        classes[r["b"]] = (r["n"] ** 2).bit_length() << 56
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
 def _keys(line: Column, classes: Column) -> Column:
-    """A line's distinct words as bigints in order of rarity: count class, then longer first, then hash."""
-
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
-        rare = F.get(classes, h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).cast("int")).cast("long")
-        short = (F.lit(63) - F.least(F.length(w), F.lit(63))).cast("long")
-        return F.shiftleft(rare, 57).bitwiseOR(F.shiftleft(short, 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
-
-    return F.sort_array(F.array_remove(F.array_distinct(F.transform(_split(line), key)), key(F.lit(""))))
+    """A line's distinct words as bigints in order of rarity: count class, then hash."""
+    zero = F.lit(0).cast("long")
+    bucket = lambda h: h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).cast("int")
+    hashes = F.array_remove(F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    # never null, so that the array is sorted as plain numbers
+    return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.get(classes, bucket(h)), zero).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _parity(keys: Column, part: int) -> Column:
-    """64 of 256 bits, each telling whether an odd number of the words fall on it."""
+    """64 of 128 bits, each telling whether an odd number of the words fall on it."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
-    mine = lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(3)) == part
+    mine = lambda k: k.bitwiseAND(F.lit(64)) == part * 64
     return F.aggregate(keys, none, lambda a, k: F.when(mine(k), a.bitwiseXOR(bit(k))).otherwise(a))
 
 
@@ -76,12 +70,12 @@ def _needed(nx: Column, ny: Column, threshold: float) -> Column:
 
 def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
     """One row for each set of words: its digest ``id, d2``, the first line's place ``doc_id, pos, h``,
-    its size ``n``, its parity map ``p0`` to ``p3`` and its rarest words, the ``prefix``."""
+    its size ``n``, its parity map ``p0, p1`` and its rarest words, the ``prefix``."""
     classes = rarity_classes(docs)
     lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"[^ \t\r\x0b\f]"))
     sets = lines.select("doc_id", "pos", "h", _keys(F.col("line"), classes).alias("keys"))
     n = F.size("keys")
-    parity = [_parity(F.col("keys"), k).alias(f"p{k}") for k in range(4)]
+    parity = [_parity(F.col("keys"), k).alias(f"p{k}") for k in range(len(MAPS))]
     prefix = F.slice("keys", 1, (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
     rows = sets.select(
         F.xxhash64("keys").alias("id"), F.xxhash64(F.lit(1), F.col("keys")).alias("d2"),
