@@ -20,6 +20,8 @@ from harrow.llm.store import Store
 
 SKETCH_BITS = 16
 MAPS = ("p0", "p1")
+#: Into how many shares the sets with a rare word are cut in each look at the earliest of them.
+LOOKS = (1, 16)
 
 
 def _split(line: Column) -> Column:
@@ -119,11 +121,15 @@ def _partners(x: str, y: str, threshold: float) -> Column:
     return looks & later & (near | held)
 
 
-def first_pairs(classes: DataFrame, threshold: float, words: int = 4) -> DataFrame:
-    """Each set with the earliest set that has one of its rarest words, where they may match: linear in the entries."""
-    rare = prefix_entries(classes, F.lit(True)).where(_part("packed", 0, _I) < words).repartition("key")
+def first_pairs(classes: DataFrame, threshold: float, salts: int, words: int = 4) -> DataFrame:
+    """Each ``open`` set with the earliest sets, one for each salt, that have one of its rarest words, where they may
+    match: linear in the entries."""
+    rare = prefix_entries(classes, F.col("open")).where(_part("packed", 0, _I) < words).repartition("key")
     place = F.struct("doc_id", _part("packed", _N + _I, _POS).alias("pos"), "id", "packed", *MAPS)
-    earliest = rare.groupBy("key").agg(F.min(place).alias("y"), F.count("*").alias("k")).where("k > 1").select("key", "y")
+    salt = F.pmod(F.col("id"), F.lit(salts)).alias("salt")
+    earliest = rare.groupBy("key", salt).agg(F.min(place).alias("y"), F.count("*").alias("k"))
+    if salts == 1:
+        earliest = earliest.where("k > 1")
     x, y = rare.alias("x"), earliest.select(F.col("key").alias("y_key"), "y.doc_id", "y.id", "y.packed", *[f"y.{m}" for m in MAPS]).alias("y")
     joined = x.join(y, (F.col("x.key") == F.col("y.y_key")) & _partners("x", "y", threshold))
     return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
@@ -162,26 +168,30 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, store: Store
 def later_matches(docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The places of all sets, ``id, d2, doc_id, h, pos``, and the sets ``id, d2`` whose first line matches an earlier line.
 
-    Each set is compared first with the earliest sets that share its rarest words, which settles near
-    copies of one line without comparing them all with all; only the sets that are still open are then joined with
-    all earlier ones.  Tables go as soon as the next one stands; ``classes`` is one of them.
+    Each set is compared first with the earliest set that shares one of its rarest words and then with the earliest
+    of each of 16 shares of these sets, which settles near copies of one line without comparing them all with
+    all; only the sets that are still open are then joined with all earlier ones.  Tables go as soon as the next one stands; ``classes`` is one of them.
     """
     places = store.save(classes.select("id", "d2", "doc_id", "h", "pos"), "places")
-    first = store.save(first_pairs(classes, threshold), "first")
-    store.release()
-    settled = verified(first, docs, places, store, threshold)
-    store.drop(first)
-    marked = classes.join(settled.withColumn("done", F.lit(True)), ["id", "d2"], "left").withColumn("open", F.col("done").isNull()).drop("d2", "h", "done")
-    marked = store.save(marked, "open")
-    store.drop(classes)
-    store.release()
+    marked, settled = classes.drop("d2", "h").withColumn("open", F.lit(True)), []
+    for salts in LOOKS:
+        first = store.save(first_pairs(marked, threshold, salts), "first")
+        store.release()
+        settled.append(verified(first, docs, places, store, threshold))
+        store.drop(first)
+        done = settled[-1].select("id", F.lit(True).alias("done"))
+        after = marked.join(done.distinct(), "id", "left").withColumn("open", F.col("open") & F.col("done").isNull()).drop("done")
+        after = store.save(after, "open")
+        store.drop(marked)
+        marked = after
+        store.release()
     pairs = store.save(open_pairs(marked, threshold), "pairs")
     store.drop(marked)
     store.release()
     rest = verified(pairs, docs, places, store, threshold)
     store.drop(pairs)
     store.release()
-    return places, settled.unionByName(rest)
+    return places, reduce(DataFrame.unionByName, settled, rest)
 
 
 def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFrame:
