@@ -11,7 +11,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from harrow.llm import toxicity  # noqa: E402
 from harrow.llm.oracles import LINE_DEDUP, SEED_OVERLAPS  # noqa: E402
-from tests.llm.test_near_copies import simhash_truth  # noqa: E402
+from tests.llm.test_near_copies import roots_of, simhash_truth  # noqa: E402
 from tests.llm.test_text_operators import labelled  # noqa: E402
 from tests.llm.test_tokens import check_packing, expected_tokens  # noqa: E402
 
@@ -65,3 +65,32 @@ def test_stages_keep_the_columns(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, empty, folder).count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "benchmark decontamination", "best-fit packing"]
     assert np.isfinite(docs.count())
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+def test_near_copies_of_edited_texts(spark):
+    rng = random.Random(9)
+    rows, base = [], []
+    for k in range(60):
+        words = [f"q{rng.randrange(10**6)}" for _ in range(200)]
+        base.append(10 * k)
+        rows.append((10 * k, " ".join(words)))
+        for copy, edits in enumerate((1, 3, 4, 12)):
+            other = list(words)
+            for i in rng.sample(range(200), edits):
+                other[i] = f"z{rng.randrange(10**6)}"
+            rows.append((10 * k + copy + 1, " ".join(other)))
+    hot = [f"h{i}" for i in range(150)]
+    rows += [(5000 + i, " ".join([*hot[:i], f"x{i}", *hot[i + 1 :]])) for i in range(150)]  # one family
+    rows += [(6000, None), (6001, ""), (6002, " \n")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    sets = {d: shingles(t or "") for d, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    roots = roots_of(sets, links)
+    assert got == {d for d in sets if roots[d] == d}
+    assert {b + 1 for b in base}.isdisjoint(got) and {b + 4 for b in base} <= got
