@@ -94,3 +94,11 @@ def test_near_copies_of_edited_texts(spark):
     roots = roots_of(sets, links)
     assert got == {d for d in sets if roots[d] == d}
     assert {b + 1 for b in base}.isdisjoint(got) and {b + 4 for b in base} <= got
+
+
+def test_near_copies_of_repeated_ids(spark):
+    copied, own = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, copied, "en"), (2, copied, "en"), (2, own, "en"), (2, own, "de"), (2, own, "en"), (None, own, "en"), (1, " ".join(f"c{i}" for i in range(40)), "en")]
+    docs = spark.createDataFrame([(d, t, lang, "s", 0) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    shown = [sorted((repr(r["doc_id"]), r["text"][0], r["lang"]) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(k), "").collect()) for k in (1, 3)]
+    assert shown[0] == shown[1] and [r[:2] for r in shown[0]] == [("1", "a"), ("1", "c"), ("2", "b"), ("None", "b")]
