@@ -88,20 +88,16 @@ def text_likelihoods(pages: DataFrame, langs: list[str], table: np.ndarray, sett
     return pages.select("page_id", "url", "html", declared.alias("declared")).mapInArrow(run, "page_id long, url string, declared string, ll array<double>")
 
 
-def _log_table(spark_rows: DataFrame, key: str, langs: list[str], trust: float) -> Column:
-    """log P(key's value | language) as an expression over the key: one branch for each frequent value.
+def _log_table(sums: DataFrame, key: str, langs: list[str], trust: float, name: str) -> DataFrame:
+    """``key, name``: log P(key's value | language) for each value of the key, as an array over the languages.
 
-    ``spark_rows`` has the key and a sum for each language; values are at most the 500 most frequent, the rest
-    and nulls tell nothing.
+    ``sums`` has the key and a sum for each language, one row a value; the row of nulls is left out.
     """
-    rows = spark_rows.where(F.col(key).isNotNull()).orderBy(F.desc(sum((F.col(x) for x in langs), F.lit(0.0))), key).limit(500).collect()
-    nothing = F.array(*[F.lit(0.0)] * len(langs))
-    if not rows:
-        return nothing
-    n = np.array([[r[x] for x in langs] for r in rows])
-    p = (1 - trust) * (n + 0.1) / (n + 0.1).sum(axis=0) + trust / len(rows)
-    pairs = [x for r, v in zip(rows, np.log(p)) for x in (F.lit(r[key]), F.array(*[F.lit(float(y)) for y in v]))]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.coalesce(F.col(key), F.lit(""))), nothing)
+    known = sums.where(F.col(key).isNotNull())
+    totals = known.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in langs]).first()
+    n = max(totals["n"], 1)
+    logs = [F.log((1 - trust) * (F.col(x) + 0.1) / (totals[x] + 0.1 * n) + trust / n) for x in langs]
+    return known.select(key, F.array(*logs).alias(name))
 
 
 def identify(pages: DataFrame, docs: DataFrame, store: Store, settings: Settings = Settings()) -> DataFrame:
@@ -130,12 +126,12 @@ def identify(pages: DataFrame, docs: DataFrame, store: Store, settings: Settings
     )
     base = store.save(base.select("page_id", "url", "declared", "ll", "host", "domain", "suffix", *[F.get("soft", F.lit(k)).alias(f"p_{x}") for k, x in enumerate(langs)]), "base")
     sums = [F.sum(f"p_{x}").alias(x) for x in langs]
-    declared = _log_table(base.groupBy("declared").agg(*sums), "declared", langs, settings.trust)
-    by_suffix = _log_table(base.groupBy("suffix").agg(*sums), "suffix", langs, settings.trust)
+    declared = _log_table(base.groupBy("declared").agg(*sums), "declared", langs, settings.trust, "d")
     # one row for each host, summed before the shuffle; each wider level sums the narrower one
     hosts = base.groupBy("host", "domain", "suffix").agg(*sums, F.count("*").alias("n"))
     domains = hosts.groupBy("domain", "suffix").agg(*[F.sum(x).alias(f"d_{x}") for x in langs])
     suffixes = domains.groupBy("suffix").agg(*[F.sum(f"d_{x}").alias(f"s_{x}") for x in langs])
+    by_suffix = _log_table(suffixes.withColumnsRenamed({f"s_{x}": x for x in langs}), "suffix", langs, settings.trust, "s")
     widest = suffixes.agg(*[F.coalesce(F.sum(f"s_{x}"), F.lit(0.0)).alias(x) for x in langs]).first()
     world = np.array([widest[x] for x in langs]) + 1
     world /= world.sum()
@@ -145,13 +141,16 @@ def identify(pages: DataFrame, docs: DataFrame, store: Store, settings: Settings
         n = sum((F.col(f"{own}{x}") for x in langs), F.lit(0.0))
         return [(F.col(f"{own}{x}") + k * w) / (n + k) for x, w in zip(langs, wider)]
 
-    levels = hosts.join(domains.drop("suffix"), "domain", "left").join(suffixes, "suffix", "left")
+    levels = hosts.join(domains.drop("suffix"), "domain", "left").join(suffixes, "suffix", "left").join(by_suffix, "suffix", "left")
     levels = levels.na.fill(0.0)
     wide = smoothed("s_", [F.lit(float(w)) for w in world])
     prior = smoothed("", smoothed("d_", wide))
-    priors = levels.where(F.col("host").isNotNull()).select("host", F.col("n").alias("host_pages"), F.array(*[F.log(p) for p in prior]).alias("prior"))
+    priors = levels.where(F.col("host").isNotNull()).select("host", F.col("n").alias("host_pages"), F.array(*[F.log(p) for p in prior]).alias("prior"), "s")
     unknown = F.array(*[F.lit(float(np.log(w))) for w in world])
-    fused = base.join(priors, "host", "left").withColumn("prior", F.coalesce("prior", unknown)).withColumn("d", declared).withColumn("s", by_suffix)
+    nothing = F.array(*[F.lit(0.0)] * len(langs))
+    # two or three letters: at most 18,252 declarations, however many pages
+    fused = base.join(priors, "host", "left").join(F.broadcast(declared), "declared", "left")
+    fused = fused.withColumns({"prior": F.coalesce("prior", unknown), "d": F.coalesce("d", nothing), "s": F.coalesce("s", nothing)})
     post = F.array(*[(F.get("ll", F.lit(i)) + F.get("d", F.lit(i)) + F.get("s", F.lit(i)) + F.get("prior", F.lit(i))) for i in range(len(langs))])
     names = F.array(*[F.lit(x) for x in langs])
     best = F.array_max("post")

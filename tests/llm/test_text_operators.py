@@ -242,3 +242,18 @@ def test_language(spark, store):
     assert all(0 < r["probability"] <= 1 for r in got.values()) and got[0]["host_pages"] == 8
     assert language.identify(df.limit(0), docs, store).count() == 0
     assert {r["lang"] for r in language.identify(df, docs.limit(0), store).collect()} == {None}
+
+
+def test_language_of_rare_declarations_and_suffixes(spark, store):
+    docs = spark.createDataFrame([("the quick brown fox " * 9, "en"), ("der schnelle braune fuchs " * 9, "de")], "text string, lang string")
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(600):  # more values than 500, the rarest one of them German
+        tag = letters[k // 26] + "x" + letters[k % 26]
+        rows += [(len(rows) + i, f"http://h{k}x{i}.{tag}/", f"<html lang={tag}><p>the quick brown fox") for i in range(4)]
+    rows += [(10_000 + i, f"http://z{i}.zzz/", "<html lang=zzz><p>der schnelle braune fuchs") for i in range(2)]
+    rows += [(20_000, "http://new.zzz/", "<html><p>"), (20_001, None, "<html lang=zzz><p>"), (20_002, None, "<html><p>")]
+    got = {r["page_id"]: r for r in language.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), docs, store).collect()}
+    assert len(got) == len(rows)
+    assert got[20_000]["lang"] == "de" and got[20_002]["lang"] == "en"
+    assert got[20_001]["probability"] < 0.99 < got[20_002]["probability"], (got[20_001], got[20_002])  # English is commoner by far
