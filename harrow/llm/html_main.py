@@ -4,8 +4,9 @@ Markup is stripped into lines, one for each block of the page.  A line weighs as
 its text outside links; what stands in menus, forms, notices, adverts and the like weighs nothing.
 The weights are summed over sliding windows of lines.  Text begins at a surge, where a window
 passes the threshold, ends at the following dive, where a whole window weighs nothing, and
-the lines between are kept.  Where the page declares its article, lines inside always reach the
-threshold and lines outside weigh nothing.
+the lines between are kept, whatever their share of links; aside lines take no part in the windows.
+Where the page declares its article, and the article holds most of the page's text outside links,
+lines inside always reach the threshold and lines outside weigh nothing.
 """
 
 from __future__ import annotations
@@ -130,21 +131,16 @@ def page_lines(source: str) -> list[tuple[str, int, bool, bool]]:
 
 def main_text(source: str | None, window: int = 3, threshold: int = 80) -> str:
     """The text between the surges and dives of one page; null, empty and textless pages give an empty string."""
-    lines = page_lines(source or "")
-    declared = any(article and not aside for _, _, aside, article in lines)
-    weights = []
-    for text, linked, aside, article in lines:
-        if aside or declared and not article:
-            weights.append(0)
-        elif declared:
-            weights.append(max(len(text), threshold))
-        else:
-            weights.append(max(0, len(text) - 2 * linked))
+    lines = [(text, max(0, len(text) - linked), max(0, len(text) - 2 * linked), article) for text, linked, aside, article in page_lines(source or "") if not aside]
+    own = sum(plain for _, plain, _, article in lines if article)
+    if any(article for *_, article in lines) and 2 * own >= sum(plain for _, plain, _, _ in lines):
+        return " ".join(text for text, _, _, article in lines if article)
+    weights = [weight for _, _, weight, _ in lines]
     kept, inside = [], False
     for i, (line, weight) in enumerate(zip(lines, weights)):
         block = sum(weights[i : i + window])
         inside = block > 0 and (inside or (weight > 0 and block >= threshold))
-        if inside and weight:
+        if inside:
             kept.append(line[0])
     return " ".join(kept)
 

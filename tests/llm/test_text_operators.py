@@ -182,6 +182,20 @@ def test_odd_pages(page, text):
     assert html_main.main_text(page) == text
 
 
+def test_undeclared_text_between_surge_and_dive():
+    prose = "".join(f"<p>{'Prose words go on. ' * 8}{i}</p>" for i in range(2))
+    linked = "<p><a href='/x'>A paragraph that is one link</a> or nearly</p>"
+    advert = "<div class='ad'><p>Buy this</p><p>and that</p><p>right now</p></div>"
+    text = html_main.main_text(f"<body>{prose}{linked}{prose}{advert}<p>The short end.</p></body>")
+    assert "one link or nearly Prose" in text and text.endswith("The short end.") and "Buy" not in text
+
+
+def test_small_article_beside_the_main_text():
+    prose = "".join(f"<p>{'Prose words go on. ' * 8}{i}</p>" for i in range(4))
+    text = html_main.main_text(f"<body><div>{prose}</div><ul><li><a href='/1'>One</a><li><a href='/2'>Two</a><li><a href='/3'>Three</a></ul><article><p>Teaser of another page.</p></article></body>")
+    assert text.count("Prose") == 32 and "Two" not in text
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", "<article>é</article>", 0), (1, None, None, 0), (None, "v", "<article>" + "w " * 30000 + "</article>", 0)], "page_id long, url string, html string, text int")
     got = {(r["page_id"], r["url"]): (r["text"][:3], r["n_chars"]) for r in html_main.extract(df).collect()}
