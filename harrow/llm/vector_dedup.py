@@ -3,8 +3,10 @@
 Each pass draws random hyperplanes, writes every vector's signs as one sequence of
 hashes and sorts the vectors by it; the vectors within ``window`` places of each other are
 compared by their exact cosine, and the linked ones are joined.  The union over the passes
-gives the components.  The number of passes follows from the number of vectors, so
-that a pair just at the threshold is met with probability ``recall`` at every size.
+gives the components.  The number of passes follows from how many signs the sorted vectors share across a
+window, so that a pair just at the threshold is met with probability ``recall`` at every size and
+density; where vectors crowd, signs are correlated and more passes follow.  Passes also go on until
+one round of them joins no more components.
 
 Linked vectors are in one component, so each vector's links are then counted
 inside its component: components of up to ``cell`` vectors together in one cell, larger
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,7 @@ from harrow.llm.components import connected_components
 from harrow.llm.store import Store
 
 PLANES = 64
+ROUND = 12  # passes that share one sort
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -52,7 +56,7 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def passes_needed(n: int, window: int, cosine: float, recall: float) -> int:
-    """Passes after which a pair at the threshold was within a window with probability ``recall``.
+    """Passes after which a pair at the threshold was within a window with probability ``recall`` if every sign halves the vectors: the least there are.
 
     A pass keeps such a pair together while their first log2(n / window) signs agree.
     """
@@ -61,6 +65,30 @@ def passes_needed(n: int, window: int, cosine: float, recall: float) -> int:
     return max(2, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
+def passes_for(shared: dict[int, int], cosine: float, recall: float) -> int:
+    """Passes after which a pair at the threshold was met with probability ``recall``, on the mean over all and over the more crowded half.
+
+    ``shared`` maps a number of leading signs that the vectors of a block have in common to the number of groups of linked vectors in
+    such blocks; a pair stays together while it agrees in one sign more.
+    """
+    agree = 1 - math.acos(cosine) / math.pi
+    depth = np.array(sorted(shared, reverse=True), float)
+    n = np.array([shared[int(d)] for d in depth], float)
+    met = agree ** (depth + 1)
+    half = np.clip(n.sum() / 2 - (np.cumsum(n) - n), 0, n)
+
+    def enough(passes: int) -> bool:
+        return all(w @ (1 - (1 - met) ** passes) >= recall * w.sum() for w in (n, half))
+
+    low, high = 1, 2
+    while not enough(high):
+        low, high = high, 2 * high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if enough(middle) else (middle, high)
+    return high
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
@@ -78,8 +106,9 @@ def _stars(ids: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return ids[moved], label[moved]
 
 
-def window_links(units: DataFrame, passes: int, window: int, cosine: float, seed: int) -> DataFrame:
-    """Edges ``a, b`` found by the passes.
+def window_links(units: DataFrame, passes: range, window: int, cosine: float, seed: int) -> DataFrame:
+    """What the passes find, as ``kind, part, a, b``: edges (0); the first and last ids of a task's range (1, 2),
+    which meet those of the ranges beside it later; and how many groups ``b`` of linked vectors stand in blocks that share ``a`` leading signs (3).
 
     One range sort by (pass, hashes, id) serves all passes.  A task streams through its range
     in blocks of ``window`` vectors and compares each with itself and the block before.
@@ -88,30 +117,102 @@ def window_links(units: DataFrame, passes: int, window: int, cosine: float, seed
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1))
-            for k in range(passes):
+            for k in passes:
                 planes = np.random.default_rng((seed, k, x.shape[1])).standard_normal((x.shape[1], PLANES))
                 signs = np.packbits(x @ planes > 0, axis=1)
                 order = pa.array([s.tobytes() for s in signs], pa.binary())
                 yield pa.record_batch([pa.array(np.full(len(x), k, np.int32)), order, *batch.columns], names=["pass", "hashes", "vec_id", "unit"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_ids, held = np.zeros(0, np.int64), None
-        for batch in batches:
-            ids, x = batch.column(2).to_numpy(), _matrix(batch.column(3))
-            for at in range(0, len(ids), window):
-                new_ids, new = ids[at : at + window], x[at : at + window]
-                if held is not None:
-                    both_ids, both = np.concatenate([held_ids, new_ids]), np.concatenate([held, new])
-                else:
-                    both_ids, both = new_ids, new
-                a, b = _stars(both_ids, both @ both.T >= cosine)
-                if len(a):
-                    yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
-                held_ids, held = both_ids[-window:], both[-window:]
+        part = TaskContext.get().partitionId()
+
+        def found(kind: int, a, b) -> pa.RecordBatch:
+            n = len(a)
+            return pa.record_batch([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), pa.array(np.asarray(a, np.int64)), pa.array(np.asarray(b, np.int64))], names=["kind", "part", "a", "b"])
+
+        def blocks() -> Iterator[tuple]:
+            """Whole blocks, whatever the batches; the last may be shorter."""
+            ids, x, keys = np.zeros(0, np.int64), None, []
+            for batch in batches:
+                ids, new = np.concatenate([ids, batch.column(2).to_numpy()]), _matrix(batch.column(3))
+                x = new if x is None else np.concatenate([x, new])
+                keys += list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+                whole = len(ids) // window * window
+                for at in range(0, whole, window):
+                    yield ids[at : at + window], x[at : at + window], keys[at : at + window]
+                ids, x, keys = ids[whole:], x[whole:], keys[whole:]
+            if len(ids):
+                yield ids, x, keys
+
+        held_ids, held = None, None
+        for ids, x, keys in blocks():
+            if held is None:
+                both_ids, both = ids, x
+                yield found(1, ids, np.zeros(len(ids)))
+            else:
+                both_ids, both = np.concatenate([held_ids, ids]), np.concatenate([held, x])
+            a, b = _stars(both_ids, both @ both.T >= cosine)
+            if len(a):
+                yield found(0, a, b)
+            if len(ids) == window and keys[0][0] == keys[-1][0]:
+                apart = int.from_bytes(keys[0][1], "big") ^ int.from_bytes(keys[-1][1], "big")
+                groups = len(np.unique(np.concatenate([np.setdiff1d(ids, a), b])))
+                if groups > 1:  # one linked group needs no more passes
+                    yield found(3, [PLANES - apart.bit_length()], [groups])
+            held_ids, held = both_ids[-window:], both[-window:]
+        if held is not None:
+            yield found(2, held_ids, np.zeros(len(held_ids)))
 
     rows = units.mapInArrow(hash_all, "pass int, hashes binary, vec_id long, unit array<double>")
     ordered = rows.repartitionByRange("pass", "hashes", "vec_id").sortWithinPartitions("pass", "hashes", "vec_id")
-    return ordered.mapInArrow(compare, "a long, b long")
+    return ordered.mapInArrow(compare, "kind int, part int, a long, b long")
+
+
+def border_links(found: DataFrame, units: DataFrame, cosine: float) -> DataFrame:
+    """Edges ``a, b`` between the last vectors of each range and the first of the next, from what :func:`window_links` gives."""
+    parts = sorted(r["part"] for r in found.where("kind = 1").select("part").distinct().collect())  # one number a task
+    after = dict(zip(parts, parts[1:]))
+    if not after:
+        return found.where("false").select("a", "b")
+    following = units.sparkSession.createDataFrame(list(after.items()), "part int, border int")
+    tails = found.where("kind = 2").join(F.broadcast(following), "part").select("border", F.col("a").alias("vec_id"))
+    heads = found.where("kind = 1").select(F.col("part").alias("border"), F.col("a").alias("vec_id"))
+    ends = tails.unionByName(heads.join(F.broadcast(following.select("border")), "border"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, x = pdf["vec_id"].to_numpy(), np.stack(pdf["unit"].to_numpy())
+        a, b = _stars(ids, x @ x.T >= cosine)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return ends.distinct().join(units, "vec_id").groupBy("border").applyInPandas(compare, "a long, b long")
+
+
+def all_links(units: DataFrame, store: Store, n: int, window: int, cosine: float, recall: float, seed: int) -> DataFrame:
+    """``node, root`` of the components, from as many rounds of passes as the vectors ask for."""
+    roots, done, most = None, 0, passes_needed(n, window, cosine, recall)
+    shared: dict[int, int] = {}
+    while True:
+        new = min(most - done, ROUND) if most > done else ROUND // 2
+        found = store.save(window_links(units, range(done, done + new), window, cosine, seed), "found")
+        done += new
+        for r in found.where("kind = 3").groupBy("a").agg(F.sum("b").alias("n")).collect():
+            shared[r["a"]] = shared.get(r["a"], 0) + r["n"]
+        most = max(most, passes_for(shared, cosine, recall)) if shared else most
+        edges = found.where("kind = 0").select("a", "b").unionByName(border_links(found, units, cosine))
+        if roots is None:
+            joined, moved = edges, True
+        else:
+            ends = edges.distinct()
+            for c in "ab":
+                own = roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+                ends = ends.join(own, c, "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c))
+            fresh = store.save(ends.where("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "fresh")
+            joined, moved = fresh.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), not fresh.isEmpty()
+        if moved:
+            roots = store.save(connected_components(joined, store), "roots")
+        store.release()
+        if done >= most and not moved:
+            return roots
 
 
 def count_links(units: DataFrame, roots: DataFrame, cosine: float, cell: int) -> DataFrame:
@@ -121,7 +222,7 @@ def count_links(units: DataFrame, roots: DataFrame, cosine: float, cell: int) ->
     member = units.join(of_root, "vec_id").join(sizes, "root")
     blocks = F.ceil(F.col("n") / cell).cast("long")
     mine = F.pmod(F.xxhash64("vec_id"), blocks)
-    cells = max(64, 4 * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cells = max(64, 4 * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-of_root.count() // cell))
     # a block meets every block of its component once, as the row side; both sides get the rows
     none = F.lit(-1).cast("long")
     whole = member.where(blocks == 1).select("vec_id", "unit", "root", F.pmod(F.xxhash64("root"), F.lit(cells)).alias("c"), none.alias("i"), none.alias("j"), none.alias("mine"))
@@ -162,7 +263,7 @@ def near_duplicates(vectors: DataFrame, store: Store, cosine: float = 0.9, windo
     n, shortest, longest = units.agg(F.count("*"), F.min(F.size("unit")), F.max(F.size("unit"))).first()
     if shortest != longest:
         raise ValueError("the vectors differ in length")
-    roots = connected_components(window_links(units, passes_needed(n, window, cosine, recall), window, cosine, seed), store)
+    roots = all_links(units, store, n, window, cosine, recall, seed)
     links = store.save(count_links(units, roots, cosine, cell), "links")
     found = vectors.select(F.col("vec_id").cast("long")).join(links, "vec_id", "left").join(roots, F.col("vec_id") == F.col("node"), "left")
     component = F.coalesce("root", "vec_id")

@@ -127,3 +127,18 @@ def test_vectors_of_nothing_and_of_mixed_lengths(spark, store):
     with pytest.raises(ValueError, match="length"):
         vector_dedup.near_duplicates(mixed, store)
     assert vector_dedup.passes_needed(10**9, 512, 0.9, 0.99) > vector_dedup.passes_needed(10**5, 512, 0.9, 0.99) >= 2
+
+
+def test_vectors_in_a_dense_cone(spark, store):
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(64))
+    cone = unit(np.sqrt(0.75) * centre + 0.5 * unit(rng.standard_normal((1000, 64))))
+    vectors = np.concatenate([cone, unit(rng.standard_normal((2000, 64)))])
+    other = unit(rng.standard_normal((150, 64)))
+    other = unit(other - (other * cone[:150]).sum(1, keepdims=True) * cone[:150])
+    vectors = np.concatenate([vectors, 0.905 * cone[:150] + np.sqrt(1 - 0.905**2) * other])
+    truth = (vectors @ vectors.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in vector_dedup.near_duplicates(df, store, window=16).collect()}
+    assert truth.sum() >= 300 and sum(got[i] for i in range(len(vectors))) >= 0.99 * truth.sum()
