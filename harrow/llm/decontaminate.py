@@ -19,7 +19,7 @@ from harrow.llm.store import Store
 #: Each keeps five words; 1 is compared, 0 is ignored.
 MASKS = ("11111", "1101011", "110010101")
 #: Rows that are broadcast at most.
-BROADCAST_SEEDS, BROADCAST_LINES = 500_000, 50_000
+BROADCAST_SEEDS, BROADCAST_LINES, BROADCAST_IDS = 500_000, 50_000, 1_000_000
 
 
 def tokens(text: Column) -> Column:
@@ -94,5 +94,6 @@ def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[s
 
 def clean(docs: DataFrame, items: DataFrame, store: Store, **options) -> DataFrame:
     """The rows of ``docs`` that overlap with no item; rows without an id stay."""
-    hit = contaminated(docs, items, store, **options).select("doc_id").distinct()
+    hit = store.save(contaminated(docs, items, store, **options).select("doc_id").distinct(), "hit")
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_IDS else hit
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)

@@ -5,7 +5,7 @@ two sets with a Jaccard similarity of at least t share a word among their first
 n - ceil(t n) + 1, so only these prefixes are joined.  Length, positional and parity
 filters (the bits in which the words' parity maps differ are at most the words in
 which the sets differ) drop nearly all other pairs within the join, and the rest are
-verified on the words themselves.  Rarity comes from a table of word counts by hash bucket over all
+verified on the hashes of all their words.  Rarity comes from a table of word counts by hash bucket over all
 lines, of fixed size; any order gives the same pairs, a better one fewer candidates.
 """
 
@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from harrow.llm.store import Store
 
-SKETCH_BITS = 16
+SKETCH_BITS = 15
 MAPS = ("p0", "p1")
-#: Into how many shares the sets with a rare word are cut in each look at the earliest of them.
-LOOKS = (1, 16)
+#: Pairs of sets, and settled sets, up to which their ids are broadcast (48 and 16 bytes each); beyond that the sides are shuffled.
+BROADCAST_PAIRS, BROADCAST_SETS = 250_000, 500_000
+#: The join of the prefix words is made for one part of the words after the other, so their entries never fill the disks all at once.
+PARTS = 2
 
 
 def _split(line: Column) -> Column:
@@ -48,21 +50,28 @@ def rarity_classes(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
-def _keys(line: Column, classes: Column) -> Column:
-    """A line's distinct words as bigints in order of rarity: count class, then hash."""
+def _hashes(line: Column) -> Column:
+    """The distinct hashes of a line's words in order."""
+    return F.sort_array(F.array_remove(F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit(""))))
+
+
+def _keys(hashes: Column, classes: Column) -> Column:
+    """A line's words as bigints in order of rarity: count class, then hash."""
     zero = F.lit(0).cast("long")
     bucket = lambda h: h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).cast("int")
-    hashes = F.array_remove(F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
     # never null, so that the array is sorted as plain numbers
     return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.get(classes, bucket(h)), zero).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
-def _parity(keys: Column, part: int) -> Column:
-    """64 of 128 bits, each telling whether an odd number of the words fall on it."""
+def _parity(keys: Column) -> Column:
+    """64 bits, each telling whether an odd number of the words fall on it."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
-    mine = lambda k: k.bitwiseAND(F.lit(64)) == part * 64
-    return F.aggregate(keys, none, lambda a, k: F.when(mine(k), a.bitwiseXOR(bit(k))).otherwise(a))
+    return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _half(keys: Column) -> Column:
+    """About half of the words, by a bit that :func:`_parity` doesn't look at."""
+    return F.filter(keys, lambda k: k.bitwiseAND(F.lit(64)) == 64)
 
 
 def _needed(nx: Column, ny: Column, threshold: float) -> Column:
@@ -72,16 +81,18 @@ def _needed(nx: Column, ny: Column, threshold: float) -> Column:
 
 def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
     """One row for each set of words: its digest ``id, d2``, the first line's place ``doc_id, pos, h``,
-    its size ``n``, its parity map ``p0, p1`` and its rarest words, the ``prefix``."""
+    its size ``n``, its parity maps ``p0, p1``, its ``low`` and ``high`` min-hashes of two words and its rarest words, the ``prefix``."""
     classes = rarity_classes(docs)
     lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"[^ \t\r\x0b\f]"))
-    sets = lines.select("doc_id", "pos", "h", _keys(F.col("line"), classes).alias("keys"))
-    n = F.size("keys")
-    parity = [_parity(F.col("keys"), k).alias(f"p{k}") for k in range(len(MAPS))]
+    hashed = lines.select("doc_id", "pos", "h", _hashes(F.col("line")).alias("hashes"))
+    n = F.size("hashes")
+    low, high = F.xxhash64(F.lit(1), F.slice("hashes", 1, 2)), F.xxhash64(F.lit(2), F.slice("hashes", F.greatest(n - 1, F.lit(1)), 2))
+    sets = hashed.select("doc_id", "pos", "h", n.alias("n"), low.alias("low"), high.alias("high"), _keys(F.col("hashes"), classes).alias("keys"))
+    n = F.col("n")
     prefix = F.slice("keys", 1, (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
     rows = sets.select(
         F.xxhash64("keys").alias("id"), F.xxhash64(F.lit(1), F.col("keys")).alias("d2"),
-        F.struct("doc_id", "pos", "h", n.alias("n"), *parity, prefix.alias("prefix")).alias("line"),
+        F.struct("doc_id", "pos", "h", "n", _parity(F.col("keys")).alias("p0"), _parity(_half(F.col("keys"))).alias("p1"), "low", "high", prefix.alias("prefix")).alias("line"),
     )
     return store.save(rows.groupBy("id", "d2").agg(F.min("line").alias("line")).select("id", "d2", "line.*"), "classes")
 
@@ -90,76 +101,95 @@ def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
 _POS, _N, _I = 30, 20, 13
 
 
-def prefix_entries(classes: DataFrame, open_sets: Column) -> DataFrame:
-    """One row for each prefix word: ``key, id, doc_id, packed`` and the parity map; ``packed`` tells whether the set still looks for a partner."""
+def prefix_entries(classes: DataFrame, open_sets: Column, keys: Column | str = "prefix") -> DataFrame:
+    """One row for each prefix word, or other key: ``key, id, doc_id, packed`` and the parity maps; ``packed`` tells whether the set still looks for a partner."""
     most = lambda c, bits: F.least(c.cast("long"), F.lit((1 << bits) - 1))
-    rows = classes.select("id", "doc_id", "pos", "n", *MAPS, open_sets.alias("open"), F.posexplode("prefix").alias("i", "key"))
+    rows = classes.select("id", "doc_id", "pos", "n", *MAPS, open_sets.alias("open"), F.posexplode(keys).alias("i", "key"))
     packed = F.shiftleft(most(F.col("pos"), _POS), _N + _I).bitwiseOR(F.shiftleft(most(F.col("n"), _N), _I)).bitwiseOR(most(F.col("i"), _I))
     packed = F.when(F.col("open"), packed).otherwise(packed.bitwiseOR(F.lit(-(1 << 63))))
     return rows.select("key", "id", "doc_id", packed.alias("packed"), *MAPS)
 
 
-def _part(packed: str, shift: int, bits: int) -> Column:
+def _part(packed: Column, shift: int, bits: int) -> Column:
     return F.shiftrightunsigned(packed, shift).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def _partners(x: str, y: str, threshold: float) -> Column:
-    """Whether the set of entry ``x`` looks for a partner and that of ``y``, whose first line is earlier, may be one."""
-    nx, ny, ix, iy = (_part(f"{e}.packed", s, b) for s, b in ((_I, _N), (0, _I)) for e in (x, y))
-    px, py = (_part(f"{e}.packed", _N + _I, _POS) for e in (x, y))
-    dx, dy, kx, ky = F.col(f"{x}.doc_id"), F.col(f"{y}.doc_id"), F.col(f"{x}.id"), F.col(f"{y}.id")
-    later = (dx > dy) | ((dx == dy) & ((px > py) | ((px == py) & (kx > ky))))
+def _size(packed: Column) -> Column:
+    return _part(packed, _I, _N)
+
+
+def _later(x, y) -> Column:
+    """Whether the first line of entry ``x`` stands behind that of ``y``; both are functions from a field's name to its column."""
+    px, py = (_part(e("packed"), _N + _I, _POS) for e in (x, y))
+    return (x("doc_id") > y("doc_id")) | ((x("doc_id") == y("doc_id")) & ((px > py) | ((px == py) & (x("id") > y("id")))))
+
+
+def _near(x, y, threshold: float) -> Column:
+    """Whether the sets of two entries of one word may reach the threshold, by their sizes, the word's places and the parity maps."""
+    nx, ny = _size(x("packed")), _size(y("packed"))
+    ix, iy = (_part(e("packed"), 0, _I) for e in (x, y))
     need = _needed(nx, ny, threshold)
-    # words before the common one meet only each other, and so do those behind it
-    may = F.least(ix, iy) + F.least(nx - ix, ny - iy)
-    # words in which the sets differ, at least; few pairs but true matches are left
-    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in MAPS])
-    near = (differ <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need)
+    # at the first common word, which one of a pair's rows has, all other common words stand behind it
+    may = F.least(nx - ix, ny - iy)
+    # words in which the sets differ, at least, among one half and among the others
+    all_, half = (x(m).bitwiseXOR(y(m)) for m in MAPS)
+    differ = F.bit_count(half) + F.bit_count(all_.bitwiseXOR(half))
     held = (F.greatest(nx, ny) == (1 << _N) - 1) | (F.greatest(ix, iy) == (1 << _I) - 1)
-    # written with y, so that the filter stays in the join and both sides are one exchange
-    looks = F.col(f"{x}.packed") >= F.col(f"{y}.packed").bitwiseAND(F.lit(0))
-    return looks & later & (near | held)
+    return held | ((differ <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need))
 
 
-def first_pairs(classes: DataFrame, threshold: float, salts: int, words: int = 4) -> DataFrame:
-    """Each ``open`` set with the earliest sets, one for each salt, that have one of its rarest words, where they may
-    match: linear in the entries."""
-    rare = prefix_entries(classes, F.col("open")).where(_part("packed", 0, _I) < words).repartition("key")
-    place = F.struct("doc_id", _part("packed", _N + _I, _POS).alias("pos"), "id", "packed", *MAPS)
-    salt = F.pmod(F.col("id"), F.lit(salts)).alias("salt")
-    earliest = rare.groupBy("key", salt).agg(F.min(place).alias("y"), F.count("*").alias("k"))
-    if salts == 1:
-        earliest = earliest.where("k > 1")
-    x, y = rare.alias("x"), earliest.select(F.col("key").alias("y_key"), "y.doc_id", "y.id", "y.packed", *[f"y.{m}" for m in MAPS]).alias("y")
-    joined = x.join(y, (F.col("x.key") == F.col("y.y_key")) & _partners("x", "y", threshold))
-    return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
+def first_pairs(classes: DataFrame, threshold: float, shares: int = 4) -> DataFrame:
+    """Each set with the earliest ones, one of each share, that have its rarest word or one of its min-hashes, where they may match: linear in the entries.
 
+    A near copy often has rare words of its own, so its rarest one isn't enough; a min-hash of two words is shared at a similarity of t with probability t squared.
+    """
+    keys = F.concat(F.array("low", "high"), F.slice("prefix", 1, 1))
+    share = F.pmod(F.col("id"), F.lit(shares)).alias("share")
+    some = prefix_entries(classes, F.lit(True), keys).withColumn("packed", F.col("packed").bitwiseAND(F.lit(-(1 << _I)))).repartition("key")
+    place = F.struct("doc_id", _part(F.col("packed"), _N + _I, _POS).alias("pos"), "id", "packed", *MAPS)
+    earliest = some.groupBy("key", share).agg(F.min(place).alias("y")).select(F.col("key").alias("y_key"), "y.*")
+    x, y = ((lambda f, e=e: F.col(f"{e}.{f}")) for e in "xy")
+    joined = some.alias("x").join(earliest.alias("y"), (x("key") == y("y_key")) & _later(x, y) & _near(x, y, threshold))
+    return joined.select(x("id").alias("later"), y("id").alias("earlier")).distinct()
 
-def open_pairs(classes: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of a set that is still ``open`` and an earlier one that share a prefix word and may match."""
-    entries = prefix_entries(classes, F.col("open"))
-    x, y = entries.alias("x"), entries.alias("y")
-    joined = x.join(y, (F.col("x.key") == F.col("y.key")) & _partners("x", "y", threshold))
-    return joined.select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
 
+def open_pairs(classes: DataFrame, threshold: float, part: int = 0, parts: int = 1) -> DataFrame:
+    """All pairs of a set that is still ``open`` and an earlier one that share a prefix word of this part of all words and may match.
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> DataFrame:
-    """The sets ``id, d2`` that are ``later`` in a pair whose Jaccard similarity is at least the threshold.
+    The smaller set of a pair is looked up by its index prefix of n - ceil(2 t n / (1 + t)) + 1 words, which is enough as the other has as many words or more.
+    """
+    entries = prefix_entries(classes, F.col("open")).where(F.pmod(F.col("key"), F.lit(parts)) == part)
+    n, i = _size(F.col("packed")), _part(F.col("packed"), 0, _I)
+    held = (n == (1 << _N) - 1) | (i == (1 << _I) - 1)
+    index = entries.where((i < n - F.ceil(n * F.lit(2 * threshold / (1 + threshold)) - F.lit(1e-9)) + 1) | held)
+    x, y = ((lambda f, e=e: F.col(f"{e}.{f}")) for e in "xy")
+    nx, ny = _size(x("packed")), _size(y("packed"))
+    itself = (x("id") == y("id")) & (x("doc_id") == y("doc_id")) & (_part(x("packed"), _N + _I, _POS) == _part(y("packed"), _N + _I, _POS))
+    larger = (nx > ny) | ((nx == ny) & (x("id") >= y("id")) & ~itself)
+    later = _later(x, y)
+    looks = F.when(later, x("packed")).otherwise(y("packed")) >= 0
+    joined = entries.alias("x").join(index.alias("y"), (x("key") == y("key")) & larger & looks & _near(x, y, threshold))
+    return joined.select(F.when(later, x("id")).otherwise(y("id")).alias("later"), F.when(later, y("id")).otherwise(x("id")).alias("earlier")).distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, store: Store, threshold: float) -> DataFrame:
+    """The sets ``id, d2`` that stand ``later`` in a pair whose Jaccard similarity is at least the threshold.
 
     The lines are read from their documents and compared by 64-bit hashes of their words; two words of one pair share
-    one with a chance of 1 in 10^13 at most.
+    one with a chance of 1 in 10^13 at most.  Sets that share an ``id`` are told apart by ``d2`` and their places.
     """
+    small = (lambda df: F.broadcast(df)) if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
     ids = pairs.select(F.col("later").alias("id")).unionByName(pairs.select(F.col("earlier").alias("id"))).distinct()
-    wanted = classes.join(ids, "id", "left_semi").groupBy("doc_id", "h").agg(F.collect_list(F.struct("pos", "id", "d2")).alias("wanted"))
-    read = docs.join(wanted, ["doc_id", "h"]).select("wanted", F.split("text", "\n").alias("lines"))
-    found = F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), x["d2"].alias("d2"), F.get("lines", x["pos"]).alias("line"))))
-    hashes = F.array_distinct(F.transform(_split(F.col("line")), lambda w: F.xxhash64(w)))
-    words = store.save(read.select(found).select("id", "d2", F.array_remove(hashes, F.xxhash64(F.lit(""))).alias("words")).dropDuplicates(["id", "d2"]), "words")
-    store.release()
-    side = lambda name: words.select(F.col("id").alias(name), F.col("d2").alias(f"{name}_d2"), F.col("words").alias(f"{name}_words"))
+    wanted = places.join(small(ids), "id", "left_semi").groupBy("doc_id", "h").agg(F.collect_list(F.struct("pos", "id", "d2")).alias("wanted"))
+    read = docs.join(small(wanted), ["doc_id", "h"]).select("doc_id", "h", "wanted", F.split("text", "\n").alias("lines"))
+    found = F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), x["d2"].alias("d2"), x["pos"].alias("pos"), F.get("lines", x["pos"]).alias("line"))))
+    hashes = F.array_remove(F.array_distinct(F.transform(_split(F.col("line")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    place = F.struct("doc_id", "pos", "h", "d2")
+    words = store.save(read.select("doc_id", "h", found).select("id", "d2", place.alias("place"), hashes.alias("words")).dropDuplicates(["id", "d2"]), "words")
+    side = lambda name: words.select(F.col("id").alias(name), F.col("d2").alias(f"{name}_d2"), F.col("words").alias(f"{name}_words"), F.col("place").alias(f"{name}_place"))
     both = F.size(F.array_intersect("later_words", "earlier_words"))
     enough = both >= _needed(F.size("later_words"), F.size("earlier_words"), threshold)
-    joined = pairs.join(side("later"), "later").join(side("earlier"), "earlier").where(enough)
+    joined = pairs.join(side("later"), "later").join(side("earlier"), "earlier").where((F.col("later_place") > F.col("earlier_place")) & enough)
     found = store.save(joined.select(F.col("later").alias("id"), F.col("later_d2").alias("d2")).distinct(), "verified")
     store.drop(words)
     return found
@@ -168,30 +198,26 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, store: Store
 def later_matches(docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The places of all sets, ``id, d2, doc_id, h, pos``, and the sets ``id, d2`` whose first line matches an earlier line.
 
-    Each set is compared first with the earliest set that shares one of its rarest words and then with the earliest
-    of each of 16 shares of these sets, which settles near copies of one line without comparing them all with
-    all; only the sets that are still open are then joined with all earlier ones.  Tables go as soon as the next one stands; ``classes`` is one of them.
+    Each set is compared first with the earliest that share one of its rarest words, which settles most near copies of one line without
+    comparing them all with all; only the sets that are still open are then joined with all earlier ones.
     """
-    places = store.save(classes.select("id", "d2", "doc_id", "h", "pos"), "places")
-    marked, settled = classes.drop("d2", "h").withColumn("open", F.lit(True)), []
-    for salts in LOOKS:
-        first = store.save(first_pairs(marked, threshold, salts), "first")
-        store.release()
-        settled.append(verified(first, docs, places, store, threshold))
-        store.drop(first)
-        done = settled[-1].select("id", F.lit(True).alias("done"))
-        after = marked.join(done.distinct(), "id", "left").withColumn("open", F.col("open") & F.col("done").isNull()).drop("done")
-        after = store.save(after, "open")
-        store.drop(marked)
-        marked = after
-        store.release()
-    pairs = store.save(open_pairs(marked, threshold), "pairs")
-    store.drop(marked)
+    places = classes.select("id", "d2", "doc_id", "h", "pos")
+    first = store.save(first_pairs(classes, threshold), "first")
     store.release()
-    rest = verified(pairs, docs, places, store, threshold)
-    store.drop(pairs)
+    settled = verified(first, docs, places, store, threshold)
+    store.drop(first)
+    done = settled.withColumn("done", F.lit(True))
+    done = F.broadcast(done) if settled.count() <= BROADCAST_SETS else done
+    marked = classes.drop("h").join(done, ["id", "d2"], "left").withColumn("open", F.col("done").isNull())
+    found = []
+    for part in range(PARTS):
+        store.release()
+        found.append(store.save(open_pairs(marked, threshold, part, PARTS), "pairs"))
     store.release()
-    return places, reduce(DataFrame.unionByName, settled, rest)
+    rest = verified(reduce(DataFrame.unionByName, found).distinct(), docs, places, store, threshold)
+    for pairs in found:
+        store.drop(pairs)
+    return places, settled.unionByName(rest)
 
 
 def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFrame:
@@ -214,11 +240,12 @@ def dedup_lines(docs: DataFrame, store: Store, threshold: float = 0.8) -> DataFr
     lines = F.split("text", "\n")
     blank = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda i: ~F.rlike(F.get("__lines", i), F.lit(r"[^ \t\r\x0b\f]")))
     stay = F.sort_array(F.concat(blank, F.coalesce("__kept", F.array().cast("array<int>"))))
-    left = F.when(F.col("doc_id").isNull() | F.col("text").isNull(), F.col("__lines")).otherwise(F.transform(stay, lambda i: F.get("__lines", i)))
+    whole = F.col("doc_id").isNull() | F.col("text").isNull() | (F.size("__kept") == F.size("__lines"))
+    left = F.when(whole, F.col("__lines")).otherwise(F.transform(stay, lambda i: F.get("__lines", i)))
     return (
         joined.withColumn("__lines", lines)
         .withColumn("__left", left)
-        .withColumn("text", F.array_join("__left", "\n"))
+        .withColumn("text", F.when(F.size("__left") == F.size("__lines"), F.col("text")).otherwise(F.array_join("__left", "\n")))
         .withColumn("n_lines", F.coalesce(F.size("__lines"), F.lit(0)))
         .withColumn("n_removed", F.coalesce(F.size("__lines") - F.size("__left"), F.lit(0)))
         .select(*docs.columns, "n_lines", "n_removed")
