@@ -49,5 +49,6 @@ def format_double(values: pd.Series) -> pd.Series:
 
 def double_text(c: Column) -> Column:
     """A double as fixed-notation text with at least one decimal, as rules on numeric columns spell it."""
-    fixed = F.regexp_replace(F.format_string("%.12f", c), r"(\.[0-9]+?)0+$", "$1")
-    return F.when((F.abs(c) >= 1e7) | ((F.abs(c) < 1e-3) & (c != 0)), fixed).otherwise(c.cast("string"))
+    # the shortest digits that give the same double, padded with zeros
+    fixed = lambda places: F.regexp_replace(F.format_string(f"%.{places}f", c), r"(\.[0-9]+?)0+$", "$1")
+    return F.when(F.abs(c) >= 1e7, fixed(12)).when((F.abs(c) < 1e-3) & (c != 0), fixed(345)).otherwise(c.cast("string"))

@@ -14,17 +14,27 @@ def _keys(df: DataFrame, value: str) -> list[str]:
     return [c for c in df.columns if c != value]
 
 
+#: Doubles are cut into whole parts of 2^-16 and of 2^-69; what is too large or too fine for that is summed as doubles.
+_HIGH, _LOW = 2.0**16, 2.0**53
+
+
 def exact_sum(value: str) -> Column:
-    """A sum of doubles that doesn't depend on the order of rows: decimal accumulation where it fits, double otherwise.
+    """A sum of doubles with all their bits, which doesn't depend on the order of rows where the parts are whole.
 
-    Null for a group of nulls alone.  Both sums are combined before the shuffle.
+    A single value stays as it is, and a group of nulls alone is null.  All sums are combined before the shuffle.
     """
-    scaled = F.sum(F.col(value).try_cast("decimal(38,12)")).cast("double")
-    return F.when(F.count(F.col(value).try_cast("decimal(38,12)")) == F.count(value), scaled).otherwise(F.sum(value))
+    x = F.col(value)
+    fits = F.coalesce(F.abs(x) < 2.0**36, F.lit(False))
+    high = F.when(fits, F.floor(x * _HIGH))
+    low = F.when(fits, (x * _HIGH - high.cast("double")) * _LOW)
+    whole = F.count_if(low == F.floor(low).cast("double")) == F.count(x)
+    parts = F.try_add(F.try_multiply(F.try_sum(high.cast("decimal(20,0)")), F.lit(2**53).cast("decimal(18,0)")), F.try_sum(F.floor(low).cast("decimal(20,0)")))
+    exact = parts.cast("double") / F.lit(_HIGH * _LOW)
+    return F.when(F.count(x) == 1, F.max(x)).otherwise(F.coalesce(F.when(whole, exact), F.sum(x)))
 
 
 def sum_duplicates(df: DataFrame, value: str = "value") -> DataFrame:
-    """Rows that agree in all columns but the value as one row with their sum; a group of nulls stays null."""
+    """Rows that agree in all columns but the value as one row with their sum; a group of nulls stays null and a row alone as it is."""
     keys = _keys(df, value)
     return (df.groupBy(*keys) if keys else df).agg(exact_sum(value).alias(value)).select(*df.columns)
 

@@ -26,7 +26,7 @@ class Ingested:
 
 def ingest_rows(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Consolidated facts of long rows that carry their places, and their validation errors."""
-    checked, errors = validate_long(drop_null_values(rows), PLACE, settings.required, settings.current_year)
+    checked, errors = validate_long(drop_null_values(rows) if settings.drop_nulls else rows, PLACE, settings.required, settings.current_year)
     data = consolidate([checked.drop(*PLACE, "_error", "iso_whep")])
     return canonical_order(canonical_cells(data)), errors
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harrow.functions import numbers, text
@@ -142,7 +142,7 @@ def parse_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", numbers.parse_double(raw).alias("parsed"), "value")
 
 
-@query()
+@query("SELECT l_orderkey, l_linenumber, format('{:.15g}', l_extendedprice * (1 - l_discount)) AS shown FROM lineitem")
 def format_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", numbers.format_double(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("shown"))
 
@@ -218,6 +218,22 @@ def canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.canonical_order(table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("commodity"), F.col("c_name").alias("polity"), F.col("c_acctbal").alias("value")))
 
 
+def _with_places(df: DataFrame, workspace: Workspace) -> DataFrame:
+    """The rows of a sorted frame with their places."""
+    rows = workspace.save(df.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()), "ordered")
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("n"), F.min("__row").alias("__first"))
+    # one row a partition
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(F.broadcast(sizes.select("__part", "__first", before.alias("__before"))), "__part").withColumn("place", F.col("__row") - F.col("__first") + F.col("__before") + 1).drop("__part", "__row", "__first", "__before")
+
+
+@query("SELECT c_mktsegment AS commodity, c_name AS polity, row_number() OVER (ORDER BY c_name, c_mktsegment) AS place FROM customer")
+def canonical_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place that the canonical order gives to each row."""
+    facts = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("commodity"), F.col("c_name").alias("polity"))
+    return _with_places(frames.canonical_order(facts), Workspace(spark, "places"))
+
+
 # ---------------------------------------------------------------- validation and audit
 
 _EVENT_FACTS = """SELECT event_id, event_type AS file, CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 77 = 0 THEN '' ELSE 'u' || CAST(user_id % 7 AS VARCHAR) END AS polity,
@@ -277,6 +293,15 @@ def sum_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.sum_duplicates(_line_values(spark, sf_dir))
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_suppkey, sum(v) AS value
+FROM (SELECT *, l_extendedprice / 7.0 * CASE l_linenumber % 3 WHEN 0 THEN 1e-18 WHEN 1 THEN 1.0 ELSE 1e-3 END AS v FROM lineitem) GROUP BY ALL""")
+def sum_fine_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate summing of values that have no short decimal form, tiny ones among them."""
+    scale = F.when(F.col("l_linenumber") % 3 == 0, 1e-18).when(F.col("l_linenumber") % 3 == 1, 1.0).otherwise(1e-3)
+    facts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", (F.col("l_extendedprice") / 7.0 * scale).alias("value"))
+    return duplicates.sum_duplicates(facts)
+
+
 @query(f"WITH f AS ({_LINE_VALUES}) SELECT * FROM f QUALIFY count(*) OVER (PARTITION BY l_partkey, l_returnflag) > 1")
 def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.duplicate_rows(_line_values(spark, sf_dir))

@@ -70,6 +70,7 @@ class Settings:
     current_year: int | None = None
     checkpoints: bool = False
     overwrite: bool = True
+    drop_nulls: bool = True
 
     def path(self, *parts: str) -> Path:
         return Path(self.root, *parts)
@@ -112,7 +113,7 @@ class Settings:
 
     @classmethod
     def from_environment(cls, root: str = ".") -> Settings:
-        """Options from ``HARROW_CHECKPOINTS``, ``HARROW_OVERWRITE`` and ``HARROW_YEAR``."""
+        """Options from ``HARROW_CHECKPOINTS``, ``HARROW_OVERWRITE``, ``HARROW_DROP_NULLS`` and ``HARROW_YEAR``."""
         on = lambda name, default: os.environ.get(name, default).strip().lower() in ("1", "true", "yes", "on")
         year = os.environ.get("HARROW_YEAR")
-        return cls(root=root, checkpoints=on("HARROW_CHECKPOINTS", "0"), overwrite=on("HARROW_OVERWRITE", "1"), current_year=int(year) if year else None)
+        return cls(root=root, checkpoints=on("HARROW_CHECKPOINTS", "0"), overwrite=on("HARROW_OVERWRITE", "1"), drop_nulls=on("HARROW_DROP_NULLS", "1"), current_year=int(year) if year else None)

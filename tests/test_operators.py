@@ -191,3 +191,15 @@ def test_frames(spark):
     assert sorted(r["iso_whep"] or "" for r in joined.collect()) == ["", "iso-1", "iso-2", "iso-5"]
     with pytest.raises(HarmonizeError):
         frames.diagonal_union([])
+
+
+def test_sums_keep_all_bits(spark):
+    import math
+
+    from harrow.operators.duplicates import sum_duplicates
+
+    fine = [1 / 3, 2e-5 / 7, 0.1, 0.2, 123456.789]
+    rows = [("alone", 1e-15), ("third", 1 / 3), ("none", None), ("none", None), ("one", None), ("one", 3.3e-13), ("large", 1e300), ("large", 1.0)]
+    rows += [("fine", x) for x in fine] + [("tenths", 0.1), ("tenths", 0.2)]
+    got = {r["k"]: r["value"] for r in sum_duplicates(spark.createDataFrame(rows, "k string, value double")).collect()}
+    assert got == {"alone": 1e-15, "third": 1 / 3, "none": None, "one": 3.3e-13, "large": 1e300, "fine": math.fsum(fine), "tenths": 0.1 + 0.2}

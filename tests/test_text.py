@@ -58,6 +58,7 @@ def test_fixed_notation(spark):
     cases = {1.0: "1", -0.0: "0", 0.1: "0.1", 1e16: "10000000000000000", 1 / 3: "0.333333333333333", 1e-7: "0.0000001", float("inf"): "Inf", -2.5: "-2.5", 123456789012345678.0: "123456789012346000"}
     assert column(spark, list(cases), numbers.format_double, "double") == list(cases.values())
     assert column(spark, [None, float("nan")], numbers.format_double, "double") == [None, None]
+    assert column(spark, [1e-15, 20 / 7e6, -3.3e-13, 1 / 3], numbers.double_text, "double") == ["0.000000000000001", "0.0000028571428571428573", "-0.00000000000033", "0.3333333333333333"]
     assert column(spark, [1000.0, 1e7, 2.5e-4, 12345678.25], numbers.double_text, "double") == ["1000.0", "10000000.0", "0.00025", "12345678.25"]
 
 
