@@ -1,12 +1,12 @@
 """Main text of web pages by line-block distribution (operator 2).
 
-Markup is stripped into lines, one for each block of the page.  A line weighs as much as
-its text outside links; what stands in menus, forms, notices, adverts and the like weighs nothing.
-The weights are summed over sliding windows of lines.  Text begins at a surge, where a window
-passes the threshold, ends at the following dive, where a whole window weighs nothing, and
-the lines between are kept, whatever their share of links; aside lines take no part in the windows.
-Where the page declares its article, and the article holds most of the page's text outside links,
-lines inside always reach the threshold and lines outside weigh nothing.
+Markup is stripped into lines, one for each block of the page; menus, forms, notices, adverts and the like
+are no part of the sequence.  A line weighs as much as its text outside links.  Where the page declares its
+article, and the article holds most of the page's text outside links, lines inside weigh one threshold more
+and lines outside weigh eight thresholds less.  The weights are summed over sliding windows of
+lines on every page.  Text begins at a surge, where a window passes the threshold, ends at the following dive, where
+a whole window weighs nothing, and the lines between that don't weigh less than nothing are kept, whatever
+their share of links.  Pages with little text have a lower threshold.
 """
 
 from __future__ import annotations
@@ -55,7 +55,8 @@ def _kind(tag: str, source: str, inside: bool) -> tuple[bool, bool]:
     a = _attributes(source)
     names = f"{a.get('class', '')} {a.get('id', '')}".split()
     article = tag == "article" or a.get("itemprop", "").lower() == "articlebody" or bool(ARTICLE_NAMES.intersection(n.lower() for n in names))
-    words = {w.lower() for n in names for w in _PARTS.split(n)}
+    parts = [[w.lower() for w in _PARTS.split(n) if w] for n in names]
+    words = {w for x in parts for w in (*x[:1], *x[-1:])}  # what a name begins or ends with
     aside = (ASIDE_TAGS & {tag}) | (ASIDE_ROLES & {a.get("role", "").lower()})
     if tag not in ("html", "body", "main") and not (article and tag != "article"):
         aside |= ASIDE_NAMES & words
@@ -129,18 +130,29 @@ def page_lines(source: str) -> list[tuple[str, int, bool, bool]]:
     return lines
 
 
-def main_text(source: str | None, window: int = 3, threshold: int = 80) -> str:
-    """The text between the surges and dives of one page; null, empty and textless pages give an empty string."""
-    lines = [(text, max(0, len(text) - linked), max(0, len(text) - 2 * linked), article) for text, linked, aside, article in page_lines(source or "") if not aside]
-    own = sum(plain for _, plain, _, article in lines if article)
-    if any(article for *_, article in lines) and 2 * own >= sum(plain for _, plain, _, _ in lines):
-        return " ".join(text for text, _, _, article in lines if article)
-    weights = [weight for _, _, weight, _ in lines]
+def line_weights(lines: list[tuple[str, int, bool, bool]], threshold: int) -> list[int]:
+    """What each line of :func:`page_lines` weighs; see the module text."""
+    weights = [max(0, len(text) - 2 * linked) for text, linked, _, _ in lines]
+    plain = [max(0, len(text) - linked) for text, linked, _, _ in lines]
+    own = sum(n for n, (*_, article) in zip(plain, lines) if article)
+    if not any(article for *_, article in lines) or 2 * own < sum(plain):
+        return weights
+    return [w + threshold if article else max(w - 8 * threshold, -1) for w, (*_, article) in zip(weights, lines)]
+
+
+def main_text(source: str | None, window: int = 3, threshold: int = 80, least: int = 20) -> str:
+    """The text between the surges and dives of one page; null, empty and textless pages give an empty string.
+
+    The threshold is at most half of what the page's lines weigh, but not below ``least``, so a page of one short paragraph keeps it.
+    """
+    lines = [x for x in page_lines(source or "") if not x[2]]
+    weights = line_weights(lines, threshold)
+    need = min(threshold, max(least, sum(max(w, 0) for w in weights) // 2))
     kept, inside = [], False
     for i, (line, weight) in enumerate(zip(lines, weights)):
         block = sum(weights[i : i + window])
-        inside = block > 0 and (inside or (weight > 0 and block >= threshold))
-        if inside:
+        inside = block > 0 and (inside or (weight > 0 and block >= need))
+        if inside and weight >= 0:
             kept.append(line[0])
     return " ".join(kept)
 

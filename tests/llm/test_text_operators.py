@@ -196,6 +196,44 @@ def test_small_article_beside_the_main_text():
     assert text.count("Prose") == 32 and "Two" not in text
 
 
+def test_windows_decide_beside_a_declared_article():
+    """A long paragraph outside the declared article is text, a short one isn't, and a name with a listed word in its middle tells nothing."""
+    prose = "".join(f"<p>{'Prose words go on. ' * 30}{i}</p>" for i in range(4))
+    long, short = f"<div><p>{'An opening. ' * 90}</p></div>", "<div><p>A short line outside.</p></div>"
+    text = html_main.main_text(f"<body>{short}{long}<article>{prose}<p>Be.</p><div class='post-form-note'>A note.</div></article>{short}{short}</body>")
+    assert text.startswith("An opening.") and text.endswith("3 Be. A note.") and "outside" not in text
+
+
+def slow_text(lines, window, threshold, least):
+    """The definition, line by line: a kept line lies between a surge and the first window after it that weighs nothing."""
+    weights = html_main.line_weights(lines, threshold)
+    block = [sum(weights[i : i + window]) for i in range(len(lines))]
+    need = min(threshold, max(least, sum(w for w in weights if w > 0) // 2))
+    kept = []
+    for i in range(len(lines)):
+        surges = [s for s in range(i + 1) if weights[s] > 0 and block[s] >= need and all(block[k] > 0 for k in range(s, i + 1))]
+        if surges and weights[i] >= 0:
+            kept.append(lines[i][0])
+    return " ".join(kept)
+
+
+def test_main_text_against_brute_force():
+    rng = random.Random(4)
+    for k in range(300):
+        blocks = []
+        for _ in range(rng.randint(0, 12)):
+            words = " ".join("word" * rng.randint(1, 2) for _ in range(rng.choice([1, 3, 10, 60, 200])))
+            blocks.append(f"<p><a href='/'>{words}</a></p>" if rng.random() < 0.3 else f"<p>{words}</p>" if rng.random() < 0.8 else f"<nav>{words}</nav>")
+        cut = rng.randint(0, len(blocks))
+        page = "".join(blocks[:cut]) + ("<article>" if k % 2 else "<div>") + "".join(blocks[cut:])
+        assert html_main.main_text(page) == slow_text([x for x in html_main.page_lines(page) if not x[2]], 3, 80, 20)
+
+
+def test_short_and_empty_pages(spark):
+    assert html_main.main_text("<body><p>A short story of one line.</p></body>") == "A short story of one line."
+    assert html_main.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", "<article>é</article>", 0), (1, None, None, 0), (None, "v", "<article>" + "w " * 30000 + "</article>", 0)], "page_id long, url string, html string, text int")
     got = {(r["page_id"], r["url"]): (r["text"][:3], r["n_chars"]) for r in html_main.extract(df).collect()}
