@@ -5,7 +5,7 @@ language and the suffix of its address are in each language, and of a prior from
 likelihoods are multinomial over hashed character trigrams, counted over all labelled documents and
 tempered, since trigrams overlap.  The other tables are grouped sums of the text posteriors of
 all pages: declarations and suffixes by language, and languages by host, domain and top-level
-domain, each smoothed towards the next wider level.
+domain, each smoothed towards the next wider level.  A page's own text is left out of all sums that it is judged by.
 """
 
 from __future__ import annotations
@@ -88,16 +88,22 @@ def text_likelihoods(pages: DataFrame, langs: list[str], table: np.ndarray, sett
     return pages.select("page_id", "url", "html", declared.alias("declared")).mapInArrow(run, "page_id long, url string, declared string, ll array<double>")
 
 
-def _log_table(sums: DataFrame, key: str, langs: list[str], trust: float, name: str) -> DataFrame:
-    """``key, name``: log P(key's value | language) for each value of the key, as an array over the languages.
+def _array(prefix: str, langs: list[str]) -> Column:
+    return F.array(*[F.col(f"{prefix}{x}") for x in langs])
 
-    ``sums`` has the key and a sum for each language, one row a value; the row of nulls is left out.
-    """
-    known = sums.where(F.col(key).isNotNull())
-    totals = known.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in langs]).first()
-    n = max(totals["n"], 1)
-    logs = [F.log((1 - trust) * (F.col(x) + 0.1) / (totals[x] + 0.1 * n) + trust / n) for x in langs]
-    return known.select(key, F.array(*logs).alias(name))
+
+def _totals(sums: DataFrame, key: str, langs: list[str]) -> tuple[int, list[float]]:
+    """How many values the key has and the sums over them, without the row of nulls."""
+    row = sums.where(F.col(key).isNotNull()).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in langs]).first()
+    return max(row["n"], 1), [row[x] for x in langs]
+
+
+def _log_likelihood(own: list[Column], sums: str, totals: tuple[int, list[float]], trust: float) -> Column:
+    """log P(value | language) for each language, from the array ``sums`` of the page's value without the page itself; zeros without a value."""
+    n, whole = totals
+    left = [F.greatest(F.get(sums, F.lit(k)) - p, F.lit(0.0)) for k, p in enumerate(own)]
+    logs = [F.log((1 - trust) * (x + 0.1) / (F.greatest(F.lit(t) - p, F.lit(0.0)) + 0.1 * n) + trust / n) for x, t, p in zip(left, whole, own)]
+    return F.when(F.col(sums).isNotNull(), F.array(*logs)).otherwise(F.array(*[F.lit(0.0)] * len(own)))
 
 
 def identify(pages: DataFrame, docs: DataFrame, store: Store, settings: Settings = Settings()) -> DataFrame:
@@ -126,32 +132,31 @@ def identify(pages: DataFrame, docs: DataFrame, store: Store, settings: Settings
     )
     base = store.save(base.select("page_id", "url", "declared", "ll", "host", "domain", "suffix", *[F.get("soft", F.lit(k)).alias(f"p_{x}") for k, x in enumerate(langs)]), "base")
     sums = [F.sum(f"p_{x}").alias(x) for x in langs]
-    declared = _log_table(base.groupBy("declared").agg(*sums), "declared", langs, settings.trust, "d")
+    declared = base.groupBy("declared").agg(*sums)
     # one row for each host, summed before the shuffle; each wider level sums the narrower one
     hosts = base.groupBy("host", "domain", "suffix").agg(*sums, F.count("*").alias("n"))
     domains = hosts.groupBy("domain", "suffix").agg(*[F.sum(x).alias(f"d_{x}") for x in langs])
-    suffixes = domains.groupBy("suffix").agg(*[F.sum(f"d_{x}").alias(f"s_{x}") for x in langs])
-    by_suffix = _log_table(suffixes.withColumnsRenamed({f"s_{x}": x for x in langs}), "suffix", langs, settings.trust, "s")
-    widest = suffixes.agg(*[F.coalesce(F.sum(f"s_{x}"), F.lit(0.0)).alias(x) for x in langs]).first()
-    world = np.array([widest[x] for x in langs]) + 1
-    world /= world.sum()
-    k = settings.smooth
-
-    def smoothed(own: str, wider: list[Column]) -> list[Column]:
-        n = sum((F.col(f"{own}{x}") for x in langs), F.lit(0.0))
-        return [(F.col(f"{own}{x}") + k * w) / (n + k) for x, w in zip(langs, wider)]
-
-    levels = hosts.join(domains.drop("suffix"), "domain", "left").join(suffixes, "suffix", "left").join(by_suffix, "suffix", "left")
-    levels = levels.na.fill(0.0)
-    wide = smoothed("s_", [F.lit(float(w)) for w in world])
-    prior = smoothed("", smoothed("d_", wide))
-    priors = levels.where(F.col("host").isNotNull()).select("host", F.col("n").alias("host_pages"), F.array(*[F.log(p) for p in prior]).alias("prior"), "s")
-    unknown = F.array(*[F.lit(float(np.log(w))) for w in world])
-    nothing = F.array(*[F.lit(0.0)] * len(langs))
+    suffixes = domains.groupBy("suffix").agg(*[F.sum(f"d_{x}").alias(x) for x in langs])
+    whole = suffixes.agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in langs]).first()
+    by_declared, by_suffix = _totals(declared, "declared", langs), _totals(suffixes, "suffix", langs)
+    levels = hosts.join(domains.drop("suffix"), "domain").join(suffixes.select("suffix", _array("", langs).alias("of_suffix")), "suffix")
+    levels = levels.select("host", F.col("n").alias("host_pages"), _array("", langs).alias("of_host"), _array("d_", langs).alias("of_domain"), "of_suffix")
     # two or three letters: at most 18,252 declarations, however many pages
-    fused = base.join(priors, "host", "left").join(F.broadcast(declared), "declared", "left")
-    fused = fused.withColumns({"prior": F.coalesce("prior", unknown), "d": F.coalesce("d", nothing), "s": F.coalesce("s", nothing)})
-    post = F.array(*[(F.get("ll", F.lit(i)) + F.get("d", F.lit(i)) + F.get("s", F.lit(i)) + F.get("prior", F.lit(i))) for i in range(len(langs))])
+    said = declared.where(F.col("declared").isNotNull()).select("declared", _array("", langs).alias("of_declared"))
+    fused = base.join(levels, "host", "left").join(F.broadcast(said), "declared", "left")
+    own, k = [F.col(f"p_{x}") for x in langs], settings.smooth
+
+    def smoothed(level: str) -> Column:
+        n = F.greatest(F.aggregate(level, F.lit(0.0), lambda a, x: a + x) - sum(own, F.lit(0.0)), F.lit(0.0))
+        found = [(F.greatest(F.get(level, F.lit(i)) - p, F.lit(0.0)) + k * F.get("wider", F.lit(i))) / (n + k) for i, p in enumerate(own)]
+        return F.when(F.col(level).isNotNull(), F.array(*found)).otherwise(F.col("wider"))
+
+    all_pages = sum(whole[x] for x in langs)
+    fused = fused.withColumn("wider", F.array(*[F.greatest(F.lit(whole[x] + 1.0) - p, F.lit(1e-3)) / F.lit(max(all_pages, 1.0) + len(langs)) for x, p in zip(langs, own)]))
+    for level in ("of_suffix", "of_domain", "of_host"):
+        fused = fused.withColumn("wider", smoothed(level))
+    fused = fused.withColumns({"d": _log_likelihood(own, "of_declared", by_declared, settings.trust), "s": _log_likelihood(own, "of_suffix", by_suffix, settings.trust)})
+    post = F.array(*[(F.get("ll", F.lit(i)) + F.get("d", F.lit(i)) + F.get("s", F.lit(i)) + F.log(F.get("wider", F.lit(i)))) for i in range(len(langs))])
     names = F.array(*[F.lit(x) for x in langs])
     best = F.array_max("post")
     norm = F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - best))

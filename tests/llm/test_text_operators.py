@@ -296,6 +296,42 @@ def test_language(spark, store):
     assert {r["lang"] for r in language.identify(df, docs.limit(0), store).collect()} == {None}
 
 
+def test_a_page_does_not_judge_itself(spark, store):
+    """Against the same formulas over dictionaries, each page's own posterior taken out of the sums."""
+    rng = random.Random(8)
+    texts = {"en": "the quick brown fox and the dog with those things that they have".split(), "de": "der schnelle braune fuchs und die hunde mit ihren sachen nicht wahr".split()}
+    docs = spark.createDataFrame([(" ".join(t * 5), lang) for lang, t in texts.items()], "text string, lang string")
+    rows = []
+    for i in range(60):
+        words = rng.sample(texts["en"] + texts["de"], rng.randint(0, 4))
+        host = rng.choice([f"http://{rng.choice('ab')}.{rng.choice('xy')}.{rng.choice(['com', 'de'])}/", None])
+        rows.append((i, host, f"<html lang={rng.choice(['en', 'de'])}><p>{' '.join(words)}" if i % 5 else f"<p>{' '.join(words)}"))
+    rows += [rows[3], (60, "http://alone.zz/", "<html lang=de><p>" + "der schnelle fuchs " * 20000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    settings = language.Settings()
+    langs, table = language.trigram_model(docs, settings)
+    scored = [(r["page_id"], r["url"], r["declared"], np.array(r["ll"])) for r in language.text_likelihoods(df, langs, table, settings).collect()]
+    soft = [np.exp(ll - ll.max()) / np.exp(ll - ll.max()).sum() for *_, ll in scored]
+    key = {"host": lambda u: u and u[7:-1], "domain": lambda u: u and ".".join(u[7:-1].split(".")[-2:]), "suffix": lambda u: u and u[7:-1].split(".")[-1]}
+    total = lambda hit, skip: sum((p for j, p in enumerate(soft) if j != skip and hit(scored[j])), np.zeros(len(langs)))
+    expected = []
+    for j, (page, url, declared, ll) in enumerate(scored):
+        prior = (total(lambda r: True, j) + 1) / (len(scored) + len(langs))
+        for level in ("suffix", "domain", "host"):
+            if url:
+                sums = total(lambda r: r[1] and key[level](r[1]) == key[level](url), j)
+                prior = (sums + settings.smooth * prior) / (sums.sum() + settings.smooth)
+        post = ll + np.log(prior)
+        for known, value, of in ((declared, declared, lambda r: r[2]), (url, key["suffix"](url), lambda r: key["suffix"](r[1]))):
+            if known:
+                n = len({of(r) for r in scored if of(r)})
+                rest = total(lambda r: of(r), j)
+                post = post + np.log((1 - settings.trust) * (total(lambda r: of(r) == value, j) + 0.1) / (rest + 0.1 * n) + settings.trust / n)
+        expected.append((page, langs[int(post.argmax())], round(float(1 / np.exp(post - post.max()).sum()), 6)))
+    got = [(r["page_id"], r["lang"], round(r["probability"], 6)) for r in language.identify(df, docs, store).collect()]
+    assert sorted(got) == sorted(expected)
+
+
 def test_language_of_rare_declarations_and_suffixes(spark, store):
     docs = spark.createDataFrame([("the quick brown fox " * 9, "en"), ("der schnelle braune fuchs " * 9, "de")], "text string, lang string")
     letters = "abcdefghijklmnopqrstuvwxyz"
