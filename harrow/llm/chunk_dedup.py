@@ -82,21 +82,28 @@ def chunks(docs: DataFrame) -> DataFrame:
     return known.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, CHUNKS)
 
 
-def repeated_chunks(docs: DataFrame, least: int = 96) -> DataFrame:
-    """The chunks in reported passages: ``doc_id, h, start, length, passage, first_doc, n_docs_at_least, duplicate``."""
+def repeated_chunks(docs: DataFrame, least: int = 96, within: bool = False) -> DataFrame:
+    """The chunks in reported passages: ``doc_id, h, start, length, passage, first_doc, copies, duplicate``.
+
+    With ``within``, chunks that only one document has, but at several places, count as well; all but the first of them are duplicates.
+    """
     all_chunks = chunks(docs)
-    groups = (
-        all_chunks.groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("copies"))
-        .where("first_doc < last_doc")
-        .drop("last_doc")
-    )
-    shared = all_chunks.join(groups, ["d1", "d2"]).select("doc_id", "h", "start", "length", "first_doc", "copies")
+    # rows that repeat a document have the same places, so that the least and the greatest tell whether there are several
+    place = F.xxhash64("doc_id", "h", "start")
+    several = F.min(place) != F.max(place) if within else F.min("doc_id") < F.max("doc_id")
+    groups = all_chunks.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc"), several.alias("several"), F.count("*").alias("copies")).where("several").drop("several")
+    shared = all_chunks.join(groups, ["d1", "d2"]).select("doc_id", "h", "start", "length", "first_doc", "copies", *(["d1", "d2"] if within else []))
+    marked = shared.dropDuplicates(["doc_id", "h", "start"])
+    again = F.lit(False)
+    if within:
+        marked = marked.repartition("doc_id", "h").withColumn("own", F.min("start").over(Window.partitionBy("doc_id", "h", "d1", "d2"))).drop("d1", "d2")
+        again = F.col("start") > F.col("own")
     of_doc = Window.partitionBy("doc_id", "h").orderBy("start")  # one document's own chunks
-    marked = shared.dropDuplicates(["doc_id", "h", "start"]).withColumn("new", (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(of_doc), F.lit(-1))).cast("int"))
+    marked = marked.withColumn("new", (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(of_doc), F.lit(-1))).cast("int"))
     numbered = marked.withColumn("passage", F.sum("new").over(of_doc.rowsBetween(Window.unboundedPreceding, 0)))
     size = F.sum("length").over(Window.partitionBy("doc_id", "h", "passage"))
-    return numbered.withColumn("size", size).where(F.col("size") >= least).drop("new", "size").withColumn("duplicate", F.col("doc_id") > F.col("first_doc"))
+    found = numbered.withColumn("size", size).where(F.col("size") >= least).withColumn("duplicate", (F.col("doc_id") > F.col("first_doc")) | again)
+    return found.drop("new", "size", "own")
 
 
 def repeated_passages(docs: DataFrame, least: int = 96) -> DataFrame:
@@ -113,9 +120,9 @@ def repeated_passages(docs: DataFrame, least: int = 96) -> DataFrame:
     ).drop("h", "passage")
 
 
-def remove_repeats(docs: DataFrame, least: int = 96) -> DataFrame:
-    """``docs`` with the duplicate chunks of reported passages cut out of ``text``; all rows and columns stay."""
-    gone = repeated_chunks(docs, least).where("duplicate").groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("__gone")).withColumnsRenamed({"doc_id": "__id", "h": "__hash"})
+def remove_repeats(docs: DataFrame, least: int = 96, within: bool = False) -> DataFrame:
+    """``docs`` with the duplicate chunks of reported passages cut out of ``text``, ``within`` one document too; all rows and columns stay."""
+    gone = repeated_chunks(docs, least, within).where("duplicate").groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("__gone")).withColumnsRenamed({"doc_id": "__id", "h": "__hash"})
     joined = docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left").select(*docs.columns, "__gone")
     names, at = docs.columns, docs.columns.index("text")
 

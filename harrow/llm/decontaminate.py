@@ -18,6 +18,8 @@ from harrow.llm.store import Store
 
 #: Each keeps five words; 1 is compared, 0 is ignored.
 MASKS = ("11111", "1101011", "110010101")
+#: For whole items of 5 to 9 tokens with one substitution, by length: one of these fits beside or around any place.
+SHORT_MASKS = {5: ("111", "11011"), 6: ("111",), 7: ("111",), 8: ("1111",), 9: ("1111",)}
 #: Rows that are broadcast at most.
 BROADCAST_SEEDS, BROADCAST_LINES, BROADCAST_IDS = 500_000, 50_000, 1_000_000
 
@@ -27,14 +29,14 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def _seeds(words: Column, n: Column, masks: tuple[str, ...]) -> Column:
-    """An array of (mask, place, hash) for each place where a mask fits."""
+def _seeds(words: Column, n: Column, masks: tuple[str, ...], wanted: dict[str, Column] | None = None) -> Column:
+    """An array of (place, hash) for each place where a mask fits and, if it has one, its condition holds."""
     def places(k: int, mask: str) -> Column:
         kept = [i for i, c in enumerate(mask) if c == "1"]
         last = n - len(mask)
         at = lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(k), *[F.get(words, i + o) for o in kept]).alias("seed"))
         none = F.array().cast("array<struct<at:int,seed:bigint>>")
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), at)).otherwise(none)
+        return F.when((last >= 0) & (wanted or {}).get(mask, F.lit(True)), F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), at)).otherwise(none)
 
     return F.concat(*[places(k, mask) for k, mask in enumerate(masks)])
 
@@ -48,17 +50,24 @@ def _best_run(agree: Column, run: Column) -> Column:
     return F.array_max(sums)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[str, ...] = MASKS, similarity: float = 0.8, min_overlap: int = 20) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[str, ...] = MASKS, similarity: float = 0.8, min_overlap: int = 20, short_items: bool = False) -> DataFrame:
     """One row for each document and item that overlap: ``doc_id, item_id, n_places, similarity, start, length``.
 
     ``docs(doc_id, text)`` and ``items(item_id, text)``; ``n_places`` counts the line-ups that were
     verified, the other columns describe the best one, ``start`` counting the document's tokens.
+    With ``short_items``, items of 5 to 9 tokens get further masks, so that none with one substitution is missed.
     Null or empty texts and those of fewer than five tokens overlap with nothing, null ids are left out,
     repeated rows count once, other columns are ignored, and an empty table gives no rows.
     """
     test = items.where(F.col("item_id").isNotNull()).select("item_id", tokens(F.col("text")).alias("item")).distinct()
     test = store.save(test.withColumn("m", F.size("item")).where(F.col("m") >= 5), "items")
-    seeds = test.select("item_id", F.inline(_seeds(F.col("item"), F.col("m"), masks))).withColumnRenamed("at", "item_at").distinct()
+    wanted: dict[str, Column] = {}
+    if short_items:
+        lengths = {r["m"] for r in test.where(F.col("m") <= max(SHORT_MASKS)).select("m").distinct().collect()}  # five at most
+        for mask in sorted({x for m in lengths for x in SHORT_MASKS[m]} - set(masks)):
+            wanted[mask] = F.col("m").isin([m for m in lengths if mask in SHORT_MASKS[m]])
+            masks = (*masks, mask)
+    seeds = test.select("item_id", F.inline(_seeds(F.col("item"), F.col("m"), masks, wanted))).withColumnRenamed("at", "item_at").distinct()
     seeds = store.save(seeds, "seeds")
     words = docs.where(F.col("doc_id").isNotNull()).select("doc_id", tokens(F.col("text")).alias("words"))
     places = words.select("doc_id", F.inline(_seeds(F.col("words"), F.size("words"), masks)))
@@ -94,6 +103,6 @@ def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[s
 
 def clean(docs: DataFrame, items: DataFrame, store: Store, **options) -> DataFrame:
     """The rows of ``docs`` that overlap with no item; rows without an id stay."""
-    hit = store.save(contaminated(docs, items, store, **options).select("doc_id").distinct(), "hit")
+    hit = store.save(contaminated(docs, items, store, **{"short_items": True, **options}).select("doc_id").distinct(), "hit")
     hit = F.broadcast(hit) if hit.count() <= BROADCAST_IDS else hit
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)

@@ -43,7 +43,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Store(spark, "op4"))
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Store(spark, "op4"), short_items=True)
 
 
 def op5_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,9 +102,54 @@ def test_substitutions_are_tolerated(spark, store):
     assert [r["doc_id"] for r in decontaminate.contaminated(df, bench, store).collect()] == [1]
 
 
+def test_short_items_with_any_substitution(spark, store):
+    """Each item of 5 to 9 words with one substitution at each place, against all line-ups; two substitutions are too many."""
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(5, 10)}
+    docs, expected = [], set()
+    for n, words in items.items():
+        for k in range(n):
+            one = [w if i != k else "other" for i, w in enumerate(words)]
+            expected.add((len(docs), n))
+            docs.append(["before", *one, "after"])
+            docs.append([w if i != (k + 2) % n else "more" for i, w in enumerate(one)])
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, bench, store, short_items=True).collect()}
+    assert got == expected
+
+
 # ------------------------------------------------------------------ chunks
 
 
+def test_gear_hash_byte_by_byte():
+    rng = random.Random(9)
+    for n in (0, 1, 40, 3000):
+        data = "".join(rng.choice("ab cdé\n") for _ in range(n)).encode()
+        ends, last, h = [], 0, 0
+        for i, byte in enumerate(data):
+            h = ((h << 1) + int(chunk_dedup.GEAR[byte])) % 2**32
+            border = i + 1 == len(data) or data[i + 1] & 0xC0 != 0x80
+            size = i + 1 - last
+            if border and (size >= 16 and h >> 27 == 0 and size <= 256 or size >= 256):
+                ends.append(i + 1)
+                last = i + 1
+        if last < len(data):
+            ends.append(len(data))
+        assert chunk_dedup.cut_points(data) == ends
+
+
+def test_repeats_within_one_document(spark):
+    rng = random.Random(3)
+    prose = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    passage = prose(60)
+    text = f"{prose(30)} {passage} {prose(30)} {passage} {prose(20)}"
+    df = spark.createDataFrame([(1, text), (1, text), (2, prose(50))], "doc_id long, text string")
+    assert chunk_dedup.remove_repeats(df).where("doc_id = 1").first()["text"] == text
+    kept = chunk_dedup.remove_repeats(df, within=True)
+    cut = kept.where("doc_id = 1").first()["text"]
+    assert passage in cut and len(text) - len(passage) - 5 <= len(cut) < len(text) - len(passage) // 2 and kept.count() == 3
+
+
 def test_chunks_resist_insertions():
     rng = random.Random(1)
     text = " ".join(f"é{rng.randrange(10**6)}" for _ in range(400))
