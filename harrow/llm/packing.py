@@ -1,7 +1,7 @@
 """Best-fit packing of documents into fixed-length sequences (operator 9).
 
-The documents are range-sorted into runs of equal length; there are at most
-``capacity`` different lengths, and as many different gaps, however large the corpus.
+The documents are range-sorted into runs of equal length, of which there are at most
+``capacity``, and the sequences into runs of equal gaps, a few for each length, however large the corpus.
 Supersteps go through the document runs from long to short: a run sweeps the sorted
 gap runs from its successor (the smallest gap that holds it) upwards, as many
 documents as the gap run has are matched at once, the gaps shrink, and what is left
@@ -106,7 +106,7 @@ def pack(pieces: DataFrame, store: Store, capacity: int = 2048) -> DataFrame:
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
         salted.withColumn("within", F.row_number().over(within) - 1)
-        .join(F.broadcast(bases), ["length", "salt"])  # at most capacity x salts rows
+        .join(bases, ["length", "salt"])  # at most capacity x salts rows, dealt out like the pieces
         .withColumn("rank", F.col("base") + F.col("within"))
     )
     plan = spark.createDataFrame(match_runs(runs, capacity) or [], "length long, low long, high long, first long, offset long")

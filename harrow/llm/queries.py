@@ -23,6 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the token files."""
     store = Store(spark, "op1")
     folder = store.folder("files")
     index = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, store, tokenizer("byte_bpe_50k.json"))
@@ -30,44 +31,53 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document; rows without an id count as not held out."""
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return toxicity.score(docs.select("doc_id", "text", "lang"), model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "rejected"
     )
 
 
 def op4_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Store(spark, "op4"), short_items=True)
 
 
 def op5_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), Store(spark, "op5"))
+    """Links and components of all vectors."""
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), Store(spark, "op5"), mixed_lengths=True)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that match an earlier one."""
     cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), Store(spark, "op6"))
     return cleaned.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "text")
 
 
 def op7_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page."""
     return language.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"), Store(spark, "op7"))
 
 
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that a document shares with another."""
     return chunk_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset."""
     return packing.pack(packing.cut_pieces(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")), Store(spark, "op9"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), Store(spark, "op10"))
 
 

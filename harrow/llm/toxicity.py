@@ -1,7 +1,7 @@
 """Toxicity by a convolutional text classifier trained in numpy (operator 3).
 
 A word is the sum of hashed embeddings of the word itself and of its first four and five
-letters; filters of several widths slide over the words, each is max-pooled over the whole
+letters, those that several training texts have; filters of several widths slide over the words, each is max-pooled over the whole
 text, and a logistic layer gives the score.  Training sees a bounded, hash-chosen sample of
 labelled texts.  Thresholds for rejecting are calibrated by language on further labelled texts.
 """
@@ -36,6 +36,8 @@ class Settings:
     least_steps: int = 400
     batch: int = 50
     rate: float = 0.02
+    least_texts: int = 2  # training texts that a feature must occur in; others have a zero embedding
+    drop: float = 0.3  # share of the words that a training step leaves out
     seed: int = 11
 
 
@@ -138,16 +140,28 @@ def train(texts: list[str | None], labels: np.ndarray, settings: Settings) -> Mo
         m[rows] = 0.97 * m[rows] + 0.03 * grad * grad
         value[rows] -= s.rate * grad / np.sqrt(m[rows] + 1e-10)
 
+    # features of a single text would learn that text by heart, and untrained ones would be noise in every maximum
+    texts_with = np.zeros(s.buckets, np.int64)
+    for t in words:
+        texts_with[np.unique(_features(sorted(set(t)), s.buckets))] += 1
+    known = texts_with >= s.least_texts
+    model.embed[~known] = 0
+    weight = np.where(labels == 1, np.sqrt((labels == 0).sum() / (labels == 1).sum()), 1.0).astype(np.float32)
     order = np.array_split(rng.permutation(len(words)), max(1, len(words) // s.batch))
     batches = [_Batch([words[i] for i in part], s) for part in order]
     out_bias = np.zeros(1, np.float32)
-    for _ in range(max(s.epochs, s.least_steps // len(batches))):
+    values = [model.embed, model.bias, model.out, out_bias, *model.filters]
+    epochs = max(s.epochs, s.least_steps // len(batches))
+    means, counted = [np.zeros_like(v) for v in values], 0
+    for epoch in range(epochs):
         for k in rng.permutation(len(batches)):
             batch, y = batches[k], labels[order[k]].astype(np.float32)
+            whole = batch.word
+            batch.word = np.where(rng.random(len(whole)) < s.drop, len(batch.features), whole)
             pooled, where, vectors = _pooled(model, batch, True)
             hidden = np.maximum(pooled + model.bias, 0)
             p = 1 / (1 + np.exp(-np.clip(hidden @ model.out + out_bias[0], -30, 30)))
-            dz = (p - y) / len(y)
+            dz = (p - y) * weight[order[k]] / len(y)
             dh = np.outer(dz, model.out) * (hidden > 0)
             step(0, model.out, hidden.T @ dz)
             step(1, out_bias, np.array([dz.sum()], np.float32))
@@ -167,8 +181,15 @@ def train(texts: list[str | None], labels: np.ndarray, settings: Settings) -> Mo
             rows, back = np.unique(ids, return_inverse=True)
             grad = np.zeros((len(rows), s.dim), np.float32)
             np.add.at(grad, back, np.repeat(d_words[touched], 3, axis=0))
-            if len(rows):
-                step(99, model.embed, grad, rows)
+            if known[rows].any():
+                step(99, model.embed, grad[known[rows]], rows[known[rows]])
+            batch.word = whole
+        if 2 * epoch >= epochs - 1:  # the mean over the later half of the epochs varies less than the last step
+            counted += 1
+            for mean, value in zip(means, values):
+                mean += (value - mean) / counted
+    for mean, value in zip(means, values):
+        value[...] = mean
     model.out_bias = float(out_bias[0])
     return model
 
@@ -206,8 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     Rows whose crc32(doc_id as text) mod 5 is 0 are never looked at.  For each label the rows with
     the smallest id hashes are taken, ``train_rows`` to train and ``calibrate_rows`` to calibrate; so at most
-    2 x (train_rows + calibrate_rows) texts reach the driver.  A repeated id counts as toxic if
-    any of its rows does; null labels are left out.
+    2 x (train_rows + calibrate_rows) texts reach the driver, one for each id, whole.  A repeated id counts as toxic if
+    any of its labels does and gives its text with the least hash; null ids and labels are left out, and a null text is one without words.
     """
     rows = settings.train_rows + settings.calibrate_rows
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
@@ -217,8 +238,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     got = (
         docs.select("doc_id", "text", F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang"))
         .join(F.broadcast(sample), "doc_id")  # at most 2 x rows
+        .groupBy("doc_id", "toxic")
+        .agg(F.min_by(F.struct("text", "lang"), F.xxhash64("text", "lang")).alias("one"))
+        .select("doc_id", "toxic", "one.*")
         .toPandas()
-        .drop_duplicates("doc_id")
     )
     got["order"] = [zlib.crc32(f"order {d}".encode()) for d in got["doc_id"]]
     got = got.sort_values(["toxic", "order", "doc_id"])

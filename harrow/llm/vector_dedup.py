@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.components import connected_components
@@ -250,19 +250,22 @@ def count_links(units: DataFrame, roots: DataFrame, cosine: float, cell: int) ->
     return counted.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
 
 
-def near_duplicates(vectors: DataFrame, store: Store, cosine: float = 0.9, window: int = 512, recall: float = 0.995, cell: int = 2048, seed: int = 7) -> DataFrame:
+def near_duplicates(vectors: DataFrame, store: Store, cosine: float = 0.9, window: int = 512, recall: float = 0.995, cell: int = 2048, seed: int = 7, mixed_lengths: bool = False) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors(vec_id, embedding)``.
 
     Links are pairs of different ids with a cosine, in double precision, of at least ``cosine``.  Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing, as do rows
-    without an id.  Rows that repeat an id count as one vector (the first by value).  Vectors of
-    different lengths raise an error.  Other columns are ignored.
+    without an id.  Vectors of different lengths raise an error, or with ``mixed_lengths`` those of the commonest length
+    (the longest of these) link and the others with nothing.  Rows that repeat an id count as one vector (the first by value that can link).  Other columns are ignored.
     """
-    one = Window.partitionBy("vec_id").orderBy("unit")
-    units = store.save(unit_vectors(vectors).withColumn("k", F.row_number().over(one)).where("k = 1").drop("k"), "units")
-    n, shortest, longest = units.agg(F.count("*"), F.min(F.size("unit")), F.max(F.size("unit"))).first()
-    if shortest != longest:
+    valid = unit_vectors(vectors)
+    # one row for each length that occurs
+    lengths = valid.groupBy(F.size("unit").alias("length")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("length")).limit(2).collect()
+    if len(lengths) > 1 and not mixed_lengths:
         raise ValueError("the vectors differ in length")
+    valid = valid.where(F.size("unit") == (lengths[0]["length"] if lengths else 0))
+    units = store.save(valid.groupBy("vec_id").agg(F.min("unit").alias("unit")), "units")
+    n = units.count()
     roots = all_links(units, store, n, window, cosine, recall, seed)
     links = store.save(count_links(units, roots, cosine, cell), "links")
     found = vectors.select(F.col("vec_id").cast("long")).join(links, "vec_id", "left").join(roots, F.col("vec_id") == F.col("node"), "left")

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from harrow.llm import chunk_dedup, decontaminate, html_main, language, line_dedup, toxicity
 from harrow.llm.oracles import LINE_DEDUP, SEED_OVERLAPS
@@ -316,6 +317,33 @@ def test_toxicity_learns_and_calibrates(spark):
     assert 0 <= scored[5000]["score"] <= 1 and scored[5000]["score"] == scored[5001]["score"] and scored[None]["rejected"]
 
 
+def test_scores_against_plain_loops():
+    """Every window of every filter over every word, one by one."""
+    rows = labelled(120)
+    model = toxicity.train([r[1] for r in rows], np.array([r[3] for r in rows]), toxicity.Settings(epochs=1, least_steps=5))
+    s, texts = model.settings, [None, "", "one", "zorgah zorgbi x", *[r[1] for r in rows[:10]]]
+    expected = []
+    for text in texts:
+        words = [model.embed[toxicity._features([w], s.buckets)[0]].sum(axis=0) for w in toxicity.split_words(text)]
+        words += [np.zeros(s.dim)] * max(s.widths)
+        z, k = model.out_bias + model.shift, 0
+        for width, filters in zip(s.widths, model.filters):
+            for f in range(s.filters):
+                best = max(sum(float(words[i + j] @ filters[j * s.dim : (j + 1) * s.dim, f]) for j in range(width)) for i in range(len(words) - width + 1))
+                z += max(best + model.bias[k], 0) * model.out[k]
+                k += 1
+        expected.append(1 / (1 + np.exp(-z)))
+    assert np.allclose(toxicity.score_texts(model, texts), expected, atol=1e-4)
+
+
+def test_rows_that_repeat_a_sampled_id(spark):
+    rows = labelled(60)
+    docs = spark.createDataFrame([(r[0], r[1], r[2]) for r in rows] + [(2, "word " * 50000, "en")] * 3, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    one, two = (toxicity.fit(d, labels, toxicity.Settings(epochs=1, least_steps=2)) for d in (docs, docs.orderBy(F.desc("doc_id"))))
+    assert np.array_equal(one.out, two.out) and one.thresholds == two.thresholds
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
