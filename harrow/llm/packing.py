@@ -1,14 +1,17 @@
 """Best-fit packing of documents into fixed-length sequences (operator 9).
 
-The documents are range-sorted into runs of equal length, of which there are at most
-``capacity``, and the sequences into runs of equal gaps, a few for each length, however large the corpus.
-Supersteps go through the document runs from long to short: a run sweeps the sorted
-gap runs from its successor (the smallest gap that holds it) upwards, as many
-documents as the gap run has are matched at once, the gaps shrink, and what is left
-goes on to the next gap run or opens sequences.  This is best-fit decreasing for all
-documents of a run at once.  Which document of a run takes which gap is settled by its rank in
-the run, which Spark computes with salted windows, so only the run lengths and
-the matching of runs, both bounded by the capacity, are ever on the driver.
+Pieces over half a sequence open sequences of their own, and as many empty ones are opened as the rest of the
+tokens fill.  Then supersteps follow until every piece has a place:
+
+1. The pieces left and the gaps of the sequences are range-sorted by size in one table, pieces first where sizes agree.
+2. Each task sweeps its range upwards with a stack: a gap takes the largest pieces below it, as long as they fit.
+   So every piece goes to its successor among the gaps, and of the pieces that want one gap the largest wins.
+3. What a range leaves over, gaps without a piece and then pieces without a gap, is numbered.  From the counts of
+   each range alone the driver tells which ranks of pieces meet which ranks of gaps of higher ranges, nearest range
+   first, several pieces to a gap where the gaps are large enough; Spark joins them by rank.
+4. The gaps shrink, gaps that no piece fits wait for shorter pieces, and where no gap fits any piece, sequences are opened for the rest.
+
+The rounds deal with the longer pieces before the shorter ones, in a few bands of lengths.  Each round is written to the shared folder.  The driver sees a few numbers for each range and round, no documents.
 """
 
 from __future__ import annotations
@@ -16,9 +19,11 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +59,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
 
 
 def match_runs(runs: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """Match runs of equal lengths to runs of equal gaps.
+    """Best-fit decreasing in one process over runs of equal lengths: the yardstick for the number of sequences, not used by :func:`pack`.
 
     ``runs`` maps a length to how many pieces have it.  Returns segments
     ``(length, first rank, last rank, first sequence, offset)``: the pieces of that
@@ -87,35 +92,160 @@ def match_runs(runs: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return segments
 
 
-def pack(pieces: DataFrame, store: Store, capacity: int = 2048) -> DataFrame:
+PLACED, PIECE, GAP, USED = range(4)
+STATE = "kind int, id long, size long, seq long, at long"
+SWEPT = f"part int, rank long, {STATE}"
+
+
+def sweep_ranges(state: DataFrame, capacity: int) -> DataFrame:
+    """Range-sort pieces and gaps by size and sweep each range: what is ``PLACED``, the gaps ``USED``, and each ``PIECE``
+    (ranks from the largest) and ``GAP`` (ranks from the smallest) that its range leaves over."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        names = [f.split()[0] for f in SWEPT.split(", ")]
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], names=names)
+
+        stack: list[tuple[int, int]] = []  # (size, piece) without a gap so far, ascending
+        free = 0
+        for batch in batches:
+            rows = []
+            for kind, key, size in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if kind == PIECE:
+                    stack.append((size, key))
+                elif stack:
+                    left = size
+                    while stack and stack[-1][0] <= left:
+                        length, piece = stack.pop()
+                        rows.append((part, None, PLACED, piece, length, key, capacity - left))
+                        left -= length
+                    if left:
+                        rows.append((part, None, USED, key, left, None, None))
+                else:
+                    rows.append((part, free, GAP, key, size, None, None))
+                    free += 1
+            yield table(rows)
+        while stack:
+            some = [stack.pop() for _ in range(min(len(stack), 10_000))]
+            yield table([(part, free + k, PIECE, piece, size, None, None) for k, (size, piece) in enumerate(some)])
+            free += len(some)
+
+    rows = state.where(F.col("kind") != PLACED).select("kind", "id", "size")
+    order = ["size", "kind", "id"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, SWEPT)
+
+
+def match_ranges(ranges: list[tuple[int, int, int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Match the pieces that lower ranges leave over with the gaps that higher ranges leave over, nearest range first.
+
+    ``ranges`` holds ``(part, gaps, first gap rank, smallest gap, pieces, first piece rank, largest piece)`` in ascending order.  Returns
+    ``(piece part, first rank, last rank, gap part, first gap rank, pieces to a gap)``, at most two for each range.
+    """
+    waiting: list[list[int]] = []
+    found = []
+    for part, gaps, gap_rank, smallest, pieces, piece_rank, largest in ranges:
+        while gaps and waiting:
+            run = waiting[-1]
+            source, rank, n, length = run
+            each = smallest // length
+            take = min(n, gaps * each)
+            used = -(-take // each)
+            found.append((source, rank, rank + take - 1, part, gap_rank, each))
+            gaps, gap_rank = gaps - used, gap_rank + used
+            run[1:3] = rank + take, n - take
+            if take == n:
+                waiting.pop()
+        if pieces:
+            waiting.append([part, piece_rank, pieces, largest])
+    return found
+
+
+def superstep(state: DataFrame, store: Store, capacity: int) -> DataFrame:
+    """One round over ``state``: sweep the ranges, match what they leave over by rank, and shrink the gaps."""
+    swept = store.save(sweep_ranges(state, capacity), "swept")
+    over = swept.where(F.col("kind").isin(PIECE, GAP)).groupBy("part", "kind")
+    facts = over.agg(F.count("*").alias("n"), F.min("rank").alias("rank"), F.min("size").alias("low"), F.max("size").alias("high")).collect()  # two rows a range
+    gaps = {r["part"]: (r["n"], r["rank"], r["low"]) for r in facts if r["kind"] == GAP}
+    pieces = {r["part"]: (r["n"], r["rank"], r["high"]) for r in facts if r["kind"] == PIECE}
+    none = (0, 0, 0)
+    matches = match_ranges([(p, *gaps.get(p, none), *pieces.get(p, none)) for p in sorted(gaps | pieces)])
+    plan = F.broadcast(store.spark.createDataFrame(matches, "source int, low long, high long, target int, first long, each long"))
+    taken = F.broadcast(plan.select("target", "first", (F.col("first") + F.floor((F.col("high") - F.col("low")) / F.col("each"))).alias("last")))
+
+    left = swept.where(F.col("kind") == PIECE).select("part", "rank", "id", "size").join(plan, (F.col("part") == F.col("source")) & F.col("rank").between(F.col("low"), F.col("high")), "left")
+    free = swept.where(F.col("kind") == GAP).select(F.col("part").alias("target"), F.col("rank").alias("place"), F.col("id").alias("seq"), F.col("size").alias("gap"))
+    place = (F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("each"))).alias("place")
+    met = left.where("source IS NOT NULL").select("id", "size", "rank", "target", place).join(free, ["target", "place"])
+    by_rank = Window.partitionBy("seq").orderBy("rank")
+    met = met.select("id", "size", "seq", "gap", F.sum("size").over(by_rank).alias("filled"), F.lead("id").over(by_rank).isNull().alias("last"))
+    rest, null = F.col("gap") - F.col("filled"), F.lit(None).cast("long")
+
+    def row(kind: int, *columns):
+        return F.struct(*(c.alias(n) for c, n in zip((F.lit(kind), *columns), ("kind", "id", "size", "seq", "at"))))
+
+    placed = row(PLACED, F.col("id"), F.col("size"), F.col("seq"), F.lit(capacity).cast("long") - rest - F.col("size"))
+    shrunk = F.when(F.col("last") & (rest > 0), row(GAP, F.col("seq"), rest, null, null))
+    columns = ["kind", "id", "size", "seq", "at"]
+    swept_on = F.when(F.col("kind") == USED, GAP).otherwise(F.col("kind")).alias("kind")
+    unmet = free.alias("f").join(taken.alias("t"), (F.col("f.target") == F.col("t.target")) & F.col("place").between(F.col("first"), F.col("last")), "left_anti")
+    after = store.save(
+        swept.where(F.col("kind").isin(PLACED, USED)).select(swept_on, *columns[1:])
+        .unionByName(met.select(F.inline(F.filter(F.array(placed, shrunk), lambda x: x.isNotNull()))))
+        .unionByName(left.where("source IS NULL").select(F.lit(PIECE).alias("kind"), "id", "size", null.alias("seq"), null.alias("at")))
+        .unionByName(unmet.select(F.lit(GAP).alias("kind"), F.col("seq").alias("id"), F.col("gap").alias("size"), null.alias("seq"), null.alias("at"))),
+        "round",
+    )
+    store.drop(swept)
+    return after
+
+
+def pack(pieces: DataFrame, store: Store, capacity: int = 2048, bands: tuple[int, ...] = (4, 8, 16, 32, 64)) -> DataFrame:
     """Give every piece its ``sequence_id`` and ``offset``; see the module text.
 
-    Equal pieces (same id, number and checksum) are told apart by rank alone.  An
+    ``bands`` are the parts of a sequence at which the pieces are divided: longer ones find their places first, so that the shortest are left to fill up.
+    Equal pieces (same id, number and checksum) are told apart by their rows in the written table.  An
     empty table packs into nothing.
     """
     spark = store.spark
-    pieces = store.save(pieces, "pieces")
-    runs = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    if max(runs, default=0) > capacity:
+    columns = pieces.columns
+    pieces = store.save(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    alone = 2 * F.col("length") > capacity
+    facts = pieces.agg(F.max("length").alias("most"), F.sum("length").alias("total"), F.count_if(alone).alias("alone")).first()
+    if (facts["most"] or 0) > capacity:
         raise ValueError("a piece is longer than a sequence")
-    salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
-    counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = (
-        salted.withColumn("within", F.row_number().over(within) - 1)
-        .join(bases, ["length", "salt"])  # at most capacity x salts rows, dealt out like the pieces
-        .withColumn("rank", F.col("base") + F.col("within"))
-    )
-    plan = spark.createDataFrame(match_runs(runs, capacity) or [], "length long, low long, high long, first long, offset long")
-    # the plan has a few segments a length, however many pieces there are
-    return (
-        ranked.join(F.broadcast(plan), "length")
-        .where(F.col("rank").between(F.col("low"), F.col("high")))
-        .select(
-            "doc_id", "piece", "start", "length", "ids_crc32",
-            (F.col("first") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset",
-        )
-    )
+
+    def empty(first: int, n: int) -> DataFrame:
+        """Rows of new sequences, numbered from -1 down; those of long pieces have the numbers of their rows."""
+        return spark.range(n).selectExpr(f"{GAP} kind", f"-1 - {first} - id AS id", f"{capacity}L size", "CAST(NULL AS long) seq", "CAST(NULL AS long) at")
+
+    def sequences(tokens: int) -> int:
+        return -(-tokens // capacity)
+
+    opened = max(0, sequences(facts["total"] or 0) - facts["alone"])
+    none = "CAST(NULL AS long)"
+    placed = [pieces.where(alone).selectExpr(f"{PLACED} kind", "row id", "length size", "row seq", "0L at")]
+    gaps = pieces.where(alone & (F.col("length") < capacity)).selectExpr(f"{GAP} kind", "row id", f"{capacity} - length size", f"{none} seq", f"{none} at").unionByName(empty(0, opened))
+    tops = [capacity // 2, *(capacity // d for d in bands)]
+    for top, floor in zip(tops, [*tops[1:], 0]):
+        band = pieces.where(F.col("length").between(floor + 1, top)).selectExpr(f"{PIECE} kind", "row id", "length size", f"{none} seq", f"{none} at")
+        state, narrow = gaps.unionByName(band), []
+        while True:
+            measured = state.groupBy("kind").agg(F.sum("size").alias("total"), F.min("size").alias("low"), F.max("size").alias("high"))
+            found = {r["kind"]: r for r in measured.collect()}
+            if PIECE not in found:
+                break
+            fits = (F.col("kind") == PIECE) | (F.col("size") >= found[PIECE]["low"])
+            narrow.append(state.where(~fits))
+            state = state.where(fits)
+            if GAP not in found or found[GAP]["high"] < found[PIECE]["low"]:
+                more = sequences(found[PIECE]["total"])
+                state, opened = state.unionByName(empty(opened, more)), opened + more
+            after = superstep(state, store, capacity)
+            placed.append(after.where(F.col("kind") == PLACED))
+            state = after.where(F.col("kind") != PLACED)
+        gaps = reduce(DataFrame.unionByName, narrow, state)
+    places = reduce(DataFrame.unionByName, placed).select(F.col("id").alias("row"), F.col("seq").alias("sequence_id"), F.col("at").alias("offset"))
+    return pieces.join(places, "row").select(*columns, "sequence_id", "offset")

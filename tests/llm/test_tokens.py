@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -124,3 +124,22 @@ def test_matching_is_best_fit_decreasing():
         assert len(used) == len(gaps) and sum(held.values()) == sum(items)
     with pytest.raises(ZeroDivisionError):
         packing.match_runs({11: 1}, 10)
+
+
+def test_ranges_match_nearest_first_and_in_bulk():
+    # range 0 leaves three pieces of at most 10, range 1 two of at most 25, range 2 has three gaps of at least 30
+    assert packing.match_ranges([(0, 0, 0, 0, 3, 0, 10), (1, 0, 0, 0, 2, 0, 25), (2, 3, 0, 30, 0, 0, 0)]) == [(1, 0, 1, 2, 0, 1), (0, 0, 2, 2, 2, 3)]
+    # a lower gap never takes a piece of its own or a higher range
+    assert packing.match_ranges([(0, 2, 0, 5, 4, 2, 7)]) == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_supersteps_come_near_best_fit_decreasing(spark, store, seed):
+    rng = np.random.default_rng(seed)
+    lengths = [rng.integers(1, 101, 400), np.concatenate([np.ones(900, int), rng.integers(1, 60, 200)]), rng.choice([1, 7, 33, 34, 50, 51, 100], 500)][seed]
+    df = spark.createDataFrame([(int(i), 0, 0, int(n), 0) for i, n in enumerate(lengths)], packing.PIECES)
+    out = packing.pack(df, store, capacity=100).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in out) == list(enumerate(map(int, lengths)))
+    used = check_packing(out, 100)
+    best = max(first + high - low for _, low, high, first, _ in packing.match_runs(Counter(map(int, lengths)), 100)) + 1
+    assert used <= best + max(2, best // 50)
