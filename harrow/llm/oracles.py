@@ -64,3 +64,55 @@ SELECT doc_id, item_id, count(DISTINCT shift) AS n_places, max(similarity) AS si
        CAST(arg_min(start, (-similarity, -run, start)) AS BIGINT) AS start, CAST(arg_min(run, (-similarity, -run, start)) AS BIGINT) AS length
 FROM best GROUP BY doc_id, item_id
 """
+
+#: The cuts drawn from the digest of the id; the text rebuilt is the text itself.
+FILL_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         list_transform([1, 9, 17, 25], lambda i: ('0x' || sha256('42:' || doc_id)[i:i + 7])::BIGINT) AS h
+  FROM documents
+), cuts AS (
+  SELECT doc_id, text, u, len(u) AS n, list_sort([h[1] % (len(u) + 1), h[2] % (len(u) + 1)]) AS c,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), sizes AS (
+  SELECT *, coalesce(list_sum(list_transform(u[:c[1]], lambda x: length(x))), 0)::BIGINT AS p, coalesce(list_sum(list_transform(u[c[1] + 1:c[2]], lambda x: length(x))), 0)::BIGINT AS m FROM cuts
+), parts AS (
+  SELECT *, left(text, p) AS prefix, substr(text, p + 1, m) AS middle, substr(text, p + m + 1) AS suffix FROM sizes
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+#: CRC-32 over the UTF-8 bytes of each distinct word by a table of 256 values, then bucket gains, weights and the draw.
+IMPORTANCE = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), words AS (
+  SELECT 'd' AS side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 'b', NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), bytes AS (
+  SELECT w, list_transform(range(len(hex(encode(w))) // 2), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT) AS b FROM (SELECT DISTINCT w FROM words)
+), buckets AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc_table
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM words JOIN buckets USING (w) GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts, totals
+), sums AS (
+  SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS g FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce((g - ((g % n + n) % n)) // n, 0) AS weight,
+         coalesce((g - ((g % n + n) % n)) // n, 0) + CAST(floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN sums USING (doc_id)
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS eligible FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * eligible // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)
+"""

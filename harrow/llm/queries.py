@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import chunk_dedup, decontaminate, html_main, language, line_dedup, packing, simhash, token_files, toxicity, vector_dedup
-from harrow.llm.oracles import LINE_DEDUP, SEED_OVERLAPS
+from harrow.llm import byte_bpe, chunk_dedup, decontaminate, fill_middle, html_main, importance, language, line_dedup, packing, simhash, token_files, toxicity, vector_dedup
+from harrow.llm.oracles import FILL_MIDDLE, IMPORTANCE, LINE_DEDUP, SEED_OVERLAPS
 from harrow.llm.store import Store
 
 
@@ -81,13 +81,31 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), Store(spark, "op10"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes that they decode to."""
+    import public_tokenizers
+
+    return byte_bpe.token_digests(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, sizes and digests of every document's fill-in-the-middle text, and of the text rebuilt from it."""
+    columns = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return fill_middle.transform(_table(spark, sf_dir, "documents"), columns=columns)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight and score towards the benchmark's words, with the ranks of those drawn."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Store(spark, "op13"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_token_files, op2_html_main_text, op3_toxicity, op4_benchmark_overlaps, op5_vector_near_duplicates,
-        op6_line_dedup, op7_page_language, op8_repeated_passages, op9_packing, op10_simhash,
+        op6_line_dedup, op7_page_language, op8_repeated_passages, op9_packing, op10_simhash, op11_byte_bpe, op12_fill_middle, op13_importance,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP, "op4_benchmark_overlaps": SEED_OVERLAPS}
+    return {"op6_line_dedup": LINE_DEDUP, "op4_benchmark_overlaps": SEED_OVERLAPS, "op12_fill_middle": FILL_MIDDLE, "op13_importance": IMPORTANCE}
