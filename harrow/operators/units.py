@@ -2,7 +2,7 @@
 
 A leading number of a unit is folded into the value unless the unit as written has a rule of its
 own; then the rule of the row's commodity applies, or else the fallback rule of the unit.
-All steps are column expressions and joins with the broadcast rule table.
+The commodity and the unit alone decide this, so it is done once for each distinct pair of them.
 """
 
 from __future__ import annotations
@@ -18,8 +18,11 @@ from pyspark.sql.types import StringType
 from harrow.functions import numbers, text
 from harrow.operators.frames import canonical_cells
 from harrow.operators.duplicates import duplicate_rows, sum_duplicates
+from harrow.operators.pairs import distinct_cells, join_back
 from harrow.settings import CONVERSION_ALIASES, CONVERSION_COLUMNS, FALLBACK_COMMODITY, HarmonizeError
+from harrow.workspace import Workspace
 
+# Fixed value: the pattern of a unit with a leading number.
 _PREFIX = r"^(\s*[0-9][0-9.,]*(?:[eE][+-]?[0-9]+)?)[ _-]+(.+)$"
 PREPARED = (
     "commodity_key string, unit_source string, unit_target string, unit_factor string, unit_offset string, source_rule_sheet string, "
@@ -86,16 +89,17 @@ def conversion_table(spark: SparkSession, rules: list[dict]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Standardized:
-    """``rows`` has the dataset with the working columns; the others derive from it lazily."""
+    """``data`` is the dataset; ``pairs`` has each distinct commodity and unit with its count and its conversion, ``counts`` the rules that were used."""
 
     data: DataFrame
-    rows: DataFrame
+    pairs: DataFrame
     counts: DataFrame
 
     def matched_and_unmatched(self) -> tuple[int, int]:
         """Rows that a rule converted, and rows with a unit that none matched."""
         named = F.coalesce(F.col("__key") != "", F.lit(False))
-        found = self.rows.agg(F.count_if("__matched"), F.count_if(~F.col("__matched") & named)).first()
+        total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+        found = self.pairs.agg(total(F.col("__matched")), total(~F.col("__matched") & named)).first()
         return found[0], found[1]
 
 
@@ -106,27 +110,22 @@ def non_numeric_values(df: DataFrame, value: str) -> Column:
     return c.isNotNull() & (F.trim(c) != "") & numbers.parse_padded_double(c).isNull()
 
 
-def standardize(df: DataFrame, rules: list[dict], unit: str = "unit", value: str = "value", commodity: str = "commodity", check: bool = True) -> Standardized:
-    """``df`` with values and units converted; other columns and rows without a matching rule stay.
+#: What a commodity and a unit alone decide.
+DECIDED = ("__key", "__prefix", "__unit", "__matched", "__rule", "__target", "__factor", "__offset")
 
-    ``check`` looks for values that aren't numbers first, and raises an error with some of them.
+
+def convert_units(pairs: DataFrame, rules: list[dict]) -> DataFrame:
+    """``pairs`` of ``__c`` and ``__u`` with what the rules make of them: the folded prefix and key, and the rule that applies.
+
+    It needs joins with the broadcast rule table only, so it takes a stream's rows as well as a table of distinct pairs.
     """
-    for c in (unit, value, commodity):
-        if c not in df.columns:
-            raise HarmonizeError(f"column '{c}' is missing")
-    if check and isinstance(df.schema[value].dataType, StringType):
-        bad = [r[0] for r in df.where(non_numeric_values(df, value)).select(value).distinct().limit(5).collect()]
-        if bad:
-            raise HarmonizeError(f"value column has values that are not numbers: {', '.join(bad)}")
-    raw_value = numbers.parse_padded_double(F.col(value)) if isinstance(df.schema[value].dataType, StringType) else F.col(value).cast("double")
-    raw = F.col(unit).cast("string")
-    prefix = F.nullif(F.regexp_extract(raw, _PREFIX, 1), F.lit(""))
-    base = F.nullif(F.regexp_extract(raw, _PREFIX, 2), F.lit(""))
+    prefix = F.nullif(F.regexp_extract("__u", _PREFIX, 1), F.lit(""))
+    base = F.nullif(F.regexp_extract("__u", _PREFIX, 2), F.lit(""))
     number = numbers.parse_padded_double(F.replace(prefix, F.lit(","), F.lit("")))
-    rows = df.withColumns({"__raw": raw, "__value": raw_value, "__own": text.normalize(raw), "__commodity": text.normalize(F.col(commodity).cast("string")), "__number": number, "__base": base})
+    rows = pairs.withColumns({"__own": text.normalize(F.col("__u")), "__commodity": text.normalize(F.col("__c")), "__number": number, "__base": base})
     rows = rows.withColumn("__fold", F.coalesce(F.col("__number").isNotNull() & ~F.col("__number").isin(1.0, float("inf")), F.lit(False)))
     if rules:
-        table = conversion_table(df.sparkSession, rules).select("commodity_match_key", "unit_source_key", "unit_target", F.col("unit_factor_num").alias("factor"), F.col("unit_offset_num").alias("offset"))
+        table = conversion_table(pairs.sparkSession, rules).select("commodity_match_key", "unit_source_key", "unit_target", F.col("unit_factor_num").alias("factor"), F.col("unit_offset_num").alias("offset"))
         named = lambda p: table.select(*[F.col(c).alias(f"{p}_{c}") for c in table.columns])
         fallback = lambda p: named(p).where(F.col(f"{p}_commodity_match_key") == FALLBACK_COMMODITY).drop(f"{p}_commodity_match_key")
         # a prefixed unit that has a rule as written isn't folded
@@ -134,12 +133,7 @@ def standardize(df: DataFrame, rules: list[dict], unit: str = "unit", value: str
         rows = rows.join(F.broadcast(fallback("v").select("v_unit_source_key", F.lit(True).alias("v_any"))), F.col("__fold") & (F.col("__own") == F.col("v_unit_source_key")), "left")
         rows = rows.withColumn("__fold", F.col("__fold") & F.col("w_own").isNull() & F.col("v_any").isNull())
     folded = lambda a, b: F.when(F.col("__fold"), a).otherwise(b)
-    rows = rows.withColumns({
-        "__prefix": folded(F.col("__number"), F.lit(1.0)),
-        "__key": folded(text.normalize(F.col("__base")), F.col("__own")),
-        "__scaled": folded(F.col("__value") * F.col("__number"), F.col("__value")),
-        "__unit": folded(F.trim(F.col("__base")), F.col("__raw")),
-    })
+    rows = rows.withColumns({"__prefix": folded(F.col("__number"), F.lit(1.0)), "__key": folded(text.normalize(F.col("__base")), F.col("__own")), "__unit": folded(F.trim(F.col("__base")), F.col("__u"))})
     if rules:
         rows = rows.join(F.broadcast(named("s")), (F.col("__commodity") == F.col("s_commodity_match_key")) & (F.col("__key") == F.col("s_unit_source_key")), "left")
         rows = rows.join(F.broadcast(fallback("f")), F.col("__key") == F.col("f_unit_source_key"), "left")
@@ -152,18 +146,46 @@ def standardize(df: DataFrame, rules: list[dict], unit: str = "unit", value: str
         })
     else:
         rows = rows.withColumns({"__matched": F.lit(False), "__rule": F.lit(None).cast("string"), "__target": F.lit(None).cast("string"), "__factor": F.lit(None).cast("double"), "__offset": F.lit(None).cast("double")})
-    matched = F.col("__matched")
-    new_value = F.when(matched, F.col("__scaled") * F.col("__factor") + F.col("__offset")).otherwise(F.col("__scaled"))
-    new_unit = F.when(matched, F.col("__target")).otherwise(F.col("__unit"))
+    return rows.select(*pairs.columns, "__commodity", *DECIDED)
+
+
+def standardize(
+    df: DataFrame, rules: list[dict], unit: str = "unit", value: str = "value", commodity: str = "commodity", check: bool = True, workspace: Workspace | None = None
+) -> Standardized:
+    """``df`` with values and units converted; other columns and rows without a matching rule stay.
+
+    Each distinct commodity and unit is folded and matched once and joined back; a stream is converted row by row.
+    ``check`` looks for values that aren't numbers first, and raises an error with some of them.
+    """
+    for c in (unit, value, commodity):
+        if c not in df.columns:
+            raise HarmonizeError(f"column '{c}' is missing")
+    textual = isinstance(df.schema[value].dataType, StringType)
+    if check and textual:
+        bad = [r[0] for r in df.where(non_numeric_values(df, value)).select(value).distinct().limit(5).collect()]
+        if bad:
+            raise HarmonizeError(f"value column has values that are not numbers: {', '.join(bad)}")
+    cells = {"__c": F.col(commodity).cast("string"), "__u": F.col(unit).cast("string")}
+    if df.isStreaming:
+        pairs = rows = convert_units(df.withColumns({**cells, "n": F.lit(1).cast("long")}), rules)
+    else:
+        workspace = workspace or Workspace(df.sparkSession, "units")
+        distinct, seen = distinct_cells(df, cells, workspace)
+        pairs = workspace.save(convert_units(distinct, rules), "units")
+        rows = join_back(df, cells, pairs.select(*cells, "n", *DECIDED), seen["rows"])
+    raw = numbers.parse_padded_double(F.col(value)) if textual else F.col(value).cast("double")
+    scaled = raw * F.col("__prefix")
+    new_value = F.when(F.col("__matched"), scaled * F.col("__factor") + F.col("__offset")).otherwise(scaled)
+    new_unit = F.when(F.col("__matched"), F.col("__target")).otherwise(F.col("__unit"))
     data = rows.select(*[new_value.alias(c) if c == value else new_unit.alias(c) if c == unit else F.col(c) for c in df.columns])
-    keys = [F.col("__rule").alias(COUNTS[0]), F.col("__commodity").alias(COUNTS[1]), F.col("__key").alias(COUNTS[2]), F.col("__raw").alias(COUNTS[3]), F.col("__factor").alias(COUNTS[4]), F.col("__prefix").alias(COUNTS[5])]
-    counts = rows.where(matched).groupBy(*keys).agg(F.count("*").alias("affected_rows")).withColumn("unit_factor_effective", F.col("rule_multiplier") * F.col("detected_prefix"))
-    return Standardized(data, rows, counts)
+    keys = ("__rule", "__commodity", "__key", "__u", "__factor", "__prefix")
+    counts = pairs.where("__matched").groupBy(*[F.col(k).alias(c) for k, c in zip(keys, COUNTS)]).agg(F.sum("n").alias("affected_rows")).withColumn("unit_factor_effective", F.col("rule_multiplier") * F.col("detected_prefix"))
+    return Standardized(data, pairs, counts)
 
 
-def standardize_layer(df: DataFrame, rules: list[dict], aggregate: bool = True) -> tuple[DataFrame, Standardized, DataFrame]:
+def standardize_layer(df: DataFrame, rules: list[dict], aggregate: bool = True, workspace: Workspace | None = None) -> tuple[DataFrame, Standardized, DataFrame]:
     """Standardize, bring cells into canonical form and sum the rows that became equal; also the rows that were summed."""
-    result = standardize(df, rules)
+    result = standardize(df, rules, workspace=workspace)
     data = canonical_cells(result.data)
     if not aggregate:
         return data, result, data.limit(0)

@@ -5,13 +5,15 @@ from __future__ import annotations
 import warnings
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from harrow.functions import numbers, text
 from harrow.operators.frames import diagonal_union
+from harrow.operators.places import places_in_groups
 from harrow.settings import AUDIT_COLUMNS, BASE_COLUMNS, CANONICAL_COLUMNS, HarmonizeError
+from harrow.workspace import Workspace
 
 FIRST_YEAR = 1900
 MANDATORY, YEAR, DUPLICATE = 1, 2, 3
@@ -19,26 +21,13 @@ FINDINGS = "row_index long, audit_column string, audit_type string, audit_messag
 FINDING_MESSAGES = {"character_non_empty": "value must be a non-empty character string", "numeric_string": "value must be a numeric string"}
 
 
-def numbered(df: DataFrame, order: list[str]) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], workspace: Workspace | None = None) -> DataFrame:
     """``df`` in the order of files by first appearance, with ``_file_rank``, ``_row_in_file`` and ``_global_row``.
 
-    ``order`` gives each row's place.  Files are ranked on a table of one row a file, and
-    rows are numbered inside their file, so no window spans all rows.
+    ``order`` gives each row's place.  Rows are sorted and numbered by ranges, so a file of any size is spread over all tasks.
     """
-    place = F.struct(*order)
-    files = df.groupBy("file").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
-    by_first = Window.orderBy("_first")
-    ranked = files.select(
-        F.col("file").alias("_of"), F.row_number().over(by_first).alias("_file_rank"),
-        F.coalesce(F.sum("_n").over(by_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-    )
-    own = F.row_number().over(Window.partitionBy("file").orderBy(*order))
-    return (
-        df.withColumn("_row_in_file", own)
-        .join(ranked, F.col("file").eqNullSafe(F.col("_of")))
-        .withColumn("_global_row", F.col("_before") + F.col("_row_in_file"))
-        .drop("_of", "_before")
-    )
+    rows = places_in_groups(df, "file", order, workspace or Workspace(df.sparkSession, "numbered"))
+    return rows.withColumnsRenamed({"_rank": "_file_rank", "_in_group": "_row_in_file", "_place": "_global_row"})
 
 
 def _error(kind: int, a: Column, b: Column, message: Column) -> list[Column]:
@@ -78,7 +67,7 @@ def duplicate_errors(rows: DataFrame) -> DataFrame:
     return groups.select(*_error(DUPLICATE, F.col("_at"), F.lit(1), message))
 
 
-def validate_long(df: DataFrame, order: list[str], required: tuple[str, ...] = BASE_COLUMNS, current_year: int | None = None) -> tuple[DataFrame, DataFrame]:
+def validate_long(df: DataFrame, order: list[str], required: tuple[str, ...] = BASE_COLUMNS, current_year: int | None = None, workspace: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
     """``df`` with all required columns, and its errors ``file_rank, type_rank, key_a, key_b, message``.
 
     ``order`` names the columns that give the rows' places.  Errors are ordered by their four ranks; missing values come first in a
@@ -90,7 +79,7 @@ def validate_long(df: DataFrame, order: list[str], required: tuple[str, ...] = B
         raise HarmonizeError("validation needs a 'year' column")
     missing = {c: F.lit(None).cast("string") for c in required if c not in df.columns}
     df = df.withColumns(missing) if missing else df
-    rows = numbered(df, order)
+    rows = numbered(df, order, workspace)
     last = (current_year if current_year is not None else date.today().year) + 1
     errors = diagonal_union([mandatory_errors(rows, required), year_errors(rows, last), duplicate_errors(rows)])
     return df, errors.orderBy("file_rank", "type_rank", "key_a", "key_b")

@@ -24,9 +24,9 @@ class Ingested:
     validation_errors: DataFrame
 
 
-def ingest_rows(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+def ingest_rows(rows: DataFrame, settings: Settings, workspace: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
     """Consolidated facts of long rows that carry their places, and their validation errors."""
-    checked, errors = validate_long(drop_null_values(rows) if settings.drop_nulls else rows, PLACE, settings.required, settings.current_year)
+    checked, errors = validate_long(drop_null_values(rows) if settings.drop_nulls else rows, PLACE, settings.required, settings.current_year, workspace)
     data = consolidate([checked.drop(*PLACE, "_error", "iso_whep")])
     return canonical_order(canonical_cells(data)), errors
 
@@ -46,7 +46,7 @@ def run_ingest(spark: SparkSession, settings: Settings, workspace: Workspace) ->
     rows = workspace.save(read_long(spark, str(settings.raw), settings.required), "long")
     named = files.where(F.col("error_message").isNotNull()).select(F.col("file_path").alias("_path"), F.col("error_message").alias("_error"))
     reading = named.unionByName(rows.where(F.col("_error").isNotNull()).select("_path", "_error"))
-    data, errors = ingest_rows(rows.where(F.col("_error").isNull()), settings)
+    data, errors = ingest_rows(rows.where(F.col("_error").isNull()), settings, workspace)
     result = Ingested(data, reading, errors)
     if settings.checkpoints:
         for name in ("data", "reading_errors", "validation_errors"):

@@ -55,7 +55,7 @@ def run_postpro(raw: DataFrame, settings: Settings, workspace: Workspace, datase
     clean = run_stage(audited, files["clean"], "clean", workspace, settings.passes("clean"), dataset_name)
     clean_df = workspace.save(canonical_cells(clean.data), "clean")
     conversions = read_conversions(settings.rules("standardize"))
-    normalized, standardized, _ = units.standardize_layer(clean_df, conversions)
+    normalized, standardized, _ = units.standardize_layer(clean_df, conversions, workspace=workspace)
     normalize_df = workspace.save(canonical_cells(normalized), "normalize")
     harmonize = run_stage(normalize_df, files["harmonize"], "harmonize", workspace, settings.passes("harmonize"), dataset_name)
     harmonize_df = workspace.save(canonical_cells(harmonize.data), "harmonize")

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions import numbers, text
-from harrow.operators import duplicates, frames, lists, reshape, summaries, units, validate
+from harrow.operators import duplicates, frames, lists, places, reshape, summaries, units, validate
 from harrow.rules.apply import apply_group
 from harrow.rules.stage import run_stage
 from harrow.rules.table import groups, rule_file
@@ -218,20 +218,27 @@ def canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.canonical_order(table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("commodity"), F.col("c_name").alias("polity"), F.col("c_acctbal").alias("value")))
 
 
-def _with_places(df: DataFrame, workspace: Workspace) -> DataFrame:
-    """The rows of a sorted frame with their places."""
-    rows = workspace.save(df.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()), "ordered")
-    sizes = rows.groupBy("__part").agg(F.count("*").alias("n"), F.min("__row").alias("__first"))
-    # one row a partition
-    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(F.broadcast(sizes.select("__part", "__first", before.alias("__before"))), "__part").withColumn("place", F.col("__row") - F.col("__first") + F.col("__before") + 1).drop("__part", "__row", "__first", "__before")
-
-
 @query("SELECT c_mktsegment AS commodity, c_name AS polity, row_number() OVER (ORDER BY c_name, c_mktsegment) AS place FROM customer")
 def canonical_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place that the canonical order gives to each row."""
     facts = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("commodity"), F.col("c_name").alias("polity"))
-    return _with_places(frames.canonical_order(facts), Workspace(spark, "places"))
+    order = [F.col(c).asc_nulls_last() for c in ("polity", "commodity")]
+    return places.row_numbers(facts, order, "place", Workspace(spark, "places"))
+
+
+_SIZES = """facts AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 6 THEN 'big' WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_returnflag END AS file FROM lineitem),
+firsts AS (SELECT file, min(l_orderkey * 10 + l_linenumber) AS f, count(*) AS n FROM facts GROUP BY file),
+files AS (SELECT file, row_number() OVER (ORDER BY f) AS file_rank, coalesce(sum(n) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM firsts)"""
+
+
+@query(f"""WITH {_SIZES}, numbered AS (SELECT facts.*, file_rank, before, row_number() OVER (PARTITION BY facts.file ORDER BY l_orderkey, l_linenumber) AS r FROM facts JOIN files ON facts.file IS NOT DISTINCT FROM files.file)
+SELECT l_orderkey, l_linenumber, file_rank::BIGINT AS file_rank, r::BIGINT AS row_in_file, (before + r)::BIGINT AS global_row FROM numbered""")
+def places_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all lines, most of which lie in one file."""
+    file = F.when(F.col("l_linenumber") <= 6, "big").when(F.col("l_orderkey") % 3 != 0, F.col("l_returnflag"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", file.alias("file"))
+    rows = validate.numbered(lines, ["l_orderkey", "l_linenumber"], Workspace(spark, "places"))
+    return rows.select("l_orderkey", "l_linenumber", F.col("_file_rank").alias("file_rank"), F.col("_row_in_file").alias("row_in_file"), F.col("_global_row").alias("global_row"))
 
 
 # ---------------------------------------------------------------- validation and audit
@@ -371,6 +378,18 @@ def rule_concatenate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_group(df, groups(_rules([("4-not specified", "4-not specified", "#ANY#", "b; a")], target="notes"))[0], Workspace(spark, "rules")).data
 
 
+_MOSTLY_NULL = "SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 = 0 THEN l_returnflag END AS commodity, CASE WHEN l_orderkey % 10 = 0 THEN l_partkey::VARCHAR || ';x' END AS unit FROM lineitem"
+
+
+@query(f"""WITH f AS ({_MOSTLY_NULL}) SELECT l_orderkey, l_linenumber, CASE WHEN commodity IS NULL THEN 'none' WHEN commodity = 'A' THEN 'by air' ELSE commodity END AS commodity,
+  CASE WHEN commodity = 'A' THEN replace(unit, ';x', '; y') ELSE unit END AS unit FROM f""")
+def rule_hot_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rewrites of lines, nine tenths of which have the same pair of null cells."""
+    rare = F.col("l_orderkey") % 10 == 0
+    cells = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(rare, F.col("l_returnflag")).alias("commodity"), F.when(rare, F.concat(F.col("l_partkey").cast("string"), F.lit(";x"))).alias("unit"))
+    return apply_group(cells, groups(_rules([("a", "by air", "x", "y"), (None, "none", None, None)]))[0], Workspace(spark, "rules")).data
+
+
 _CHAIN = [("1-urgent", "2-high", "x", "x"), ("2-high", "done", "x", "x")]
 
 

@@ -3,7 +3,8 @@
 A rewrite depends on the pair of cells (source, target) alone, so a group works on the distinct
 pairs with their counts: tokens are exploded, joined with the broadcast rules, the hits of a pair are
 gathered and resolved by array functions, and only changed pairs are joined back.  The
-pairs are counted before the shuffle; a rule table is written by hand and always small.
+pairs are counted before the shuffle; a rule table is written by hand and always small.  How many cells change is
+observed while the resolved pairs are written.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from harrow.functions import numbers, text
+from harrow.operators.pairs import distinct_cells, join_back, observed
 from harrow.rules.table import COMPILED, Compiled, Group, compile_group
 from harrow.settings import CONCATENATED_COLUMNS, UNKEYED_COLUMNS
 from harrow.workspace import Workspace
@@ -94,7 +96,7 @@ def _rebuilt(cell: Column, hit_of, result: str, added: Column) -> Column:
 
 
 def resolve(hits: DataFrame, same_column: bool, concatenate: bool) -> DataFrame:
-    """Each hit pair with its new cells: ``s, t, n, new_s, new_t, target_before``."""
+    """Each hit pair with its new cells and the rules that hit it: ``s, t, n, new_s, new_t, target_before, rules``."""
     fields = ("i", "o", "has", "s_kind", "s_result", "t_kind", "t_result", "matched")
     gathered = hits.groupBy("s", "t", "n").agg(F.array_sort(F.collect_list(F.struct(*fields))).cast(f"array<{_HIT}>").alias("hits"))
     h = F.col("hits")
@@ -138,41 +140,74 @@ def resolve(hits: DataFrame, same_column: bool, concatenate: bool) -> DataFrame:
             .otherwise(live)
         )
         before = F.col("t")
-    return gathered.select("s", "t", "n", "new_s", new_t.alias("new_t"), before.alias("target_before"))
+    return gathered.select("s", "t", "n", "new_s", new_t.alias("new_t"), before.alias("target_before"), F.transform(h, lambda x: x["o"]).alias("rules"))
 
 
-def apply_group(df: DataFrame, group: Group, workspace: Workspace, normalized: bool = True) -> GroupResult:
-    """Rewrite ``df`` by one group; all its rules see the cells as they are at the start.
+@dataclass(frozen=True)
+class Resolved:
+    """The pairs that a group hits, written once, and how many source and target cells of the rows it changes."""
 
-    Both columns become text.  ``changed`` counts source and target cells that differ; the audit has a row for each
-    rule whose keys were hit, if anything changed.
-    """
+    compiled: Compiled
+    pairs: DataFrame
+    source_changed: int
+    target_changed: int
+
+    @property
+    def changed(self) -> int:
+        return self.source_changed + self.target_changed
+
+    def rewrites(self) -> DataFrame:
+        """``s, t, new_s, new_t`` of the pairs that become others."""
+        differs = ~F.col("s").eqNullSafe(F.col("new_s")) | ~F.col("t").eqNullSafe(F.col("new_t"))
+        return self.pairs.where(differs).select("s", "t", "new_s", "new_t")
+
+    def changed_columns(self, group: Group) -> tuple[str, ...]:
+        return tuple(dict.fromkeys([group.source] * bool(self.source_changed) + [group.target] * bool(self.target_changed)))
+
+
+def resolve_group(pairs: DataFrame, group: Group, workspace: Workspace, normalized: bool = True) -> Resolved:
+    """Resolve ``pairs(s, t, n)`` by one group; all its rules see the cells as they are."""
     compiled = compile_group(group, normalized)
     on_source = normalized and group.source not in UNKEYED_COLUMNS
     on_target = normalized and group.target not in UNKEYED_COLUMNS
-    same = group.source == group.target
-    texted = df.withColumns({c: as_text(df, c) for c in dict.fromkeys((group.source, group.target))})
-    pairs = texted.groupBy(F.col(group.source).alias("s"), F.col(group.target).alias("t")).agg(F.count("*").alias("n"))
-    hits = workspace.save(pair_hits(pairs, compiled, on_source, on_target), "hits")
-    resolved = workspace.save(resolve(hits, same, group.target in CONCATENATED_COLUMNS), "pairs")
+    resolved = resolve(pair_hits(pairs, compiled, on_source, on_target), group.source == group.target, group.target in CONCATENATED_COLUMNS)
     differ = lambda a, b: F.coalesce(F.sum(F.when(~F.col(a).eqNullSafe(F.col(b)), F.col("n"))), F.lit(0))
-    source_changed, target_changed = resolved.agg(differ("s", "new_s"), differ("target_before", "new_t")).first()
-    changed = source_changed + target_changed
-    if not changed:
-        return GroupResult(df, 0, (), ())
-    by_rule = {r["o"]: r["n"] for r in hits.groupBy("o").agg(F.sum("n").alias("n")).collect()}  # a row a rule
+    saved, seen = observed(resolved, "pairs", workspace, source=differ("s", "new_s"), target=differ("target_before", "new_t"))
+    return Resolved(compiled, saved, seen["source"], seen["target"])
+
+
+def rule_hits(pairs: DataFrame) -> DataFrame:
+    """``o, hits``: how many rows each rule of some resolved pairs hit; a row a rule."""
+    return pairs.select(F.explode("rules").alias("o"), "n").groupBy("o").agg(F.sum("n").alias("hits"))
+
+
+def audit_rows(compiled: Compiled, by_rule: dict[int, int]) -> list[dict]:
+    """The rules that were hit, each with the rows of all rules of its keys, in order."""
     by_key: dict[tuple, int] = {}
     for o, n in by_rule.items():
         key = compiled.audit[o]["key"]
         by_key[key] = by_key.get(key, 0) + n
     audit = [{c: a.get(c) for c in AUDIT_COLUMNS if c != "affected_rows"} | {"affected_rows": by_key[a["key"]]} for a in compiled.audit if a["key"] in by_key]
     order = ("column_source", "column_target", "value_source_raw", "value_target_raw")
-    audit.sort(key=lambda a: tuple((a[c] is None, (a[c] or "").encode()) for c in order))
-    rewrites = resolved.where(~F.col("s").eqNullSafe(F.col("new_s")) | ~F.col("t").eqNullSafe(F.col("new_t"))).select(
-        F.col("s").alias("__s"), F.col("t").alias("__t"), F.col("new_s").alias("__new_s"), F.col("new_t").alias("__new_t"), F.lit(True).alias("__hit")
-    )
-    out = texted.join(rewrites, texted[group.source].eqNullSafe(F.col("__s")) & texted[group.target].eqNullSafe(F.col("__t")), "left")
+    return sorted(audit, key=lambda a: tuple((a[c] is None, (a[c] or "").encode()) for c in order))
+
+
+def apply_group(df: DataFrame, group: Group, workspace: Workspace, normalized: bool = True) -> GroupResult:
+    """Rewrite ``df`` by one group; all its rules see the cells as they are at the start.
+
+    Both columns become text.  ``changed`` counts source and target cells that differ; the audit has a row for each
+    rule whose keys were hit, if anything changed.
+    """
+    cells = {"s": as_text(df, group.source), "t": as_text(df, group.target)}
+    pairs, seen = distinct_cells(df, cells, workspace)
+    resolved = resolve_group(pairs, group, workspace, normalized)
+    if not resolved.changed:
+        return GroupResult(df, 0, (), ())
+    audit = audit_rows(resolved.compiled, {r["o"]: r["hits"] for r in rule_hits(resolved.pairs).collect()})
+    same = F.col("s").eqNullSafe(F.col("r_s")) & F.col("t").eqNullSafe(F.col("r_t"))
+    rewrites = resolved.rewrites().select(F.col("s").alias("r_s"), F.col("t").alias("r_t"), F.col("new_s").alias("__new_s"), F.col("new_t").alias("__new_t"), F.lit(True).alias("__hit"))
+    found = pairs.join(rewrites, same, "left").drop("r_s", "r_t")
+    out = join_back(df, cells, found, seen["rows"], F.col("__hit"))
     new = {group.source: "__new_s", group.target: "__new_t"}  # the same column takes the target's
-    data = out.select(*[F.when(F.col("__hit"), F.col(new[c])).otherwise(texted[c]).alias(c) if c in new else texted[c] for c in df.columns])
-    columns = tuple(dict.fromkeys([group.source] * bool(source_changed) + [group.target] * bool(target_changed)))
-    return GroupResult(data, changed, columns, tuple(audit))
+    data = out.select(*[F.when(F.col("__hit"), F.col(new[c])).otherwise(as_text(out, c)).alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])
+    return GroupResult(data, resolved.changed, resolved.changed_columns(group), tuple(audit))

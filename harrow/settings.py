@@ -39,6 +39,9 @@ CONVERSION_ALIASES = {
 EXCLUDED_SHEETS = ("master_unit",)
 STAGES = ("clean", "harmonize")
 LAYERS = ("raw", "clean", "normalize", "harmonize")
+MATCHED_MESSAGE = "Rules applied successfully"
+UNMATCHED_MESSAGE = "No rows matched available rules"
+NO_CONVERSIONS_MESSAGE = "no numeric standardization rules found"
 
 
 class HarmonizeError(ValueError):
