@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from harrow.settings import ANY, EXACT, NA_KEY, NA_VALUE, REPLACE
 
 BLANKS = " \t\r\n"
+# Fixed value: what stays when text is normalized.
 _KEPT = r"[^a-z0-9;,:()\[\]]+"
 
 
@@ -77,7 +78,8 @@ def joined(parts: Column) -> Column:
 
 
 def canonical_cell(c: Column) -> Column:
-    return joined(tokens(c))
+    """A cell's distinct tokens in order; most cells have one, which takes no array."""
+    return F.when(F.contains(c, F.lit(";")), joined(tokens(c))).otherwise(F.nullif(trimmed(c), F.lit("")))
 
 
 def cell_tokens(text: str | None) -> list[str]:

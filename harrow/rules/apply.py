@@ -10,7 +10,9 @@ observed while the resolved pairs are written.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -58,24 +60,38 @@ def matched_tokens(current: Column, key: Column, normalized: bool) -> Column:
     return F.when(single, F.array(current)).otherwise(F.filter(text.tokens(current), lambda t: text.match_key(t, normalized) == key))
 
 
-def pair_hits(pairs: DataFrame, compiled: Compiled, on_source: bool, on_target: bool) -> DataFrame:
-    """``pairs(s, t, n)`` with each rule that hits them."""
-    spark = pairs.sparkSession
-    rules = spark.createDataFrame(list(compiled.rows), COMPILED)
+def _jvm() -> int:
+    """Which JVM expressions belong to: building one takes many calls, so those that recur are kept."""
+    return id(SparkContext._gateway)
+
+
+@lru_cache(maxsize=32)
+def _candidates(jvm: int, modes: frozenset[str], on_source: bool) -> Column:
+    """The keys of ``s`` that rules are looked up by."""
     key = lambda mode, i, k: F.struct(F.lit(mode).alias("mode"), i.alias("i"), k.alias("key"))
-    candidates = F.array().cast("array<struct<mode:string,i:int,key:string>>")
-    parts = [candidates]
-    if "token" in compiled.modes:
+    parts = [F.array().cast("array<struct<mode:string,i:int,key:string>>")]
+    if "token" in modes:
         parts.append(F.transform(text.tokens(F.col("s")), lambda t, i: key("token", i, text.match_key(t, on_source))))
-    if "cell" in compiled.modes:
+    if "cell" in modes:
         parts.append(F.array(key("cell", F.lit(-1), text.match_key(F.col("s"), on_source))))
-    if "any" in compiled.modes:
+    if "any" in modes:
         parts.append(F.array(key("any", F.lit(-2), F.lit("*"))))
-    exploded = pairs.select("s", "t", "n", F.inline(F.concat(*parts)))
-    hits = exploded.join(F.broadcast(rules), ["mode", "key"])
-    return hits.where(target_matches(F.col("t"), F.col("t_kind"), F.col("t_key"), on_target)).withColumn(
-        "matched", F.when(F.col("t_kind") == "plain", matched_tokens(F.col("t"), F.col("t_key"), on_target)).otherwise(F.array().cast("array<string>"))
-    )
+    return F.inline(F.concat(*parts))
+
+
+@lru_cache(maxsize=4)
+def _conditions(jvm: int, on_target: bool) -> tuple[Column, Column]:
+    """Whether ``t`` meets a rule's condition, and the tokens that the condition names."""
+    named = F.when(F.col("t_kind") == "plain", matched_tokens(F.col("t"), F.col("t_key"), on_target)).otherwise(F.array().cast("array<string>"))
+    return target_matches(F.col("t"), F.col("t_kind"), F.col("t_key"), on_target), named
+
+
+def pair_hits(pairs: DataFrame, compiled: Compiled, on_source: bool, on_target: bool) -> DataFrame:
+    """``pairs(s, t, n)`` with each rule that hits them."""
+    rules = pairs.sparkSession.createDataFrame(list(compiled.rows), COMPILED)
+    exploded = pairs.select("s", "t", "n", _candidates(_jvm(), frozenset(compiled.modes), on_source))
+    met, named = _conditions(_jvm(), on_target)
+    return exploded.join(F.broadcast(rules), ["mode", "key"]).where(met).withColumn("matched", named)
 
 
 def _union(hits: Column, field: str) -> Column:
@@ -95,20 +111,19 @@ def _rebuilt(cell: Column, hit_of, result: str, added: Column) -> Column:
     return text.canonical_cell(F.array_join(F.concat(kept, more), "; "))
 
 
-def resolve(hits: DataFrame, same_column: bool, concatenate: bool) -> DataFrame:
-    """Each hit pair with its new cells and the rules that hit it: ``s, t, n, new_s, new_t, target_before, rules``."""
-    fields = ("i", "o", "has", "s_kind", "s_result", "t_kind", "t_result", "matched")
-    gathered = hits.groupBy("s", "t", "n").agg(F.array_sort(F.collect_list(F.struct(*fields))).cast(f"array<{_HIT}>").alias("hits"))
+@lru_cache(maxsize=8)
+def _resolution(jvm: int, same_column: bool, concatenate: bool) -> dict[str, Column]:
+    """How the ``hits`` of a pair, in order, make its new cells; each column may read those before it."""
     h = F.col("hits")
     competes = lambda x: x["has"] & (x["s_kind"] == "plain")
     # a rule loses when an earlier one has the same source token
     lost = F.transform(h, lambda x: competes(x) & F.exists(h, lambda y: competes(y) & (y["i"] == x["i"]) & (y["o"] < x["o"])))
     winners = F.filter(F.arrays_zip(h.alias("h"), lost.alias("lost")), lambda z: ~z["lost"])
-    gathered = gathered.withColumn("fair", F.transform(winners, lambda z: z["h"]))
+    found = {"fair": F.transform(winners, lambda z: z["h"])}
     fair = F.col("fair")
     sources = lambda kind: F.filter(h, lambda x: x["has"] & (x["s_kind"] == kind))
     replaced, whole, plain, added = sources("replace"), sources("exact"), sources("plain"), sources("any")
-    new_s = (
+    found["new_s"] = (
         F.when(F.size(replaced) > 0, _union(replaced, "s_result"))
         .when(F.size(whole) > 0, text.canonical_cell(F.get(whole, F.lit(0))["s_result"]))
         .when(
@@ -117,20 +132,19 @@ def resolve(hits: DataFrame, same_column: bool, concatenate: bool) -> DataFrame:
         )
         .otherwise(F.col("s"))
     )
-    gathered = gathered.withColumn("new_s", new_s)
     live = F.col("new_s") if same_column else F.col("t")
     t_replaced = F.filter(h, lambda x: x["t_kind"] == "replace")
     if concatenate:
         incoming = F.filter(F.transform(fair, lambda x: text.blank_to_null(x["t_result"])), lambda x: x.isNotNull())
         merged = text.joined(F.array_sort(F.array_union(text.tokens(live), text.tokens(F.array_join(incoming, "; ")))))
-        new_t = F.when(F.size(t_replaced) > 0, _union(t_replaced, "t_result")).when(F.size(incoming) > 0, merged).otherwise(live)
-        before = live
+        found["new_t"] = F.when(F.size(t_replaced) > 0, _union(t_replaced, "t_result")).when(F.size(incoming) > 0, merged).otherwise(live)
+        found["target_before"] = live
     else:
         lost_of = F.filter(F.arrays_zip(h.alias("h"), lost.alias("lost")), lambda z: (z["h"]["t_kind"] == "exact") | ((z["h"]["t_kind"] == "null") & ~z["lost"]))
         t_whole = F.transform(lost_of, lambda z: z["h"])
         t_added = F.filter(h, lambda x: x["t_kind"] == "any")
         t_plain = F.filter(fair, lambda x: (x["t_kind"] == "plain") & (F.size(x["matched"]) > 0))
-        new_t = (
+        found["new_t"] = (
             F.when(F.size(t_replaced) > 0, _union(t_replaced, "t_result"))
             .when(F.size(t_whole) > 0, text.canonical_cell(F.get(t_whole, F.lit(0))["t_result"]))
             .when(
@@ -139,8 +153,18 @@ def resolve(hits: DataFrame, same_column: bool, concatenate: bool) -> DataFrame:
             )
             .otherwise(live)
         )
-        before = F.col("t")
-    return gathered.select("s", "t", "n", "new_s", new_t.alias("new_t"), before.alias("target_before"), F.transform(h, lambda x: x["o"]).alias("rules"))
+        found["target_before"] = F.col("t")
+    found["rules"] = F.transform(h, lambda x: x["o"])
+    return found
+
+
+def resolve(hits: DataFrame, same_column: bool, concatenate: bool) -> DataFrame:
+    """Each hit pair with its new cells and the rules that hit it: ``s, t, n, new_s, new_t, target_before, rules``."""
+    fields = ("i", "o", "has", "s_kind", "s_result", "t_kind", "t_result", "matched")
+    gathered = hits.groupBy("s", "t", "n").agg(F.array_sort(F.collect_list(F.struct(*fields))).cast(f"array<{_HIT}>").alias("hits"))
+    for name, column in _resolution(_jvm(), same_column, concatenate).items():
+        gathered = gathered.withColumn(name, column)
+    return gathered.select("s", "t", "n", "new_s", "new_t", "target_before", "rules")
 
 
 @dataclass(frozen=True)
