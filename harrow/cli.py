@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import argparse
 
-from harrow.settings import Settings
+from harrow.settings import Settings, project_root
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="harrow", description="Harmonize workbooks of yearly facts.")
     parser.add_argument("command", nargs="?", default="run", choices=("run", "bootstrap"))
-    parser.add_argument("--root", default=".")
+    parser.add_argument("--root", default=None, help="by default HARROW_ROOT or the project around the working folder")
     parser.add_argument("--dataset", default="dataset")
     args = parser.parse_args(argv)
-    settings = Settings.from_environment(args.root)
+    settings = Settings.from_environment(args.root or str(project_root()))
     if args.command == "bootstrap":
         for folder in settings.create_folders():
             print(folder)

@@ -5,16 +5,21 @@ from __future__ import annotations
 import csv
 import io
 import tempfile
+from collections.abc import Callable
+from datetime import datetime, timedelta
 from pathlib import Path
 from urllib.parse import urlparse
 from urllib.request import url2pathname
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.operators.headers import normalize_header, with_canonical_names
-from harrow.operators.lists import unique_lists
+from harrow.functions import numbers
+from harrow.operators import places
+from harrow.operators.headers import header_key, with_canonical_names
+from harrow.operators.lists import layer_tables, merged_lists
 from harrow.operators.reshape import to_long
 from harrow.queries import query, table
 from harrow.settings import RULE_COLUMNS
@@ -32,46 +37,103 @@ def _local(workspace: Workspace, label: str) -> Path:
     return folder
 
 
-_BOOK_HEADER = ["Continent", "Country", "Unit", "Footnotes", "1950", "1951.0", "1951-52/1952-53"]
+def _shared(workspace: Workspace, label: str) -> str:
+    """The address of a new folder in the shared one."""
+    return workbooks.as_uri(workspace.folder(label))
 
 
-def _write_books(customers: DataFrame, folder: str) -> int:
+def _write_books(customers: DataFrame, folder: str, header: list, sheets: Callable[[pd.DataFrame], dict[str, list]]) -> int:
     """One workbook for each thousand customers of a nation, written by the tasks; returns how many."""
-    from pyarrow import fs
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         name = f"fao_1952_a_b_c_wheat{pdf['nation'].iloc[0]}x{pdf['part'].iloc[0]}.xlsx"
         system, base = fs.FileSystem.from_uri(folder)
-        rows = [["Asia", r.name_, "1000 Kg", None, str(r.key_), None, f"{r.key_};1"] for r in pdf.sort_values("key_").itertuples()]
         with system.open_output_stream(f"{base}/{name}") as out:
-            out.write(xlsx.workbook_bytes({"production": [_BOOK_HEADER, *rows, [None, " ", None, None, "9", "9", "9"]]}))
+            out.write(xlsx.workbook_bytes({n: [header, *rows] for n, rows in sheets(pdf.sort_values("key_")).items()}))
         return pd.DataFrame({"name": [name]})
 
     system, base = fs.FileSystem.from_uri(folder)
     system.create_dir(base, recursive=True)
-    rows = customers.select(F.col("c_nationkey").alias("nation"), F.floor(F.col("c_custkey") / 1000).alias("part"), F.col("c_name").alias("name_"), F.col("c_custkey").alias("key_"))
+    rows = customers.select(F.col("c_nationkey").alias("nation"), F.floor(F.col("c_custkey") / 1000).alias("part"), F.col("c_name").alias("name_"), F.col("c_custkey").alias("key_"), F.col("c_acctbal").alias("sum_"))
     return rows.groupBy("nation", "part").applyInPandas(write, "name string").count()
 
 
-@query("""WITH books AS (SELECT *, 'fao_1952_a_b_c_wheat' || c_nationkey || 'x' || (c_custkey // 1000) || '.xlsx' AS file FROM customer),
-years AS (SELECT *, unnest(['1950', '1951', '1951-1952']) AS year FROM books)
-SELECT file, 'asia' AS continent, lower(replace(c_name, '#', ' ')) AS polity, '1000 Kg' AS unit, 'wheat' || c_nationkey || 'x' || (c_custkey // 1000) AS commodity, 'production' AS variable, 'fao_1952' AS yearbook, year,
-  CASE year WHEN '1950' THEN c_custkey::VARCHAR WHEN '1951-1952' THEN c_custkey || ';1' END AS value FROM years""")
+_BOOKS = """books AS (SELECT *, 'wheat' || c_nationkey || 'x' || (c_custkey // 1000) AS commodity, 'fao_1952_a_b_c_wheat' || c_nationkey || 'x' || (c_custkey // 1000) || '.xlsx' AS file, lower(replace(c_name, '#', ' ')) AS polity FROM customer)"""
+
+
+def _text_sheets(pdf: pd.DataFrame) -> dict[str, list]:
+    rows = [["Asia", r.name_, "1000 Kg", None, str(r.key_), None, f"{r.key_};1"] for r in pdf.itertuples()]
+    return {"production": [*rows, [None, " ", None, None, "9", "9", "9"]]}
+
+
+@query(f"""WITH {_BOOKS}, years AS (SELECT *, unnest(['1950', '1951', '1951-1952']) AS year FROM books)
+SELECT file, 'asia' AS continent, polity, '1000 Kg' AS unit, commodity, 'production' AS variable, 'fao_1952' AS yearbook, year, CASE year WHEN '1950' THEN c_custkey::VARCHAR WHEN '1951-1952' THEN c_custkey || ';1' END AS value FROM years""")
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbooks written by tasks, found and read as long rows: header names, crop years, metadata of file names, blank rows."""
     workspace = Workspace(spark, "books")
-    folder = workspace.folder("xlsx")
-    folder = folder if "://" in folder or folder.startswith("file:") else Path(folder).resolve().as_uri()
-    _write_books(table(spark, sf_dir, "customer"), folder)
+    folder = _shared(workspace, "xlsx")
+    _write_books(table(spark, sf_dir, "customer"), folder, ["Continent", "Country", "Unit", "Footnotes", "1950", "1951.0", "1951-52/1952-53"], _text_sheets)
     rows = workspace.save(workbooks.read_long(spark, folder), "long")
     return rows.select("file", "continent", "polity", "unit", "commodity", "variable", "yearbook", "year", "value")
 
 
+def _number_sheets(pdf: pd.DataFrame) -> dict[str, list]:
+    moment = lambda key: datetime(1995, 1, 1) + timedelta(days=int(key) % 4000, minutes=int(key))
+    wide = [["Asia", r.name_, "kg", None, float(r.sum_) / 7, float(r.key_), moment(r.key_), *["unread"] * 200] for r in pdf.itertuples()]
+    return {"wide": wide, "second": [["Asia", r.name_, "t", "n", None, float(r.sum_), None] for r in pdf.itertuples()]}
+
+
+@query(f"""WITH {_BOOKS}, sheets AS (SELECT *, unnest(['wide', 'second']) AS variable FROM books), years AS (SELECT *, unnest(['1950', '1951', '1952']) AS year FROM sheets)
+SELECT file, variable, polity, CASE variable WHEN 'wide' THEN 'kg' ELSE 't' END AS unit, year,
+  CASE WHEN variable = 'wide' AND year = '1950' THEN c_acctbal / 7 WHEN variable = 'wide' AND year = '1951' THEN c_custkey WHEN variable = 'second' AND year = '1951' THEN c_acctbal END AS number,
+  CASE WHEN variable = 'second' AND year <> '1951' THEN NULL ELSE false END AS padded,
+  CASE WHEN variable = 'wide' AND year = '1952' THEN strftime(TIMESTAMP '1995-01-01' + to_days((c_custkey % 4000)::INT) + to_minutes(c_custkey::BIGINT), '%Y-%m-%d %H:%M:%S') END AS moment FROM years""")
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of numbers, with all their digits and without a trailing ``.0``, and of dates, in sheets of which one has two hundred columns that nothing needs."""
+    workspace = Workspace(spark, "books")
+    folder = _shared(workspace, "xlsx")
+    header = ["Continent", "Country", "Unit", "Footnotes", "1950", "1951", "1952", *[f"extra {i}" for i in range(200)]]
+    _write_books(table(spark, sf_dir, "customer"), folder, header, _number_sheets)
+    rows = workspace.save(workbooks.read_long(spark, folder, partition_bytes=1 << 16), "long")
+    value = F.col("value")
+    return rows.select("file", "variable", "polity", "unit", "year", numbers.parse_double(value).alias("number"), value.endswith(".0").alias("padded"), F.when(value.like("%-%:%"), value).alias("moment"))
+
+
+def _broken_sheets(pdf: pd.DataFrame) -> dict[str, list]:
+    return {"área": [["Asia", r.name_, "kg", "1"] for r in pdf.itertuples()]}
+
+
+@query(f"""WITH {_BOOKS}, files AS (SELECT DISTINCT file, c_nationkey FROM books)
+SELECT file, 'non-ascii sheet name detected: área' AS message, count(*)::BIGINT AS errors FROM files WHERE c_nationkey % 5 <> 0 GROUP BY ALL
+UNION ALL SELECT file, 'sheet ''área'' is missing required base columns in file ''' || file || ''': footnotes', count(*) FROM files WHERE c_nationkey % 5 <> 0 GROUP BY ALL
+UNION ALL SELECT file, 'failed to read file ''' || file || ''': not an .xlsx workbook (.xls files can''t be read)', count(*) FROM files WHERE c_nationkey % 5 = 0 GROUP BY ALL
+UNION ALL SELECT file, NULL, 0 FROM books WHERE c_nationkey % 5 <> 0""")
+def workbook_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged files, missing base columns and odd sheet names come as rows beside the rows that could be read."""
+    workspace = Workspace(spark, "books")
+    folder = _shared(workspace, "xlsx")
+    _write_books(table(spark, sf_dir, "customer"), folder, ["Continent", "Country", "Unit", "1950"], _broken_sheets)
+
+    def damage(batches):
+        system, base = fs.FileSystem.from_uri(folder)
+        for pdf in batches:
+            for path in pdf["path"]:
+                with system.open_output_stream(f"{base}/{path.rpartition('/')[2]}") as out:
+                    out.write(b"no workbook")
+            yield pdf
+
+    files = spark.read.format("binaryFile").load(folder).select("path", F.regexp_extract("path", r"wheat(\d+)x", 1).cast("int").alias("nation"))
+    files.where(F.col("nation") % 5 == 0).mapInPandas(damage, "path string, nation int").count()
+    rows = workspace.save(workbooks.read_long(spark, folder), "long")
+    failed = rows.where(F.col("_error").isNotNull()).select(F.element_at(F.split("_path", "/"), -1).alias("file"), F.col("_error").alias("message")).groupBy("file", "message").agg(F.count("*").alias("errors"))
+    return failed.unionByName(rows.where(F.col("_error").isNull()).select("file", F.lit(None).cast("string").alias("message"), F.lit(0).cast("long").alias("errors")))
+
+
 @query("SELECT DISTINCT p_type || ' / ' || p_brand AS name, lower(replace(p_type, ' ', '_')) || '/' || lower(replace(p_brand, '#', '_')) AS header FROM part")
 def header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers as matching keys."""
-    names = [r["name"] for r in table(spark, sf_dir, "part").select(F.concat_ws(" / ", "p_type", "p_brand").alias("name")).distinct().collect()]
-    return spark.createDataFrame([(n, normalize_header(n)) for n in names], "name string, header string")
+    names = table(spark, sf_dir, "part").select(F.concat_ws(" / ", "p_type", "p_brand").alias("name")).distinct()
+    return names.withColumn("header", header_key(F.col("name")))
 
 
 @query("""SELECT n_name AS polity, 'x' AS variable, year, CASE year WHEN '1950' THEN n_nationkey::VARCHAR WHEN '1951' THEN n_regionkey::VARCHAR ELSE n_nationkey || ';' || n_regionkey END AS value
@@ -89,17 +151,44 @@ def tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").orderBy("c_custkey")
     mark = F.when(F.col("c_nationkey") % 3 != 0, F.concat("c_mktsegment", F.lit('\t"'), F.col("c_nationkey").cast("string")))
     layer = rows.select("c_custkey", "c_name", (F.col("c_acctbal") / 7.0).alias("share"), mark.alias("mark"))
-    path = sinks.write_tsv(layer, _local(Workspace(spark, "tsv"), "tsv") / "raw.tsv")
-    return spark.read.csv(path.as_uri(), sep="\t", header=True, quote='"', escape='"', multiLine=True)
+    path = sinks.write_tsv(layer, _shared(Workspace(spark, "tsv"), "tsv") + ".tsv")
+    return spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True)
+
 
+@query("""SELECT row_number() OVER (ORDER BY o_orderkey) AS line_no, o_orderkey || chr(9) || CASE WHEN o_custkey % 3 = 0 THEN '""' WHEN o_custkey % 3 = 1 THEN repeat(chr(34), 1) || 'say ' || repeat(chr(34), 2) || o_orderstatus || repeat(chr(34), 3) ELSE '' END || chr(9) || 'x' AS line FROM orders
+UNION ALL SELECT 0, 'o_orderkey' || chr(9) || 'mark' || chr(9) || 'x'""")
+def tsv_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer as a folder of parts: their lines, one part after the other, are the file, under one header."""
+    mark = F.when(F.col("o_custkey") % 3 == 0, "").when(F.col("o_custkey") % 3 == 1, F.concat(F.lit('say "'), "o_orderstatus", F.lit('"')))
+    layer = table(spark, sf_dir, "orders").select("o_orderkey", mark.alias("mark"), F.lit("x").alias("x")).orderBy("o_orderkey")
+    workspace = Workspace(spark, "tsv")
+    path = sinks.write_tsv(layer, _shared(workspace, "parts"), one_file=False)
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    numbered = places.row_numbers(workspace.save(lines, "lines"), ["part", "block", "at"], "line_no", workspace)
+    return numbered.select((F.col("line_no") - 1).alias("line_no"), "line")
 
-@query("SELECT DISTINCT 'unit' AS sheet, p_brand AS value FROM part UNION ALL SELECT DISTINCT 'commodity', p_type FROM part")
+
+@query("""SELECT column_name || ' ' || sheet AS list, value FROM (SELECT DISTINCT 'unit' AS column_name, 'raw_harmonize' AS sheet, p_brand AS value FROM part UNION ALL SELECT DISTINCT 'unit', 'clean', lower(p_brand) FROM part
+UNION ALL SELECT DISTINCT 'commodity', 'raw_clean_harmonize', coalesce(CASE WHEN p_size > 5 THEN p_type END, '(blank)') FROM part)""")
 def list_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists of distinct values written as a workbook and read back."""
-    found = unique_lists(table(spark, sf_dir, "part").select(F.col("p_brand").alias("unit"), F.col("p_type").alias("commodity")), ["unit", "commodity"])
-    path = sinks.write_list_workbook(found, _local(Workspace(spark, "lists"), "lists") / "lists.xlsx")
-    sheets = xlsx.read_workbook(path.read_bytes())
-    return spark.createDataFrame([(s, r[0]) for s, rows in sheets.items() for r in rows], "sheet string, value string")
+    """Lists of distinct values as workbooks, which tasks write and read back."""
+    part = table(spark, sf_dir, "part")
+    layer = lambda unit: part.select(unit.alias("unit"), F.when(F.col("p_size") > 5, F.col("p_type")).alias("commodity"))
+    objects = {"d_raw": layer(F.col("p_brand")), "d_clean": layer(F.lower("p_brand")), "d_harmonize": layer(F.col("p_brand"))}
+    workspace = Workspace(spark, "lists")
+    folder = _shared(workspace, "lists")
+    system, base = fs.FileSystem.from_uri(folder)
+    system.create_dir(base, recursive=True)
+    lists = merged_lists(layer_tables(objects), ["unit", "commodity"], workspace)
+    sinks.write_list_workbooks(lists, {c: f"{folder}/unique_{c}.xlsx" for c in ("unit", "commodity")})
+
+    def values(batches):
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                book, column = xlsx.Workbook(content), path.rpartition("unique_")[2].removesuffix(".xlsx")
+                yield pd.DataFrame([(f"{column} {sheet}", r[0]) for sheet in book.sheets for r in book.rows(sheet)], columns=["list", "value"])
+
+    return spark.read.format("binaryFile").load(folder).select("path", "content").mapInPandas(values, "list string, value string")
 
 
 @query("""SELECT 'clean_nations.csv' AS file, 'polity' AS column_source, n_name AS value_source_raw, CASE WHEN n_nationkey % 5 <> 0 THEN lower(n_name) END AS value_source, 'unit' AS column_target,

@@ -6,10 +6,13 @@ import re
 import unicodedata
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from harrow.functions import text
 from harrow.settings import CANONICAL_COLUMNS, HEADER_ALIASES, HarmonizeError
 
+# The patterns of year headers.
 _YEAR = re.compile(r"^\d{4}(-\d{4})?$")
 
 
@@ -22,6 +25,18 @@ def normalize_header(name: str | None) -> str | None:
     return re.sub(r"_{2,}", "_", re.sub(r"[^a-z0-9\-/]+", "_", out)).strip("_")
 
 
+#: White space as Python strips it from names; the class of Java's patterns lacks the separators U+001C to U+001F.
+_SPACE = r"[\x1c-\x1f\s]"
+
+
+def header_key(c: Column) -> Column:
+    """:func:`normalize_header` over a column of names."""
+    out = F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    out = F.regexp_replace(F.regexp_replace(out, rf"(?U){_SPACE}+", " "), rf"(?U){_SPACE}*([/-]){_SPACE}*", "$1")
+    out = F.regexp_replace(F.regexp_replace(text.fold(out), "[^a-z0-9\\-/]+", "_"), "_{2,}", "_")
+    return F.btrim(out, F.lit("_"))
+
+
 def header_collisions(names: list[str], where: str = "") -> list[str]:
     """A message for each key that several headers normalize to."""
     by_key: dict[str, list[str]] = {}

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from harrow.functions import numbers
 from harrow.operators.frames import diagonal_union
+from harrow.operators.places import row_numbers
 from harrow.settings import BLANK_LABEL, LAYERS, LIST_COLUMNS, HarmonizeError
+from harrow.workspace import Workspace
 
 
 def unique_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -83,3 +87,63 @@ def merged_sheets(by_layer: dict[str, list[str]]) -> dict[str, list[str]]:
         else:
             same.append(layer)
     return {"_".join(g): by_layer.get(g[0], []) for g in groups}
+
+
+#: Rows of a worksheet.
+SHEET_ROWS = 1_048_576
+
+
+@dataclass(frozen=True)
+class ListSheets:
+    """The lists of some columns: ``rows(column_name, sheet_no, sheet, place, value)``, and the layers of each column's sheets with their sizes."""
+
+    rows: DataFrame
+    groups: dict[str, list[tuple[tuple[str, ...], int]]]
+
+    def sheets(self, column: str) -> dict[str, int]:
+        """The sheets of a column, named by their layers, and how many values each has."""
+        return {"_".join(layers): n for layers, n in self.groups[column]}
+
+    def check_sizes(self) -> None:
+        large = [c for c, found in self.groups.items() if any(n > SHEET_ROWS for _, n in found)]
+        if large:
+            raise HarmonizeError(f"columns have more distinct values than a worksheet has rows: {', '.join(large)}; use unique_values")
+
+
+def merged_lists(tables: dict[str, DataFrame], columns: list[str], workspace: Workspace) -> ListSheets:
+    """Each column's distinct values by layer, layers with equal lists together, in order.
+
+    Layers are compared by digests of their values, which don't depend on order (counts and sums of two hashes), so only
+    these come to the driver, one for each layer and column.  The values of each sheet's first layer are then
+    joined back and numbered by ranges: numbers by size, text by code point, the label of nulls first.
+    """
+    found = []
+    for layer, df in tables.items():
+        present = [c for c in columns if c in df.columns]
+        if present:
+            kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+            numeric = [c for c in present if kinds[c] in ("double", "float", "long", "integer")]
+            shown = unique_values(df, present).withColumns({"layer": F.lit(layer), "number": F.when(F.col("column_name").isin(*numeric), F.col("value").try_cast("double"))})
+            found.append(shown)
+    groups = {c: [(tuple(LAYERS), 0)] for c in columns}
+    if not found:
+        return ListSheets(_no_rows(next(iter(tables.values())).sparkSession), groups)
+    values = workspace.save(diagonal_union(found), "values")
+    hashes = [F.sum(F.xxhash64(F.lit(k), F.coalesce("value", F.lit("\0")), F.col("value").isNull()).cast("decimal(38,0)")).alias(f"h{k}") for k in (0, 1)]
+    digests = {(r["column_name"], r["layer"]): (r["n"], r["h0"], r["h1"]) for r in values.groupBy("column_name", "layer").agg(F.count("*").alias("n"), *hashes).collect()}
+    leaders = []
+    for c in columns:
+        by_digest: dict[tuple, list[str]] = {}
+        for layer in LAYERS:
+            by_digest.setdefault(digests.get((c, layer), (0, None, None)), []).append(layer)
+        groups[c] = [(tuple(layers), digest[0]) for digest, layers in by_digest.items()]
+        leaders += [(c, layers[0], k, "_".join(layers)) for k, (layers, _) in enumerate(groups[c])]
+    chosen = values.sparkSession.createDataFrame(leaders, "column_name string, layer string, sheet_no int, sheet string")
+    kept = values.join(F.broadcast(chosen), ["column_name", "layer"])
+    order = ["column_name", "sheet_no", F.col("value").isNotNull(), F.col("number").asc_nulls_last(), "value"]
+    numbered = row_numbers(kept, order, "place", workspace)
+    return ListSheets(numbered.select("column_name", "sheet_no", "sheet", "place", F.coalesce("value", F.lit(BLANK_LABEL)).alias("value")), groups)
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "column_name string, sheet_no int, sheet string, place long, value string")

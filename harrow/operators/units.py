@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType
 from harrow.functions import numbers, text
 from harrow.operators.frames import canonical_cells
 from harrow.operators.duplicates import duplicate_rows, sum_duplicates
-from harrow.operators.pairs import distinct_cells, join_back
+from harrow.operators.pairs import distinct_cells, join_back, observed
 from harrow.settings import CONVERSION_ALIASES, CONVERSION_COLUMNS, FALLBACK_COMMODITY, HarmonizeError
 from harrow.workspace import Workspace
 
@@ -89,18 +89,21 @@ def conversion_table(spark: SparkSession, rules: list[dict]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Standardized:
-    """``data`` is the dataset; ``pairs`` has each distinct commodity and unit with its count and its conversion, ``counts`` the rules that were used."""
+    """``data`` is the dataset; ``pairs`` has each distinct commodity and unit with its count and its conversion, ``counts`` the rules that were used.
+
+    Of a batch it is known how many ``rows`` there were, how many a rule converted (``matched``), and how many
+    have a unit that none matched (``unmatched``).
+    """
 
     data: DataFrame
     pairs: DataFrame
     counts: DataFrame
+    rows: int = 0
+    matched: int = 0
+    unmatched: int = 0
 
     def matched_and_unmatched(self) -> tuple[int, int]:
-        """Rows that a rule converted, and rows with a unit that none matched."""
-        named = F.coalesce(F.col("__key") != "", F.lit(False))
-        total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
-        found = self.pairs.agg(total(F.col("__matched")), total(~F.col("__matched") & named)).first()
-        return found[0], found[1]
+        return self.matched, self.unmatched
 
 
 def non_numeric_values(df: DataFrame, value: str) -> Column:
@@ -171,7 +174,9 @@ def standardize(
     else:
         workspace = workspace or Workspace(df.sparkSession, "units")
         distinct, seen = distinct_cells(df, cells, workspace)
-        pairs = workspace.save(convert_units(distinct, rules), "units")
+        total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+        unknown = ~F.col("__matched") & F.coalesce(F.col("__key") != "", F.lit(False))
+        pairs, found = observed(convert_units(distinct, rules), "units", workspace, matched=total(F.col("__matched")), unmatched=total(unknown))
         rows = join_back(df, cells, pairs.select(*cells, "n", *DECIDED), seen["rows"])
     raw = numbers.parse_padded_double(F.col(value)) if textual else F.col(value).cast("double")
     scaled = raw * F.col("__prefix")
@@ -180,7 +185,9 @@ def standardize(
     data = rows.select(*[new_value.alias(c) if c == value else new_unit.alias(c) if c == unit else F.col(c) for c in df.columns])
     keys = ("__rule", "__commodity", "__key", "__u", "__factor", "__prefix")
     counts = pairs.where("__matched").groupBy(*[F.col(k).alias(c) for k, c in zip(keys, COUNTS)]).agg(F.sum("n").alias("affected_rows")).withColumn("unit_factor_effective", F.col("rule_multiplier") * F.col("detected_prefix"))
-    return Standardized(data, pairs, counts)
+    if df.isStreaming:
+        return Standardized(data, pairs, counts)
+    return Standardized(data, pairs, counts, seen["rows"], found["matched"], found["unmatched"])
 
 
 def standardize_layer(df: DataFrame, rules: list[dict], aggregate: bool = True, workspace: Workspace | None = None) -> tuple[DataFrame, Standardized, DataFrame]:

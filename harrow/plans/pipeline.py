@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from harrow.plans.export import run_export
 from harrow.plans.ingest import Ingested, run_ingest
 from harrow.plans.postpro import Postprocessed, run_postpro
-from harrow.settings import Settings
+from harrow.settings import Settings, dataset_name
 from harrow.workspace import Workspace
 
 
@@ -22,11 +22,11 @@ class Run:
     lists: dict[str, Path]
 
 
-def run_pipeline(spark: SparkSession, settings: Settings, dataset_name: str = "dataset") -> Run:
+def run_pipeline(spark: SparkSession, settings: Settings, name: str = "dataset") -> Run:
     settings.create_folders()
     workspace = Workspace(spark, "pipeline")
     ingested = run_ingest(spark, settings, workspace)
-    done = run_postpro(ingested.data, settings, workspace, dataset_name)
+    done = run_postpro(ingested.data, settings, workspace, name)
     layers = {"raw": done.raw, "clean": done.clean, "normalize": done.normalize, "harmonize": done.harmonize}
-    processed, lists = run_export(layers, settings)
+    processed, lists = run_export(layers, settings, f"{dataset_name(name)}_data" if name != "dataset" else "harrow_data", workspace)
     return Run(ingested, done, processed, lists)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from harrow.operators import summaries, units
 from harrow.operators.duplicates import duplicate_audit
 from harrow.operators.frames import canonical_cells, canonical_order
+from harrow.operators.pairs import observed
 from harrow.operators.validate import parse_values
+from harrow.plans.diagnostics import diagnostics_table, stage_rows, standardize_rows
 from harrow.rules.stage import StageResult, run_stage
 from harrow.settings import HarmonizeError, Settings
 from harrow.sources.rule_files import read_conversions, stage_rule_files, write_templates
@@ -28,6 +30,7 @@ class Postprocessed:
     harmonize: DataFrame
     stages: dict[str, StageResult]
     standardized: units.Standardized
+    diagnostics: DataFrame
     reports: dict[str, Path]
 
 
@@ -56,15 +59,18 @@ def run_postpro(raw: DataFrame, settings: Settings, workspace: Workspace, datase
     clean_df = workspace.save(canonical_cells(clean.data), "clean")
     conversions = read_conversions(settings.rules("standardize"))
     normalized, standardized, _ = units.standardize_layer(clean_df, conversions, workspace=workspace)
-    normalize_df = workspace.save(canonical_cells(normalized), "normalize")
+    normalize_df, summed = observed(canonical_cells(normalized), "normalize", workspace, rows=F.count(F.lit(1)))
     harmonize = run_stage(normalize_df, files["harmonize"], "harmonize", workspace, settings.passes("harmonize"), dataset_name)
     harmonize_df = workspace.save(canonical_cells(harmonize.data), "harmonize")
     layers = {"raw": raw, "clean": clean_df, "normalize": normalize_df, "harmonize": harmonize_df}
     reports = write_logs(clean, harmonize, standardized, conversions, files, settings)
     for name, df in layers.items():
         reports[f"{name}_dup"] = write_tsv(canonical_order(duplicate_audit(df)), settings.audit / "duplicates" / f"{name}_dup.tsv")
+    told = stage_rows("clean", clean) + standardize_rows("standardize_units", standardized, conversions, summed["rows"]) + stage_rows("harmonize", harmonize)
+    diagnostics = diagnostics_table(raw.sparkSession, told)
+    reports["diagnostics"] = write_tsv(diagnostics, settings.audit / "diagnostics" / "diagnostics.tsv")
     ordered = {n: canonical_order(df) for n, df in layers.items()}
-    return Postprocessed(**ordered, stages={"clean": clean, "harmonize": harmonize}, standardized=standardized, reports=reports)
+    return Postprocessed(**ordered, stages={"clean": clean, "harmonize": harmonize}, standardized=standardized, diagnostics=diagnostics, reports=reports)
 
 
 def write_logs(clean: StageResult, harmonize: StageResult, standardized: units.Standardized, conversions: list[dict], files: dict, settings: Settings) -> dict[str, Path]:

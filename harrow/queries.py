@@ -5,13 +5,15 @@ Facts are made of the tables' own columns; rules are short literal tables.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions import numbers, text
-from harrow.operators import duplicates, frames, lists, places, reshape, summaries, units, validate
+from harrow.operators import duplicates, frames, lists, pairs, places, reshape, summaries, units, validate
+from harrow.plans import diagnostics
 from harrow.rules.apply import apply_group
 from harrow.rules.stage import run_stage
 from harrow.rules.table import groups, rule_file
@@ -93,10 +95,14 @@ def standardize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.standardize(line_facts(spark, sf_dir), units.prepare_conversions(CONVERSIONS)).counts
 
 
-@query("SELECT 0::BIGINT AS affected_rows, 'u.xlsx' AS rule_file_identifier, '#ALL#' AS commodity_key, 'bushel' AS unit_source, 'tonne' AS unit_target, 0.02::DOUBLE AS unit_factor, 0::DOUBLE AS unit_offset, NULL::VARCHAR AS source_unit_raw, NULL::DOUBLE AS detected_prefix, NULL::DOUBLE AS unit_factor_effective")
+@query("""SELECT 0::BIGINT AS affected_rows, 'sizes.xlsx' AS rule_file_identifier, '#ALL#' AS commodity_key, 'box of ' || k AS unit_source, 'piece' AS unit_target, k::DOUBLE AS unit_factor, 0::DOUBLE AS unit_offset,
+  NULL::VARCHAR AS source_unit_raw, NULL::DOUBLE AS detected_prefix, NULL::DOUBLE AS unit_factor_effective
+FROM (SELECT unnest(range(2, 80)) AS k) WHERE k NOT IN (SELECT p_size FROM part WHERE p_size IS NOT NULL)""")
 def standardize_unmatched_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = units.prepare_conversions(CONVERSIONS)
-    counts = units.standardize(line_facts(spark, sf_dir), rules).counts
+    """Conversions of boxes of all sizes that no part has."""
+    rules = units.prepare_conversions([{"commodity_key": "#ALL#", "unit_source": f"box of {k}", "unit_target": "piece", "unit_factor": str(k), "unit_offset": "0", "source_rule_file": "sizes.xlsx"} for k in range(2, 80)])
+    facts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("commodity"), F.concat(F.lit("Box of "), F.col("p_size").cast("string")).alias("unit"), F.col("p_retailprice").alias("value"))
+    counts = units.standardize(facts, rules).counts
     matched = summaries.summarize_standardize(units.standardize_audit(rules, counts))
     return summaries.unmatched_standardize(summaries.standardize_catalog(spark, rules), matched, counts)
 
@@ -207,10 +213,13 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.non_blank_base_rows(docs, ("source", "lang")).select("doc_id")
 
 
-@query("SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders")
+@query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_custkey % 2 = 0 THEN o_orderpriority END AS notes FROM orders")
 def drop_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus", F.lit(None).cast("string").alias("notes"))
-    return frames.drop_null_columns(df).distinct()
+    """Orders without the columns that none has a value in: remarks on negative totals and on missing dates."""
+    orders = table(spark, sf_dir, "orders")
+    notes = F.when(F.col("o_custkey") % 2 == 0, F.col("o_orderpriority"))
+    wide = orders.select("o_orderkey", "o_orderstatus", notes.alias("notes"), F.when(F.col("o_totalprice") < 0, F.lit("negative")).alias("remark"), F.when(F.col("o_orderdate").isNull(), F.col("o_orderkey")).alias("undated"))
+    return frames.drop_null_columns(wide)
 
 
 @query("SELECT c_mktsegment AS commodity, c_name AS polity, c_acctbal AS value FROM customer")
@@ -406,13 +415,63 @@ def rule_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.summarize_stage(result.audit)
 
 
-@query("SELECT 'rules.csv' AS rule_file_identifier, 'commodity' AS column_source, 'never' AS value_source_raw, 'n' AS value_source, 'unit' AS column_target, NULL::VARCHAR AS value_target_raw, 'n' AS value_target, 0::BIGINT AS loop, 0::BIGINT AS affected_rows")
+@query("""WITH owing AS (SELECT DISTINCT n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal < 0)
+SELECT 'nations.csv' AS rule_file_identifier, 'commodity' AS column_source, n_name AS value_source_raw, lower(n_name) AS value_source, 'unit' AS column_target, NULL::VARCHAR AS value_target_raw, n_regionkey::VARCHAR AS value_target,
+  0::BIGINT AS loop, 0::BIGINT AS affected_rows FROM nation WHERE n_name NOT IN (SELECT n_name FROM owing)""")
 def unmatched_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    file = _rules([*_CHAIN, ("never", "n", None, "n")])
-    result = run_stage(_order_cells(spark, sf_dir), [file], "clean", Workspace(spark, "stage"))
+    """Rules for all nations that no supplier in debt comes from."""
+    nation = table(spark, sf_dir, "nation")
+    file = _rules([(r["n_name"], r["n_name"].lower(), None, str(r["n_regionkey"])) for r in nation.collect()], name="nations.csv")  # 25 rules
+    suppliers = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    facts = suppliers.select("s_suppkey", F.when(F.col("s_acctbal") < 0, F.col("n_name")).alias("commodity"), F.lit(None).cast("string").alias("unit"))
+    result = run_stage(facts, [file], "clean", Workspace(spark, "stage"))
     return summaries.unmatched_rules(summaries.rule_catalog(spark, [file]), summaries.summarize_stage(result.audit))
 
 
+@query(f"""WITH f AS ({_ORDER_CELLS}), n AS (SELECT count(*) AS rows, count_if(commodity = '1-urgent' AND unit IS NOT NULL) AS u, count_if(commodity = '2-high' AND unit IS NOT NULL) AS h, count_if(unit IS NULL) AS nulls,
+    sum(strlen(commodity)) AS c0, sum(strlen(unit)) AS t0 FROM f),
+k AS (SELECT *, u + h AS first, u AS second, u + h + u AS matched FROM n)
+SELECT 'clean' AS layer, kind, pass_index::BIGINT AS pass_index, item, "count"::BIGINT AS "count", text FROM (
+  SELECT 'layer' AS kind, NULL AS pass_index, 'rows' AS item, rows AS "count", NULL AS text FROM k UNION ALL SELECT 'layer', NULL, 'matched_count', matched, NULL FROM k UNION ALL SELECT 'layer', NULL, 'unmatched_count', greatest(rows - matched, 0), NULL FROM k
+  UNION ALL SELECT 'layer', NULL, 'status', NULL, 'pass' UNION ALL SELECT 'layer', NULL, 'stop_reason', NULL, 'converged_zero_change' UNION ALL SELECT 'layer', NULL, 'passes_executed', 3, NULL
+  UNION ALL SELECT 'message', 1, NULL, NULL, 'Rules applied successfully'
+  UNION ALL SELECT 'message', 2, NULL, NULL, '[clean stage] multi-pass stop_reason=converged_zero_change; passes_executed=3; max_passes=10; enabled=true.'
+  UNION ALL SELECT 'pass', 1, 'changed_value_count', first, NULL FROM k UNION ALL SELECT 'pass', 2, 'changed_value_count', second, NULL FROM k UNION ALL SELECT 'pass', 3, 'changed_value_count', 0, NULL
+  UNION ALL SELECT 'pass', 1, 'matched_count', first, NULL FROM k UNION ALL SELECT 'pass', 2, 'matched_count', second, NULL FROM k UNION ALL SELECT 'pass', 3, 'matched_count', 0, NULL
+  UNION ALL SELECT 'pass', unnest([1, 2, 3]), 'audit_rows', unnest([2, 1, 0]), NULL UNION ALL SELECT 'pass', unnest([1, 2, 3]), 'repeated_state_pass', unnest([NULL, NULL, 2]), NULL
+  UNION ALL SELECT 'pass', unnest([1, 2, 3]), 'stop_reason', NULL, unnest(['continued', 'continued', 'converged_zero_change'])
+  UNION ALL SELECT 'nulls', unnest([0, 1, 2, 3]), 'commodity', 0, NULL UNION ALL SELECT 'nulls', unnest([0, 1, 2, 3]), 'unit', nulls, NULL FROM k
+  UNION ALL SELECT 'bytes', unnest([0, 1, 2, 3]), 'commodity', unnest([c0, c0 - 2 * u - 2 * h, c0 - 4 * u - 2 * h, c0 - 4 * u - 2 * h]), NULL FROM k UNION ALL SELECT 'bytes', unnest([0, 1, 2, 3]), 'unit', t0, NULL FROM k)""")
+def stage_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a rule stage did: its figures, messages and passes, and the state of its columns after each pass."""
+    result = run_stage(_order_cells(spark, sf_dir), [_rules(_CHAIN)], "clean", Workspace(spark, "stage"))
+    return diagnostics.diagnostics_table(spark, diagnostics.stage_rows("clean", result))
+
+
+@query(f"""WITH {_MATCHED}, n AS (SELECT count(*) AS rows, count(target) AS m, count_if(target IS NULL AND key <> '') AS u FROM matched),
+d AS (SELECT count(*) AS after FROM (SELECT DISTINCT commodity, coalesce(target, u0) FROM matched))
+SELECT 'standardize_units' AS layer, kind, pass_index::BIGINT AS pass_index, item, "count"::BIGINT AS "count", text FROM (
+  SELECT 'layer' AS kind, NULL AS pass_index, unnest(['rows', 'matched_count', 'unmatched_count', 'applied_rules', 'rows_before_aggregation', 'rows_after_aggregation', 'collapsed_rows_count', 'aggregated_groups_count']) AS item,
+    unnest([rows, m, u, 5, rows, after, rows - after, after]) AS "count", NULL AS text FROM n, d
+  UNION ALL SELECT 'layer', NULL, 'status', NULL, 'pass' UNION ALL SELECT 'layer', NULL, 'rule_sources', NULL, 'u.xlsx' UNION ALL SELECT 'message', 1, NULL, NULL, 'Rules applied successfully')""")
+def standardize_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the unit conversion and the summing after it did; the rows left are counted while they are written."""
+    workspace, rules = Workspace(spark, "units"), units.prepare_conversions(CONVERSIONS)
+    data, result, _ = units.standardize_layer(line_facts(spark, sf_dir).drop("l_orderkey", "l_linenumber"), rules, workspace=workspace)
+    _, seen = pairs.observed(data, "normalize", workspace, rows=F.count(F.lit(1)))
+    return diagnostics.diagnostics_table(spark, diagnostics.standardize_rows("standardize_units", result, rules, seen["rows"]))
+
+
+@query(f"WITH f AS ({_ORDER_CELLS}) SELECT o_orderkey, commodity, unit, 'cycle_detected' AS stop_reason, '[clean stage] cycle detected at pass 2 (repeats pass 0).' AS message FROM f")
+def rule_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rules that undo each other: the second pass brings back the first state, and the stage stops."""
+    file = _rules([("1-urgent", "urgent", "x", "x"), ("urgent", "1-urgent", "x", "x")])
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        result = run_stage(_order_cells(spark, sf_dir), [file], "clean", Workspace(spark, "stage"))
+    return result.data.withColumns({"stop_reason": F.lit(result.stop_reason), "message": F.lit(result.messages[-1])})
+
+
 # ---------------------------------------------------------------- lists
 
 
@@ -426,5 +485,21 @@ def unique_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("commodity"))
     objects = {f"d_{x}": customer for x in ("raw", "clean", "normalize")} | {"d_harmonize": customer.select(F.lower("commodity").alias("commodity"))}
-    by_layer = {x: lists.unique_lists(df, ["commodity"])["commodity"] for x, df in lists.layer_tables(objects).items()}
-    return spark.createDataFrame([(s, v) for s, values in lists.merged_sheets(by_layer).items() for v in values], "sheet string, value string")
+    return lists.merged_lists(lists.layer_tables(objects), ["commodity"], Workspace(spark, "lists")).rows.select("sheet", "value")
+
+
+@query("""WITH layers AS (
+  SELECT 'raw' AS layer, 'year' AS column_name, p_size::VARCHAR AS value, p_size::DOUBLE AS number FROM part UNION ALL SELECT 'raw', 'unit', CASE WHEN p_size > 3 THEN p_type END, NULL FROM part
+  UNION ALL SELECT 'clean', 'year', p_size::VARCHAR, p_size FROM part UNION ALL SELECT 'clean', 'unit', p_type, NULL FROM part
+  UNION ALL SELECT 'harmonize', 'year', (p_size % 7)::VARCHAR, p_size % 7 FROM part UNION ALL SELECT 'harmonize', 'unit', CASE WHEN p_size > 3 THEN p_type END, NULL FROM part
+), named AS (SELECT DISTINCT column_name, CASE WHEN column_name = 'unit' AND layer <> 'clean' THEN 'raw_harmonize' WHEN column_name = 'year' AND layer <> 'harmonize' THEN 'raw_clean' ELSE layer END AS sheet, value, number FROM layers)
+SELECT column_name, sheet, row_number() OVER (PARTITION BY column_name, sheet ORDER BY value IS NOT NULL, number NULLS LAST, value) AS place, coalesce(value, '(blank)') AS value FROM named""")
+def list_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of text and number columns of three layers, each value with its place in its sheet."""
+    part = table(spark, sf_dir, "part")
+    layer = lambda unit, year: part.select(unit.alias("unit"), year.alias("year"))
+    some = F.when(F.col("p_size") > 3, F.col("p_type"))
+    objects = {"d_raw": layer(some, F.col("p_size")), "d_clean": layer(F.col("p_type"), F.col("p_size")), "d_harmonize": layer(some, F.col("p_size") % 7)}
+    found = lists.merged_lists(lists.layer_tables(objects), ["unit", "year"], Workspace(spark, "lists")).rows
+    firsts = found.groupBy("column_name", "sheet").agg(F.min("place").alias("first"))
+    return found.join(firsts, ["column_name", "sheet"]).select("column_name", "sheet", (F.col("place") - F.col("first") + 1).alias("place"), "value")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -38,6 +40,7 @@ CONVERSION_ALIASES = {
 }
 EXCLUDED_SHEETS = ("master_unit",)
 STAGES = ("clean", "harmonize")
+ROOT_MARKERS = ("pyproject.toml", ".git")
 LAYERS = ("raw", "clean", "normalize", "harmonize")
 MATCHED_MESSAGE = "Rules applied successfully"
 UNMATCHED_MESSAGE = "No rows matched available rules"
@@ -48,6 +51,22 @@ class HarmonizeError(ValueError):
     """Input, rules or configuration that a run can't go on with."""
 
 
+def dataset_name(name: str) -> str:
+    """A name in snake case: without accents, lower case, and everything between letters and digits as one underscore."""
+    plain = "".join(c for c in unicodedata.normalize("NFD", name) if not unicodedata.combining(c)).lower()
+    return re.sub(r"\s+", "_", re.sub(r"[^a-z0-9 ]", " ", plain).strip())
+
+
+def project_root(start: str | Path | None = None) -> Path:
+    """The folder that ``HARROW_ROOT`` names, or the nearest one above ``start`` with a project file or repository, or ``start`` itself."""
+    forced = os.environ.get("HARROW_ROOT")
+    if forced:
+        return Path(forced).expanduser().resolve()
+    origin = Path(start if start is not None else Path.cwd()).resolve()
+    origin = origin if origin.is_dir() else origin.parent
+    return next((p for p in (origin, *origin.parents) if any((p / marker).exists() for marker in ROOT_MARKERS)), origin)
+
+
 @dataclass(frozen=True)
 class MultiPass:
     """How often a rule stage is repeated, and what a cycle does: ``warn`` or ``abort``."""
@@ -74,6 +93,7 @@ class Settings:
     checkpoints: bool = False
     overwrite: bool = True
     drop_nulls: bool = True
+    one_file: bool = True
 
     def path(self, *parts: str) -> Path:
         return Path(self.root, *parts)
@@ -116,7 +136,7 @@ class Settings:
 
     @classmethod
     def from_environment(cls, root: str = ".") -> Settings:
-        """Options from ``HARROW_CHECKPOINTS``, ``HARROW_OVERWRITE``, ``HARROW_DROP_NULLS`` and ``HARROW_YEAR``."""
+        """Options from ``HARROW_CHECKPOINTS``, ``HARROW_OVERWRITE``, ``HARROW_DROP_NULLS``, ``HARROW_ONE_FILE`` and ``HARROW_YEAR``."""
         on = lambda name, default: os.environ.get(name, default).strip().lower() in ("1", "true", "yes", "on")
         year = os.environ.get("HARROW_YEAR")
-        return cls(root=root, checkpoints=on("HARROW_CHECKPOINTS", "0"), overwrite=on("HARROW_OVERWRITE", "1"), drop_nulls=on("HARROW_DROP_NULLS", "1"), current_year=int(year) if year else None)
+        return cls(root=root, checkpoints=on("HARROW_CHECKPOINTS", "0"), overwrite=on("HARROW_OVERWRITE", "1"), drop_nulls=on("HARROW_DROP_NULLS", "1"), one_file=on("HARROW_ONE_FILE", "1"), current_year=int(year) if year else None)

@@ -1,29 +1,41 @@
-"""Folders of workbooks as long facts, one task for a few files each.
+"""Folders of workbooks as long facts, through a data source of its own.
 
-Files are read through Spark, so they may lie in any store it reaches.  A workbook is parsed where
-it is read, and its wide rows leave the task as long rows only.
+The driver lists files and their sheets.  A partition holds one large sheet or some small ones; its task opens each file in the
+store where it lies, parses the sheet row by row, reads the needed columns only, and hands on Arrow batches of long rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zipfile
+import zlib
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import partial
+from itertools import groupby, islice
+from operator import itemgetter
 from pathlib import Path
+from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from harrow.functions import text
-from harrow.operators.headers import canonical_renames, clean_year_names, header_collisions, normalize_header, year_columns
+from harrow.operators.headers import canonical_renames, clean_year, clean_year_names, header_collisions, normalize_header, year_columns
 from harrow.operators.reshape import file_metadata
 from harrow.settings import BASE_COLUMNS, COMMODITY_START, ID_COLUMNS, KEY_TEXT_COLUMNS, UNKNOWN_COMMODITY, HarmonizeError
-from harrow.sources.xlsx import read_workbook, sheet_table
+from harrow.sources.xlsx import Workbook, read_workbook, sheet_table
 
 LONG = (
     "hemisphere string, continent string, iso_whep string, polity string, commodity string, variable string, unit string, year string, value string, notes string, "
     "footnotes string, yearbook string, file string, _path string, _year_no int, _sheet_no int, _row_no int, _error string"
 )
 COLUMNS = [f.split()[0] for f in LONG.split(", ")]
+#: Bytes of sheet text in a partition, and rows in an Arrow batch.
+PARTITION_BYTES, BATCH_ROWS = 8 << 20, 10_000
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,65 +50,145 @@ def _error(path: str, message: str) -> dict:
     return {"_path": path, "_error": message}
 
 
-def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: list[list[str | None]], base: tuple[str, ...]) -> Iterator[dict]:
-    """The long rows of one sheet, and its errors as rows with ``_error``."""
+def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: Callable[..., Iterator[list[str | None]]], base: tuple[str, ...]) -> Iterator[dict]:
+    """The long rows of one sheet, and its errors as rows with ``_error``.
+
+    ``rows`` gives the sheet's rows and takes a function that tells from the first which columns are needed.
+    """
     parts = name.split("_")
     yearbook = text.yearbook_of(parts)
     commodity = text.normalize_value((text.commodity_of(parts, COMMODITY_START) or "").strip() or UNKNOWN_COMMODITY)
-    header, body = sheet_table(rows)
-    collisions = header_collisions(header, f"sheet '{sheet}' of file '{name}'")
+    renames: dict[str, str] = {}
+    names: list[str] = []
+
+    def needed(first: list[str | None]) -> set[int]:
+        header = [h or f"column_{i}" for i, h in enumerate(first, 1)]
+        renames.update(canonical_renames(header, tuple(dict.fromkeys([*base, *ID_COLUMNS]))))
+        names.extend(renames.get(h, h) for h in header)
+        return {i for i, (h, n) in enumerate(zip(header, names)) if n in base or n in ID_COLUMNS or year_columns([clean_year(n)])}
+
+    body = rows(needed)
+    first = next(body, None)
+    if first is None:
+        return
+    collisions = header_collisions([h or f"column_{i}" for i, h in enumerate(first, 1)], f"sheet '{sheet}' of file '{name}'")
     if collisions:
         yield from (_error(path, m) for m in collisions)
         return
-    renames = canonical_renames(header, tuple(dict.fromkeys([*base, *ID_COLUMNS])))
-    names = [renames.get(h, h) for h in header]
     missing = [c for c in base if c not in names]
     if missing:
         yield _error(path, f"sheet '{sheet}' is missing required base columns in file '{name}': {', '.join(missing)}")
     at = {c: i for i, c in enumerate(names)}
-    kept = [(k, r) for k, r in enumerate(body) if any((r[at[c]] or "").strip() for c in base if c in at)]
-    if not kept:
-        return
-    if yearbook is None:
-        raise HarmonizeError(f"file '{name}' has no yearbook in its name")
-    cleaned = clean_year_names(names)
-    years = [(cleaned.index(y), y) for y in year_columns(cleaned)]
-    if not years:
-        raise HarmonizeError(f"sheet '{sheet}' of file '{name}' has no year columns")
-    for k, r in kept:
-        ids = {c: r[at[c]] for c in ID_COLUMNS if c in at}
+    of = lambda r, i: r[i] if i < len(r) else None
+    years: list[tuple[int, str]] | None = None
+    for k, r in enumerate(body):
+        if not any((of(r, at[c]) or "").strip() for c in base if c in at):
+            continue
+        if years is None:
+            if yearbook is None:
+                raise HarmonizeError(f"file '{name}' has no yearbook in its name")
+            cleaned = clean_year_names(names)
+            years = [(cleaned.index(y), y) for y in year_columns(cleaned)]
+            if not years:
+                raise HarmonizeError(f"sheet '{sheet}' of file '{name}' has no year columns")
+        ids = {c: of(r, at[c]) for c in ID_COLUMNS if c in at}
         ids["variable"] = sheet
         ids |= {c: text.normalize_value(ids[c]) for c in (*KEY_TEXT_COLUMNS, "footnotes") if ids.get(c) is not None}
         for n, (i, year) in enumerate(years):
-            yield ids | {"commodity": commodity, "year": year, "value": r[i], "yearbook": yearbook, "file": name, "_path": path, "_year_no": n, "_sheet_no": sheet_no, "_row_no": k}
+            yield ids | {"commodity": commodity, "year": year, "value": of(r, i), "yearbook": yearbook, "file": name, "_path": path, "_year_no": n, "_sheet_no": sheet_no, "_row_no": k}
+
+
+@dataclass
+class SheetPartition(InputPartition):
+    """The sheets of a task, each as ``(path, number, name)``, and errors that were found while listing, as ``(path, message)``."""
+
+    sheets: list[tuple[str, int, str]] = field(default_factory=list)
+    errors: list[tuple[str, str]] = field(default_factory=list)
+
+
+class WorkbookReader(DataSourceReader):
+    """One partition for each sheet of ``partition_bytes`` or more of text, and for runs of smaller ones."""
+
+    def __init__(self, folder: str, base: tuple[str, ...], partition_bytes: int):
+        self.folder, self.base, self.partition_bytes = folder, base, partition_bytes
+
+    def partitions(self) -> list[SheetPartition]:
+        system, root = fs.FileSystem.from_uri(self.folder)
+        found = system.get_file_info(fs.FileSelector(root, recursive=True))
+        paths = sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith(".xlsx"))
+        parts, held = [SheetPartition()], 0
+
+        def listed(path: str) -> tuple[list[tuple[str, int]], str | None]:
+            try:
+                with system.open_input_file(path) as f:
+                    book = Workbook(f)
+                    return [(s, book.size(s)) for s in book.sheets], None
+            except Exception as e:  # a damaged file is reported, like any other finding
+                return [], f"failed to read file '{path.rpartition('/')[2]}': {e}"
+
+        with ThreadPoolExecutor(16) as pool:
+            for path, (sheets, error) in zip(paths, pool.map(listed, paths)):
+                if error:
+                    parts[-1].errors.append((path, error))
+                for number, (sheet, size) in enumerate(sheets):
+                    if held and held + size > self.partition_bytes:
+                        parts.append(SheetPartition())
+                        held = 0
+                    parts[-1].sheets.append((path, number, sheet))
+                    held += size
+        return parts
+
+    def read(self, partition: SheetPartition) -> Iterator[pa.RecordBatch]:
+        system, _ = fs.FileSystem.from_uri(self.folder)
+        schema = pa.schema([(c, pa.int32() if c.endswith("_no") else pa.string()) for c in COLUMNS])
+
+        def records() -> Iterator[dict]:
+            yield from (_error(*e) for e in partition.errors)
+            for path, sheets in groupby(partition.sheets, key=itemgetter(0)):
+                name = path.rpartition("/")[2]
+                with system.open_input_file(path) as f:
+                    book = Workbook(f)
+                    for _, number, sheet in sheets:
+                        if not sheet.isascii():
+                            yield _error(path, f"non-ascii sheet name detected: {sheet}")
+                        try:
+                            yield from sheet_records(path, name, number, sheet, partial(book.rows, sheet), self.base)
+                        except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError) as e:
+                            yield _error(path, f"failed to read sheet '{sheet}' in file '{name}': {e}")
+
+        rows = records()
+        while batch := list(islice(rows, BATCH_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in batch], schema.field(c).type) for c in COLUMNS], schema=schema)
+
+
+class WorkbookSource(DataSource):
+    """``spark.read.format("harrow_workbooks").load(folder)``, with ``base`` columns separated by commas."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "harrow_workbooks"
 
+    def schema(self) -> str:
+        return LONG
 
-def read_long(spark: SparkSession, folder: str, base: tuple[str, ...] = BASE_COLUMNS) -> DataFrame:
+    def reader(self, schema) -> WorkbookReader:
+        base = tuple(self.options.get("base", ",".join(BASE_COLUMNS)).split(","))
+        return WorkbookReader(as_uri(self.options["path"]), base, int(self.options.get("partition_bytes", PARTITION_BYTES)))
+
+
+def as_uri(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else Path(path).resolve().as_uri()
+
+
+def read_long(spark: SparkSession, folder: str, base: tuple[str, ...] = BASE_COLUMNS, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
     """The long rows of all workbooks below a folder, all as text, with their places ``_path, _year_no, _sheet_no, _row_no``.
 
     Unreadable files, header collisions and missing base columns come as rows that have ``_error``
-    alone; files without a yearbook or year columns stop the run.  Null values are kept.
+    alone; files without a yearbook or year columns stop the run.  Null values are kept.  The folder may lie in any store that
+    pyarrow reads by its address.
     """
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                name = path.rpartition("/")[2]
-                records: list[dict] = []
-                try:
-                    sheets = read_workbook(content)
-                except Exception as e:  # a damaged file is reported, like any other finding
-                    records.append(_error(path, f"failed to read file '{name}': {e}"))
-                    sheets = {}
-                for number, (sheet, rows) in enumerate(sheets.items()):
-                    if not sheet.isascii():
-                        records.append(_error(path, f"non-ascii sheet name detected: {sheet}"))
-                    records += sheet_records(path, name, number, sheet, rows, base)
-                out = pd.DataFrame(records, columns=COLUMNS).astype(object)
-                yield out.where(out.notna(), None)
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xlsx").load(folder)
-    return files.select("path", "content").mapInPandas(parse, LONG)
+    spark.dataSource.register(WorkbookSource)
+    return spark.read.format(WorkbookSource.name()).option("base", ",".join(base)).option("partition_bytes", partition_bytes).load(folder)
 
 
 def read_sheet_wide(spark: SparkSession, data: bytes, sheet: str) -> DataFrame:

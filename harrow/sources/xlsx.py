@@ -5,7 +5,10 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from datetime import datetime, timedelta
+from functools import cached_property
+from typing import IO
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
@@ -34,34 +37,114 @@ def _text(node: ElementTree.Element) -> str:
     return "".join(t.text or "" for t in node.iter(f"{_MAIN}t"))
 
 
-def _rows(sheet: bytes, shared: list[str]) -> Iterator[list[str | None]]:
-    for row in ElementTree.fromstring(sheet).iter(f"{_MAIN}row"):
-        cells: dict[int, str | None] = {}
-        for k, cell in enumerate(row.iter(f"{_MAIN}c")):
-            at = _column(cell.get("r", "")) if cell.get("r") else k
-            kind, value = cell.get("t", "n"), cell.find(f"{_MAIN}v")
-            raw = value.text if value is not None else None
-            if kind == "inlineStr":
-                cells[at] = _text(cell)
-            elif raw is not None:
-                cells[at] = shared[int(raw)] if kind == "s" else ("true" if raw == "1" else "false") if kind == "b" else raw if kind in ("str", "d", "e") else number_text(raw)
-        yield [cells.get(i) or None for i in range(max(cells, default=-1) + 1)]
+# The number formats of spreadsheets that show a date or a time of day, and days from which serial numbers count.
+_DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
+_EPOCHS = {False: datetime(1899, 12, 30), True: datetime(1904, 1, 1)}
+
+
+def is_date_format(code: str) -> bool:
+    """Whether a custom number format shows days or times: one of their letters outside quotes, escapes and brackets."""
+    bare = re.sub(r'"[^"]*"|\\.|_.|\*.|\[(?![hms]+\])[^\]]*\]', "", code.lower())
+    return bool(re.search("[dmyhs]", bare)) and bare != "general"
+
+
+def date_text(raw: str, from_1904: bool = False) -> str:
+    """A serial number of a date-styled cell as ``YYYY-MM-DD HH:MM:SS``; one that no calendar has stays a number."""
+    serial = float(raw)
+    if not from_1904 and 0 <= serial < 60:
+        serial += 1  # the calendar of spreadsheets has a 29 February 1900
+    try:
+        moment = _EPOCHS[from_1904] + timedelta(seconds=round(serial * 86400))
+    except (OverflowError, ValueError):
+        return number_text(raw)
+    return moment.strftime("%Y-%m-%d %H:%M:%S") if moment.year >= 1000 else number_text(raw)
+
+
+class Workbook:
+    """A workbook opened from bytes or a seekable file; sheets are parsed row by row as they are read."""
+
+    def __init__(self, source: bytes | IO[bytes]):
+        try:
+            self.zip = zipfile.ZipFile(io.BytesIO(source) if isinstance(source, bytes) else source)
+        except (zipfile.BadZipFile, ValueError):  # the second where a file is too short to look back in
+            raise HarmonizeError("not an .xlsx workbook (.xls files can't be read)") from None
+        targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(self.zip.read("xl/_rels/workbook.xml.rels"))}
+        book = ElementTree.fromstring(self.zip.read("xl/workbook.xml"))
+        self.from_1904 = any(x.get("date1904") in ("1", "true") for x in book.iter(f"{_MAIN}workbookPr"))
+        #: Sheet names in order, with the part that holds each.
+        self.sheets: dict[str, str] = {}
+        for sheet in book.iter(f"{_MAIN}sheet"):
+            target = targets[sheet.get(f"{_REL}id")].lstrip("/")
+            self.sheets[sheet.get("name")] = target if target.startswith("xl/") else f"xl/{target}"
+
+    def size(self, sheet: str) -> int:
+        """The bytes of a sheet's text before compression."""
+        return self.zip.getinfo(self.sheets[sheet]).file_size
+
+    def _part(self, name: str) -> ElementTree.Element | None:
+        return ElementTree.fromstring(self.zip.read(name)) if name in self.zip.namelist() else None
+
+    @cached_property
+    def shared(self) -> list[str]:
+        part = self._part("xl/sharedStrings.xml")
+        return [] if part is None else [_text(x) for x in part.iter(f"{_MAIN}si")]
+
+    @cached_property
+    def date_styles(self) -> frozenset[int]:
+        """The cell styles whose number format shows dates."""
+        part = self._part("xl/styles.xml")
+        if part is None:
+            return frozenset()
+        custom = {int(f.get("numFmtId")): is_date_format(f.get("formatCode", "")) for f in part.iter(f"{_MAIN}numFmt")}
+        formats = [int(x.get("numFmtId", "0")) for found in part.iter(f"{_MAIN}cellXfs") for x in found.iter(f"{_MAIN}xf")]
+        return frozenset(i for i, f in enumerate(formats) if custom.get(f, f in _DATE_FORMATS))
+
+    def _cell(self, cell: ElementTree.Element) -> str | None:
+        kind, value = cell.get("t", "n"), cell.find(f"{_MAIN}v")
+        if kind == "inlineStr":
+            return _text(cell)
+        raw = value.text if value is not None else None
+        if raw is None:
+            return None
+        if kind == "s":
+            return self.shared[int(raw)]
+        if kind == "b":
+            return "true" if raw == "1" else "false"
+        if kind in ("str", "d", "e"):
+            return raw
+        return date_text(raw, self.from_1904) if int(cell.get("s", "0")) in self.date_styles else number_text(raw)
+
+    def rows(self, sheet: str, wanted: Callable[[list[str | None]], set[int]] | None = None) -> Iterator[list[str | None]]:
+        """The rows of a sheet as text; an empty cell is null.
+
+        ``wanted`` is asked, with the first row, which columns are needed; the cells of others are left null unread.
+        """
+        needed: set[int] | None = None
+        first, holder = True, None
+        with self.zip.open(self.sheets[sheet]) as part:
+            for event, row in ElementTree.iterparse(part, ("start", "end")):
+                if event == "start":
+                    holder = row if row.tag == f"{_MAIN}sheetData" else holder
+                    continue
+                if row.tag != f"{_MAIN}row":
+                    continue
+                cells: dict[int, str | None] = {}
+                for k, cell in enumerate(row.iter(f"{_MAIN}c")):
+                    at = _column(cell.get("r", "")) if cell.get("r") else k
+                    if needed is None or at in needed:
+                        cells[at] = self._cell(cell)
+                holder.clear()  # rows that were read aren't held
+                found = [cells.get(i) or None for i in range(max(cells, default=-1) + 1)]
+                if first and wanted is not None:
+                    needed = wanted(found)
+                first = False
+                yield found
 
 
 def read_workbook(data: bytes) -> dict[str, list[list[str | None]]]:
     """All sheets in workbook order as rows of text cells; an empty cell is null."""
-    try:
-        book = zipfile.ZipFile(io.BytesIO(data))
-    except zipfile.BadZipFile:
-        raise HarmonizeError("not an .xlsx workbook (.xls files can't be read)") from None
-    names = set(book.namelist())
-    shared = [_text(x) for x in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si")] if "xl/sharedStrings.xml" in names else []
-    targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
-    found = {}
-    for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet"):
-        target = targets[sheet.get(f"{_REL}id")].lstrip("/")
-        found[sheet.get("name")] = list(_rows(book.read(target if target.startswith("xl/") else f"xl/{target}"), shared))
-    return found
+    book = Workbook(data)
+    return {sheet: list(book.rows(sheet)) for sheet in book.sheets}
 
 
 def sheet_table(rows: list[list[str | None]]) -> tuple[list[str], list[list[str | None]]]:
@@ -81,33 +164,53 @@ def _letters(i: int) -> str:
     return out
 
 
-def _sheet_xml(rows: list[list[str | None]]) -> str:
-    body = "".join(
-        f'<row r="{n}">' + "".join(f'<c r="{_letters(i)}{n}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>' for i, v in enumerate(r) if v is not None) + "</row>"
-        for n, r in enumerate(rows, 1)
-    )
-    return f'<worksheet xmlns="{_MAIN[1:-1]}"><sheetData>{body}</sheetData></worksheet>'
+def _row_xml(n: int, row: list[str | None | datetime]) -> str:
+    """A row of text cells; a moment becomes a number in the style of dates."""
+    cells = []
+    for i, v in enumerate(row):
+        if isinstance(v, datetime):
+            cells.append(f'<c r="{_letters(i)}{n}" s="1"><v>{(v - _EPOCHS[False]).total_seconds() / 86400!r}</v></c>')
+        elif isinstance(v, float):
+            cells.append(f'<c r="{_letters(i)}{n}"><v>{v!r}</v></c>')
+        elif v is not None:
+            cells.append(f'<c r="{_letters(i)}{n}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>')
+    return f'<row r="{n}">' + "".join(cells) + "</row>"
 
 
-def workbook_bytes(sheets: dict[str, list[list[str | None]]]) -> bytes:
-    """A workbook of text sheets; equal sheets give equal bytes."""
+def write_workbook(out: IO[bytes], sheets: dict[str, Iterable[list[str | None | float | datetime]]]) -> None:
+    """Write the sheets to ``out`` row by row; text cells, numbers and moments.  Equal sheets give equal bytes."""
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
     office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     package = "http://schemas.openxmlformats.org/package/2006"
     kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
     ids = range(1, len(sheets) + 1)
     parts = {
-        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>'
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{kind}.styles+xml"/>'
         + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{kind}.worksheet+xml"/>' for i in ids) + "</Types>",
         "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
         "xl/workbook.xml": f'<workbook xmlns="{_MAIN[1:-1]}" xmlns:r="{office}"><sheets>'
         + "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{i}" r:id="rId{i}"/>' for i, n in zip(ids, sheets)) + "</sheets></workbook>",
         "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships">'
-        + "".join(f'<Relationship Id="rId{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in ids) + "</Relationships>",
-        **{f"xl/worksheets/sheet{i}.xml": _sheet_xml(rows) for i, rows in zip(ids, sheets.values())},
+        + "".join(f'<Relationship Id="rId{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in ids)
+        + f'<Relationship Id="rId{len(sheets) + 1}" Type="{office}/styles" Target="styles.xml"/></Relationships>',
+        "xl/styles.xml": f'<styleSheet xmlns="{_MAIN[1:-1]}"><fonts count="1"><font/></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs>'
+        '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="22" applyNumberFormat="1"/></cellXfs></styleSheet>',
     }
-    out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for name, content in parts.items():
             z.writestr(zipfile.ZipInfo(name, _EPOCH), head + content, zipfile.ZIP_DEFLATED)
+        for i, rows in zip(ids, sheets.values()):
+            info = zipfile.ZipInfo(f"xl/worksheets/sheet{i}.xml", _EPOCH)
+            info.compress_type = zipfile.ZIP_DEFLATED
+            with z.open(info, "w", force_zip64=True) as part:
+                part.write(f'{head}<worksheet xmlns="{_MAIN[1:-1]}"><sheetData>'.encode())
+                for n, row in enumerate(rows, 1):
+                    part.write(_row_xml(n, row).encode())
+                part.write(b"</sheetData></worksheet>")
+
+
+def workbook_bytes(sheets: dict[str, list[list[str | None]]]) -> bytes:
+    """A workbook in memory."""
+    out = io.BytesIO()
+    write_workbook(out, sheets)
     return out.getvalue()

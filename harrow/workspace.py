@@ -10,11 +10,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from harrow.settings import HarmonizeError
+
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a fresh local one where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset a fresh local one, which only a local session may use."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise HarmonizeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="harrow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -31,8 +31,19 @@ def test_tsv_bytes(spark, tmp_path):
     with pytest.raises(HarmonizeError, match="overwrite"):
         sinks.write_tsv(df, path, overwrite=False)
     assert sinks.write_tsv(df.limit(0), tmp_path / "e.tsv").read_text() == "t\tv\tu\n"
-    many = sinks.write_tsv(spark.range(100).repartition(3), tmp_path / "m.tsv", one_file_rows=10)
-    assert many.is_dir() and sum(len(p.read_text().splitlines()) - 1 for p in many.iterdir()) == 100
+
+
+def test_tsv_parts_and_failed_writes(spark, tmp_path):
+    rows = spark.range(100).repartitionByRange(5, "id").sortWithinPartitions("id")
+    many = sinks.write_tsv(rows, tmp_path / "m.tsv", one_file=False)
+    whole = "".join(p.read_text() for p in sorted(many.iterdir()))
+    assert whole == "id\n" + "".join(f"{i}\n" for i in range(100)) and len(list(many.iterdir())) == 6
+    assert sinks.write_tsv(rows, many).read_text() == whole  # the folder gives way to a file
+    empty = sinks.write_tsv(spark.createDataFrame([], "`a\tb` string"), tmp_path / "e", one_file=False)
+    assert [p.read_text() for p in empty.iterdir()] == ['"a\tb"\n']
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.write_tsv(rows.select("id", F.expr("1 div (id - 70)").alias("x")), tmp_path / "x.tsv")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["e", "m.tsv"]
 
 
 def test_rule_files(tmp_path):
@@ -112,6 +123,89 @@ def test_checkpoints_and_empty_folders(spark, tmp_path, workspace):
         workbooks.discover(spark, str(tmp_path / "nowhere"))
 
 
+def test_dates_and_numbers_of_cells():
+    from datetime import datetime
+    from io import BytesIO
+
+    out = BytesIO()
+    xlsx.write_workbook(out, {"s": [["a", 0.1 + 0.2, 5.0, datetime(1996, 2, 29, 13, 5, 6), None, datetime(1900, 3, 1)]]})
+    assert xlsx.read_workbook(out.getvalue()) == {"s": [["a", "0.30000000000000004", "5", "1996-02-29 13:05:06", None, "1900-03-01 00:00:00"]]}
+    for code, dated in (("yyyy-mm-dd", True), ("[$-409]d-mmm;@", True), ("[h]:mm", True), ("0.00", False), ("General", False), ('0 "days"', False), ("#,##0\\ \\d", False), ("[Red]0", False), ("_-* #,##0.00_-", False)):
+        assert xlsx.is_date_format(code) == dated, code
+    assert [xlsx.date_text(x) for x in ("1", "59", "61", "44196.5")] == ["1900-01-01 00:00:00", "1900-02-28 00:00:00", "1900-03-01 00:00:00", "2020-12-31 12:00:00"]
+    assert xlsx.date_text("0", from_1904=True) == "1904-01-01 00:00:00" and xlsx.date_text("1e9") == "1000000000"
+
+
+def test_sheets_are_read_row_by_row():
+    data = xlsx.workbook_bytes({"s": [["k", "unread", "v"], *[[str(i), "x", f"v{i}"] for i in range(5)]]})
+    book = xlsx.Workbook(data)
+    rows = book.rows("s", lambda first: {first.index("k"), first.index("v")})
+    assert next(rows) == ["k", "unread", "v"] and next(rows) == ["0", None, "v0"] and len(list(rows)) == 4
+    assert book.size("s") > 100
+
+
+def test_workbook_partitions(spark, tmp_path):
+    header = ["Continent", "Country", "Unit", "Footnotes", "1950"]
+    for name, sheets in (("fao_1952_a_b_c_x.xlsx", 3), ("fao_1952_a_b_c_y.xlsx", 1)):
+        (tmp_path / name).write_bytes(xlsx.workbook_bytes({f"s{i}": [header, *[["Asia", f"p{k}", "kg", "f", str(k)] for k in range(40)]] for i in range(sheets)}))
+    (tmp_path / "fao_1952_a_b_c_z.xlsx").write_bytes(b"no")
+    reader = workbooks.WorkbookReader(tmp_path.as_uri(), ("continent",), 1)
+    parts = reader.partitions()
+    assert [[s[2] for s in p.sheets] for p in parts] == [["s0"], ["s1"], ["s2"], ["s0"]] and len(parts[-1].errors) == 1
+    assert len(workbooks.WorkbookReader(tmp_path.as_uri(), ("continent",), 1 << 30).partitions()) == 1
+    df = workbooks.read_long(spark, str(tmp_path), partition_bytes=1)
+    assert df.rdd.getNumPartitions() == 4 and df.where("_error IS NULL").count() == 160 and df.where("_error IS NOT NULL").count() == 1
+    assert {(r["_sheet_no"], r["variable"]) for r in df.where("file LIKE '%x.xlsx'").collect()} == {(0, "s0"), (1, "s1"), (2, "s2")}
+    assert workbooks.WorkbookReader((tmp_path / "none").as_uri(), (), 1).__class__ is workbooks.WorkbookReader
+
+
+def test_lists_are_compared_by_digests_and_written_by_tasks(spark, tmp_path, workspace):
+    from harrow.operators.lists import layer_tables, merged_lists
+
+    layer = lambda rows: spark.createDataFrame(rows, "polity string, year long, value double, none string")
+    objects = {"d_raw": layer([("Spain", 10, 1.5, None), ("Åland", 9, None, None), ("France", 9, 10.0, None)]), "d_clean": layer([("France", 1, 2.0, None), ("Spain", 1, None, None), ("Åland", 1, None, None), ("Spain", 2, 2.0, None)]), "d_harmonize": layer([(None, 1, 1.0, None)]).limit(0)}
+    lists = merged_lists(layer_tables(objects), ["polity", "year", "value", "none", "absent"], workspace)
+    assert {c: lists.sheets(c) for c in lists.groups} == {
+        "polity": {"raw_clean": 3, "normalize_harmonize": 0}, "year": {"raw": 2, "clean": 2, "normalize_harmonize": 0}, "value": {"raw": 3, "clean": 2, "normalize_harmonize": 0},
+        "none": {"raw_clean": 1, "normalize_harmonize": 0}, "absent": {"raw_clean_normalize_harmonize": 0},
+    }
+    sinks.write_list_workbooks(lists, {c: (tmp_path / f"{c}.xlsx").as_uri() for c in lists.groups})
+    got = {c: xlsx.read_workbook((tmp_path / f"{c}.xlsx").read_bytes()) for c in lists.groups}
+    assert got["polity"] == {"raw_clean": [["France"], ["Spain"], ["Åland"]], "normalize_harmonize": []}
+    assert got["year"] == {"raw": [["9"], ["10"]], "clean": [["1"], ["2"]], "normalize_harmonize": []}
+    assert got["value"] == {"raw": [["(blank)"], ["1.5"], ["10"]], "clean": [["(blank)"], ["2"]], "normalize_harmonize": []}
+    assert got["none"] == {"raw_clean": [["(blank)"]], "normalize_harmonize": []} and got["absent"] == {"raw_clean_normalize_harmonize": []}
+    assert len(list(tmp_path.iterdir())) == 5
+
+
+def test_export_contract_and_names(tmp_path, monkeypatch):
+    from harrow.plans.export import check_output_paths
+    from harrow.settings import dataset_name, project_root
+
+    check_output_paths({"a": tmp_path}, {"b": tmp_path})
+    for processed, lists in (({}, {"b": tmp_path}), ({"a": tmp_path}, {}), ({" ": tmp_path}, {"b": tmp_path})):
+        with pytest.raises(HarmonizeError):
+            check_output_paths(processed, lists)
+    assert [dataset_name(n) for n in (" Données  (2020)! ", "Ünï", "trade_data_raw")] == ["donnees_2020", "uni", "trade_data_raw"]
+    monkeypatch.delenv("HARROW_ROOT", raising=False)
+    (tmp_path / "p" / "q" / "r").mkdir(parents=True)
+    (tmp_path / "p" / "pyproject.toml").write_text("")
+    assert project_root(tmp_path / "p" / "q" / "r") == (tmp_path / "p").resolve()
+    monkeypatch.setenv("HARROW_ROOT", str(tmp_path))
+    assert project_root(tmp_path / "p") == tmp_path.resolve()
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from harrow.workspace import shared_root
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: conf))
+    with pytest.raises(HarmonizeError, match="spark.checkpoint.dir"):
+        shared_root(cluster)
+
+
 def test_wide_sheet(spark):
     data = xlsx.workbook_bytes({"s": [["Country", "1950", "Some Thing"], ["x", "1", None]]})
     df = workbooks.read_sheet_wide(spark, data, "s")

@@ -14,6 +14,13 @@ def test_header_names():
     assert [headers.normalize_header(h) for h in given] == expected
 
 
+def test_header_keys_as_a_column(spark):
+    given = ["Continent", "Country  Name", "Región / Zona", "Año - Base", "GDP (current US$)", "a\u00a0\u00a0b", "\x1c x \x1f", "  value - amount ", "Ǻ/é", "K ı İ", "__leading", "A__B", "!!!", "", " ", "a-\n/b", "漢字 x", None]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(given)], "i int, h string")
+    got = [r["k"] for r in df.select("i", headers.header_key(F.col("h")).alias("k")).orderBy("i").collect()]
+    assert got == [headers.normalize_header(h) for h in given]
+
+
 def test_header_renames_and_collisions():
     assert headers.canonical_renames(["Continent ", "Country", "Unit", "x"]) == {"Continent ": "continent", "Unit": "unit", "Country": "polity"}
     assert headers.canonical_renames(["country", "polity"]) == {}
