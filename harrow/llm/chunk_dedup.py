@@ -106,14 +106,15 @@ def repeated_chunks(docs: DataFrame, least: int = 96, within: bool = False) -> D
     return found.drop("new", "size", "own")
 
 
-def repeated_passages(docs: DataFrame, least: int = 96) -> DataFrame:
+def repeated_passages(docs: DataFrame, least: int = 96, within: bool = False) -> DataFrame:
     """One row for each passage that a document shares with another: ``doc_id, start, length`` (bytes), ``n_chunks``,
-    ``n_duplicate`` (chunks that an earlier document has), ``copies`` (of its commonest chunk) and ``first_docs``.
+    ``n_duplicate`` (chunks that stand earlier), ``copies`` (of its commonest chunk) and ``first_docs``.
 
+    With ``within``, passages that stand several times in one document alone count as well.
     Null ids and null or empty texts have no chunks.  Rows that repeat id and text are one
-    document; repetition within one document alone isn't reported.  An empty table gives no rows.
+    document.  An empty table gives no rows.
     """
-    found = repeated_chunks(docs, least).groupBy("doc_id", "h", "passage")
+    found = repeated_chunks(docs, least, within).groupBy("doc_id", "h", "passage")
     return found.agg(
         F.min("start").alias("start"), F.sum("length").alias("length"), F.count("*").alias("n_chunks"),
         F.count_if("duplicate").alias("n_duplicate"), F.max("copies").alias("copies"), F.array_sort(F.collect_set("first_doc")).alias("first_docs"),

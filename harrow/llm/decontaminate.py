@@ -18,8 +18,10 @@ from harrow.llm.store import Store
 
 #: Each keeps five words; 1 is compared, 0 is ignored.
 MASKS = ("11111", "1101011", "110010101")
-#: For whole items of 5 to 9 tokens with one substitution, by length: one of these fits beside or around any place.
-SHORT_MASKS = {5: ("111", "11011"), 6: ("111",), 7: ("111",), 8: ("1111",), 9: ("1111",)}
+#: For whole items of 5 to 9 tokens with one substitution and of 10 with two, by length: one of these fits beside or around any place.
+SHORT_MASKS = {5: ("111", "11011"), 6: ("111",), 7: ("111",), 8: ("1111",), 9: ("1111",), 10: ("111",)}
+#: Items of fewer tokens than this aren't looked for.
+LEAST_TOKENS = 5
 #: Rows that are broadcast at most.
 BROADCAST_SEEDS, BROADCAST_LINES, BROADCAST_IDS = 500_000, 50_000, 1_000_000
 
@@ -50,20 +52,20 @@ def _best_run(agree: Column, run: Column) -> Column:
     return F.array_max(sums)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[str, ...] = MASKS, similarity: float = 0.8, min_overlap: int = 20, short_items: bool = False) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, store: Store, masks: tuple[str, ...] = MASKS, similarity: float = 0.8, min_overlap: int = 20, short_items: bool = False, least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """One row for each document and item that overlap: ``doc_id, item_id, n_places, similarity, start, length``.
 
     ``docs(doc_id, text)`` and ``items(item_id, text)``; ``n_places`` counts the line-ups that were
     verified, the other columns describe the best one, ``start`` counting the document's tokens.
-    With ``short_items``, items of 5 to 9 tokens get further masks, so that none with one substitution is missed.
-    Null or empty texts and those of fewer than five tokens overlap with nothing, null ids are left out,
+    With ``short_items``, items of 5 to 10 tokens get further masks, so that none with one substitution (two in 10) is missed.
+    Null or empty texts and items of fewer than ``least_tokens`` (at least five) overlap with nothing, null ids are left out,
     repeated rows count once, other columns are ignored, and an empty table gives no rows.
     """
     test = items.where(F.col("item_id").isNotNull()).select("item_id", tokens(F.col("text")).alias("item")).distinct()
-    test = store.save(test.withColumn("m", F.size("item")).where(F.col("m") >= 5), "items")
+    test = store.save(test.withColumn("m", F.size("item")).where(F.col("m") >= max(least_tokens, 5)), "items")
     wanted: dict[str, Column] = {}
     if short_items:
-        lengths = {r["m"] for r in test.where(F.col("m") <= max(SHORT_MASKS)).select("m").distinct().collect()}  # five at most
+        lengths = {r["m"] for r in test.where(F.col("m") <= max(SHORT_MASKS)).select("m").distinct().collect()}  # six at most
         for mask in sorted({x for m in lengths for x in SHORT_MASKS[m]} - set(masks)):
             wanted[mask] = F.col("m").isin([m for m in lengths if mask in SHORT_MASKS[m]])
             masks = (*masks, mask)

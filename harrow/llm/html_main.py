@@ -140,14 +140,14 @@ def line_weights(lines: list[tuple[str, int, bool, bool]], threshold: int) -> li
     return [w + threshold if article else max(w - 8 * threshold, -1) for w, (*_, article) in zip(weights, lines)]
 
 
-def main_text(source: str | None, window: int = 3, threshold: int = 80, least: int = 20) -> str:
+def main_text(source: str | None, window: int = 3, threshold: int = 80) -> str:
     """The text between the surges and dives of one page; null, empty and textless pages give an empty string.
 
-    The threshold is at most half of what the page's lines weigh, but not below ``least``, so a page of one short paragraph keeps it.
+    The threshold is at most half of what the page's lines weigh, so a page of one short paragraph, however short, keeps it.
     """
     lines = [x for x in page_lines(source or "") if not x[2]]
     weights = line_weights(lines, threshold)
-    need = min(threshold, max(least, sum(max(w, 0) for w in weights) // 2))
+    need = min(threshold, max(1, sum(max(w, 0) for w in weights) // 2))
     kept, inside = [], False
     for i, (line, weight) in enumerate(zip(lines, weights)):
         block = sum(weights[i : i + window])

@@ -167,13 +167,17 @@ def open_pairs(classes: DataFrame, threshold: float, part: int = 0, parts: int =
     itself = (x("id") == y("id")) & (x("doc_id") == y("doc_id")) & (_part(x("packed"), _N + _I, _POS) == _part(y("packed"), _N + _I, _POS))
     larger = (nx > ny) | ((nx == ny) & (x("id") >= y("id")) & ~itself)
     later = _later(x, y)
-    looks = F.when(later, x("packed")).otherwise(y("packed")) >= 0
+    # rows that repeat an id may have lines at one place; which of two such lines is the later one, verified() tells
+    same_place = (x("doc_id") == y("doc_id")) & (_part(x("packed"), _N + _I, _POS) == _part(y("packed"), _N + _I, _POS))
+    looks = (F.when(later, x("packed")).otherwise(y("packed")) >= 0) | (same_place & ((x("packed") >= 0) | (y("packed") >= 0)))
     joined = entries.alias("x").join(index.alias("y"), (x("key") == y("key")) & larger & looks & _near(x, y, threshold))
     return joined.select(F.when(later, x("id")).otherwise(y("id")).alias("later"), F.when(later, y("id")).otherwise(x("id")).alias("earlier")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, store: Store, threshold: float) -> DataFrame:
-    """The sets ``id, d2`` that stand ``later`` in a pair whose Jaccard similarity is at least the threshold.
+    """The sets ``id, d2`` that stand behind the other one of a pair whose Jaccard similarity is at least the threshold.
+
+    ``later`` and ``earlier`` only name the two sets of a pair: which stands behind is decided by the places, hashes of the texts included.
 
     The lines are read from their documents and compared by 64-bit hashes of their words; two words of one pair share
     one with a chance of 1 in 10^13 at most.  Sets that share an ``id`` are told apart by ``d2`` and their places.
@@ -189,8 +193,9 @@ def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, store: Store,
     side = lambda name: words.select(F.col("id").alias(name), F.col("d2").alias(f"{name}_d2"), F.col("words").alias(f"{name}_words"), F.col("place").alias(f"{name}_place"))
     both = F.size(F.array_intersect("later_words", "earlier_words"))
     enough = both >= _needed(F.size("later_words"), F.size("earlier_words"), threshold)
-    joined = pairs.join(side("later"), "later").join(side("earlier"), "earlier").where((F.col("later_place") > F.col("earlier_place")) & enough)
-    found = store.save(joined.select(F.col("later").alias("id"), F.col("later_d2").alias("d2")).distinct(), "verified")
+    joined = pairs.join(side("later"), "later").join(side("earlier"), "earlier").where((F.col("later_place") != F.col("earlier_place")) & enough)
+    behind = lambda c: F.when(F.col("later_place") > F.col("earlier_place"), F.col(f"later{c}")).otherwise(F.col(f"earlier{c}"))
+    found = store.save(joined.select(behind("").alias("id"), behind("_d2").alias("d2")).distinct(), "verified")
     store.drop(words)
     return found
 

@@ -35,14 +35,14 @@ WITH items AS (
   SELECT item_id, list_filter(string_split_regex(lower(text), '[^\pL\pM\pN]+'), lambda w: w <> '') AS item FROM benchmark
 ), docs AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\pL\pM\pN]+'), lambda w: w <> '') AS ws FROM documents
-), masks(k, span, o) AS (
-  VALUES (0, 5, [0, 1, 2, 3, 4]), (1, 7, [0, 1, 3, 5, 6]), (2, 9, [0, 1, 4, 6, 8])
+), masks(k, span, o, lengths) AS (
+  VALUES (0, 5, [0, 1, 2, 3, 4], NULL), (1, 7, [0, 1, 3, 5, 6], NULL), (2, 9, [0, 1, 4, 6, 8], NULL), (3, 3, [0, 1, 2], [5, 6, 7, 10]), (4, 5, [0, 1, 3, 4], [5]), (5, 4, [0, 1, 2, 3], [8, 9])
 ), item_seeds AS (
   SELECT DISTINCT item_id, k, i, list_transform(o, lambda x: item[i + x]) AS seed
-  FROM (SELECT item_id, item, k, o, unnest(range(1, greatest(len(item) - span + 2, 1))) AS i FROM items, masks WHERE len(item) >= 5)
+  FROM (SELECT item_id, item, k, o, unnest(range(1, greatest(len(item) - span + 2, 1))) AS i FROM items, masks WHERE len(item) >= 5 AND (lengths IS NULL OR list_contains(lengths, len(item))))
 ), doc_seeds AS (
   SELECT doc_id, k, i, list_transform(o, lambda x: ws[i + x]) AS seed
-  FROM (SELECT doc_id, ws, k, o, unnest(range(1, greatest(len(ws) - span + 2, 1))) AS i FROM docs, masks)
+  FROM (SELECT doc_id, ws, k, o, unnest(range(1, greatest(len(ws) - span + 2, 1))) AS i FROM docs, masks WHERE k IN (SELECT k FROM item_seeds))
 ), shifts AS (
   SELECT DISTINCT d.doc_id, s.item_id, d.i - s.i AS shift FROM doc_seeds d JOIN item_seeds s ON d.k = s.k AND d.seed = s.seed
 ), places AS (

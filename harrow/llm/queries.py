@@ -67,8 +67,8 @@ def op7_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every passage that a document shares with another."""
-    return chunk_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+    """Every passage that a document shares with another, or has several times."""
+    return chunk_dedup.repeated_passages(_table(spark, sf_dir, "documents"), within=True)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

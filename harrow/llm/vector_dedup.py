@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -250,23 +251,39 @@ def count_links(units: DataFrame, roots: DataFrame, cosine: float, cell: int) ->
     return counted.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
 
 
+def small_groups(units: DataFrame, cosine: float) -> DataFrame:
+    """``node, root`` of the components of vectors whose length few others have: each length's vectors are compared all with all."""
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, x = pdf["vec_id"].to_numpy(), np.stack(pdf["unit"].to_numpy())
+        node, root = _stars(ids, x @ x.T >= cosine)
+        return pd.DataFrame({"node": node, "root": root})
+
+    return units.withColumn("length", F.size("unit")).groupBy("length").applyInPandas(compare, "node long, root long")
+
+
 def near_duplicates(vectors: DataFrame, store: Store, cosine: float = 0.9, window: int = 512, recall: float = 0.995, cell: int = 2048, seed: int = 7, mixed_lengths: bool = False) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors(vec_id, embedding)``.
 
     Links are pairs of different ids with a cosine, in double precision, of at least ``cosine``.  Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing, as do rows
-    without an id.  Vectors of different lengths raise an error, or with ``mixed_lengths`` those of the commonest length
-    (the longest of these) link and the others with nothing.  Rows that repeat an id count as one vector (the first by value that can link).  Other columns are ignored.
+    without an id.  Vectors of different lengths raise an error, or with ``mixed_lengths`` link with those of their own length only: lengths
+    that more vectors have than a window go through the passes one after the other, all others are compared all with all.
+    Rows that repeat an id count as one vector (the first by value that can link).  Other columns are ignored.
     """
     valid = unit_vectors(vectors)
-    # one row for each length that occurs
-    lengths = valid.groupBy(F.size("unit").alias("length")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("length")).limit(2).collect()
-    if len(lengths) > 1 and not mixed_lengths:
-        raise ValueError("the vectors differ in length")
-    valid = valid.where(F.size("unit") == (lengths[0]["length"] if lengths else 0))
     units = store.save(valid.groupBy("vec_id").agg(F.min("unit").alias("unit")), "units")
-    n = units.count()
-    roots = all_links(units, store, n, window, cosine, recall, seed)
+    lengths = units.groupBy(F.size("unit").alias("length")).agg(F.count("*").alias("n"))
+    if not mixed_lengths and lengths.limit(2).count() > 1:
+        raise ValueError("the vectors differ in length")
+    # each has more vectors than a window, so there are few
+    large = {r["length"]: r["n"] for r in lengths.where(F.col("n") > window).collect()}
+    small = units.where(~F.size("unit").isin(*large)) if large else units
+    roots = [store.save(small_groups(small, cosine), "small")]
+    for length, n in sorted(large.items()):
+        own = units if len(large) == 1 and n == units.count() else store.save(units.where(F.size("unit") == length), "length")
+        roots.append(all_links(own, store, n, window, cosine, recall, seed))
+    roots = reduce(DataFrame.unionByName, roots)
     links = store.save(count_links(units, roots, cosine, cell), "links")
     found = vectors.select(F.col("vec_id").cast("long")).join(links, "vec_id", "left").join(roots, F.col("vec_id") == F.col("node"), "left")
     component = F.coalesce("root", "vec_id")

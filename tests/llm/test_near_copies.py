@@ -129,6 +129,26 @@ def test_vectors_of_nothing_and_of_mixed_lengths(spark, store):
     assert vector_dedup.passes_needed(10**9, 512, 0.9, 0.99) > vector_dedup.passes_needed(10**5, 512, 0.9, 0.99) >= 2
 
 
+@pytest.mark.parametrize("window", [512, 24])
+def test_vectors_of_several_lengths_against_brute_force(spark, store, window):
+    rng = np.random.default_rng(11)
+    rows, k = [], 0
+    for size, n in ((8, 90), (3, 40), (5, 2), (16, 1), (2, 60), (1, 5)):
+        own = [[float(x) for x in rng.standard_normal(size)] for _ in range(n)]
+        for v in own:
+            rows.append((k := k + 1, v))
+            if rng.random() < 0.4:
+                rows.append((k := k + 1, [x * 3.0 for x in v] if rng.random() < 0.5 else [x + 0.02 * float(rng.standard_normal()) for x in v]))
+    rows += [(5000, None), (5001, []), (5002, [0.0, 0.0]), (5003, [1.0, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    truth = []
+    for size in {len(v) for _, v in rows if v}:
+        truth += [r for r in vector_truth([(d, v) for d, v in rows if v and len(v) == size])]
+    truth += [(d, 0, d, True) for d, v in rows if not v]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in vector_dedup.near_duplicates(df, store, window=window, mixed_lengths=True).collect())
+    assert got == sorted(truth)
+
+
 def test_vectors_in_a_dense_cone(spark, store):
     rng = np.random.default_rng(5)
     unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)

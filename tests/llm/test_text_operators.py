@@ -60,13 +60,40 @@ def test_line_edge_cases(spark, store):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string"), store).count() == 0
 
 
+def slow_lines(spark, rows, threshold=0.8):
+    """What stays of each row by the definition: lines in order of (id, place, hash of the text)."""
+    hashes = {r["text"]: r["h"] for r in spark.createDataFrame([(t,) for _, t in rows], "text string").selectExpr("text", "xxhash64(text) AS h").collect()}
+    lines = sorted({(d, k, hashes[t], line) for d, t in rows for k, line in enumerate(t.split("\n"))})
+    words = [frozenset(line.lower().split()) for *_, line in lines]
+    gone = set()
+    for i, (d, k, h, _) in enumerate(lines):
+        if words[i] and any(words[j] and len(words[i] & words[j]) >= threshold * len(words[i] | words[j]) - 1e-9 for j in range(i)):
+            gone.add((d, k, h))
+    return sorted((d, "\n".join(line for k, line in enumerate(t.split("\n")) if (d, k, hashes[t]) not in gone)) for d, t in rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lines_of_repeated_ids_against_brute_force(spark, store, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(60):
+        words = [f"i{i}w{k}" for k in range(11)]
+        for _ in range(rng.randint(2, 3)):  # each pair has a similarity of 10 in 12 or less
+            own = list(words)
+            own[rng.randrange(11)] = f"x{rng.randrange(10**6)}"
+            rows.append((i // rng.choice([1, 2]), "\n".join([f"only{rng.randrange(10**6)}"] * rng.randint(0, 1) + [" ".join(own)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(df, store).collect())
+    assert got == slow_lines(spark, rows) and got != sorted(rows)
+
+
 # ------------------------------------------------------------------ benchmark
 
 
 def test_overlaps_against_sql(spark, store):
     rng = random.Random(2)
     word = lambda: f"t{rng.randrange(400)}"
-    items = [[word() for _ in range(n)] for n in (4, 5, 9, 20, 30, 55)]
+    items = [[word() for _ in range(n)] for n in (4, 5, 6, 9, 10, 20, 30, 55)]
     docs = []
     for k in range(80):
         text = [word() for _ in range(rng.randint(0, 60))]
@@ -78,7 +105,7 @@ def test_overlaps_against_sql(spark, store):
         docs.append(" ".join(text).replace(" ", rng.choice([" ", ", ", "\n"])).upper() if k % 3 else " ".join(text))
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
-    got = decontaminate.contaminated(df, bench, store)
+    got = decontaminate.contaminated(df, bench, store, short_items=True)
     assert got.count() > 10
     same(got, by_duckdb(SEED_OVERLAPS, documents=df, benchmark=bench))
 
@@ -189,6 +216,19 @@ def slow_passages(rows, least):
     return sorted(out)
 
 
+def test_passages_of_one_document_are_reported(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    passage, shared = prose(80), prose(80)
+    rows = [(1, f"{prose(30)} {passage} {prose(30)} {passage} {prose(20)}"), (2, f"{shared} {prose(60)}"), (3, f"{prose(40)} {shared}"), (4, prose(200))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = [(r["doc_id"], r["n_duplicate"] > 0, texts[r["doc_id"]].encode()[r["start"] : r["start"] + r["length"]].decode()) for r in chunk_dedup.repeated_passages(df, within=True).collect()]
+    assert sorted((d, dup) for d, dup, _ in got) == [(1, False), (1, True), (2, False), (3, True)]
+    assert all(t in (passage if d == 1 else shared) and len(t) > 200 for d, _, t in got)
+    assert {r["doc_id"] for r in chunk_dedup.repeated_passages(df).collect()} == {2, 3}
+
+
 def test_passages_against_brute_force(spark):
     rng = random.Random(6)
     prose = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
@@ -223,7 +263,7 @@ def test_undeclared_article():
     assert text.startswith("Title here Prose") and text.endswith("4") and "Topic" not in text and "cookies" not in text
 
 
-@pytest.mark.parametrize(("page", "text"), [(None, ""), ("", ""), ("<p>tiny</p>", ""), ("<article>x &am", "x &am"), ("<article><p>a<p>b</article>", "a b"), ("<article hidden><p>x</p></article>", ""), ("<article><script>if (a<b) x</script>y", "y"), ("<article>1 < 2 <3> <b>x</b>y", "1 < 2 <3> xy")])
+@pytest.mark.parametrize(("page", "text"), [(None, ""), ("", ""), ("<p>tiny</p>", "tiny"), ("<article>x &am", "x &am"), ("<article><p>a<p>b</article>", "a b"), ("<article hidden><p>x</p></article>", ""), ("<article><script>if (a<b) x</script>y", "y"), ("<article>1 < 2 <3> <b>x</b>y", "1 < 2 <3> xy")])
 def test_odd_pages(page, text):
     assert html_main.main_text(page) == text
 
@@ -250,11 +290,11 @@ def test_windows_decide_beside_a_declared_article():
     assert text.startswith("An opening.") and text.endswith("3 Be. A note.") and "outside" not in text
 
 
-def slow_text(lines, window, threshold, least):
+def slow_text(lines, window, threshold):
     """The definition, line by line: a kept line lies between a surge and the first window after it that weighs nothing."""
     weights = html_main.line_weights(lines, threshold)
     block = [sum(weights[i : i + window]) for i in range(len(lines))]
-    need = min(threshold, max(least, sum(w for w in weights if w > 0) // 2))
+    need = min(threshold, max(1, sum(w for w in weights if w > 0) // 2))
     kept = []
     for i in range(len(lines)):
         surges = [s for s in range(i + 1) if weights[s] > 0 and block[s] >= need and all(block[k] > 0 for k in range(s, i + 1))]
@@ -272,7 +312,7 @@ def test_main_text_against_brute_force():
             blocks.append(f"<p><a href='/'>{words}</a></p>" if rng.random() < 0.3 else f"<p>{words}</p>" if rng.random() < 0.8 else f"<nav>{words}</nav>")
         cut = rng.randint(0, len(blocks))
         page = "".join(blocks[:cut]) + ("<article>" if k % 2 else "<div>") + "".join(blocks[cut:])
-        assert html_main.main_text(page) == slow_text([x for x in html_main.page_lines(page) if not x[2]], 3, 80, 20)
+        assert html_main.main_text(page) == slow_text([x for x in html_main.page_lines(page) if not x[2]], 3, 80)
 
 
 def test_short_and_empty_pages(spark):
