@@ -3,7 +3,8 @@
 Pieces over half a sequence open sequences of their own, and as many empty ones are opened as the rest of the
 tokens fill.  Then supersteps follow until every piece has a place:
 
-1. The pieces left and the gaps of the sequences are range-sorted by size in one table, pieces first where sizes agree.
+1. The pieces left and the gaps of the sequences are range-sorted by size in one table, pieces first where sizes agree, in as many
+   ranges as their number asks for: the few pieces that a band has at the end are one range.
 2. Each task sweeps its range upwards with a stack: a gap takes the largest pieces below it, as long as they fit.
    So every piece goes to its successor among the gaps, and of the pieces that want one gap the largest wins.
 3. What a range leaves over, gaps without a piece and then pieces without a gap, is numbered.  From the counts of
@@ -11,7 +12,7 @@ tokens fill.  Then supersteps follow until every piece has a place:
    first, several pieces to a gap where the gaps are large enough; Spark joins them by rank.
 4. The gaps shrink, gaps that no piece fits wait for shorter pieces, and where no gap fits any piece, sequences are opened for the rest.
 
-The rounds deal with the longer pieces before the shorter ones, in a few bands of lengths.  Each round is written to the shared folder.  The driver sees a few numbers for each range and round, no documents.
+The rounds deal with the longer pieces before the shorter ones, in a few bands of lengths.  Each round is written to the shared folder.  The driver sees how many pieces and gaps have each size, and a few numbers for each range, no documents.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harrow.llm.encoding import word_encoder
@@ -97,12 +98,24 @@ STATE = "kind int, id long, size long, seq long, at long"
 SWEPT = f"part int, rank long, {STATE}"
 
 
-def sweep_ranges(state: DataFrame, capacity: int) -> DataFrame:
+#: Rows of pieces and gaps in a range, and in a task.
+RANGE_ROWS = 20_000
+
+
+def tasks_for(rows: int, spark: SparkSession) -> int:
+    """Tasks for a table of so many rows: few where few are left, and at most the session's shuffle partitions."""
+    return max(1, min(-(-rows // RANGE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def sweep_ranges(state: DataFrame, sizes: dict[tuple[int, int], int], capacity: int) -> DataFrame:
     """Range-sort pieces and gaps by size and sweep each range: what is ``PLACED``, the gaps ``USED``, and each ``PIECE``
-    (ranks from the largest) and ``GAP`` (ranks from the smallest) that its range leaves over."""
+    (ranks from the largest) and ``GAP`` (ranks from the smallest) that its range leaves over.
+
+    ``sizes`` tells how many pieces and gaps have each size, so the bounds of ranges of equally many rows are known; a size that
+    many rows have is cut into several ranges by hashes of the ids.
+    """
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
         kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         names = [f.split()[0] for f in SWEPT.split(", ")]
 
@@ -110,10 +123,21 @@ def sweep_ranges(state: DataFrame, capacity: int) -> DataFrame:
             return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], names=names)
 
         stack: list[tuple[int, int]] = []  # (size, piece) without a gap so far, ascending
-        free = 0
+        part, free = None, 0
+
+        def rest() -> Iterator[pa.RecordBatch]:
+            nonlocal free
+            while stack:
+                some = [stack.pop() for _ in range(min(len(stack), 10_000))]
+                yield table([(part, free + k, PIECE, piece, size, None, None) for k, (size, piece) in enumerate(some)])
+                free += len(some)
+
         for batch in batches:
             rows = []
-            for kind, key, size in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for of, kind, key, size in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if of != part:
+                    yield from rest()
+                    part, free = of, 0
                 if kind == PIECE:
                     stack.append((size, key))
                 elif stack:
@@ -128,14 +152,17 @@ def sweep_ranges(state: DataFrame, capacity: int) -> DataFrame:
                     rows.append((part, free, GAP, key, size, None, None))
                     free += 1
             yield table(rows)
-        while stack:
-            some = [stack.pop() for _ in range(min(len(stack), 10_000))]
-            yield table([(part, free + k, PIECE, piece, size, None, None) for k, (size, piece) in enumerate(some)])
-            free += len(some)
+        yield from rest()
 
-    rows = state.where(F.col("kind") != PLACED).select("kind", "id", "size")
-    order = ["size", "kind", "id"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, SWEPT)
+    spark = state.sparkSession
+    ordered = sorted(sizes, key=lambda k: (k[1], k[0]))
+    before = [0, *accumulate(sizes[k] for k in ordered)]
+    bounds = spark.createDataFrame([(kind, size, first, sizes[kind, size]) for (kind, size), first in zip(ordered, before)], "kind int, size long, first long, n long")
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    part = F.floor((F.col("first") + F.floor(share * F.col("n"))) / F.lit(RANGE_ROWS)).cast("int")
+    rows = state.where(F.col("kind") != PLACED).join(F.broadcast(bounds), ["kind", "size"]).select(part.alias("part"), "kind", "id", "size")
+    dealt = rows.repartition("part").coalesce(tasks_for(before[-1], spark))
+    return dealt.sortWithinPartitions("part", "size", "kind", "id").mapInArrow(sweep, SWEPT)
 
 
 def match_ranges(ranges: list[tuple[int, int, int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -163,11 +190,12 @@ def match_ranges(ranges: list[tuple[int, int, int, int, int, int, int]]) -> list
     return found
 
 
-def superstep(state: DataFrame, store: Store, capacity: int) -> DataFrame:
+def superstep(state: DataFrame, sizes: dict[tuple[int, int], int], store: Store, capacity: int) -> DataFrame:
     """One round over ``state``: sweep the ranges, match what they leave over by rank, and shrink the gaps."""
-    swept = store.save(sweep_ranges(state, capacity), "swept")
+    tasks = tasks_for(sum(sizes.values()), store.spark)
+    swept = store.save(sweep_ranges(state, sizes, capacity), "swept")
     over = swept.where(F.col("kind").isin(PIECE, GAP)).groupBy("part", "kind")
-    facts = over.agg(F.count("*").alias("n"), F.min("rank").alias("rank"), F.min("size").alias("low"), F.max("size").alias("high")).collect()  # two rows a range
+    facts = over.agg(F.count("*").alias("n"), F.min("rank").alias("rank"), F.min("size").alias("low"), F.max("size").alias("high")).coalesce(1).collect()  # two rows a range
     gaps = {r["part"]: (r["n"], r["rank"], r["low"]) for r in facts if r["kind"] == GAP}
     pieces = {r["part"]: (r["n"], r["rank"], r["high"]) for r in facts if r["kind"] == PIECE}
     none = (0, 0, 0)
@@ -178,7 +206,7 @@ def superstep(state: DataFrame, store: Store, capacity: int) -> DataFrame:
     left = swept.where(F.col("kind") == PIECE).select("part", "rank", "id", "size").join(plan, (F.col("part") == F.col("source")) & F.col("rank").between(F.col("low"), F.col("high")), "left")
     free = swept.where(F.col("kind") == GAP).select(F.col("part").alias("target"), F.col("rank").alias("place"), F.col("id").alias("seq"), F.col("size").alias("gap"))
     place = (F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("each"))).alias("place")
-    met = left.where("source IS NOT NULL").select("id", "size", "rank", "target", place).join(free, ["target", "place"])
+    met = left.where("source IS NOT NULL").select("id", "size", "rank", "target", place).join(free, ["target", "place"]).coalesce(tasks)
     by_rank = Window.partitionBy("seq").orderBy("rank")
     met = met.select("id", "size", "seq", "gap", F.sum("size").over(by_rank).alias("filled"), F.lead("id").over(by_rank).isNull().alias("last"))
     rest, null = F.col("gap") - F.col("filled"), F.lit(None).cast("long")
@@ -195,7 +223,8 @@ def superstep(state: DataFrame, store: Store, capacity: int) -> DataFrame:
         swept.where(F.col("kind").isin(PLACED, USED)).select(swept_on, *columns[1:])
         .unionByName(met.select(F.inline(F.filter(F.array(placed, shrunk), lambda x: x.isNotNull()))))
         .unionByName(left.where("source IS NULL").select(F.lit(PIECE).alias("kind"), "id", "size", null.alias("seq"), null.alias("at")))
-        .unionByName(unmet.select(F.lit(GAP).alias("kind"), F.col("seq").alias("id"), F.col("gap").alias("size"), null.alias("seq"), null.alias("at"))),
+        .unionByName(unmet.select(F.lit(GAP).alias("kind"), F.col("seq").alias("id"), F.col("gap").alias("size"), null.alias("seq"), null.alias("at")))
+        .coalesce(tasks),
         "round",
     )
     store.drop(swept)
@@ -233,17 +262,21 @@ def pack(pieces: DataFrame, store: Store, capacity: int = 2048, bands: tuple[int
         band = pieces.where(F.col("length").between(floor + 1, top)).selectExpr(f"{PIECE} kind", "row id", "length size", f"{none} seq", f"{none} at")
         state, narrow = gaps.unionByName(band), []
         while True:
-            measured = state.groupBy("kind").agg(F.sum("size").alias("total"), F.min("size").alias("low"), F.max("size").alias("high"))
-            found = {r["kind"]: r for r in measured.collect()}
-            if PIECE not in found:
+            # a row for each kind and size, so at most two for each length
+            counted = state.groupBy("kind", "size").agg(F.count("*").alias("n")).coalesce(1).collect()
+            sizes = {(r["kind"], r["size"]): r["n"] for r in counted}
+            left = [size for kind, size in sizes if kind == PIECE]
+            if not left:
                 break
-            fits = (F.col("kind") == PIECE) | (F.col("size") >= found[PIECE]["low"])
+            fits = (F.col("kind") == PIECE) | (F.col("size") >= min(left))
             narrow.append(state.where(~fits))
             state = state.where(fits)
-            if GAP not in found or found[GAP]["high"] < found[PIECE]["low"]:
-                more = sequences(found[PIECE]["total"])
+            sizes = {k: n for k, n in sizes.items() if k[0] == PIECE or k[1] >= min(left)}
+            if all(kind == PIECE for kind, _ in sizes):
+                more = sequences(sum(size * n for (kind, size), n in sizes.items()))
                 state, opened = state.unionByName(empty(opened, more)), opened + more
-            after = superstep(state, store, capacity)
+                sizes[GAP, capacity] = more
+            after = superstep(state, sizes, store, capacity)
             placed.append(after.where(F.col("kind") == PLACED))
             state = after.where(F.col("kind") != PLACED)
         gaps = reduce(DataFrame.unionByName, narrow, state)

@@ -143,3 +143,23 @@ def test_supersteps_come_near_best_fit_decreasing(spark, store, seed):
     used = check_packing(out, 100)
     best = max(first + high - low for _, low, high, first, _ in packing.match_runs(Counter(map(int, lengths)), 100)) + 1
     assert used <= best + max(2, best // 50)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_packing_in_many_ranges_and_partitions(spark, store, monkeypatch, seed):
+    """Ranges of 40 rows, more of one length than a range holds, and partitions that stay small."""
+    monkeypatch.setattr(packing, "RANGE_ROWS", 40)
+    rng = np.random.default_rng(seed)
+    lengths = np.concatenate([rng.integers(1, 101, 500), np.full(300, 7), np.full(90, 51)])
+    df = spark.createDataFrame([(int(i), 0, 0, int(n), 0) for i, n in enumerate(lengths)], packing.PIECES).repartition(40)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = packing.pack(df, store, capacity=100).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted((r["doc_id"], r["length"]) for r in out) == list(enumerate(map(int, lengths)))
+    best = max(first + high - low for _, low, high, first, _ in packing.match_runs(Counter(map(int, lengths)), 100)) + 1
+    assert check_packing(out, 100) <= best * 1.02 + 2
