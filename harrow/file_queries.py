@@ -21,8 +21,10 @@ from harrow.operators import places
 from harrow.operators.headers import header_key, with_canonical_names
 from harrow.operators.lists import layer_tables, merged_lists
 from harrow.operators.reshape import to_long
+from harrow.plans.ingest import run_ingest
 from harrow.queries import query, table
-from harrow.settings import RULE_COLUMNS
+from harrow.rules.table import check_rules
+from harrow.settings import CONVERSION_COLUMNS, RULE_COLUMNS, HarmonizeError, Settings
 from harrow.sources import rule_files, sinks, workbooks, xlsx
 from harrow.workspace import Workspace
 
@@ -218,3 +220,72 @@ def conversion_rules_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     (folder / "u.xlsx").write_bytes(xlsx.workbook_bytes({"Master Unit": [["left out"]], "s": [["commodity", "from_unit", "to_unit", "factor", "offset"], *rows]}))
     keys = ("source_rule_file", "source_rule_sheet", "commodity_match_key", "unit_source_key", "unit_target", "unit_factor_num", "unit_offset_num")
     return spark.createDataFrame([tuple(r[k] for k in keys) for r in rule_files.read_conversions(folder)], ", ".join(f"{k} {'double' if k.endswith('num') else 'string'}" for k in keys))
+
+
+def _write_rules(path: Path, columns: list[str], rows: list[list[str]]) -> None:
+    with path.open("w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([columns, *rows])
+
+
+def _outcome(check: Callable[[], object]) -> str:
+    try:
+        check()
+    except HarmonizeError as e:
+        return str(e)
+    return "ok"
+
+
+@query("""WITH first AS (SELECT n_regionkey, min(n_name) AS n FROM nation GROUP BY ALL)
+SELECT 'clean_' || lower(replace(r_name, ' ', '_')) || '.csv' AS file, CASE r_regionkey % 5 WHEN 0 THEN 'ok'
+  WHEN 1 THEN 'rule file clean_' || lower(replace(r_name, ' ', '_')) || '.csv repeats 1 rule key(s), the first (''n_name'', ''' || n || ''', ''n_comment'', ''..NA_INTERNAL..'')'
+  WHEN 2 THEN 'rule file clean_' || lower(replace(r_name, ' ', '_')) || '.csv names columns that the dataset lacks: n_other'
+  WHEN 3 THEN 'rule file clean_' || lower(replace(r_name, ' ', '_')) || '.csv lacks columns: value_target'
+  ELSE 'rule file clean_' || lower(replace(r_name, ' ', '_')) || '.csv: values for column n_nationkey are not of type bigint: ' || n END AS outcome
+FROM region JOIN first ON r_regionkey = n_regionkey""")
+def rule_file_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule file for each region, written from its nations and read: sound ones, repeated keys, unknown columns, missing columns and values of a wrong type."""
+    folder = _local(Workspace(spark, "rules"), "rules")
+    nation = table(spark, sf_dir, "nation").withColumn("n_comment", F.lit(None).cast("string"))
+    first = nation.groupBy("n_regionkey").agg(F.min("n_name").alias("n"))
+    found = []
+    for r in table(spark, sf_dir, "region").join(first, F.col("r_regionkey") == F.col("n_regionkey")).collect():  # 5 rows
+        kind, path = r["r_regionkey"] % 5, folder / f"clean_{r['r_name'].lower().replace(' ', '_')}.csv"
+        rule = ["n_name", r["n"], "x", "n_other" if kind == 2 else "n_nationkey" if kind == 4 else "n_comment", r["n"] if kind == 4 else "", "y"]
+        twice = [[*rule[:5], "z"]] if kind == 1 else []
+        columns = list(RULE_COLUMNS)
+        _write_rules(path, columns[:-1] if kind == 3 else columns, [x[:-1] if kind == 3 else x for x in [rule, *twice]])
+        found.append((path.name, _outcome(lambda: check_rules(rule_files.read_rule_file(path, "clean"), nation))))
+    return spark.createDataFrame(found, "file string, outcome string")
+
+
+@query("""WITH first AS (SELECT n_regionkey, min(n_name) AS n FROM nation GROUP BY ALL)
+SELECT r_name, CASE r_regionkey % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'conversion rules repeat a (commodity_key, unit_source) pair after normalization' WHEN 2 THEN 'conversion unit_factor values must be finite'
+  WHEN 3 THEN 'conversion rules lack values in: unit_target' ELSE 'conversion rules chain conversions of one commodity; repeated runs would convert twice' END AS outcome FROM region JOIN first ON r_regionkey = n_regionkey""")
+def conversion_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversion workbook for each region, written from its nations and read: sound ones, repeated keys, bad factors, missing targets and chains."""
+    first = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min("n_name").alias("n"))
+    found = []
+    for r in table(spark, sf_dir, "region").join(first, F.col("r_regionkey") == F.col("n_regionkey")).collect():  # 5 rows
+        kind, n, folder = r["r_regionkey"] % 5, r["n"], _local(Workspace(spark, "units"), "units")
+        rows = [[r["r_name"], n, None if kind == 3 else f"{n} 2", "inf" if kind == 2 else "1.5", "0"]]
+        rows += [[r["r_name"].lower(), f" {n.lower()} ", "other", "2", "0"]] if kind == 1 else [[r["r_name"], f"{n.lower()}  2", "last", "2", "0"]] if kind == 4 else []
+        (folder / "u.xlsx").write_bytes(xlsx.workbook_bytes({"s": [list(CONVERSION_COLUMNS), *rows]}))
+        found.append((r["r_name"], _outcome(lambda: rule_files.read_conversions(folder))))
+    return spark.createDataFrame(found, "r_name string, outcome string")
+
+
+@query(f"""WITH {_BOOKS}, years AS (SELECT *, unnest(['1950', '1951-1952']) AS year FROM books)
+SELECT file, polity, commodity, year, 'iso-' || year AS iso_whep, CASE year WHEN '1950' THEN c_custkey::VARCHAR ELSE array_to_string(list_sort(list_distinct([c_custkey::VARCHAR, '1'])), '; ') END AS value FROM years""")
+def ingest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks ingested with checkpoints on; the files are then removed, and the second run reads what the first has kept."""
+    settings = Settings(root=str(_local(Workspace(spark, "ingest"), "root")), checkpoints=True, current_year=2025)
+    settings.create_folders()
+    _write_books(table(spark, sf_dir, "customer"), settings.raw.resolve().as_uri(), ["Continent", "Country", "Unit", "Footnotes", "1950", "1951.0", "1951-52/1952-53"], _checkpoint_sheets)
+    run_ingest(spark, settings, Workspace(spark, "ingest"))
+    for path in settings.raw.glob("*.xlsx"):
+        path.unlink()
+    return run_ingest(spark, settings, Workspace(spark, "ingest")).data.select("file", "polity", "commodity", "year", "iso_whep", "value")
+
+
+def _checkpoint_sheets(pdf: pd.DataFrame) -> dict[str, list]:
+    return {"production": [["Asia", r.name_, "1000 Kg", "f", str(r.key_), None, f"{r.key_};1"] for r in pdf.itertuples()]}

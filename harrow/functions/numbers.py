@@ -41,12 +41,36 @@ def format_value(x: float | None) -> str | None:
 
 
 @F.pandas_udf(StringType())
-def format_double(values: pd.Series) -> pd.Series:
+def _format_exactly(values: pd.Series) -> pd.Series:
     """:func:`format_value` over a column, once for each distinct value of a batch."""
     found = {x: format_value(float(x)) for x in values.dropna().unique()}
     return values.map(found).astype(object).where(values.notna(), None)
 
 
+#: Powers of ten between which :func:`format_double` rounds by decimals.
+_LOWEST, _HIGHEST = -3, 9
+
+
+def format_double(c: Column) -> Column:
+    """:func:`format_value` as a column.
+
+    A double's shown digits differ from it by less than a unit of the sixteenth digit, so where these are four such units or less
+    away from fifteen digits, rounding them rounds the double, which takes no Python; other values go through it.
+    """
+    size = F.abs(c)
+    exact = c.try_cast("decimal(30,20)")
+    rounded = F.lit(None).cast("decimal(38,17)")
+    near = F.lit(False)
+    for k in range(_HIGHEST - 1, _LOWEST - 1, -1):
+        below = size < 10.0 ** (k + 1)
+        own = F.round(exact, 14 - k)
+        rounded = F.when(below, own).otherwise(rounded)
+        near = F.when(below, F.abs(exact - own) < F.lit(Decimal(4).scaleb(k - 15))).otherwise(near)
+    plain = F.rtrim(F.rtrim(rounded.cast("string"), F.lit("0")), F.lit("."))
+    certain = F.coalesce((size >= 10.0**_LOWEST) & (size < 10.0**_HIGHEST) & near, F.lit(False))
+    return F.when(c == 0, F.lit("0")).when(certain, plain).otherwise(_format_exactly(F.when(~certain, c)))
+
+
 def double_text(c: Column) -> Column:
     """A double as fixed-notation text with at least one decimal, as rules on numeric columns spell it."""
     # the shortest digits that give the same double, padded with zeros

@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions import text
 from harrow.operators.units import conversion_table
 from harrow.rules.table import RuleFile
+from harrow.settings import CATALOG, STAGE_ORDER, STAGE_SUMMARY, STANDARDIZE_CATALOG, STANDARDIZE_ORDER, STANDARDIZE_SUMMARY, UNMATCHED_KEY
 
-CATALOG = ("rule_file_identifier", "column_source", "value_source_raw", "value_source", "column_target", "value_target_raw", "value_target")
-STAGE_SUMMARY = ("loop", "affected_rows", *CATALOG)
-STAGE_ORDER = ("loop", "rule_file_identifier", "column_source", "column_target", "value_source_raw", "value_source", "value_target_raw", "value_target", "affected_rows")
-UNMATCHED_KEY = ("rule_file_identifier", "column_source", "value_source_raw", "column_target", "value_target_raw")
-STANDARDIZE_CATALOG = ("rule_file_identifier", "commodity_key", "unit_source", "unit_target", "unit_factor", "unit_offset", "source_unit_raw", "detected_prefix", "unit_factor_effective")
-STANDARDIZE_SUMMARY = ("affected_rows", *STANDARDIZE_CATALOG)
-STANDARDIZE_ORDER = ("rule_file_identifier", "commodity_key", "unit_source", "unit_target", "unit_factor", "unit_factor_effective", "unit_offset", "affected_rows")
 _NUMERIC = ("unit_factor", "unit_offset", "detected_prefix", "unit_factor_effective")
 
 
-def anti_join_null_safe(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Rows of ``left`` whose keys, nulls included, aren't in ``right``."""
-    other = right.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    return left.join(other, same, "left_anti")
+def without_matches(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows of ``left`` for whose keys ``right`` has no row; nulls are equal to nulls."""
+    known = right.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(known, condition, "left_anti")
 
 
 def _typed(df: DataFrame, columns: tuple[str, ...], longs: tuple[str, ...] = ("loop", "affected_rows"), doubles: tuple[str, ...] = ()) -> DataFrame:
@@ -55,7 +49,7 @@ def rule_catalog(spark: SparkSession, files: list[RuleFile]) -> DataFrame:
 
 def unmatched_rules(catalog: DataFrame, matched: DataFrame) -> DataFrame:
     """Catalog rules that never matched, with no affected rows."""
-    rest = anti_join_null_safe(_typed(catalog, CATALOG).distinct(), _typed(matched, UNMATCHED_KEY), UNMATCHED_KEY)
+    rest = without_matches(_typed(catalog, CATALOG).distinct(), _typed(matched, UNMATCHED_KEY), UNMATCHED_KEY)
     zero = F.lit(0).cast("long")
     return _sorted(rest.withColumns({"loop": zero, "affected_rows": zero}).select(*STAGE_SUMMARY), STAGE_ORDER)
 
@@ -87,7 +81,7 @@ def unmatched_standardize(catalog: DataFrame, matched: DataFrame, counts: DataFr
         own = (text.normalize(F.col("commodity_key")) == F.col("__c")) & (text.normalize(F.col("unit_source")) == F.col("__u"))
         rest = catalog.join(keys, own, "left_anti")
     else:
-        rest = anti_join_null_safe(catalog, _standardize_typed(matched, STANDARDIZE_CATALOG), STANDARDIZE_CATALOG)
+        rest = without_matches(catalog, _standardize_typed(matched, STANDARDIZE_CATALOG), STANDARDIZE_CATALOG)
     return _sorted(rest.withColumn("affected_rows", F.lit(0).cast("long")).select(*STANDARDIZE_SUMMARY), STANDARDIZE_ORDER)
 
 

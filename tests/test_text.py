@@ -68,3 +68,15 @@ def test_file_tokens():
     assert text.yearbook_of("fao_x_1949_z".split("_")) == "fao_1949"
     assert text.yearbook_of(["1949"]) is None
     assert text.file_stem("My Data") == "my_data" and text.file_stem("%%") == "unknown"
+
+
+def test_doubles_by_decimals_and_exactly(spark):
+    import random
+
+    rng = random.Random(4)
+    values = [s * rng.choice([rng.random(), rng.randint(1, 9999) / 10 ** rng.randint(0, 6), rng.randint(1, 10**6) / 7]) * 10.0 ** rng.randint(-5, 11) for s in (1, -1) for _ in range(4000)]
+    values += [round(rng.uniform(900, 1e5), 2) * (1 - rng.randint(0, 10) / 100) for _ in range(3000)]
+    values += [x * 10.0**k for k in range(-4, 11) for x in (1.0, 9.9999999999999995, 0.99999999999999989, 9.999999999999995, 1.0000000000000005, 1.00000000000000005, 2.5, 1.2345678901234565)]
+    values += [0.0, -0.0, 5e-324, 1e308, -1e22, float("inf"), float("-inf"), 123456789.123456785, 0.1 + 0.2]
+    got = column(spark, values, numbers.format_double, "double")
+    assert [(v, g) for v, g in zip(values, got) if g != numbers.format_value(v)] == []
