@@ -63,15 +63,11 @@ def _keys(hashes: Column, classes: Column) -> Column:
     return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.get(classes, bucket(h)), zero).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
-def _parity(keys: Column) -> Column:
-    """64 bits, each telling whether an odd number of the words fall on it."""
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
-
-
-def _half(keys: Column) -> Column:
-    """About half of the words, by a bit that :func:`_parity` doesn't look at."""
-    return F.filter(keys, lambda k: k.bitwiseAND(F.lit(64)) == 64)
+def _parity(keys: Column, half: bool = False) -> Column:
+    """64 bits, each telling whether an odd number of the words, or of about half of them, fall on it; the half is told by a bit of its own."""
+    none = F.lit(0).cast("long")
+    of = (lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(1).cast("long"))) if half else (lambda k: F.lit(1).cast("long"))
+    return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", of(k), k.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _needed(nx: Column, ny: Column, threshold: float) -> Column:
@@ -92,7 +88,7 @@ def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
     prefix = F.slice("keys", 1, (n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int"))
     rows = sets.select(
         F.xxhash64("keys").alias("id"), F.xxhash64(F.lit(1), F.col("keys")).alias("d2"),
-        F.struct("doc_id", "pos", "h", "n", _parity(F.col("keys")).alias("p0"), _parity(_half(F.col("keys"))).alias("p1"), "low", "high", prefix.alias("prefix")).alias("line"),
+        F.struct("doc_id", "pos", "h", "n", _parity(F.col("keys")).alias("p0"), _parity(F.col("keys"), half=True).alias("p1"), "low", "high", prefix.alias("prefix")).alias("line"),
     )
     return store.save(rows.groupBy("id", "d2").agg(F.min("line").alias("line")).select("id", "d2", "line.*"), "classes")
 

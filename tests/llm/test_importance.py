@@ -77,3 +77,18 @@ def test_equal_scores_go_to_the_smaller_id(spark, store):
     assert [(r["doc_id"], r["rank"]) for r in got] == [(9, 1), (3, 2), (3, 3), (5, 4), (1, 5)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     same(importance.resample(df, df, store, Settings(percent=50)).collect(), brute(docs, [t for _, t in docs], Settings(percent=50)))
+
+
+@pytest.mark.parametrize("name", ["op12_fill_middle", "op13_importance"])
+def test_registered_queries_match_their_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as e
+
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.001/{table}.parquet'")
+    df = e.queries()[name](spark, "/root/testdata/sf0.001")
+    columns = sorted(df.columns)
+    expected = con.sql(f"SELECT {', '.join(columns)} FROM ({e.oracle_sql()[name]})").fetchall()
+    assert sorted(map(tuple, df.select(*columns).collect()), key=repr) == sorted(expected, key=repr) and len(expected) > 100
