@@ -11,7 +11,7 @@ one round of them joins no more components.
 Linked vectors are in one component, so each vector's links are then counted
 inside its component: components of up to ``cell`` vectors together in one cell, larger
 ones in pairs of blocks of ``cell`` vectors spread over the tasks.  Only counts leave a
-block, never pairs.
+block, never pairs.  Equal vectors are one throughout, with their number as its weight.
 """
 
 from __future__ import annotations
@@ -217,7 +217,7 @@ def all_links(units: DataFrame, store: Store, n: int, window: int, cosine: float
 
 
 def count_links(units: DataFrame, roots: DataFrame, cosine: float, cell: int) -> DataFrame:
-    """``vec_id, n_links`` over the pairs inside each component with a cosine of at least ``cosine``."""
+    """``vec_id, n`` over the pairs inside each component with a cosine of at least ``cosine``: the weights of all that a vector links with, itself included."""
     of_root = roots.select(F.col("node").alias("vec_id"), "root").unionByName(roots.select(F.col("root").alias("vec_id"), "root").distinct())
     sizes = of_root.groupBy("root").agg(F.count("*").alias("n"))
     member = units.join(of_root, "vec_id").join(sizes, "root")
@@ -226,29 +226,29 @@ def count_links(units: DataFrame, roots: DataFrame, cosine: float, cell: int) ->
     cells = max(64, 4 * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-of_root.count() // cell))
     # a block meets every block of its component once, as the row side; both sides get the rows
     none = F.lit(-1).cast("long")
-    whole = member.where(blocks == 1).select("vec_id", "unit", "root", F.pmod(F.xxhash64("root"), F.lit(cells)).alias("c"), none.alias("i"), none.alias("j"), none.alias("mine"))
+    whole = member.where(blocks == 1).select("vec_id", "unit", "weight", "root", F.pmod(F.xxhash64("root"), F.lit(cells)).alias("c"), none.alias("i"), none.alias("j"), none.alias("mine"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    pairs = member.where(blocks > 1).select("vec_id", "unit", "root", mine.alias("mine"), every).select(
-        "vec_id", "unit", "root", F.col("root").alias("c"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine"
+    pairs = member.where(blocks > 1).select("vec_id", "unit", "weight", "root", mine.alias("mine"), every).select(
+        "vec_id", "unit", "weight", "root", F.col("root").alias("c"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine"
     )
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         out_ids, out_n = [], []
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         for _, group in pdf.groupby("root", sort=False):
-            ids, x = group["vec_id"].to_numpy(), np.stack(group["unit"].to_numpy())
+            ids, x, w = group["vec_id"].to_numpy(), np.stack(group["unit"].to_numpy()), group["weight"].to_numpy()
             if i == j:
                 out_ids.append(ids)
-                out_n.append(np.concatenate([(x[k : k + 1024] @ x.T >= cosine).sum(axis=1) for k in range(0, len(x), 1024)]) - 1)
+                out_n.append(np.concatenate([(x[k : k + 1024] @ x.T >= cosine) @ w for k in range(0, len(x), 1024)]))
             else:
                 first = group["mine"].to_numpy() == i
                 links = x[first] @ x[~first].T >= cosine
                 out_ids += [ids[first], ids[~first]]
-                out_n += [links.sum(axis=1), links.sum(axis=0)]
+                out_n += [links @ w[~first], w[first] @ links]
         return pd.DataFrame({"vec_id": np.concatenate(out_ids), "n": np.concatenate(out_n).astype(np.int64)})
 
     counted = whole.unionByName(pairs).groupBy("c", "i", "j").applyInPandas(count, "vec_id long, n long")
-    return counted.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    return counted.groupBy("vec_id").agg(F.sum("n").alias("n"))
 
 
 def small_groups(units: DataFrame, cosine: float) -> DataFrame:
@@ -272,19 +272,28 @@ def near_duplicates(vectors: DataFrame, store: Store, cosine: float = 0.9, windo
     Rows that repeat an id count as one vector (the first by value that can link).  Other columns are ignored.
     """
     valid = unit_vectors(vectors)
-    units = store.save(valid.groupBy("vec_id").agg(F.min("unit").alias("unit")), "units")
-    lengths = units.groupBy(F.size("unit").alias("length")).agg(F.count("*").alias("n"))
+    rows = valid.groupBy("vec_id").agg(F.min("unit").alias("unit")).select("vec_id", F.xxhash64("unit").alias("h"), F.xxhash64(F.lit(1), F.col("unit")).alias("g"), "unit")
+    rows = store.save(rows, "vectors")
+    # equal vectors are one, the smallest of their ids, with their number as its weight
+    first = F.min(F.struct("vec_id", "unit")).alias("first")
+    units = store.save(rows.groupBy("h", "g").agg(first, F.count("*").alias("weight")).select("h", "g", "first.*", "weight"), "units")
+    plain = units.select("vec_id", "unit")
+    lengths = plain.groupBy(F.size("unit").alias("length")).agg(F.count("*").alias("n"))
     if not mixed_lengths and lengths.limit(2).count() > 1:
         raise ValueError("the vectors differ in length")
     # each has more vectors than a window, so there are few
     large = {r["length"]: r["n"] for r in lengths.where(F.col("n") > window).collect()}
-    small = units.where(~F.size("unit").isin(*large)) if large else units
+    small = plain.where(~F.size("unit").isin(*large)) if large else plain
     roots = [store.save(small_groups(small, cosine), "small")]
     for length, n in sorted(large.items()):
-        own = units if len(large) == 1 and n == units.count() else store.save(units.where(F.size("unit") == length), "length")
+        own = plain if len(large) == 1 and n == plain.count() else store.save(plain.where(F.size("unit") == length), "length")
         roots.append(all_links(own, store, n, window, cosine, recall, seed))
     roots = reduce(DataFrame.unionByName, roots)
-    links = store.save(count_links(units, roots, cosine, cell), "links")
-    found = vectors.select(F.col("vec_id").cast("long")).join(links, "vec_id", "left").join(roots, F.col("vec_id") == F.col("node"), "left")
-    component = F.coalesce("root", "vec_id")
+    links = store.save(count_links(units.select("vec_id", "unit", "weight"), roots, cosine, cell), "links")
+    leaders = units.select("h", "g", F.col("vec_id").alias("leader"), "weight").join(links.withColumnRenamed("vec_id", "leader"), "leader", "left").join(roots.withColumnRenamed("node", "leader"), "leader", "left")
+    # a vector that links with others has them all and itself in n, one that doesn't has its equals
+    each = leaders.select("h", "g", (F.coalesce("n", "weight") - 1).alias("n_links"), F.coalesce("root", "leader").alias("component_id"))
+    known = rows.select("vec_id", "h", "g").join(each, ["h", "g"]).select(F.col("vec_id").alias("of"), "n_links", "component_id")
+    found = vectors.select(F.col("vec_id").cast("long")).join(known, F.col("vec_id") == F.col("of"), "left")
+    component = F.coalesce("component_id", "vec_id")
     return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
