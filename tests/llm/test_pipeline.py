@@ -11,7 +11,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from harrow.llm import toxicity  # noqa: E402
 from harrow.llm.oracles import LINE_DEDUP, SEED_OVERLAPS  # noqa: E402
-from tests.llm.test_near_copies import roots_of, simhash_truth  # noqa: E402
+from tests.llm.test_near_copies import roots_of  # noqa: E402
 from tests.llm.test_text_operators import labelled  # noqa: E402
 from tests.llm.test_tokens import check_packing, expected_tokens  # noqa: E402
 
@@ -24,6 +24,7 @@ def make_tables(spark, folder):
     clean = [r for r in docs if not re.search("zorg", r[1])]
     docs += [(1000 + i, r[1], r[2], "s", r[4]) for i, r in enumerate(clean[:20])]  # exact copies
     docs += [(1100 + i, f"{r[1]} extra{i} {item}", r[2], "s", 0) for i, r in enumerate(clean[20:30])]  # leaks
+    docs += [(1300 + i, f"{r[1]} more{i}", r[2], "s", r[4]) for i, r in enumerate(clean[40:60])]  # edited copies
     docs += [(1200, None, "en", "s", None), (1201, "", None, None, 0), (1202, "word " * 9000, "en", "s", 45000)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(d, 1, tox) for d, _, _, tox in rows], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
@@ -42,7 +43,11 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     con = duckdb.connect()
     con.register("documents", spark.createDataFrame([r for r in kept if r[1] is not None], "doc_id long, text string").toPandas())
     lines = {d: t for d, t in con.sql(f"SELECT doc_id, text FROM ({LINE_DEDUP})").fetchall()} | {d: None for d, t in kept if t is None}
-    first = {int(d) for d, _, c in simhash_truth(sorted(lines.items())) if d == c}
+    sets = {d: shingles("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for d, t in lines.items()}
+    roots = roots_of(sets, [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    first = {d for d in sets if roots[d] == d}
+    edited = {d for d in sets if 1300 <= d < 1400}
+    assert edited and not edited & first
     con.register("documents", spark.createDataFrame([(d, lines[d] or "") for d in sorted(first)], "doc_id long, text string").toPandas())
     con.register("benchmark", spark.read.parquet(f"{folder}/benchmark.parquet").toPandas())
     leaks = {r[0] for r in con.sql(f"SELECT doc_id FROM ({SEED_OVERLAPS})").fetchall()}
