@@ -51,6 +51,15 @@ class Store:
                 path = jvm.org.apache.hadoop.fs.Path(where)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def clear(self) -> None:
+        """Delete all tables of this run, once its result has been written elsewhere."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def reads(self, df: DataFrame) -> bool:
+        """Whether ``df`` reads a table of this run."""
+        return any(self.path.rpartition("/")[2] in f for f in df.inputFiles())
+
     def release(self) -> None:
         """Let the driver's JVM collect plans of finished jobs, so that Spark deletes their shuffle files."""
         for _ in range(2):  # the first lets go of plans that Python held, the second finds what they held
