@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StringType, StructField, StructType
 
 #: The characters that the pattern takes as white space.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -167,6 +168,10 @@ def split_characters(data: bytes) -> tuple[int, int]:
     return head, 0
 
 
+def _with_fields(df: DataFrame, added: dict[str, DataType]) -> StructType:
+    return StructType([*df.schema.fields, *[StructField(name, kind) for name, kind in added.items()]])
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
     """``docs`` with ``ids array<int>``, and with ``offsets`` also ``starts`` and ``ends`` (characters) of each token.
 
@@ -191,8 +196,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets
             columns = [pa.array([x.astype("<i4") for x in values], pa.list_(pa.int32())) for values in lists]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{schema}, " + ", ".join(f"{c} array<int>" for c in added))
+    return kept.mapInArrow(run, _with_fields(kept, dict.fromkeys(added, ArrayType(IntegerType()))))
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -202,7 +206,7 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "ids") -> Data
     ``text`` leaves out, so the parts of a text can be joined by their bytes.  Null ids decode to no bytes, and ids that
     the vocabulary lacks are an error.  Columns of these four names are replaced.
     """
-    added = {"decoded": "binary", "text": "string", "first_split": "int", "last_split": "int"}
+    added = {"decoded": BinaryType(), "text": StringType(), "first_split": IntegerType(), "last_split": IntegerType()}
     kept = tokens.drop(*added)
     at = kept.columns.index(ids)
 
@@ -215,8 +219,7 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "ids") -> Data
             columns = [pa.array(data, pa.binary()), pa.array(texts, pa.string()), *[pa.array([e[k] for e in ends], pa.int32()) for k in (0, 1)]]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{schema}, " + ", ".join(f"{c} {kind}" for c, kind in added.items()))
+    return kept.mapInArrow(run, _with_fields(kept, added))
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
