@@ -7,6 +7,7 @@ import io
 import tempfile
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 from pathlib import Path
 from urllib.parse import urlparse
 from urllib.request import url2pathname
@@ -17,13 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions import numbers
-from harrow.operators import places
+from harrow.operators import places, summaries
+from harrow.operators.duplicates import duplicate_audit
 from harrow.operators.headers import header_key, with_canonical_names
 from harrow.operators.lists import layer_tables, merged_lists
 from harrow.operators.reshape import to_long
 from harrow.plans.ingest import run_ingest
 from harrow.queries import query, table
-from harrow.rules.table import check_rules
+from harrow.rules.stage import run_stage
+from harrow.rules.table import check_rules, rule_file
 from harrow.settings import CONVERSION_COLUMNS, RULE_COLUMNS, HarmonizeError, Settings
 from harrow.sources import rule_files, sinks, workbooks, xlsx
 from harrow.workspace import Workspace
@@ -289,3 +292,31 @@ def ingest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _checkpoint_sheets(pdf: pd.DataFrame) -> dict[str, list]:
     return {"production": [["Asia", r.name_, "1000 Kg", "f", str(r.key_), None, f"{r.key_};1"] for r in pdf.itertuples()]}
+
+
+@query("""WITH f AS (SELECT lower(o_orderpriority) AS commodity, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus || '; x' END AS unit FROM orders), n AS (SELECT count_if(commodity = '1-urgent' AND unit IS NOT NULL) AS u FROM f)
+SELECT 'log' AS kind, CASE WHEN u > 0 THEN '1' ELSE '0' END || chr(9) || u || chr(9) || 'rules.csv' || chr(9) || 'commodity' || chr(9) || '1-urgent' || chr(9) || 'now' || chr(9) || 'unit' || chr(9) || 'x' || chr(9) || 'x' AS line FROM n
+UNION ALL SELECT 'log', '0' || chr(9) || '0' || chr(9) || 'rules.csv' || chr(9) || 'commodity' || chr(9) || 'never' || chr(9) || 'x' || chr(9) || 'unit' || chr(9) || 'x' || chr(9) || 'x'
+UNION ALL SELECT 'log', 'loop' || chr(9) || 'rows' || chr(9) || 'file' || chr(9) || 'column_source' || chr(9) || 'value_source_raw' || chr(9) || 'value_source' || chr(9) || 'column_target' || chr(9) || 'value_target_raw' || chr(9) || 'value_target'
+UNION ALL SELECT 'clean', 'o_orderkey' || chr(9) || 'value' || chr(9) || 'dup_full' || chr(9) || 'dup_excl_value'
+UNION ALL SELECT 'repeated', 'commodity' || chr(9) || 'value' || chr(9) || 'dup_full' || chr(9) || 'dup_excl_value'
+UNION ALL SELECT 'repeated', c || chr(9) || v || chr(9) || CASE WHEN count(*) OVER (PARTITION BY c, v) > 1 THEN 'true' ELSE 'false' END || chr(9) || 'true' FROM (SELECT lower(o_orderpriority) AS c, o_custkey % 50 AS v FROM orders) QUALIFY count(*) OVER (PARTITION BY c) > 1""")
+def audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage's log and two duplicate audits as TSV: one of repeated facts, and one of facts without a repeat, which is a header alone."""
+    workspace = Workspace(spark, "audit")
+    orders = table(spark, sf_dir, "orders")
+    facts = orders.select("o_orderkey", F.lower("o_orderpriority").alias("commodity"), F.when(F.col("o_orderstatus") != "P", F.concat("o_orderstatus", F.lit("; x"))).alias("unit"))
+    rows = [{"column_source": "commodity", "value_source_raw": s, "value_source": t, "column_target": "unit", "value_target_raw": "x", "value_target": "x"} for s, t in (("1-urgent", "now"), ("never", "x"))]
+    file = rule_file("rules.csv", list(RULE_COLUMNS), rows, "clean")
+    matched = summaries.summarize_stage(run_stage(facts, [file], "clean", workspace).audit)
+    merged = summaries.merge_stage_summaries(matched, summaries.unmatched_rules(summaries.rule_catalog(spark, [file]), matched))
+    tables = {
+        "log": merged.withColumnsRenamed({"rule_file_identifier": "file", "affected_rows": "rows"}),
+        "clean": duplicate_audit(orders.select("o_orderkey", F.col("o_custkey").alias("value"))),
+        "repeated": duplicate_audit(orders.select(F.lower("o_orderpriority").alias("commodity"), (F.col("o_custkey") % 50).alias("value"))),
+    }
+    folder = _shared(workspace, "audit")
+    system, base = fs.FileSystem.from_uri(folder)
+    system.create_dir(base, recursive=True)
+    lines = [spark.read.text(sinks.write_tsv(df, f"{folder}/{name}.tsv")).select(F.lit(name).alias("kind"), F.col("value").alias("line")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, lines)

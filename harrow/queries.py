@@ -17,7 +17,7 @@ from harrow.plans import diagnostics
 from harrow.rules.apply import apply_group
 from harrow.rules.stage import run_stage
 from harrow.rules.table import groups, rule_file
-from harrow.settings import RULE_COLUMNS
+from harrow.settings import RULE_COLUMNS, STAGE_ORDER
 from harrow.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -503,3 +503,47 @@ def list_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lists.merged_lists(lists.layer_tables(objects), ["unit", "year"], Workspace(spark, "lists")).rows
     firsts = found.groupBy("column_name", "sheet").agg(F.min("place").alias("first"))
     return found.join(firsts, ["column_name", "sheet"]).select("column_name", "sheet", (F.col("place") - F.col("first") + 1).alias("place"), "value")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 OR p_size % 3 = 1 THEN '(unknown_commodity)' ELSE p_type END AS commodity, CASE WHEN p_size % 3 = 2 THEN '  ' || p_type || ' ' END AS cell FROM part")
+def commodity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trimmed commodity names with a label for blank ones, and blank cells as nulls."""
+    name = F.when(F.col("p_size") % 3 == 0, F.lit(" \t ")).when(F.col("p_size") % 3 == 2, F.concat(F.lit("  "), "p_type", F.lit(" ")))
+    trimmed = F.when(F.col("p_size") % 3 == 0, F.lit("   ")).otherwise(name)
+    return table(spark, sf_dir, "part").select("p_partkey", reshape.commodity_name(trimmed).alias("commodity"), text.blank_to_null(name).alias("cell"))
+
+
+@query(f"""WITH {_RANKED}, errors AS (
+  SELECT file_rank, 1 AS t, 1 AS a, g AS b FROM numbered WHERE polity IS NULL OR polity = ''
+  UNION ALL SELECT file_rank, 2, min(g), CASE WHEN year = '1990-2999' THEN 2 ELSE 1 END FROM numbered WHERE year <> '2001' GROUP BY file_rank, year
+  UNION ALL SELECT min(file_rank), 3, min(g), 1 FROM numbered GROUP BY polity, year, file HAVING count(*) > 1)
+SELECT row_number() OVER (ORDER BY file_rank, t, a, b)::BIGINT AS place, file_rank::BIGINT AS file_rank, t::BIGINT AS type_rank, a::BIGINT AS key_a, b::BIGINT AS key_b FROM errors""")
+def validation_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every validation error in the order of its four ranks."""
+    workspace = Workspace(spark, "errors")
+    errors = validate.validate_long(_event_facts(spark, sf_dir), ["event_id"], ("polity",), 2025, workspace)[1]
+    return places.row_numbers(errors.drop("message"), ["file_rank", "type_rank", "key_a", "key_b"], "place", workspace)
+
+
+@query(f"""WITH f AS ({_ORDER_CELLS}), n AS (SELECT count_if(commodity = '1-urgent') AS u, count_if(commodity = '2-high') AS h FROM f WHERE unit IS NOT NULL)
+SELECT row_number() OVER (ORDER BY loop, s, t) AS place, loop, affected_rows, s AS value_source_raw, t AS value_source FROM (
+  SELECT 0::BIGINT AS loop, 0::BIGINT AS affected_rows, '9-never' AS s, 'x' AS t UNION ALL SELECT 1, u, '1-urgent', '2-high' FROM n UNION ALL SELECT 1, h, '2-high', 'done' FROM n UNION ALL SELECT 2, u, '2-high', 'done' FROM n)""")
+def summary_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every rule, used or not, in a stage's merged summary."""
+    workspace = Workspace(spark, "summary")
+    file = _rules([*_CHAIN, ("9-never", "x", "x", "x")])
+    matched = summaries.summarize_stage(run_stage(_order_cells(spark, sf_dir), [file], "clean", workspace).audit)
+    merged = summaries.merge_stage_summaries(matched, summaries.unmatched_rules(summaries.rule_catalog(spark, [file]), matched))
+    order = [F.col(c).asc_nulls_last() for c in STAGE_ORDER]
+    return places.row_numbers(merged, order, "place", workspace).select("place", "loop", "affected_rows", "value_source_raw", "value_source")
+
+
+@query(f"WITH f AS ({_ORDER_CELLS}) SELECT o_orderkey, commodity, unit, CASE WHEN commodity = '5-low' AND unit IS NOT NULL THEN 'cheap' END AS polity FROM f")
+def rule_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule that names a column which the facts lack adds it; footnotes that were and stay empty go."""
+    facts = _order_cells(spark, sf_dir).withColumn("footnotes", F.lit(None).cast("string"))
+    rule = [{"column_source": "unit", "value_source_raw": "x", "value_source": "x", "column_target": "polity", "value_target_raw": None, "value_target": "cheap"}]
+    low = facts.where("commodity = '5-low'")
+    done = run_stage(low, [rule_file("new.csv", list(RULE_COLUMNS), rule, "clean")], "clean", Workspace(spark, "stage")).data
+    rest = facts.where("commodity <> '5-low'").drop("footnotes").withColumn("polity", F.lit(None).cast("string"))
+    return done.unionByName(rest)

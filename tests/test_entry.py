@@ -28,7 +28,7 @@ assert set(e.oracle_sql()) <= names
 
 
 @pytest.mark.skipif(not TABLES.exists(), reason="needs the driver's tables")
-@pytest.mark.parametrize("name", ["flagship", "standardize_counts", "rule_tokens", "rule_fixpoint", "validate_duplicates", "duplicate_audit", "canonical_cells", "unique_values", "sum_fine_values", "canonical_places", "format_values", "workbook_scan", "header_names", "year_headers", "tsv_round_trip", "list_workbooks", "rule_files_read", "conversion_rules_read", "places_in_files", "rule_hot_pair", "rule_cycle", "stage_diagnostics", "standardize_diagnostics", "unmatched_rules", "standardize_unmatched_rules", "drop_null_columns", "merged_layers", "list_places", "workbook_cells", "workbook_errors", "tsv_parts", "rule_file_checks", "conversion_checks", "ingest_checkpoint"])
+@pytest.mark.parametrize("name", ["flagship", "standardize_counts", "rule_tokens", "rule_fixpoint", "validate_duplicates", "duplicate_audit", "canonical_cells", "unique_values", "sum_fine_values", "canonical_places", "format_values", "workbook_scan", "header_names", "year_headers", "tsv_round_trip", "list_workbooks", "rule_files_read", "conversion_rules_read", "places_in_files", "rule_hot_pair", "rule_cycle", "stage_diagnostics", "standardize_diagnostics", "unmatched_rules", "standardize_unmatched_rules", "drop_null_columns", "merged_layers", "list_places", "workbook_cells", "workbook_errors", "tsv_parts", "rule_file_checks", "conversion_checks", "ingest_checkpoint", "commodity_names", "validation_order", "summary_order", "rule_new_column", "audit_files"])
 def test_queries_match_their_sql(spark, name):
     import duckdb
 
