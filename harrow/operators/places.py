@@ -16,8 +16,8 @@ RANGE, AT = "__range", "__at"
 
 def in_ranges(df: DataFrame, order: list[str | Column], workspace: Workspace) -> DataFrame:
     """``df`` sorted by ranges, written to the shared folder, with the number of each row's range and a number that rises inside it."""
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # without a number, so that small neighbouring ranges are read as one
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return workspace.save(rows.withColumns({RANGE: F.spark_partition_id(), AT: F.monotonically_increasing_id()}), "ranges")
 
 

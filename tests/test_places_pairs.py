@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from harrow.operators import pairs, places, validate
 
 
+@pytest.fixture
+def plain_joins(spark):
+    """No broadcast but those asked for, and no partitions dealt anew."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
 def test_row_numbers_and_sums(spark, workspace):
     rng = random.Random(1)
     rows = [(rng.randrange(50) if rng.random() < 0.9 else None, i, rng.randrange(9)) for i in range(500)]
@@ -41,7 +52,7 @@ def test_places_in_groups(spark, workspace, seed):
     assert got == want
 
 
-def test_one_file_is_spread_over_all_tasks(spark, workspace):
+def test_one_file_is_spread_over_all_tasks(spark, workspace, plain_joins):
     df = spark.range(40_000).select(F.col("id").alias("at"), F.lit("one").alias("file"))
     rows = places.in_ranges(df, ["file", "at"], workspace)
     sizes = [r["count"] for r in rows.groupBy(places.RANGE).count().collect()]
@@ -50,17 +61,6 @@ def test_one_file_is_spread_over_all_tasks(spark, workspace):
     assert numbered.where((F.col("_global_row") != F.col("at") + 1) | (F.col("_row_in_file") != F.col("at") + 1) | (F.col("_file_rank") != 1)).count() == 0
 
 
-@pytest.fixture
-def plain_joins(spark):
-    """No broadcast but those asked for, and no partitions dealt anew."""
-    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    yield
-    for k, v in kept.items():
-        spark.conf.set(k, v)
-
-
 def test_hot_cells_are_dealt_out_evenly(spark, workspace, plain_joins):
     # nine tenths of the rows have two null cells, the others are nearly all distinct
     df = spark.range(60_000).repartition(8).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("a"), F.when(F.col("id") % 20 == 0, F.lit("x")).alias("b"))
