@@ -70,7 +70,7 @@ def test_file_tokens():
     assert text.file_stem("My Data") == "my_data" and text.file_stem("%%") == "unknown"
 
 
-def test_doubles_by_decimals_and_exactly(spark):
+def test_doubles_of_all_sizes(spark):
     import random
 
     rng = random.Random(4)
