@@ -52,6 +52,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group whose texts have a Jaccard similarity of five-word shingles of at least 0.8; rows without an id stay.
 
+    Pairs come from SimHash and, where two bits are too few for a pair at the threshold, from min-hashes; all are verified.
+
     The row is the first by id, then by the hash of its text, then of all its columns, so an id that stands
     for several texts keeps each text that leads its group.
     """

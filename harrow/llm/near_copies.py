@@ -1,9 +1,10 @@
-"""Near copies by the Jaccard similarity of word shingles (the pipeline's third stage).
+"""Near copies by SimHash and the Jaccard similarity of word shingles (the pipeline's third stage).
 
-Texts are sets of hashed shingles of ``width`` words; equal sets are one node.  Min-hashes of a set are
-grouped into bands, and nodes that agree in a whole band share a bucket.  Every candidate pair is verified by the
-exact similarity of its sets before it links.  In each bucket all nodes first meet the bucket's smallest;
-then those of different components meet one another, until no bucket holds a pair that is neither
+Texts are sets of hashed shingles of ``width`` words; equal sets are one node.  Candidates come from SimHash, nodes whose
+fingerprints differ in two bits at most, found as in :mod:`harrow.llm.simhash`; and, as few pairs at the threshold are that
+near, from min-hashes of a set, which are grouped into bands: nodes that agree in a whole band share a bucket.  Every
+candidate pair is verified by the exact similarity of its sets before it links.  In each bucket all nodes first meet the
+bucket's smallest; then those of different components meet one another, until no bucket holds a pair that is neither
 in one component nor verified.  So a family of near copies costs its size and not its square.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.components import connected_components
-from harrow.llm.simhash import _hashes
+from harrow.llm.simhash import _hashes, allocate, bit_statistics, fingerprint_of, links_within
 from harrow.llm.store import Store
 
 BANDS, ROWS = 20, 5
@@ -43,19 +44,21 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, h, row, node, keys``: the hash of the text, of all columns, of the shingle set and of its bands."""
+    """``doc_id, h, row, node, fp, keys``: the hash of the text, of all columns and of the shingle set, the set's SimHash, and the hashes of its bands."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, fps, keys = [], [], []
             for text in batch.column(3):
                 found = shingle_set(text.as_py(), width)
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes()))
+                fps.append(fingerprint_of(found))
                 keys.append(band_keys(found))
-            yield pa.record_batch([*batch.columns[:3], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "h", "row", "node", "keys"])
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, fps)]
+            yield pa.record_batch([*batch.columns[:3], *longs, pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "h", "row", "node", "fp", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), F.xxhash64(*docs.columns).alias("row"), "text").mapInArrow(run, "doc_id long, h long, row long, node long, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), F.xxhash64(*docs.columns).alias("row"), "text").mapInArrow(run, "doc_id long, h long, row long, node long, fp long, keys array<long>")
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
@@ -66,6 +69,15 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
+def _fingerprint_pairs(sketches: DataFrame, store: Store, distance: int = 2, bucket_cap: int = 64) -> DataFrame:
+    """Pairs ``a, b`` of nodes, the larger first, whose fingerprints differ in ``distance`` bits at most: those of one fingerprint as a star, others by its smallest node."""
+    nodes = sketches.groupBy("node").agg(F.first("fp").alias("fp"))
+    fps = store.save(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "fingerprints")
+    equal = nodes.join(fps, "fp").where("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    near = links_within(fps, allocate(*bit_statistics(fps), distance), distance, bucket_cap)
+    return equal.unionByName(near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose sets have at least the similarity."""
     a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
@@ -78,18 +90,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def components(docs: DataFrame, store: Store, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id, h, row, component`` for every row of ``docs(doc_id, text)``, ``h`` the hash of its text and ``row`` of all its columns.
 
-    Texts whose shingle sets have at least the similarity are linked; those without words are equal.  A pair at a similarity of 0.8 shares
-    a bucket with probability 0.9996, one at 0.9 or more practically always.
+    Texts whose shingle sets have at least the similarity are linked; those without words are equal.  A pair within two bits of SimHash
+    is a candidate; a pair at a similarity of 0.8 shares a bucket with probability 0.9996, one at 0.9 or more practically always.
     """
     sketches = store.save(_sketches(docs, width), "sketches")
     rows = sketches.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
     sizes = rows.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     buckets = store.save(rows.join(sizes, "key"), "buckets")
-    # one text a node that shares a bucket, read again as sets are needed only there
-    some = sketches.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "doc_id")).alias("m"))
+    fingerprints = store.save(_fingerprint_pairs(sketches, store), "fingerprint-pairs")
+    # one text a node that has a candidate, read again as sets are needed only there
+    met = buckets.select("node").unionByName(fingerprints.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    some = sketches.join(met, "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "doc_id")).alias("m"))
     texts = docs.select(F.xxhash64("text").alias("h"), F.col("text")).join(some.select("node", F.col("m.h").alias("h")), "h").dropDuplicates(["node"])
     sets = store.save(_sets(texts, width), "sets")
-    tried = store.save(buckets.where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "tried")
+    leaders = buckets.where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    tried = store.save(fingerprints.unionByName(leaders).distinct(), "tried")
     links = store.save(_verified(tried, sets, similarity), "links")
     roots = connected_components(links, store)
     # what the leaders didn't join meets in full: members of one component need no pair among themselves

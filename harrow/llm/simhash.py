@@ -47,7 +47,11 @@ def _hashes(text: str, width: int) -> np.ndarray:
 
 def fingerprint(text: str | None, width: int = 3) -> int:
     """The 64-bit SimHash of one text; see :func:`fingerprints`."""
-    h = _hashes(text or "", width)
+    return fingerprint_of(_hashes(text or "", width))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; none give zero."""
     if not len(h):
         return 0
     counts = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -152,7 +156,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _links(nodes: DataFrame, plan: list[tuple[list[int], int]], distance: int, cap: int) -> DataFrame:
+def links_within(nodes: DataFrame, plan: list[tuple[list[int], int]], distance: int, cap: int) -> DataFrame:
     """Edges ``a, b`` (representative ids) whose components are those of all links."""
     rows = []
     for k, (bits, t) in enumerate(plan):
@@ -192,7 +196,7 @@ def near_duplicates(docs: DataFrame, store: Store, width: int = 3, distance: int
     fps = store.save(fingerprints(docs, width), "fingerprints")
     nodes = store.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes")
     n, both = bit_statistics(nodes)
-    links = _links(nodes.where(F.col("rep").isNotNull()), allocate(n, both, distance), distance, bucket_cap)
+    links = links_within(nodes.where(F.col("rep").isNotNull()), allocate(n, both, distance), distance, bucket_cap)
     roots = connected_components(links, store)
     named = (
         nodes.join(roots, nodes["rep"] == roots["node"], "left")

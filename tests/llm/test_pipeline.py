@@ -107,3 +107,18 @@ def test_near_copies_of_repeated_ids(spark):
     docs = spark.createDataFrame([(d, t, lang, "s", 0) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
     shown = [sorted((repr(r["doc_id"]), r["text"][0], r["lang"]) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(k), "").collect()) for k in (1, 3)]
     assert shown[0] == shown[1] and [r[:2] for r in shown[0]] == [("1", "a"), ("1", "c"), ("2", "b"), ("None", "b")]
+
+
+def test_near_copies_probe_simhash(spark, store):
+    from harrow.llm import near_copies, simhash
+
+    rng = random.Random(5)
+    base = [f"s{rng.randrange(10**6)}" for _ in range(400)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(60)] + [" ".join(f"o{rng.randrange(10**6)}" for _ in range(30)) for _ in range(20)] + ["", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sketches = store.save(near_copies._sketches(docs, 5), "sketches")
+    fps = {r["node"]: r["fp"] & (2**64 - 1) for r in sketches.collect()}
+    assert set(fps.values()) == {simhash.fingerprint_of(near_copies.shingle_set(t)) for t in texts}
+    links = [(a, b) for a in fps for b in fps if a > b and (fps[a] ^ fps[b]).bit_count() <= 2]
+    got = [(r["a"], r["b"]) for r in near_copies._fingerprint_pairs(sketches, store).collect()]
+    assert len(links) > 20 and set(got) <= set(links) and roots_of(fps, got) == roots_of(fps, links)
