@@ -47,6 +47,8 @@ def sums_before(df: DataFrame, order: list[str | Column], sums: dict[str, str],
 def places_in_groups(df: DataFrame, group: str, order: list[str], workspace: Workspace) -> DataFrame:
     """``df`` with ``_rank`` of its group by first appearance in ``order``, ``_in_group`` inside it, and ``_place`` over all, from 1.
 
+    Groups whose first rows agree in all of ``order`` rank by their names, nulls first.
+
     A group, nulls being one, may hold any share of the rows: it is cut into ranges like everything else.  The tables
     beside the rows have a row for each group and range that meet, and one for each group.
     """
@@ -54,7 +56,7 @@ def places_in_groups(df: DataFrame, group: str, order: list[str], workspace: Wor
     parts = rows.groupBy(RANGE, group).agg(F.count("*").alias("n"), F.min(AT).alias("start"), F.min(F.struct(*order)).alias("first"))
     parts = workspace.save(parts, "parts")
     firsts = parts.groupBy(group).agg(F.sum("n").alias("n"), F.min("first").alias("first")).withColumn("one", F.lit(1).cast("long"))
-    groups = sums_before(firsts, ["first"], {"__base": "n", "__earlier": "one"}, workspace)
+    groups = sums_before(firsts, ["first", group], {"__base": "n", "__earlier": "one"}, workspace)
     # a group's parts are as many as its ranges
     earlier_parts = Window.partitionBy("__g").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (

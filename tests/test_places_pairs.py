@@ -91,3 +91,12 @@ def test_long_cells_are_never_broadcast_as_hot(spark, workspace):
     found, seen = pairs.distinct_cells(df, {"s": F.col("a")}, workspace)
     out = pairs.join_back(df, {"s": F.col("a")}, found.withColumn("size", F.length("s")), seen["rows"]).collect()
     assert sorted((r["i"], r["size"]) for r in out)[:2] == [(0, len(text)), (1, len(text))] and len(out) == 51
+
+
+def test_files_that_begin_at_one_place(spark, workspace, plain_joins):
+    """Groups whose first rows tie rank by their names, however the rows lie."""
+    names = [None, *sorted(f"f{i}" for i in range(40))]
+    rows = [(1, 1, "big")] + [(k, 7, f) for k in (1, 4) for f in names[::-1]]
+    df = spark.createDataFrame(rows, "k int, n int, file string").repartition(3, "file")
+    got = validate.numbered(df, ["k", "n"], workspace).select("file", "_file_rank").distinct().collect()
+    assert sorted((r["_file_rank"], r["file"]) for r in got) == list(enumerate(["big", *names], 1))
