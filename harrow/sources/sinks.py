@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -55,9 +56,12 @@ class PartWritten(WriterCommitMessage):
 class LinesWriter(DataSourceArrowWriter):
     """Tasks write parts beside the target; the commit publishes those of successful tasks in order of partitions, under one header."""
 
-    def __init__(self, target: str, header: str, one_file: bool):
+    def __init__(self, target: str, header: str, one_file: bool, parts: str | None = None):
         self.target, self.header, self.one_file = target, header, one_file
-        self.parts = f"{target}.parts-{uuid.uuid4().hex[:12]}"
+        self.parts = parts or f"{target}.parts-{uuid.uuid4().hex[:12]}"
+        # here and not in the tasks: one that is still running would bring the folder of a failed write back
+        system, _, folder = self._system()
+        system.create_dir(folder, recursive=True)
 
     def _system(self):
         system, target = fs.FileSystem.from_uri(self.target)
@@ -65,7 +69,6 @@ class LinesWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> PartWritten:
         system, _, parts = self._system()
-        system.create_dir(parts, recursive=True)
         context = TaskContext.get()
         number = context.partitionId() if context else 0
         # a repeated or speculative attempt writes a file of its own
@@ -108,8 +111,15 @@ class LinesWriter(DataSourceArrowWriter):
 
     def abort(self, messages: list[PartWritten | None]) -> None:
         system, _, parts = self._system()
-        if system.get_file_info(parts).type != fs.FileType.NotFound:
-            system.delete_dir(parts)
+        for attempt in range(5):  # tasks that are still running may add a file meanwhile
+            try:
+                if system.get_file_info(parts).type != fs.FileType.NotFound:
+                    system.delete_dir(parts)
+                return
+            except OSError:
+                if attempt == 4:
+                    raise
+                time.sleep(0.2)
 
     @staticmethod
     def _clear(system, target: str) -> None:

@@ -46,6 +46,20 @@ def test_tsv_parts_and_failed_writes(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["e", "m.tsv"]
 
 
+def test_tsv_of_negative_zero(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as e
+
+    rows = [(1, "a", 1, -0.0, "x"), (2, "b", 3, 0.0, "y"), (3, "c", 4, -7.0, "z"), (4, "d", 4, None, "z")]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS FROM '{tmp_path}/customer.parquet/*.parquet'")
+    got = e.queries()["tsv_round_trip"](spark, str(tmp_path))
+    assert got.columns == ["c_custkey", "c_name", "share", "mark"]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(con.sql(e.oracle_sql()["tsv_round_trip"]).fetchall())
+
+
 def test_rule_files(tmp_path):
     (tmp_path / "clean_b.csv").write_text("clean_column_source,value_source_raw,column_target,value_target_raw,value_target\ncommodity,007,unit,kg,NA\ncommodity,,unit,\"b;a\",#ALL#\ncommodity,#exact# z;y,unit,x,w\n")
     (tmp_path / "clean_a.xlsx").write_bytes(xlsx.workbook_bytes({"notes": [["free text"]], "r": [list(RULE_COLUMNS), ["commodity", "a", "b", "unit", "c", "d"]]}))
