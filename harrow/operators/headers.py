@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from harrow.settings import CANONICAL_COLUMNS, HEADER_ALIASES, HarmonizeError
 _YEAR = re.compile(r"^\d{4}(-\d{4})?$")
 
 
+@lru_cache(1 << 14)
 def normalize_header(name: str | None) -> str | None:
     """One header as its matching key; a null stays null."""
     if name is None:
@@ -65,6 +67,7 @@ def canonical_renames(names: list[str], canonical: tuple[str, ...] = CANONICAL_C
     return {a: b for a, b in renames.items() if a != b}
 
 
+@lru_cache(1 << 14)
 def clean_year(name: str) -> str:
     """A year header without a spreadsheet's ``.0``; crop years become their first year, and ranges of them a range."""
     name = re.sub(r"\.0$", "", name)

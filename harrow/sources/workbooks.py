@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import zipfile
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from functools import partial
 from itertools import groupby, islice
@@ -36,6 +37,9 @@ LONG = (
 COLUMNS = [f.split()[0] for f in LONG.split(", ")]
 #: Bytes of sheet text in a partition, and rows in an Arrow batch.
 PARTITION_BYTES, BATCH_ROWS = 8 << 20, 10_000
+#: Files beyond which the driver opens large ones only; the bytes of sheet text that one of a file stands for then, partitions over which
+#: such a folder is spread, and the sheet text up to which these grow for it.
+MANY_FILES, TEXT_BYTES, MANY_PARTITIONS, GROWN_BYTES = 200, 20, 500, 32 << 20
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,6 +50,15 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
     return file_metadata(files.select(F.regexp_replace("path", r"^file:/+", "/").alias("file_path"))).orderBy("file_path")
 
 
+def _unreadable(path: str, why: Exception) -> str:
+    return f"failed to read file '{path.rpartition('/')[2]}': {why}"
+
+
+def _sheets(book: Workbook) -> list[tuple[str, int]]:
+    """The sheets of a workbook with the bytes of their text."""
+    return [(s, book.size(s)) for s in book.sheets]
+
+
 def _error(path: str, message: str) -> dict:
     return {"_path": path, "_error": message}
 
@@ -100,14 +113,18 @@ def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: Callabl
 
 @dataclass
 class SheetPartition(InputPartition):
-    """The sheets of a task, each as ``(path, number, name)``, and errors that were found while listing, as ``(path, message)``."""
+    """The sheets of a task, each as ``(path, number, name)``, whole files, and errors that were found while listing, as ``(path, message)``."""
 
     sheets: list[tuple[str, int, str]] = field(default_factory=list)
     errors: list[tuple[str, str]] = field(default_factory=list)
+    files: list[str] = field(default_factory=list)
 
 
 class WorkbookReader(DataSourceReader):
-    """One partition for each sheet of ``partition_bytes`` or more of text, and for runs of smaller ones."""
+    """One partition for each sheet of ``partition_bytes`` or more of text, and for runs of smaller ones.
+
+    In a folder of many files small ones stay whole and are opened by their tasks, and partitions grow with the folder up to a limit.
+    """
 
     def __init__(self, folder: str, base: tuple[str, ...], partition_bytes: int):
         self.folder, self.base, self.partition_bytes = folder, base, partition_bytes
@@ -115,46 +132,68 @@ class WorkbookReader(DataSourceReader):
     def partitions(self) -> list[SheetPartition]:
         system, root = fs.FileSystem.from_uri(self.folder)
         found = system.get_file_info(fs.FileSelector(root, recursive=True))
-        paths = sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith(".xlsx"))
+        files = {f.path: f.size for f in found if f.type == fs.FileType.File and f.path.endswith(".xlsx")}
+        paths, most, many = sorted(files), self.partition_bytes, len(files) > MANY_FILES
+        if many:
+            most = max(most, min(GROWN_BYTES, sum(files.values()) * TEXT_BYTES // MANY_PARTITIONS))
+        small = {p for p in paths if many and files[p] * TEXT_BYTES < most}
         parts, held = [SheetPartition()], 0
 
+        def room(size: int) -> SheetPartition:
+            nonlocal held
+            if held and held + size > most:
+                parts.append(SheetPartition())
+                held = 0
+            held += size
+            return parts[-1]
+
         def listed(path: str) -> tuple[list[tuple[str, int]], str | None]:
+            if path in small:
+                return [], None
             try:
                 with system.open_input_file(path) as f:
-                    book = Workbook(f)
-                    return [(s, book.size(s)) for s in book.sheets], None
+                    return _sheets(Workbook(f)), None
             except Exception as e:  # a damaged file is reported, like any other finding
-                return [], f"failed to read file '{path.rpartition('/')[2]}': {e}"
+                return [], _unreadable(path, e)
 
         with ThreadPoolExecutor(16) as pool:
             for path, (sheets, error) in zip(paths, pool.map(listed, paths)):
                 if error:
                     parts[-1].errors.append((path, error))
+                if path in small:
+                    room(files[path] * TEXT_BYTES).files.append(path)
                 for number, (sheet, size) in enumerate(sheets):
-                    if held and held + size > self.partition_bytes:
-                        parts.append(SheetPartition())
-                        held = 0
-                    parts[-1].sheets.append((path, number, sheet))
-                    held += size
+                    room(size).sheets.append((path, number, sheet))
         return parts
 
     def read(self, partition: SheetPartition) -> Iterator[pa.RecordBatch]:
         system, _ = fs.FileSystem.from_uri(self.folder)
         schema = pa.schema([(c, pa.int32() if c.endswith("_no") else pa.string()) for c in COLUMNS])
 
+        def sheets_of(book: Workbook, path: str, sheets: Iterable[tuple[int, str]]) -> Iterator[dict]:
+            name = path.rpartition("/")[2]
+            for number, sheet in sheets:
+                if not sheet.isascii():
+                    yield _error(path, f"non-ascii sheet name detected: {sheet}")
+                try:
+                    yield from sheet_records(path, name, number, sheet, partial(book.rows, sheet), self.base)
+                except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError) as e:
+                    yield _error(path, f"failed to read sheet '{sheet}' in file '{name}': {e}")
+
         def records() -> Iterator[dict]:
             yield from (_error(*e) for e in partition.errors)
             for path, sheets in groupby(partition.sheets, key=itemgetter(0)):
-                name = path.rpartition("/")[2]
                 with system.open_input_file(path) as f:
-                    book = Workbook(f)
-                    for _, number, sheet in sheets:
-                        if not sheet.isascii():
-                            yield _error(path, f"non-ascii sheet name detected: {sheet}")
-                        try:
-                            yield from sheet_records(path, name, number, sheet, partial(book.rows, sheet), self.base)
-                        except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError) as e:
-                            yield _error(path, f"failed to read sheet '{sheet}' in file '{name}': {e}")
+                    yield from sheets_of(Workbook(f), path, [s[1:] for s in sheets])
+            for path in partition.files:
+                with ExitStack() as stack:
+                    try:
+                        book = Workbook(stack.enter_context(system.open_input_file(path)))
+                        names = [s for s, _ in _sheets(book)]
+                    except Exception as e:
+                        yield _error(path, _unreadable(path, e))
+                        continue
+                    yield from sheets_of(book, path, enumerate(names))
 
         rows = records()
         while batch := list(islice(rows, BATCH_ROWS)):

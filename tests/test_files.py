@@ -158,6 +158,22 @@ def test_sheets_are_read_row_by_row():
     assert book.size("s") > 100
 
 
+def test_folders_of_many_files(tmp_path):
+    """Small files are opened by their tasks, in partitions that grow with the folder."""
+    header = ["Continent", "Country", "Unit", "Footnotes", "1950"]
+    for i in range(700):
+        rows = [["Asia", f"p{k}", "kg", "f", str(k)] for k in range(2 if i else 20_000)]
+        (tmp_path / f"fao_1952_a_b_c_{i:03d}.xlsx").write_bytes(xlsx.workbook_bytes({"s": [header, *rows], "t": [header, *rows[:1]]}))
+    (tmp_path / "fao_1952_a_b_c_bad.xlsx").write_bytes(b"no")
+    reader = workbooks.WorkbookReader(tmp_path.as_uri(), ("continent",), 1)
+    parts = reader.partitions()
+    assert len(parts) < 1000 and [s[2] for p in parts for s in p.sheets] == ["s", "t"] and sum(len(p.files) for p in parts) == 700
+    rows = [r for p in parts for b in reader.read(p) for r in b.select(["file", "variable", "value", "_sheet_no", "_error"]).to_pylist()]
+    errors = [r["_error"] for r in rows if r["_error"]]
+    assert errors == ["failed to read file 'fao_1952_a_b_c_bad.xlsx': not an .xlsx workbook (.xls files can't be read)"]
+    assert len(rows) == 1 + 699 * 3 + 20_001 and {(r["_sheet_no"], r["variable"]) for r in rows if r["file"]} == {(0, "s"), (1, "t")}
+
+
 def test_workbook_partitions(spark, tmp_path):
     header = ["Continent", "Country", "Unit", "Footnotes", "1950"]
     for name, sheets in (("fao_1952_a_b_c_x.xlsx", 3), ("fao_1952_a_b_c_y.xlsx", 1)):
