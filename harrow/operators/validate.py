@@ -82,6 +82,8 @@ def validate_long(df: DataFrame, order: list[str], required: tuple[str, ...] = B
     rows = numbered(df, order, workspace)
     last = (current_year if current_year is not None else date.today().year) + 1
     errors = diagonal_union([mandatory_errors(rows, required), year_errors(rows, last), duplicate_errors(rows)])
+    if workspace is not None:  # a sort looks at its rows twice, and these take several passes to find
+        errors = workspace.save(errors, "errors")
     return df, errors.orderBy("file_rank", "type_rank", "key_a", "key_b")
 
 

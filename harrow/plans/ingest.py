@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harrow.operators.frames import canonical_cells, canonical_order, consolidate, drop_null_values
 from harrow.operators.validate import validate_long
 from harrow.settings import HarmonizeError, Settings
-from harrow.sources.workbooks import discover, read_long
+from harrow.sources.workbooks import found_files, read_long
 from harrow.workspace import Workspace
 
 PLACE = ["_path", "_year_no", "_sheet_no", "_row_no"]
@@ -40,7 +40,8 @@ def run_ingest(spark: SparkSession, settings: Settings, workspace: Workspace) ->
     if settings.checkpoints and (kept / "complete.json").exists():
         read = lambda name: spark.read.parquet((kept / name).resolve().as_uri())
         return Ingested(canonical_order(canonical_cells(read("data"))), read("reading_errors"), read("validation_errors"))
-    files = discover(spark, str(settings.raw))
+    # one scan of the folder, by few tasks: a scan's own have 32 files each, however many there are
+    files = workspace.save(found_files(spark, str(settings.raw)).coalesce(spark.sparkContext.defaultParallelism), "files")
     if files.isEmpty():
         raise HarmonizeError("no workbooks were found")
     rows = workspace.save(read_long(spark, str(settings.raw), settings.required), "long")

@@ -42,12 +42,17 @@ PARTITION_BYTES, BATCH_ROWS = 8 << 20, 10_000
 MANY_FILES, TEXT_BYTES, MANY_PARTITIONS, GROWN_BYTES = 200, 20, 500, 32 << 20
 
 
-def discover(spark: SparkSession, folder: str) -> DataFrame:
-    """``file_metadata`` of all ``.xlsx`` files below a folder, in order of their paths; empty if there are none."""
+def found_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_metadata`` of all ``.xlsx`` files below a folder; empty if there are none."""
     if "://" not in folder and not Path(folder).is_dir():
         raise HarmonizeError(f"folder does not exist: {folder}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xlsx").load(folder)
-    return file_metadata(files.select(F.regexp_replace("path", r"^file:/+", "/").alias("file_path"))).orderBy("file_path")
+    return file_metadata(files.select(F.regexp_replace("path", r"^file:/+", "/").alias("file_path")))
+
+
+def discover(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`found_files` in order of their paths."""
+    return found_files(spark, folder).orderBy("file_path")
 
 
 def _unreadable(path: str, why: Exception) -> str:
@@ -59,12 +64,17 @@ def _sheets(book: Workbook) -> list[tuple[str, int]]:
     return [(s, book.size(s)) for s in book.sheets]
 
 
-def _error(path: str, message: str) -> dict:
-    return {"_path": path, "_error": message}
+def _record(**values: object) -> list:
+    """A long row with these columns set."""
+    return [values.get(c) for c in COLUMNS]
+
+
+def _error(path: str, message: str) -> tuple:
+    return tuple(_record(_path=path, _error=message))
 
 
-def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: Callable[..., Iterator[list[str | None]]], base: tuple[str, ...]) -> Iterator[dict]:
-    """The long rows of one sheet, and its errors as rows with ``_error``.
+def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: Callable[..., Iterator[list[str | None]]], base: tuple[str, ...]) -> Iterator[tuple]:
+    """The long rows of one sheet, in the order of ``COLUMNS``, and its errors as rows with ``_error``.
 
     ``rows`` gives the sheet's rows and takes a function that tells from the first which columns are needed.
     """
@@ -93,9 +103,14 @@ def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: Callabl
         yield _error(path, f"sheet '{sheet}' is missing required base columns in file '{name}': {', '.join(missing)}")
     at = {c: i for i, c in enumerate(names)}
     of = lambda r, i: r[i] if i < len(r) else None
+    folded = {*KEY_TEXT_COLUMNS, "footnotes"}
+    fields = [(at[c], COLUMNS.index(c), c in folded) for c in ID_COLUMNS if c in at and c not in ("commodity", "variable") and c in COLUMNS]
+    filled = [at[c] for c in base if c in at]
+    row = _record(commodity=commodity, variable=text.normalize_value(sheet) if "variable" in folded else sheet, yearbook=yearbook, file=name, _path=path, _sheet_no=sheet_no)
+    year_at, value_at, year_no_at, row_no_at = (COLUMNS.index(c) for c in ("year", "value", "_year_no", "_row_no"))
     years: list[tuple[int, str]] | None = None
     for k, r in enumerate(body):
-        if not any((of(r, at[c]) or "").strip() for c in base if c in at):
+        if not any((of(r, i) or "").strip() for i in filled):
             continue
         if years is None:
             if yearbook is None:
@@ -104,11 +119,13 @@ def sheet_records(path: str, name: str, sheet_no: int, sheet: str, rows: Callabl
             years = [(cleaned.index(y), y) for y in year_columns(cleaned)]
             if not years:
                 raise HarmonizeError(f"sheet '{sheet}' of file '{name}' has no year columns")
-        ids = {c: of(r, at[c]) for c in ID_COLUMNS if c in at}
-        ids["variable"] = sheet
-        ids |= {c: text.normalize_value(ids[c]) for c in (*KEY_TEXT_COLUMNS, "footnotes") if ids.get(c) is not None}
+        for i, to, fold in fields:
+            cell = of(r, i)
+            row[to] = text.normalize_value(cell) if fold and cell is not None else cell
+        row[row_no_at] = k
         for n, (i, year) in enumerate(years):
-            yield ids | {"commodity": commodity, "year": year, "value": of(r, i), "yearbook": yearbook, "file": name, "_path": path, "_year_no": n, "_sheet_no": sheet_no, "_row_no": k}
+            row[year_at], row[value_at], row[year_no_at] = year, of(r, i), n
+            yield tuple(row)
 
 
 @dataclass
@@ -170,7 +187,7 @@ class WorkbookReader(DataSourceReader):
         system, _ = fs.FileSystem.from_uri(self.folder)
         schema = pa.schema([(c, pa.int32() if c.endswith("_no") else pa.string()) for c in COLUMNS])
 
-        def sheets_of(book: Workbook, path: str, sheets: Iterable[tuple[int, str]]) -> Iterator[dict]:
+        def sheets_of(book: Workbook, path: str, sheets: Iterable[tuple[int, str]]) -> Iterator[tuple]:
             name = path.rpartition("/")[2]
             for number, sheet in sheets:
                 if not sheet.isascii():
@@ -180,7 +197,7 @@ class WorkbookReader(DataSourceReader):
                 except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError) as e:
                     yield _error(path, f"failed to read sheet '{sheet}' in file '{name}': {e}")
 
-        def records() -> Iterator[dict]:
+        def records() -> Iterator[tuple]:
             yield from (_error(*e) for e in partition.errors)
             for path, sheets in groupby(partition.sheets, key=itemgetter(0)):
                 with system.open_input_file(path) as f:
@@ -197,7 +214,7 @@ class WorkbookReader(DataSourceReader):
 
         rows = records()
         while batch := list(islice(rows, BATCH_ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in batch], schema.field(c).type) for c in COLUMNS], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(values, f.type) for values, f in zip(zip(*batch), schema)], schema=schema)
 
 
 class WorkbookSource(DataSource):

@@ -174,6 +174,27 @@ def test_folders_of_many_files(tmp_path):
     assert len(rows) == 1 + 699 * 3 + 20_001 and {(r["_sheet_no"], r["variable"]) for r in rows if r["file"]} == {(0, "s"), (1, "t")}
 
 
+def test_ingest_finds_files_and_errors_once(spark, tmp_path, workspace, monkeypatch):
+    """The folder is scanned by few tasks, and errors are found once, before they are sorted."""
+    from harrow.plans.ingest import run_ingest
+
+    saved = []
+    save = workspace.save
+    monkeypatch.setattr(workspace, "save", lambda df, label: saved.append((label, df.rdd.getNumPartitions())) or save(df, label))
+    header = ["Continent", "Country", "Unit", "Footnotes", "1950"]
+    settings = Settings(root=str(tmp_path), current_year=2025)
+    settings.create_folders()
+    for i in range(40 * spark.sparkContext.defaultParallelism):
+        (settings.raw / f"fao_1952_a_b_c_{i:04d}.xlsx").write_bytes(xlsx.workbook_bytes({"s": [header, ["Ásia", f"p{i}", "kg", None if i == 7 else "f", "1"]]}))
+    (settings.raw / "fao_1952_á_b_c_x.xlsx").write_bytes(b"no")
+    found = run_ingest(spark, settings, workspace)
+    assert dict(saved)["files"] <= spark.sparkContext.defaultParallelism
+    assert "errors" in dict(saved) and all("errors" in f for f in found.validation_errors.inputFiles())
+    assert [r["message"] for r in found.validation_errors.collect()] == ["missing mandatory value in document 'fao_1952_a_b_c_0007.xlsx', row_id '1', column 'footnotes'"]
+    assert {r["_error"].partition(":")[0] for r in found.reading_errors.collect()} == {"non-ascii file name detected", "failed to read file 'fao_1952_á_b_c_x.xlsx'"}
+    assert {(r["continent"], r["variable"]) for r in found.data.collect()} == {("asia", "s")}
+
+
 def test_workbook_partitions(spark, tmp_path):
     header = ["Continent", "Country", "Unit", "Footnotes", "1950"]
     for name, sheets in (("fao_1952_a_b_c_x.xlsx", 3), ("fao_1952_a_b_c_y.xlsx", 1)):
