@@ -40,13 +40,13 @@ def line_words(line: Column) -> Column:
 
 def rarity_classes(docs: DataFrame) -> Column:
     """For each hash bucket of words, how often its words occur in all texts, as they are written between
-    spaces, in steps of half a power of two, as one constant array of 65,536 bigints with the step in the top bits."""
+    spaces, in steps of half a power of two, as one constant array of bigints; small ones, as every plan on the driver spells them out."""
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
     counts = words.groupBy(bucket.cast("int").alias("b")).agg(F.count("*").alias("n")).collect()
     classes = [0] * (1 << SKETCH_BITS)
     for r in counts:
-        classes[r["b"]] = (r["n"] ** 2).bit_length() << 56
+        classes[r["b"]] = (r["n"] ** 2).bit_length()
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
@@ -58,9 +58,9 @@ def _hashes(line: Column) -> Column:
 def _keys(hashes: Column, classes: Column) -> Column:
     """A line's words as bigints in order of rarity: count class, then hash."""
     zero = F.lit(0).cast("long")
-    bucket = lambda h: h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).cast("int")
+    class_of = lambda h: F.get(classes, h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)))
     # never null, so that the array is sorted as plain numbers
-    return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.get(classes, bucket(h)), zero).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.shiftleft(class_of(h), 56), zero).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _parity(keys: Column, half: bool = False) -> Column:

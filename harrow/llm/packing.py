@@ -255,7 +255,7 @@ def pack(pieces: DataFrame, store: Store, capacity: int = 2048, bands: tuple[int
 
     opened = max(0, sequences(facts["total"] or 0) - facts["alone"])
     none = "CAST(NULL AS long)"
-    placed = [pieces.where(alone).selectExpr(f"{PLACED} kind", "row id", "length size", "row seq", "0L at")]
+    placed, rounds = pieces.where(alone).selectExpr("row", "row sequence_id", "0L offset"), []
     gaps = pieces.where(alone & (F.col("length") < capacity)).selectExpr(f"{GAP} kind", "row id", f"{capacity} - length size", f"{none} seq", f"{none} at").unionByName(empty(0, opened))
     tops = [capacity // 2, *(capacity // d for d in bands)]
     for top, floor in zip(tops, [*tops[1:], 0]):
@@ -277,8 +277,9 @@ def pack(pieces: DataFrame, store: Store, capacity: int = 2048, bands: tuple[int
                 state, opened = state.unionByName(empty(opened, more)), opened + more
                 sizes[GAP, capacity] = more
             after = superstep(state, sizes, store, capacity)
-            placed.append(after.where(F.col("kind") == PLACED))
+            rounds.append(after)
             state = after.where(F.col("kind") != PLACED)
         gaps = reduce(DataFrame.unionByName, narrow, state)
-    places = reduce(DataFrame.unionByName, placed).select(F.col("id").alias("row"), F.col("seq").alias("sequence_id"), F.col("at").alias("offset"))
-    return pieces.join(places, "row").select(*columns, "sequence_id", "offset")
+    if rounds:
+        placed = placed.unionByName(store.together(rounds).where(F.col("kind") == PLACED).selectExpr("id row", "seq sequence_id", "at offset"))
+    return pieces.join(placed, "row").select(*columns, "sequence_id", "offset")

@@ -8,6 +8,7 @@ labelled texts.  Thresholds for rejecting are calibrated by language on further
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Texts that are scored at a time, which bounds the activations in memory.
+AT_ONCE = 128
 
 
 @dataclass(frozen=True)
@@ -64,23 +67,34 @@ def _features(words: list[str], buckets: int) -> np.ndarray:
     return np.array([(crc(w.encode()), crc(b"4" + w[:4].encode()), crc(b"5" + w[:5].encode())) for w in words], np.int64).reshape(-1, 3) % buckets
 
 
+def _numbered(texts: list[str | None]) -> tuple[list[np.ndarray], list[str]]:
+    """The words of each text as numbers, four bytes each, and the distinct words in order of their numbers."""
+    places: dict[str, int] = {}
+    return [np.array([places.setdefault(w, len(places)) for w in split_words(t)], np.int32) for t in texts], list(places)
+
+
+def _own_numbers(texts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The words of these texts numbered anew as they first occur, and their numbers so far."""
+    ids, first, back = np.unique(np.concatenate(texts), return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    own = np.empty(len(ids), np.int32)
+    own[order] = np.arange(len(ids), dtype=np.int32)
+    return np.split(own[back], np.cumsum([len(t) for t in texts])[:-1]), ids[order]
+
+
 class _Batch:
-    """Texts laid end to end, each followed by a gap of padding words, by distinct word."""
+    """Texts of numbered words laid end to end, each followed by a gap of padding words; ``features`` has a row for each number."""
 
-    def __init__(self, texts: list[list[str]], settings: Settings):
+    def __init__(self, texts: list[np.ndarray], features: np.ndarray, settings: Settings):
         pad = max(settings.widths)
-        places: dict[str, int] = {}
         lengths = [len(t) for t in texts]
-        flat = np.fromiter((places.setdefault(w, len(places)) for t in texts for w in t), np.int64, sum(lengths))
-        self.features = _features(list(places), settings.buckets)
+        self.features = features
         sizes = np.array(lengths) + pad
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.word = np.full(int(sizes.sum()) + pad, len(places), np.int64)
-        at = 0
-        for start, n in zip(self.starts, lengths):
-            self.word[start : start + n] = flat[at : at + n]
-            at += n
+        self.word = np.full(int(sizes.sum()) + pad, len(features), np.int64)
+        for start, text in zip(self.starts, texts):
+            self.word[start : start + len(text)] = text
         self.stop = int(sizes.sum())
 
 
@@ -110,10 +124,12 @@ def _logits(model: Model, batch: _Batch) -> np.ndarray:
 
 def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
     """A score from 0 to 1 for each whole text; null and empty texts score as a text without words."""
-    if not texts:
-        return np.zeros(0)
-    z = _logits(model, _Batch([split_words(t) for t in texts], model.settings))
-    return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -40, 40)))
+    found = [np.zeros(0)]
+    for at in range(0, len(texts), AT_ONCE):
+        numbers, words = _numbered(texts[at : at + AT_ONCE])
+        z = _logits(model, _Batch(numbers, _features(words, model.settings.buckets), model.settings))
+        found.append(1 / (1 + np.exp(-np.clip(z.astype(np.float64), -40, 40))))
+    return np.concatenate(found)
 
 
 def train(texts: list[str | None], labels: np.ndarray, settings: Settings) -> Model:
@@ -132,7 +148,9 @@ def train(texts: list[str | None], labels: np.ndarray, settings: Settings) -> Mo
         model.out[:] = 0
         model.out_bias = 0.0 if not len(texts) else (4.0 if labels[0] else -4.0)
         return model
-    words = [split_words(t) for t in texts]
+    numbers, words = _numbered(texts)
+    features = _features(words, s.buckets)
+    del words
     moments: dict[int, np.ndarray] = {}
 
     def step(k: int, value: np.ndarray, grad: np.ndarray, rows=slice(None)) -> None:
@@ -142,13 +160,17 @@ def train(texts: list[str | None], labels: np.ndarray, settings: Settings) -> Mo
 
     # features of a single text would learn that text by heart, and untrained ones would be noise in every maximum
     texts_with = np.zeros(s.buckets, np.int64)
-    for t in words:
-        texts_with[np.unique(_features(sorted(set(t)), s.buckets))] += 1
+    for t in numbers:
+        texts_with[np.unique(features[np.unique(t)])] += 1
     known = texts_with >= s.least_texts
     model.embed[~known] = 0
     weight = np.where(labels == 1, np.sqrt((labels == 0).sum() / (labels == 1).sum()), 1.0).astype(np.float32)
-    order = np.array_split(rng.permutation(len(words)), max(1, len(words) // s.batch))
-    batches = [_Batch([words[i] for i in part], s) for part in order]
+    order = np.array_split(rng.permutation(len(numbers)), max(1, len(numbers) // s.batch))
+    batches = []
+    for part in order:
+        own, ids = _own_numbers([numbers[i] for i in part])
+        batches.append(_Batch(own, features[ids], s))
+    del numbers, features
     out_bias = np.zeros(1, np.float32)
     values = [model.embed, model.bias, model.out, out_bias, *model.filters]
     epochs = max(s.epochs, s.least_steps // len(batches))
@@ -241,15 +263,20 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         .groupBy("doc_id", "toxic")
         .agg(F.min_by(F.struct("text", "lang"), F.xxhash64("text", "lang")).alias("one"))
         .select("doc_id", "toxic", "one.*")
-        .toPandas()
+        .collect()
     )
-    got["order"] = [zlib.crc32(f"order {d}".encode()) for d in got["doc_id"]]
-    got = got.sort_values(["toxic", "order", "doc_id"])
-    share = settings.train_rows / rows
-    first = got.groupby("toxic").cumcount() < got.groupby("toxic")["doc_id"].transform("size") * share
-    model = train(list(got["text"][first]), got["toxic"][first].to_numpy(), settings)
-    rest = got[~first]
-    calibrate(model, list(rest["text"]), rest["toxic"].to_numpy(), list(rest["lang"]))
+    parts: dict[int, list] = {}
+    for r in got:
+        parts.setdefault(r["toxic"], []).append(r)
+    first, rest = [], []
+    for toxic in sorted(parts):
+        mine = sorted(parts.pop(toxic), key=lambda r: (zlib.crc32(f"order {r['doc_id']}".encode()), r["doc_id"]))
+        cut = math.ceil(len(mine) * settings.train_rows / rows)
+        first += mine[:cut]
+        rest += mine[cut:]
+    toxic = lambda part: np.array([r["toxic"] for r in part], np.int32)
+    model = train([r["text"] for r in first], toxic(first), settings)
+    calibrate(model, [r["text"] for r in rest], toxic(rest), [r["lang"] for r in rest])
     return model
 
 
@@ -267,8 +294,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for k in range(0, batch.num_rows, 128):
-                part = batch.slice(k, 128)
+            for k in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(k, AT_ONCE)
                 found = pa.array(score_texts(m, part.column(at).to_pylist()))
                 yield pa.record_batch([*part.columns, found], names=[*part.schema.names, "score"])
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -52,6 +53,12 @@ def test_lines_against_sql(spark, store):
     same(got.select("doc_id", "text", "n_lines", "n_removed"), by_duckdb(LINE_DEDUP, documents=df.select("doc_id", "text")))
 
 
+def test_plans_of_line_classes_are_short(spark):
+    docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(20_000)),)], "text string")
+    column = line_dedup.rarity_classes(docs)
+    assert len(docs.select(column)._jdf.queryExecution().optimizedPlan().toString()) < 150_000
+
+
 def test_line_edge_cases(spark, store):
     rows = [(1, "a b c d e"), (None, "a b c d e"), (2, None), (3, "a b c d e\n\nnew"), (1, "a b c d e"), (None, None)]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), store)
@@ -376,6 +383,24 @@ def test_scores_against_plain_loops():
     assert np.allclose(toxicity.score_texts(model, texts), expected, atol=1e-4)
 
 
+def test_training_keeps_no_word_twice():
+    rng = random.Random(5)
+    words = [f"w{''.join(rng.choices('abcdefgh', k=7))}" for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(600)]
+    labels = np.arange(600) % 2
+    tracemalloc.start()
+    try:
+        model = toxicity.train(texts, labels, toxicity.Settings(epochs=1, least_steps=1))
+        learned = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        toxicity.calibrate(model, texts, labels, [None] * 600)
+        calibrated = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # with strings for all 240,000 words, and all texts scored at once, 25 and 40 MB
+    assert learned < 14e6 and calibrated < 14e6, (learned, calibrated)
+
+
 def test_rows_that_repeat_a_sampled_id(spark):
     rows = labelled(60)
     docs = spark.createDataFrame([(r[0], r[1], r[2]) for r in rows] + [(2, "word " * 50000, "en")] * 3, "doc_id long, text string, lang string")

@@ -96,6 +96,14 @@ def test_packing(spark, store):
     assert packing.pack(packing.cut_pieces(df.limit(0), tokenizer(FILES[1])), store).count() == 0
 
 
+def test_the_plan_of_packed_rows_does_not_grow_with_the_rounds(spark, store):
+    rng = random.Random(8)
+    rows = [(i, 0, 0, rng.choice([900, 700, 400, 300, 150, 90, 40, 20, 3]), i) for i in range(400)]
+    out = packing.pack(spark.createDataFrame(rows, packing.PIECES), store)
+    assert out.count() == 400
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 3
+
+
 def test_a_hot_length(spark, store):
     df = spark.range(5000).selectExpr("id as doc_id", "0 as piece", "0L as start", "700L as length", "1L as ids_crc32")
     out = packing.pack(df, store).collect()
