@@ -22,8 +22,8 @@ SKETCH_BITS = 15
 MAPS = ("p0", "p1")
 #: Pairs of sets, and settled sets, up to which their ids are broadcast (48 and 16 bytes each); beyond that the sides are shuffled.
 BROADCAST_PAIRS, BROADCAST_SETS = 250_000, 500_000
-#: The join of the prefix words is made for one part of the words after the other, so their entries never fill the disks all at once.
-PARTS = 2
+#: Sets that share a key up to which they are left to the join of all prefix words, as that meets at most so many near copies of each.
+CROWD = 32
 
 
 def _split(line: Column) -> Column:
@@ -65,9 +65,10 @@ def _keys(hashes: Column, classes: Column) -> Column:
 
 def _parity(keys: Column, half: bool = False) -> Column:
     """64 bits, each telling whether an odd number of the words, or of about half of them, fall on it; the half is told by a bit of its own."""
-    none = F.lit(0).cast("long")
-    of = (lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(1).cast("long"))) if half else (lambda k: F.lit(1).cast("long"))
-    return F.aggregate(keys, none, lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", of(k), k.bitwiseAND(F.lit(63)).cast("int"))))
+    bits = [0] * 64 * half + [1 << b for b in range(63)] + [-(1 << 63)]
+    # looked up, as each step of a lambda costs about as much as the whole of a compiled expression
+    table = F.array(*(F.lit(b).cast("long") for b in bits))
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.get(table, k.bitwiseAND(F.lit(len(bits) - 1)))))
 
 
 def _needed(nx: Column, ny: Column, threshold: float) -> Column:
@@ -79,7 +80,7 @@ def line_classes(docs: DataFrame, store: Store, threshold: float) -> DataFrame:
     """One row for each set of words: its digest ``id, d2``, the first line's place ``doc_id, pos, h``,
     its size ``n``, its parity maps ``p0, p1``, its ``low`` and ``high`` min-hashes of two words and its rarest words, the ``prefix``."""
     classes = rarity_classes(docs)
-    lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(r"[^ \t\r\x0b\f]"))
+    lines = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.btrim("line", F.lit(" \t\r\x0b\f")) != "")
     hashed = lines.select("doc_id", "pos", "h", _hashes(F.col("line")).alias("hashes"))
     n = F.size("hashes")
     low, high = F.xxhash64(F.lit(1), F.slice("hashes", 1, 2)), F.xxhash64(F.lit(2), F.slice("hashes", F.greatest(n - 1, F.lit(1)), 2))
@@ -131,33 +132,50 @@ def _near(x, y, threshold: float) -> Column:
     all_, half = (x(m).bitwiseXOR(y(m)) for m in MAPS)
     differ = F.bit_count(half) + F.bit_count(all_.bitwiseXOR(half))
     held = (F.greatest(nx, ny) == (1 << _N) - 1) | (F.greatest(ix, iy) == (1 << _I) - 1)
-    return held | ((differ <= nx + ny - 2 * need) & (may >= need) & (F.least(nx, ny) >= need))
+    # sizes come first, as they rule out most pairs at the least cost; a size held at the top only makes the need smaller
+    return (F.least(nx, ny) >= need) & (held | ((differ <= nx + ny - 2 * need) & (may >= need)))
 
 
-def first_pairs(classes: DataFrame, threshold: float, shares: int = 4) -> DataFrame:
-    """Each set with the earliest ones, one of each share, that have its rarest word or one of its min-hashes, where they may match: linear in the entries.
+def _first_keys() -> Column:
+    """The two min-hashes of a set and its rarest word."""
+    return F.array("low", "high", F.get("prefix", F.lit(0)))
+
+
+def crowded_keys(classes: DataFrame, store: Store, crowd: int) -> DataFrame:
+    """The keys of :func:`first_pairs` that more than ``crowd`` sets have."""
+    keys = classes.select(F.explode(_first_keys()).alias("key"))
+    return store.save(keys.groupBy("key").count().where(F.col("count") > crowd).select("key"), "crowded")
+
+
+def first_pairs(classes: DataFrame, crowded: DataFrame, threshold: float, shares: int = 4) -> DataFrame:
+    """Each set with the earliest ones, one of each share, that have its rarest word or one of its min-hashes, where the key is crowded and they may match: linear in the entries.
 
     A near copy often has rare words of its own, so its rarest one isn't enough; a min-hash of two words is shared at a similarity of t with probability t squared.
     """
-    keys = F.concat(F.array("low", "high"), F.slice("prefix", 1, 1))
+    keys = _first_keys()
     share = F.pmod(F.col("id"), F.lit(shares)).alias("share")
-    some = prefix_entries(classes, F.lit(True), keys).withColumn("packed", F.col("packed").bitwiseAND(F.lit(-(1 << _I)))).repartition("key")
+    few = F.broadcast(crowded) if crowded.count() <= BROADCAST_SETS else crowded
+    entries = prefix_entries(classes, F.lit(True), keys).join(few, "key", "left_semi")
+    some = entries.withColumn("packed", F.col("packed").bitwiseAND(F.lit(-(1 << _I)))).repartition("key")
     place = F.struct("doc_id", _part(F.col("packed"), _N + _I, _POS).alias("pos"), "id", "packed", *MAPS)
     earliest = some.groupBy("key", share).agg(F.min(place).alias("y")).select(F.col("key").alias("y_key"), "y.*")
     x, y = ((lambda f, e=e: F.col(f"{e}.{f}")) for e in "xy")
-    joined = some.alias("x").join(earliest.alias("y"), (x("key") == y("y_key")) & _later(x, y) & _near(x, y, threshold))
+    joined = some.alias("x").join(earliest.alias("y"), (x("key") == y("y_key")) & _near(x, y, threshold) & _later(x, y))
     return joined.select(x("id").alias("later"), y("id").alias("earlier")).distinct()
 
 
-def open_pairs(classes: DataFrame, threshold: float, part: int = 0, parts: int = 1) -> DataFrame:
-    """All pairs of a set that is still ``open`` and an earlier one that share a prefix word of this part of all words and may match.
+def open_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of a set that is still ``open`` and an earlier one that share a prefix word and may match.
 
     The smaller set of a pair is looked up by its index prefix of n - ceil(2 t n / (1 + t)) + 1 words, which is enough as the other has as many words or more.
     """
-    entries = prefix_entries(classes, F.col("open")).where(F.pmod(F.col("key"), F.lit(parts)) == part)
+    # no key is null, which said here need not be asked of one side alone
+    entries = prefix_entries(classes, F.col("open")).where(F.col("key").isNotNull()).repartition("key")
     n, i = _size(F.col("packed")), _part(F.col("packed"), 0, _I)
     held = (n == (1 << _N) - 1) | (i == (1 << _I) - 1)
-    index = entries.where((i < n - F.ceil(n * F.lit(2 * threshold / (1 + threshold)) - F.lit(1e-9)) + 1) | held)
+    within = (i < n - F.ceil(n * F.lit(2 * threshold / (1 + threshold)) - F.lit(1e-9)) + 1) | held
+    # entries are shuffled once for both sides: Spark would filter before the shuffle, and so shuffle the index again, but for the number of the partition, which is never negative
+    index = entries.where(F.when(F.spark_partition_id() >= 0, within))
     x, y = ((lambda f, e=e: F.col(f"{e}.{f}")) for e in "xy")
     nx, ny = _size(x("packed")), _size(y("packed"))
     itself = (x("id") == y("id")) & (x("doc_id") == y("doc_id")) & (_part(x("packed"), _N + _I, _POS) == _part(y("packed"), _N + _I, _POS))
@@ -166,7 +184,7 @@ def open_pairs(classes: DataFrame, threshold: float, part: int = 0, parts: int =
     # rows that repeat an id may have lines at one place; which of two such lines is the later one, verified() tells
     same_place = (x("doc_id") == y("doc_id")) & (_part(x("packed"), _N + _I, _POS) == _part(y("packed"), _N + _I, _POS))
     looks = (F.when(later, x("packed")).otherwise(y("packed")) >= 0) | (same_place & ((x("packed") >= 0) | (y("packed") >= 0)))
-    joined = entries.alias("x").join(index.alias("y"), (x("key") == y("key")) & larger & looks & _near(x, y, threshold))
+    joined = entries.alias("x").join(index.alias("y"), (x("key") == y("key")) & larger & _near(x, y, threshold) & looks)
     return joined.select(F.when(later, x("id")).otherwise(y("id")).alias("later"), F.when(later, y("id")).otherwise(x("id")).alias("earlier")).distinct()
 
 
@@ -199,25 +217,22 @@ def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, store: Store,
 def later_matches(docs: DataFrame, classes: DataFrame, store: Store, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The places of all sets, ``id, d2, doc_id, h, pos``, and the sets ``id, d2`` whose first line matches an earlier line.
 
-    Each set is compared first with the earliest that share one of its rarest words, which settles most near copies of one line without
+    Where many sets share a key, each is compared first with the earliest of them, which settles most near copies of one line without
     comparing them all with all; only the sets that are still open are then joined with all earlier ones.
     """
     places = classes.select("id", "d2", "doc_id", "h", "pos")
-    first = store.save(first_pairs(classes, threshold), "first")
+    first = store.save(first_pairs(classes, crowded_keys(classes, store, CROWD), threshold), "first")
     store.release()
     settled = verified(first, docs, places, store, threshold)
     store.drop(first)
     done = settled.withColumn("done", F.lit(True))
     done = F.broadcast(done) if settled.count() <= BROADCAST_SETS else done
     marked = classes.drop("h").join(done, ["id", "d2"], "left").withColumn("open", F.col("done").isNull())
-    found = []
-    for part in range(PARTS):
-        store.release()
-        found.append(store.save(open_pairs(marked, threshold, part, PARTS), "pairs"))
     store.release()
-    rest = verified(reduce(DataFrame.unionByName, found).distinct(), docs, places, store, threshold)
-    for pairs in found:
-        store.drop(pairs)
+    pairs = store.save(open_pairs(marked, threshold), "pairs")
+    store.release()
+    rest = verified(pairs, docs, places, store, threshold)
+    store.drop(pairs)
     return places, settled.unionByName(rest)
 
 

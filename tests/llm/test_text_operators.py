@@ -94,6 +94,39 @@ def test_lines_of_repeated_ids_against_brute_force(spark, store, seed):
     assert got == slow_lines(spark, rows) and got != sorted(rows)
 
 
+def near_copies(base, copies):
+    """Lines of one text each: of every base of 20 words the line itself and copies with one word of their own at the end."""
+    return [" ".join([f"b{b}w{k}" for k in range(20)] + [f"own{b}x{c}"] * (c > 0)) for b in range(base) for c in range(copies)]
+
+
+def test_line_entries_are_shuffled_once(spark, store):
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(near_copies(20, 3))], "doc_id long, text string, h long")
+    classes = line_dedup.line_classes(docs, store, 0.8).withColumn("open", F.lit(True))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = line_dedup.open_pairs(classes, 0.8)
+        assert pairs.count() == len(pairs.collect()) == 20 * 3
+        assert "ReusedExchange" in pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("crowd", [0, 32])
+def test_crowded_lines(spark, store, monkeypatch, crowd):
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    lines = near_copies(5, 3) + near_copies(6, 60)[5 * 60 :]
+    rows = list(enumerate(lines))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = line_dedup.line_classes(df.withColumn("h", F.xxhash64("text")), store, 0.8)
+    first = line_dedup.first_pairs(classes, line_dedup.crowded_keys(classes, store, crowd), 0.8)
+    later = {r["id"] for r in classes.where("doc_id >= 15").select("id").collect()}
+    found = {r["later"] for r in first.collect()}
+    assert len(found & later) > 40 and bool(found - later) == (crowd == 0)  # few copies of a line are left to the join of all
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(df, store).collect())
+    assert got == slow_lines(spark, rows) and sum(t != "" for _, t in got) == 6
+
+
 # ------------------------------------------------------------------ benchmark
 
 
